@@ -61,7 +61,8 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit values that spreads every bit."""
+    """A bijection of 64-bit values that spreads every bit. Of one value too, as an array of one."""
+    h = np.atleast_1d(h)
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(0xFF51AFD7ED558CCD)
     h = h ^ (h >> np.uint64(33))
