@@ -3,6 +3,7 @@
 from lorebank.llm.bpe_codec import op10_bpe_codec
 from lorebank.llm.decontaminate import OP2_SQL, op2_decontaminate
 from lorebank.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from lorebank.llm.language_model import op9_language_model
 from lorebank.llm.near_dedup import op8_near_dedup
 from lorebank.llm.token_counts import op4_token_counts
 
@@ -11,6 +12,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op9_language_model": op9_language_model,
     "op10_bpe_codec": op10_bpe_codec,
 }
 
