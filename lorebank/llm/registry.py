@@ -5,10 +5,12 @@ from lorebank.llm.decontaminate import OP2_SQL, op2_decontaminate
 from lorebank.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from lorebank.llm.language_model import op9_language_model
 from lorebank.llm.near_dedup import op8_near_dedup
+from lorebank.llm.quality import op1_quality
 from lorebank.llm.sharding import op3_sharding
 from lorebank.llm.token_counts import op4_token_counts
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_decontaminate": op2_decontaminate,
     "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
