@@ -8,6 +8,7 @@ from lorebank.llm.near_dedup import op8_near_dedup
 from lorebank.llm.quality import op1_quality
 from lorebank.llm.sharding import op3_sharding
 from lorebank.llm.token_counts import op4_token_counts
+from lorebank.llm.toxicity import op7_toxicity
 
 QUERIES = {
     "op1_quality": op1_quality,
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_near_dedup": op8_near_dedup,
     "op9_language_model": op9_language_model,
     "op10_bpe_codec": op10_bpe_codec,
