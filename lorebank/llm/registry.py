@@ -6,6 +6,7 @@ from lorebank.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from lorebank.llm.language_model import op9_language_model
 from lorebank.llm.near_dedup import op8_near_dedup
 from lorebank.llm.quality import op1_quality
+from lorebank.llm.secrets import op6_secrets
 from lorebank.llm.sharding import op3_sharding
 from lorebank.llm.token_counts import op4_token_counts
 from lorebank.llm.toxicity import op7_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_secrets": op6_secrets,
     "op7_toxicity": op7_toxicity,
     "op8_near_dedup": op8_near_dedup,
     "op9_language_model": op9_language_model,
