@@ -3,11 +3,658 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lorebank.functions import packing, text
+from lorebank.jobs.tables import kb_table, query_table, source_number, summaries, table, transcripts, translations
+from lorebank.operators import catalog, chunking, citations, evaluate, hybrid, kb, lexical, quality, search, vector, worklist
+from lorebank.streaming import jobs as streaming
+
+
+def _vectors(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding", "label")
+
+
+def _rounded(df: DataFrame, *names: str, places: int = 6) -> DataFrame:
+    return df.withColumns({n: F.round(n, places) for n in names})
+
+
+# ---- knowledge base
+
+
+def kb_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    toxic = table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id", F.lit("false").alias("off"))
+    key = text.padded(source_number().cast("string"))
+    base = docs.join(toxic, "doc_id", "left").select(
+        text.row_id(key, F.concat(F.lit("tk"), F.col("doc_id").cast("string"))).alias("id"), F.when(F.col("doc_id") % 9 != 0, F.col("lang")).otherwise("").alias("topic"),
+        F.substring("text", 1, 100).alias("text"), F.coalesce("off", F.lit("true")).alias("active"),
+    )
+    dates = docs.select(key.alias("key"), F.concat(F.lit("2024-01-"), F.lpad((source_number() + 1).cast("string"), 2, "0")).alias("date")).distinct()
+    layer = table(spark, sf_dir, "conversations").select(
+        F.format_string("hub-ep%03d-ts%d", F.col("conv_id"), F.col("turn")).alias("id"), F.col("conv_id").cast("int").alias("episode_number"), F.lit("2024-02-01").alias("episode_date"),
+        F.lit("00:00:01").alias("timestamp_start"), F.lit(None).cast("string").alias("timestamp_end"), F.col("role").alias("section_title"), F.substring("text", 1, 50).alias("content"),
+    )
+    rows = kb.add_layer(kb.to_kb_rows(base, dates, "hub"), kb.chunks_to_kb_rows(layer, "hub").drop("embed_input"))
+    return rows.select("id", "tenant_id", "topic", "content", "episode_number", F.col("episode_date").cast("string").alias("episode_date"), "timestamp_start", "active")
+
+
+KB_SHAPE = """
+SELECT 'hub-ep' || CASE WHEN length(n) < 3 THEN lpad(n, 3, '0') ELSE n END || '-tk' || doc_id AS id, 'hub' AS tenant_id,
+  CASE WHEN doc_id % 9 <> 0 THEN lang ELSE 'general' END AS topic, substr(text, 1, 100) AS content, n::INT AS episode_number,
+  '2024-01-' || lpad((n::INT + 1)::VARCHAR, 2, '0') AS episode_date, NULL AS timestamp_start, true AS active
+FROM (SELECT *, substr(source, 4) AS n FROM documents) LEFT JOIN (SELECT DISTINCT doc_id, 1 AS bad FROM labels WHERE toxic = 1) USING (doc_id) WHERE bad IS NULL
+UNION ALL
+SELECT 'hub-ep' || lpad(conv_id::VARCHAR, greatest(3, length(conv_id::VARCHAR))::INT, '0') || '-ts' || turn, 'hub', 'transcript_segment', substr(text, 1, 50), conv_id::INT, '2024-02-01', '00:00:01', true FROM conversations
+"""
+
+
+def summary_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kb.summary_rows(summaries(spark, sf_dir)).select("id", "topic", F.length("text").cast("long").alias("chars"), F.md5("text").alias("text_md5"))
+
+
+_SUMMARY_BASE = r"""
+WITH c AS (SELECT doc_id, lang, source, trim(regexp_replace(regexp_replace(coalesce(text, ''), '[*#\[\]|`-]', '', 'g'), '[\t\n\v\f\r ]+', ' ', 'g')) AS t FROM documents),
+w AS (SELECT *, string_split(t, ' ') AS ws, CASE WHEN length(doc_id::VARCHAR) < 3 THEN lpad(doc_id::VARCHAR, 3, '0') ELSE doc_id::VARCHAR END AS k FROM c),
+p AS (SELECT *, source || '-tema' AS topic, regexp_replace(coalesce(ws[1], 'x'), '[''"]', '', 'g') AS guest FROM w),
+r AS (
+  SELECT 'hub-ep' || k || '-tk1' AS id, topic, trim('Uno ' || trim(substr(t, 1, 60))) AS x, 15 AS least FROM p
+  UNION ALL SELECT 'hub-ep' || k || CASE WHEN length(trim('Uno ' || trim(substr(t, 1, 60)))) > 15 THEN '-tk2' ELSE '-tk1' END, topic, trim('Dos ' || trim(substr(t, 61, 8))), 15 FROM p
+  UNION ALL SELECT 'hub-ep' || k || '-proto1', topic, trim(regexp_replace('Metodo. Que: ' || coalesce(ws[2], 'x') || ' Como: ' || coalesce(ws[3], 'x') || ' Cuando: ' || coalesce(ws[4], 'x'), '\s{2,}', ' ', 'g')), 20 FROM p
+  UNION ALL SELECT 'hub-ep' || k || '-overview', topic, CASE WHEN length(trim(substr(trim(substr(t, 1, 1500)), 1, 1200))) > 40 THEN 'Episodio ' || doc_id || ' - Parte ' || lang || CASE WHEN guest <> '' THEN ' (invitado: ' || guest || ')' ELSE '' END || '. ' || substr(trim(substr(t, 1, 1500)), 1, 1200) END, 0 FROM p
+  UNION ALL SELECT 'hub-ep' || k || '-recursos', topic, CASE WHEN length(trim(substr(t, 101, 200))) > 40 THEN 'Recursos y estudios mencionados en el episodio ' || doc_id || ' (Parte ' || lang || '): ' || trim(substr(t, 101, 200)) END, 0 FROM p
+)
+"""
+
+
+SUMMARY_ROWS = _SUMMARY_BASE + "SELECT id, topic, length(x) AS chars, md5(x) AS text_md5 FROM r WHERE length(x) > least"
+
+
+def kb_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kb.kb_stats(kb.summary_rows(summaries(spark, sf_dir)))
+
+
+KB_STATS = _SUMMARY_BASE + r"""
+SELECT count(DISTINCT regexp_extract(id, 'hub-ep(\d+)-', 1)) AS sources, count(*) FILTER (id LIKE '%-tk%') AS tk, count(*) FILTER (id LIKE '%-proto%') AS proto,
+  count(*) FILTER (id LIKE '%-overview') AS overview, count(*) FILTER (id LIKE '%-recursos') AS recursos, 0 AS ts, count(*) AS total FROM r WHERE length(x) > least
+"""
+
+
+def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.slugify(F.substring("text", 1, 80)).alias("slug"))
+
+
+SLUGIFY = r"""
+SELECT doc_id, coalesce(nullif(substr(regexp_replace(regexp_replace(strip_accents(lower(substr(text, 1, 80))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 40), ''), 'general') AS slug FROM documents
+"""
+
+
+def resolve_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select(F.col("doc_id").alias("query_id"), F.col("lang").alias("tenant_id"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("brand_id"))
+    brands = docs.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("source").alias("id"), F.col("lang").alias("tenant_id"), (source_number() % 3 != 0).alias("active"), (F.col("source") == "src1").alias("is_default")
+    )
+    good, bad = kb.resolve_brand(asked, brands)
+    return good.withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False))).select("query_id", "tenant_id", "brand_id", "accepted")
+
+
+RESOLVE_BRAND = """
+WITH b AS (SELECT DISTINCT lang, source, substr(source, 4)::INT % 3 <> 0 AS active FROM documents),
+q AS (SELECT doc_id, lang, CASE WHEN doc_id % 2 = 0 THEN source END AS brand FROM documents),
+w AS (SELECT q.*, coalesce(brand, (SELECT min(source) FROM b WHERE b.lang = q.lang AND source = 'src1' AND active)) AS wanted FROM q),
+m AS (SELECT w.*, EXISTS (SELECT 1 FROM b WHERE b.lang = w.lang AND b.source = w.wanted AND b.active) AS ok FROM w)
+SELECT doc_id AS query_id, lang AS tenant_id, CASE WHEN ok THEN wanted ELSE brand END AS brand_id, ok AS accepted FROM m
+"""
+
+
+def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    target = docs.filter(F.col("doc_id") % 4 != 3).select(F.col("doc_id").alias("id"), F.col("lang").alias("topic"), F.col("n_chars").alias("size"), F.lit(True).alias("active"))
+    new = docs.filter(F.col("doc_id") % 3 == 0).select(F.col("doc_id").alias("id"), F.concat("lang", F.lit("-new")).alias("topic"), F.lit(-1).cast("long").alias("size"), F.lit(2).alias("n"))
+    old = new.withColumn("n", F.lit(1)).withColumn("topic", F.lit("overwritten"))
+    return kb.upsert(target, old.unionByName(new), "id", "n")
+
+
+UPSERT = """
+SELECT coalesce(a.doc_id, b.doc_id) AS id, CASE WHEN b.doc_id IS NOT NULL THEN b.lang || '-new' ELSE a.lang END AS topic,
+  CASE WHEN b.doc_id IS NOT NULL THEN -1 ELSE a.n_chars END AS size, CASE WHEN a.doc_id IS NOT NULL THEN true END AS active
+FROM (SELECT * FROM documents WHERE doc_id % 4 <> 3) a FULL JOIN (SELECT * FROM documents WHERE doc_id % 3 = 0) b ON a.doc_id = b.doc_id
+"""
+
+
+def append_lot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("topic"), F.lit(0).alias("n"))
+    lot = docs.filter(F.col("id") % 10 == 0).withColumns({"topic": F.lit("lot"), "n": F.lit(1)})
+    once = kb.append_lot(docs, lot, "n")
+    return kb.remove_lot(kb.append_lot(once, lot, "n"), "fr").select("id", "topic")
+
+
+APPEND_LOT = "SELECT doc_id AS id, CASE WHEN doc_id % 10 = 0 THEN 'lot' ELSE lang END AS topic FROM documents WHERE doc_id % 10 = 0 OR lang <> 'fr'"
+
+
+def deactivate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    off = table(spark, sf_dir, "labels").filter("quality = 0").select(F.col("doc_id").alias("id"))
+    return kb.deactivate(kb_table(spark, sf_dir), off).select("id", "active")
+
+
+DEACTIVATE = """
+SELECT d.doc_id AS id, coalesce(l.toxic, 0) = 0 AND coalesce(l.quality, 1) <> 0 AS active FROM documents d LEFT JOIN labels l USING (doc_id)
+"""
+
+
+def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    episodes = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("episode_number"))
+    return kb.coverage(episodes, table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("episode_number")))
+
+
+COVERAGE = """
+SELECT count(*) FILTER (c IS NOT NULL) AS indexed, count(*) FILTER (c IS NULL) AS not_indexed
+FROM documents LEFT JOIN (SELECT DISTINCT conv_id AS c FROM conversations) ON doc_id = c
+"""
+
+
+# ---- retrieval
+
+
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queries = query_table(spark, sf_dir).select("query_id", "embedding")
+    return _rounded(vector.cosine_topk(queries, _vectors(spark, sf_dir), 10), "similarity").select("query_id", "id", "similarity", "rank")
+
+
+_SIM = "list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[])"
+VECTOR_TOPK = f"""
+SELECT query_id, id, round(s, 6) AS similarity, rank FROM (
+  SELECT q.vec_id AS query_id, e.vec_id AS id, {_SIM} AS s, row_number() OVER (PARTITION BY q.vec_id ORDER BY {_SIM} DESC, e.vec_id) AS rank
+  FROM (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q, embeddings e) WHERE rank <= 10
+"""
+
+
+def ivf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = vector.ivf_build(_vectors(spark, sf_dir))
+    return vector.ivf_topk(query_table(spark, sf_dir), index, 10, probes=max(8, len(index[1]) // 3))
+
+
+def text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "documents").filter(F.col("doc_id") % 20 == 0)
+    queries = words.select(F.col("doc_id").alias("query_id"), F.regexp_extract(F.lower("text"), r"([\p{L}\p{N}_]+)", 1).alias("query_text"))
+    terms = lexical.term_table(table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
+    return _rounded(lexical.text_topk(queries, terms, 50), "text_rank").select("query_id", "id", "text_rank", "rank")
+
+
+_TERMS = r"SELECT doc_id, t AS term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS t FROM documents) GROUP BY ALL"
+TEXT_TOPK = rf"""
+WITH terms AS ({_TERMS}), q AS (SELECT doc_id AS query_id, regexp_extract(lower(text), '([\p{{L}}\p{{N}}_]+)', 1) AS term FROM documents WHERE doc_id % 20 = 0)
+SELECT query_id, id, text_rank, rank FROM (
+  SELECT query_id, doc_id AS id, round(0.1 * n, 6) AS text_rank, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, doc_id) AS rank
+  FROM q JOIN terms USING (term) WHERE term NOT IN ('', 'or')) WHERE rank <= 50
+"""
+
+
+def text_topk_spanish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").filter("lang = 'es'")
+    queries = docs.filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(F.split("text", r"\s+"), 1, 2), " ").alias("query_text"))
+    return lexical.text_topk(queries, lexical.term_table(docs, "spanish", "doc_id", "text"), 50, "spanish")
+
+
+def _hybrid(spark, sf_dir, **options):
+    base = kb_table(spark, sf_dir)
+    terms = lexical.term_table(base.filter("active"), id_col="id", text_col="content")
+    return hybrid.hybrid_search(query_table(spark, sf_dir).select("query_id", "query_text", "embedding"), base, terms, **options)
 
 
 def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = _rounded(_hybrid(spark, sf_dir), "similarity").withColumn("rank_score", F.round("rank_score", 9))
+    return out.select("query_id", "pos", "id", "topic", "episode_number", "similarity", "rank_score", F.length("content").cast("long").alias("chars"))
+
+
+def hybrid_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _rounded(_hybrid(spark, sf_dir, match_count=25, compat="v0"), "similarity").withColumn("rank_score", F.round("rank_score", 9))
+    return out.select("query_id", "pos", "id", "topic", "similarity", "rank_score")
+
+
+_HYBRID = rf"""
+WITH kb AS (
+  SELECT d.doc_id AS id, CASE WHEN d.doc_id % 9 <> 0 THEN 'topic' || (d.doc_id % 5) END AS topic, text, substr(source, 4)::INT AS episode_number, embedding
+  FROM documents d LEFT JOIN embeddings ON doc_id = vec_id LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE coalesce(l.toxic, 0) <> 1
+), q AS (
+  SELECT vec_id AS query_id, e.embedding, CASE lang WHEN 'en' THEN 'edble' WHEN 'de' THEN 'nicht' WHEN 'fr' THEN 'leaux' WHEN 'es' THEN 'osción' ELSE '' END AS term
+  FROM embeddings e LEFT JOIN documents ON doc_id = vec_id WHERE vec_id % 20 = 0
+), v AS (
+  SELECT * FROM (SELECT query_id, id, {_SIM} AS s, row_number() OVER (PARTITION BY query_id ORDER BY {_SIM} DESC, id) AS r FROM q, kb e WHERE e.embedding IS NOT NULL) WHERE r <= 50
+), t AS (
+  SELECT * FROM (SELECT query_id, doc_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, doc_id) AS r
+    FROM q JOIN ({_TERMS}) USING (term) WHERE doc_id IN (SELECT id FROM kb)) WHERE r <= 50
+), f AS (
+  SELECT coalesce(v.query_id, t.query_id) AS query_id, coalesce(v.id, t.id) AS id, coalesce(s, 0) AS s,
+    coalesce(1.0::DOUBLE / (50 + v.r), 0) + coalesce(1.0::DOUBLE / (50 + t.r), 0) AS score
+  FROM v FULL JOIN t ON v.query_id = t.query_id AND v.id = t.id
+), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s DESC, id) AS pos FROM f)
+"""
+HYBRID_RRF = _HYBRID + "SELECT query_id, pos, id, coalesce(topic, 'General') AS topic, episode_number, round(s, 6) AS similarity, round(score, 9) AS rank_score, length(text) AS chars FROM o JOIN kb USING (id) WHERE pos <= 8"
+HYBRID_LEGACY = _HYBRID + "SELECT query_id, pos, id, topic, round(s, 6) AS similarity, round(score, 9) AS rank_score FROM o JOIN kb USING (id) WHERE pos <= 25"
+
+
+def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _hybrid(spark, sf_dir, match_count=20)
+    return hybrid.allocate_slots(found, 6, {"topic1": 2, "General": 1}).select("query_id", "id", "topic", "slot")
+
+
+SLOTS = _HYBRID + """, d AS (SELECT query_id, id, pos, coalesce(topic, 'General') AS topic FROM o JOIN kb USING (id) WHERE pos <= 20),
+e AS (SELECT *, row_number() OVER (PARTITION BY query_id, topic ORDER BY pos) <= CASE topic WHEN 'topic1' THEN 2 WHEN 'General' THEN 1 ELSE 0 END AS due FROM d),
+g AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY due DESC, pos) AS n FROM e)
+SELECT query_id, id, topic, row_number() OVER (PARTITION BY query_id ORDER BY pos) AS slot FROM g WHERE n <= 6
+"""
+
+
+def rerank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _hybrid(spark, sf_dir, match_count=20).select("query_id", "id", "content", "pos")
+    return hybrid.rerank(found, lambda b: b["content"].str.len() % 97, 5).select("query_id", "id", "rerank_score", "rerank_pos")
+
+
+RERANK = _HYBRID + """SELECT query_id, id, score AS rerank_score, rerank_pos FROM (
+  SELECT query_id, id, (length(text) % 97)::DOUBLE AS score, row_number() OVER (PARTITION BY query_id ORDER BY length(text) % 97 DESC, id) AS rerank_pos FROM o JOIN kb USING (id) WHERE pos <= 20)
+WHERE rerank_pos <= 5"""
+
+
+def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    index = docs.select(F.col("doc_id").alias("id"), F.substring("text", 1, 40).alias("title_en"), F.substring("text", 41, 40).alias("title_es"), F.substring("text", 1, 400).alias("summary_en"), F.substring("text", 401, 400).alias("summary_es"))
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.concat(F.lit("es "), F.regexp_replace(F.substring("text", 1, 40), r"[.,]", "")).alias("query_text"))
+    return search.keyword_search(index, queries)
+
+
+KEYWORD_SEARCH = r"""
+WITH w AS (SELECT item_id AS query_id, unnest(string_split_regex(lower('es ' || regexp_replace(substr(text, 1, 40), '[.,]', '', 'g')), '\s+')) AS w FROM benchmark),
+i AS (SELECT doc_id AS id, lower(substr(text, 41, 40)) AS a, lower(substr(text, 1, 40)) AS b, lower(substr(text, 401, 400)) AS c, lower(substr(text, 1, 400)) AS d FROM documents),
+s AS (SELECT query_id, id, sum(15 * contains(a, w)::INT + 10 * contains(b, w)::INT + 3 * contains(c, w)::INT + 2 * contains(d, w)::INT) AS score FROM w, i WHERE length(w) > 2 GROUP BY ALL)
+SELECT query_id, id, score::INT AS score, pos FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS pos FROM s WHERE score > 0) WHERE pos <= 5
+"""
+
+
+# ---- evaluation
+
+
+def _judged(spark, sf_dir):
+    """Vectors as questions (every 20th) against the others: the label is the episode, and null for each seventh."""
+    rows = _vectors(spark, sf_dir)
+    q = F.col("id") % 100
+    golden = rows.filter(F.col("id") % 20 == 0).select(
+        F.col("id").alias("query_id"), F.when(q == 40, "offtopic").when(q == 20, "vague").otherwise("specific").alias("type"), F.when(q == 40, F.array().cast("array<int>")).otherwise(F.array(F.col("label"))).alias("expected")
+    )
+    others = rows.filter(F.col("id") % 20 != 0)
+    found = vector.cosine_topk(query_table(spark, sf_dir), others, 8)
+    episode = F.when(F.col("id") % 7 != 0, F.col("label"))
+    retrieved = found.join(others.select("id", episode.alias("episode")), "id").select("query_id", F.col("rank").alias("pos"), "id", "episode", "similarity")
+    return golden, retrieved, evaluate.judge(golden, retrieved)
+
+
+_JUDGED = f"""
+WITH g AS (SELECT vec_id, embedding, label, CASE vec_id % 100 WHEN 40 THEN 'offtopic' WHEN 20 THEN 'vague' ELSE 'specific' END AS type FROM embeddings WHERE vec_id % 20 = 0),
+f AS (SELECT * FROM (SELECT q.vec_id AS query_id, q.label AS want, type, e.vec_id AS id, CASE WHEN e.vec_id % 7 <> 0 THEN e.label END AS episode, {_SIM} AS s,
+  row_number() OVER (PARTITION BY q.vec_id ORDER BY {_SIM} DESC, e.vec_id) AS pos FROM g q, embeddings e WHERE e.vec_id % 20 <> 0) WHERE pos <= 8),
+n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY pos) AS place FROM f WHERE episode IS NOT NULL),
+h AS (SELECT query_id, min(place) AS rank FROM n WHERE type <> 'offtopic' AND episode = want GROUP BY 1),
+j AS (SELECT f.query_id, f.type, CASE WHEN f.type <> 'offtopic' THEN rank IS NOT NULL END AS hit, rank, s AS top_score FROM f LEFT JOIN h USING (query_id) WHERE pos = 1)
+"""
+_MEASURES = """count(*) FILTER (type <> 'offtopic') AS evaluable, count(*) FILTER (hit) AS hits,
+  round(coalesce(count(*) FILTER (hit) / nullif(count(*) FILTER (type <> 'offtopic'), 0), 0), 3) AS recall,
+  round(coalesce(sum(CASE WHEN hit THEN 1.0::DOUBLE / rank ELSE 0 END) / nullif(count(*) FILTER (type <> 'offtopic'), 0), 0), 3) AS mrr, round(avg(top_score) FILTER (type = 'offtopic'), 3) AS offtopic_score"""
+
+
+def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.eval_summary(_judged(spark, sf_dir)[2])
+
+
+def eval_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.eval_by_type(_judged(spark, sf_dir)[2])
+
+
+def rank_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.rank_histogram(_judged(spark, sf_dir)[2])
+
+
+def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_judged(spark, sf_dir)[2], "top_score").select("query_id", "type", "hit", "rank", "top_score")
+
+
+def context_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("is_ad"))
+    return evaluate.context_precision(_judged(spark, sf_dir)[1], flags, 6)
+
+
+CONTEXT_PRECISION = _JUDGED + "SELECT query_id, count(*) FILTER (coalesce(quality, 1) <> 0) / 6.0::DOUBLE AS precision FROM f LEFT JOIN labels ON id = doc_id WHERE pos <= 6 GROUP BY 1"
+
+
+def keyword_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.slice(F.split(F.substring("text", 1, 60), " "), 1, 6).alias("keywords"))
+    context = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.substring("text", 30, 200).alias("context"))
+    return _rounded(evaluate.keyword_coverage(asked, context), "share")
+
+
+KEYWORD_COVERAGE = """
+WITH k AS (SELECT doc_id AS query_id, string_split(substr(text, 1, 60), ' ')[1:6] AS ws, lower(substr(text, 30, 200)) AS ctx FROM documents)
+SELECT query_id, len(list_filter(ws, lambda w: contains(ctx, lower(w)))) AS found, len(ws) AS expected, round(len(list_filter(ws, lambda w: contains(ctx, lower(w))))::DOUBLE / len(ws), 6) AS share FROM k
+"""
+
+
+def run_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _vectors(spark, sf_dir)
+    queries = query_table(spark, sf_dir)
+    a = vector.cosine_topk(queries, rows, 8).withColumnRenamed("rank", "pos")
+    b = vector.cosine_topk(queries, rows.filter(F.col("id") % 11 != 0), 8).withColumnRenamed("rank", "pos")
+    return evaluate.diff_runs(a, b)
+
+
+RUN_DIFF = f"""
+WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, {_SIM} AS s FROM (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q, embeddings e),
+a AS (SELECT * FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS pos FROM s) WHERE pos <= 8),
+b AS (SELECT * FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS pos FROM s WHERE id % 11 <> 0) WHERE pos <= 8)
+SELECT query_id, pos, a.id AS id_a, b.id AS id_b FROM a FULL JOIN b USING (query_id, pos) WHERE a.id IS DISTINCT FROM b.id
+"""
+
+
+def same_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").select(F.col("source").alias("query_id"), F.col("n_chars").alias("pos"), F.col("lang").alias("id"))
+    return evaluate.same_runs(rows, rows.filter("pos % 2 = 0"))
+
+
+SAME_RUNS = """
+WITH a AS (SELECT source, n_chars, lang FROM documents), b AS (SELECT * FROM a WHERE n_chars % 2 = 0)
+SELECT (SELECT count(*) FROM (FROM a EXCEPT ALL FROM b)) AS only_a, (SELECT count(*) FROM (FROM b EXCEPT ALL FROM a)) AS only_b, (SELECT count(*) FROM (FROM a INTERSECT FROM b)) AS both
+"""
+
+
+# ---- chunks and texts
+
+
+def chunk_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chunking.chunk_transcripts(transcripts(spark, sf_dir), limit=10_000_000)
+    return rows.select("id", "episode_number", "episode_title", "timestamp_start", "timestamp_end", F.col("timestamp_start_seconds").cast("long").alias("seconds"), "section_title", F.length("content").cast("long").alias("chars"))
+
+
+_TURNS = r"""
+WITH t AS (SELECT *, turn * 90 AS sec, trim(regexp_replace(regexp_replace(coalesce(text, ''), '#', '', 'g'), '[\s\x{00A0}\x{0085}\p{Z}]+', ' ', 'g')) AS content FROM conversations),
+s AS (SELECT *, printf('%02d:%02d:%02d', sec // 3600, sec % 3600 // 60, sec % 60) AS ts FROM t),
+e AS (SELECT *, lead(ts) OVER (PARTITION BY conv_id ORDER BY turn) AS ts_end FROM s)
+"""
+CHUNK_SECTIONS = _TURNS + """
+SELECT 'hub-ep' || lpad(conv_id::VARCHAR, greatest(3, length(conv_id::VARCHAR))::INT, '0') || '-ts' || replace(ts, ':', '') AS id, conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title,
+  ts AS timestamp_start, ts_end AS timestamp_end, sec::BIGINT AS seconds, role AS section_title, length(content) AS chars
+FROM e WHERE length(content) >= 40
+"""
+
+
+def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = transcripts(spark, sf_dir)
+    sources = files.select("episode_id", F.lit(True).alias("has_file"))
+    return chunking.chunk_stats(sources, chunking.chunk_transcripts(files, limit=10_000_000))
+
+
+CHUNK_STATS = _TURNS + """, c AS (SELECT conv_id, count(*) FILTER (length(content) >= 40) AS n FROM e GROUP BY 1)
+SELECT count(*) FILTER (n > 0) AS ok, 0 AS no_file, count(*) FILTER (n = 0) AS no_chunks, sum(n)::BIGINT AS chunks, round(sum(n) / greatest(count(*) FILTER (n > 0), 1), 3) AS mean FROM c
+"""
+
+
+def split_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lossless parts of every document joined again: equal to the text but for blanks between parts."""
+    parts = table(spark, sf_dir, "documents").select("doc_id", packing.split_long(F.col("text"), 3000, lossless=True).alias("parts"))
+    return parts.select("doc_id", (F.size("parts") > 1).alias("is_split"), F.md5(F.regexp_replace(F.array_join("parts", ""), r"(?U)\s+", "")).alias("text_md5"))
+
+
+SPLIT_LONG = r"""
+SELECT doc_id, length(text) > 3000 AND regexp_matches(substr(text, 1, length(text) - 1), '[.!?]\s') AS is_split, md5(regexp_replace(text, '[\s\x{00A0}\x{0085}\p{Z}]+', '', 'g')) AS text_md5 FROM documents
+"""
+
+
+def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = table(spark, sf_dir, "documents").filter(F.length("text") > 3000)
+    return long.select("doc_id", F.explode(packing.split_long(F.col("text"))).alias("part")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("parts"), F.max(F.length("part")).cast("long").alias("longest"))
+
+
+def pack_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of whole lines, put together again."""
+    pieces = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(packing.pack_lines(F.col("text"), 500)).alias("pos", "text"))
+    whole = packing.unpack(pieces, "doc_id", "pos", "text")
+    return whole.select("doc_id", F.md5(F.regexp_replace("text", r"(?U)\s+", "")).alias("text_md5"))
+
+
+PACK_LINES = r"SELECT doc_id, md5(regexp_replace(text, '[\s\x{00A0}\x{0085}\p{Z}]+', '', 'g')) AS text_md5 FROM documents WHERE text <> ''"
+
+
+def bisect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("h", packing.bisect(F.regexp_replace("text", "\n", " ")))
+    return docs.select("doc_id", F.length(F.col("h")[0]).cast("long").alias("first"), F.length(F.col("h")[1]).cast("long").alias("second"), packing.needs_split(F.col("text"), F.col("h")[0]).alias("is_short"))
+
+
+BISECT = """
+WITH m AS (SELECT doc_id, length(text) AS n, replace(text, chr(10), ' ') AS t, length(text) // 2 AS mid FROM documents),
+c AS (SELECT *, CASE WHEN instr(substr(t, mid + 1), ' ') > 0 THEN mid + instr(substr(t, mid + 1), ' ') - 1 ELSE mid END AS cut FROM m)
+SELECT doc_id, cut AS first, n - cut AS second, cut < n * 0.65 AS is_short FROM c
+"""
+
+
+def md_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return translations(spark, sf_dir)[1].select("episode_id", text.md_counts(F.col("text")).alias("c")).select("episode_id", "c.*")
+
+
+_TRANSLATIONS = r"""
+WITH b AS (SELECT doc_id, length(text) // 2 AS half, length(text) AS n, regexp_replace(text, '[#\[\]]|---|title:', '', 'g') AS f FROM documents WHERE length(text) > 200),
+p AS (SELECT *, '---' || chr(10) || 'title: one' || chr(10) || '---' || chr(10) AS head, '## [00:00:10] First' || chr(10) || substr(f, 1, half) || chr(10) AS a, '[00:10:00] Second' || chr(10) || substr(f, half + 1) || chr(10) AS z FROM b),
+s AS (SELECT doc_id, half, head || a || '## ' || z AS source, head || a || z AS lost, head || '---' || chr(10) || 'title: again' || chr(10) || '---' || chr(10) || a || '## ' || z AS ghost FROM p),
+x AS (SELECT doc_id AS episode_id, source, CASE doc_id % 5 WHEN 0 THEN source WHEN 1 THEN substr(source, 1, half) WHEN 2 THEN source || source WHEN 3 THEN lost ELSE ghost END AS text FROM s),
+c AS (SELECT *, len(list_filter(string_split(text, chr(10)), lambda l: l LIKE '## %')) AS headers, len(list_filter(string_split(text, chr(10)), lambda l: l = '---')) AS fences,
+  len(list_filter(string_split(text, chr(10)), lambda l: l LIKE 'title:%')) AS titles FROM x)
+"""
+MD_COUNTS = _TRANSLATIONS + "SELECT episode_id, headers, fences, titles FROM c"
+
+
+def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, done = translations(spark, sf_dir)
+    progress = raw.select("episode_id", F.lit(True).alias("transcript"))
+    pairs, _ = quality.pair_docs(progress, raw, done)
+    return quality.audit_translation(pairs).select("episode_id", F.round("ratio", 6).alias("ratio"), "removed_blocks", "headings_fixed", "status", "reason")
+
+
+_AUDIT = _TRANSLATIONS + """, r AS (
+  SELECT episode_id, CASE WHEN episode_id % 5 IN (3, 4) THEN 1.0::DOUBLE ELSE length(text) / length(source)::DOUBLE END AS ratio,
+    (episode_id % 5 IN (2, 4))::INT AS removed_blocks, (episode_id % 5 = 3)::INT AS headings_fixed FROM c),
+u AS (SELECT episode_id, CASE WHEN episode_id % 5 = 2 THEN (2 * length(source) - 19)::DOUBLE / length(source) ELSE ratio END AS ratio, removed_blocks, headings_fixed FROM r JOIN (SELECT episode_id, source FROM c) USING (episode_id)),
+a AS (SELECT episode_id, round(ratio, 6) AS ratio, removed_blocks, headings_fixed, CASE WHEN ratio < 0.85 THEN 'truncated' WHEN ratio > 1.4 THEN 'inflated' END AS reason FROM u),
+v AS (SELECT *, CASE WHEN reason IS NOT NULL THEN 'discarded' WHEN removed_blocks + headings_fixed > 0 THEN 'patched' ELSE 'ok' END AS status FROM a)
+"""
+AUDIT = _AUDIT + "SELECT episode_id, ratio, removed_blocks, headings_fixed, status, reason FROM v"
+
+
+def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, done = translations(spark, sf_dir)
+    pairs, _ = quality.pair_docs(raw.select("episode_id", F.lit(True).alias("transcript")), raw, done)
+    return quality.audit_summary(quality.audit_translation(pairs))
+
+
+def verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verify_structure(*translations(spark, sf_dir))
+
+
+VERIFY = _TRANSLATIONS + """
+SELECT episode_id, 2 AS source_headers, headers, CASE WHEN headers > 2 THEN 'hallucinated' WHEN headers < 2 THEN 'omitted' ELSE 'ok' END AS header_status, fences <> 2 AS stray_fence FROM c
+"""
+
+
+def repeated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.repeated_text(table(spark, sf_dir, "documents"), "text", "source", 2)
+
+
+_NORMAL = r"sha256(trim(regexp_replace(lower(text), '[\s\x{00A0}\x{0085}\p{Z}]+', ' ', 'g')))"
+REPEATED_TEXT = f"SELECT {_NORMAL} AS text_sha, count(DISTINCT source) AS sources, count(*) AS rows FROM documents WHERE trim(text) <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 2"
+
+
+def ad_rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kb_table(spark, sf_dir).select("id", F.coalesce("topic", F.lit("none")).alias("topic"), "content", "episode_number")
+    flags = quality.flag_ads(rows, ["apache license", r"all rights reserved"], 2, 2000, ("topic4",), segment_topic="topic1")
+    truth = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), (F.col("quality") == 0).alias("bad"))
+    return quality.rule_report(flags, truth, "topic")
+
+
+AD_RULE_REPORT = f"""
+WITH d AS (SELECT doc_id, text, source, {_NORMAL} AS h, CASE WHEN doc_id % 9 <> 0 THEN 'topic' || (doc_id % 5) ELSE 'none' END AS topic FROM documents),
+r AS (SELECT h FROM d WHERE trim(text) <> '' GROUP BY 1 HAVING count(DISTINCT source) >= 2),
+f AS (SELECT doc_id, topic, (regexp_matches(lower(text), 'apache license|all rights reserved') OR h IN (SELECT h FROM r)) AND (topic <> 'topic1' OR length(text) < 2000) AND topic <> 'topic4' AS is_ad FROM d)
+SELECT coalesce(topic, 'all') AS topic, count(*) FILTER (quality = 0 AND is_ad) AS caught, count(*) FILTER (quality = 0 AND NOT is_ad) AS missed, count(*) FILTER (quality <> 0 AND is_ad) AS wrong
+FROM f JOIN labels USING (doc_id) GROUP BY ROLLUP (topic)
+"""
+
+
+# ---- work lists, catalogue, streams
+
+
+def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("episode_id"), (F.col("lang") != "en").alias("has_transcript"))
+    done = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("episode_id"), (F.col("quality") == 1).alias("transcript"))
+    return worklist.round_robin(worklist.pending(sources, done, "transcript"), 7, "episode_id").select("episode_id", "idx", "bucket")
+
+
+_PENDING = "WITH p AS (SELECT doc_id AS episode_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx FROM documents WHERE lang <> 'en' AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1))"
+PENDING = _PENDING + "SELECT episode_id, idx, idx % 7 AS bucket FROM p"
+
+
+def bucket_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return worklist.bucket_load(pending(spark, sf_dir))
+
+
+def episode_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = F.when(F.col("page_id") % 3 == 0, "summary.md").when(F.col("page_id") % 3 == 1, "transcript.md").otherwise("index.md")
+    folder = F.concat(F.format_string("EP-%d", (F.col("page_id") / 4).cast("int")), F.when(F.col("page_id") % 5 != 0, F.format_string(" - Title - %d", "page_id")).otherwise(""))
+    paths = pages.select(F.concat(F.lit("docs/Episodes/"), folder, F.lit("/"), kind).alias("path"), F.col("page_id").alias("n"))
+    return catalog.episode_catalog(paths)
+
+
+EPISODE_CATALOG = """
+WITH p AS (SELECT page_id AS n, 'EP-' || (page_id // 4) AS id, CASE WHEN page_id % 5 <> 0 THEN ' - Title - ' || page_id ELSE '' END AS tail, CASE page_id % 3 WHEN 0 THEN 'summary' WHEN 1 THEN 'transcript' END AS kind FROM pages),
+q AS (SELECT *, id || tail AS folder, 'docs/Episodes/' || id || tail || '/' || kind || '.md' AS path, CASE WHEN tail = '' THEN id ELSE 'Title - ' || n END AS title FROM p WHERE kind IS NOT NULL)
+SELECT id, arg_min(title, n) AS title, arg_min(folder, n) AS original_folder, bool_or(kind = 'summary') AS has_summary, bool_or(kind = 'transcript') AS has_transcript,
+  arg_max(path, n) FILTER (kind = 'summary') AS summary_path, arg_max(path, n) FILTER (kind = 'transcript') AS transcript_path FROM q GROUP BY id
+"""
+
+
+def compile_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    listed = docs.select(F.col("doc_id").alias("id"), "source").select("id", F.col("source").alias("title"))
+    head = F.concat(F.lit("# EP-"), F.col("doc_id").cast("string"), F.lit(" - "), F.col("lang"), F.lit("\n"), F.col("text"))
+    raw = docs.select(F.col("doc_id").alias("id"), F.when(F.col("doc_id") % 2 == 0, "summary").otherwise("transcript").alias("kind"), F.when(F.col("doc_id") % 4 == 0, head).otherwise(F.col("text")).alias("text"))
+    turns = table(spark, sf_dir, "conversations").filter("turn = 0").select(F.col("conv_id").alias("id"), F.lit("transcript").alias("kind"), "text")
+    out = catalog.compile_episodes(listed, raw, turns)
+    return out.select("id", "title_en", "title_es", F.length("summary_en").cast("long").alias("summary_chars"), F.length("transcript_es").cast("long").alias("es_chars"), "has_summary", "has_summary_translated", "has_transcript", "has_transcript_translated")
+
+
+COMPILE_DOCS = """
+SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN lang ELSE source END AS title_en, CASE WHEN doc_id % 4 = 0 THEN lang ELSE source END AS title_es,
+  CASE WHEN doc_id % 4 = 0 THEN length('# EP-' || doc_id || ' - ' || lang || chr(10) || text) WHEN doc_id % 2 = 0 THEN length(text) ELSE 0 END AS summary_chars, coalesce(length(t), 0) AS es_chars,
+  doc_id % 2 = 0 AS has_summary, false AS has_summary_translated, doc_id % 2 = 1 AS has_transcript, t IS NOT NULL AS has_transcript_translated
+FROM documents LEFT JOIN (SELECT conv_id, max(text) AS t FROM conversations WHERE turn = 0 GROUP BY 1) ON conv_id = doc_id
+"""
+
+
+def video_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations.video_map(transcripts(spark, sf_dir))
+
+
+VIDEO_MAP = "SELECT DISTINCT conv_id::INT AS episode_number, printf('vid%08d', conv_id) AS video_id FROM conversations"
+
+
+def cited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kb_table(spark, sf_dir).select("id", "episode_number", "timestamp_start")
+    videos = citations.video_map(transcripts(spark, sf_dir)).filter("episode_number % 2 = 0")
+    return citations.citation(kb.with_video_id(rows, videos)).select("id", "citation", "link")
+
+
+CITED = """
+WITH d AS (SELECT doc_id AS id, substr(source, 4)::INT AS n, CASE WHEN doc_id % 3 = 0 THEN printf('00:%02d:%02d', doc_id % 60, doc_id % 59) END AS ts, (doc_id % 60) * 60 + doc_id % 59 AS sec FROM documents),
+v AS (SELECT DISTINCT conv_id, printf('youtu.be/vid%08d?t=', conv_id) AS url FROM conversations WHERE conv_id % 2 = 0)
+SELECT id, CASE WHEN ts IS NULL THEN '[Episodio ' || n || ']' WHEN url IS NULL THEN '[Episodio ' || n || ' | ' || ts || ']' ELSE '[Episodio ' || n || ' | ' || ts || ' → ' || url || sec || ']' END AS citation,
+  CASE WHEN ts IS NOT NULL THEN url || sec END AS link FROM d LEFT JOIN v ON conv_id = n
+"""
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _judged(spark, sf_dir)[1]
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 50).alias("content"))
+    shown = found.join(docs, "id")
+    both = citations.build_context(shown, 3).join(citations.answer_confidence(found), "query_id")
+    return _rounded(both, "confidence").select("query_id", "confidence", F.md5("context").alias("context_md5"))
+
+
+ANSWERS = _JUDGED + """SELECT query_id, confidence, context_md5 FROM
+(SELECT query_id, round(max(s), 6) AS confidence FROM f GROUP BY 1) JOIN
+(SELECT query_id, md5(string_agg(substr(text, 1, 50), chr(10) || chr(10) ORDER BY pos)) AS context_md5 FROM f JOIN documents ON doc_id = id WHERE pos <= 3 GROUP BY 1) USING (query_id)"""
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = streaming.sessions(table(spark, sf_dir, "events"))
+    return out.select("user_id", F.unix_micros(F.col("start").cast("timestamp")).alias("start_us"), "messages")
+
+
+SESSIONS = """
+WITH g AS (SELECT user_id, ts, coalesce(ts - lag(ts) OVER w > INTERVAL 6 HOUR, true) AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS n FROM g)
+SELECT user_id, epoch_us(min(ts)) AS start_us, count(*) AS messages FROM s GROUP BY user_id, n
+"""
+
+
+def dedup_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").withColumn("message_id", F.concat_ws("-", F.col("user_id").cast("string"), "event_type"))
+    return streaming.dedup_batch(events.select("message_id", "event_id"), ts="event_id").select("message_id", "event_id")
+
+
+DEDUP_MESSAGES = "SELECT user_id || '-' || event_type AS message_id, min(event_id) AS event_id FROM events GROUP BY 1"
+
+
+def last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return streaming.last_value(table(spark, sf_dir, "events"), "user_id", "event_type", F.struct("ts", "event_id"))
+
+
+LAST_VALUE = "SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type FROM events GROUP BY 1"
+
+
+def answer_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.when(F.col("event_id") % 3 == 0, "sources").otherwise("answer")
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", kind.alias("kind"), F.col("event_type").alias("value"))
+    return streaming.answer_sources_batch(rows, "event_id").select("event_id", "user_id", "value")
+
+
+ANSWER_SOURCES = """
+SELECT event_id, user_id, value FROM (
+  SELECT event_id, user_id, event_id % 3 = 0 AS asks, last_value(CASE WHEN event_id % 3 <> 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS value
+  FROM events) WHERE asks
+"""
+
+
+def smalltalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.when(F.col("conv_id") % 4 == 0, F.lit("¡Hola!")).otherwise(F.col("text"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.is_smalltalk(said).alias("small"))
+
+
+SMALLTALK = "SELECT conv_id, turn, conv_id % 4 = 0 AS small FROM conversations"
+
 
+QUERIES = {
+    "kb_shape": kb_shape, "summary_rows": summary_rows, "kb_stats": kb_stats, "slugify": slugify, "resolve_brand": resolve_brand, "upsert": upsert, "append_lot": append_lot, "deactivate": deactivate, "coverage": coverage,
+    "vector_topk": vector_topk, "ivf_topk": ivf_topk, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "hybrid_rrf": hybrid_rrf, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
+    "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
+    "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "verify": verify,
+    "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
+    "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk,
+}
 
-QUERIES = {}
-ORACLE_SQL = {}
+ORACLE_SQL = {
+    "kb_shape": KB_SHAPE, "summary_rows": SUMMARY_ROWS, "kb_stats": KB_STATS, "slugify": SLUGIFY, "resolve_brand": RESOLVE_BRAND, "upsert": UPSERT, "append_lot": APPEND_LOT, "deactivate": DEACTIVATE, "coverage": COVERAGE,
+    "vector_topk": VECTOR_TOPK, "text_topk": TEXT_TOPK, "hybrid_rrf": HYBRID_RRF, "hybrid_legacy": HYBRID_LEGACY, "allocate_slots": SLOTS, "rerank": RERANK, "keyword_search": KEYWORD_SEARCH,
+    "judged": _JUDGED + "SELECT query_id, type, hit, rank, round(top_score, 6) AS top_score FROM j", "eval_summary": _JUDGED + f"SELECT {_MEASURES} FROM j",
+    "eval_by_type": _JUDGED + f"SELECT coalesce(type, 'all') AS type, {_MEASURES} FROM j GROUP BY ROLLUP (type)", "rank_histogram": _JUDGED + "SELECT rank, count(*) AS questions FROM j WHERE hit GROUP BY 1",
+    "context_precision": CONTEXT_PRECISION, "keyword_coverage": KEYWORD_COVERAGE, "run_diff": RUN_DIFF, "same_runs": SAME_RUNS,
+    "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "pack_lines": PACK_LINES, "bisect": BISECT, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "verify": VERIFY,
+    "repeated_text": REPEATED_TEXT, "ad_rule_report": AD_RULE_REPORT, "pending": PENDING, "bucket_load": _PENDING + "SELECT idx % 7 AS bucket, count(*) AS load FROM p GROUP BY 1",
+    "episode_catalog": EPISODE_CATALOG, "compile": COMPILE_DOCS, "video_map": VIDEO_MAP, "citations": CITED, "answers": ANSWERS,
+    "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK,
+}
