@@ -124,16 +124,24 @@ def _terms(features: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(features)), top, second, third, size, size * top], axis=1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
-    """Newton's method."""
-    w = np.zeros(x.shape[1])
-    for _ in range(30):
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5) -> np.ndarray:
+    """Ridge-penalised maximum likelihood, by Newton steps that are halved until they help."""
+    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
+    penalty[0] = 1e-6
+
+    def cost(w: np.ndarray) -> float:
+        z = x @ w
+        return float(np.logaddexp(0, z).sum() - (y * z).sum() + 0.5 * (penalty * w * w).sum())
+
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - y) + penalty * w * np.array([0, *[1] * (len(w) - 1)])
-        hess = (x * (p * (1 - p))[:, None]).T @ x + penalty * np.eye(len(w)) * 0.1 + 1e-9 * np.eye(len(w))
-        step = np.linalg.solve(hess, grad)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        grad = x.T @ (p - y) + penalty * w
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty), grad)
+        scale = 1.0
+        while scale > 1e-6 and cost(w - scale * step) > cost(w):
+            scale /= 2
+        w = w - scale * step
+        if np.abs(scale * step).max() < 1e-8:
             break
     return w
 
