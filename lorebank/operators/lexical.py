@@ -57,8 +57,8 @@ def term_table(docs: DataFrame, config: str = "plain", id_col: str = "id", text_
 def parsed_query(text: str | None, config: str = "plain") -> dict:
     """Groups (joined by or) of phrases (all needed), and excluded phrases, of a web-search query."""
     clean = (lambda w: w) if config == "plain" else (lambda w: None if w.translate(_UNACCENT) in STOP_WORDS else stem(w))
-    groups, out, negative = [[]], [], False
-    for quoted, dash, word in re.findall(r'-?"([^"]*)"|(-?)([^\s"]+)', (text or "").lower()):
+    groups, out = [[]], []
+    for dash, quoted, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', (text or "").lower()):
         if not quoted and word == "or" and not dash:
             groups.append([])
             continue
