@@ -7,7 +7,7 @@ from lorebank.operators import chunking, kb
 from lorebank.streaming import jobs
 
 T0 = datetime(2024, 1, 1)
-MESSAGES = [("m1", 1, 0, "answer", "a"), ("m2", 1, 60, "sources", None), ("m1", 1, 61, "answer", "again"), ("m3", 2, 5, "sources", None), ("m4", 1, 60 + 6 * 60 + 1, "answer", "late"), ("m5", 1, 430, "sources", None)]
+MESSAGES = [("m1", 1, 0, "answer", "a"), ("m2", 1, 60, "sources", None), ("m1", 1, 61, "answer", "again"), ("m3", 2, 5, "sources", None), ("m4", 1, 61 + 6 * 60 + 1, "answer", "late"), ("m5", 1, 430, "sources", None)]
 
 
 @pytest.fixture
@@ -35,7 +35,7 @@ def test_dedup(spark, messages, stream):
 
 
 def test_sessions(spark, messages, stream):
-    want = [(1, T0, 3), (1, T0 + timedelta(minutes=421), 2), (2, T0 + timedelta(minutes=5), 1)]
+    want = [(1, T0, 3), (1, T0 + timedelta(minutes=422), 2), (2, T0 + timedelta(minutes=5), 1)]
     assert sorted((r.user_id, r.start, r.messages) for r in jobs.sessions(messages).collect()) == want
     got = run(jobs.sessions(stream, watermark="1 minute"), "sessions", "complete")
     assert sorted((r.user_id, r.start, r.messages) for r in got.collect()) == want
