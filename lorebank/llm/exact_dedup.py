@@ -117,15 +117,15 @@ def exact_dedup(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """The documents that stay, with all their columns."""
     groups = checkpointed(exact_groups(docs, partitions).select("doc_id", "kept", "keep_id", "group_size"))
     stay = groups.filter("kept").select("doc_id")
-    out = docs.join(stay, "doc_id", "left_semi").select(*docs.columns)
+    out = docs.join(stay.hint("merge"), "doc_id", "left_semi").select(*docs.columns)
     ids = groups.agg(F.count_distinct("doc_id").alias("n"), F.count(F.lit(1)).alias("rows")).first()
     if ids["n"] == ids["rows"]:
         return out
     # Some ids stand in several rows: of those with the same text, after folding, one stays.
-    folded = F.sha2(F.translate(text_of("text"), _UPPER, _LOWER), 256)
-    shas = exact_groups(docs, partitions).filter("kept").select(F.col("doc_id"), F.col("text_sha256"))
-    again = docs.select("*", folded.alias("text_sha256")).join(shas, ["doc_id", "text_sha256"], "left_semi")
-    return again.dropDuplicates(["doc_id", "text_sha256"]).select(*docs.columns)
+    own = "_lorebank_text_sha256"  # no column of the documents
+    shas = exact_groups(docs, partitions).filter("kept").select("doc_id", F.col("text_sha256").alias(own))
+    again = docs.withColumn(own, F.sha2(F.translate(text_of("text"), _UPPER, _LOWER), 256)).join(shas, ["doc_id", own], "left_semi")
+    return again.dropDuplicates(["doc_id", own]).select(*docs.columns)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
