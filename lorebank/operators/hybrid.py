@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lorebank.functions.text import default_topic, rrf
-from lorebank.operators.kb import maybe_broadcast, visible
+from lorebank.operators.kb import BROADCAST_ROWS, visible
 from lorebank.operators.lexical import text_topk
 from lorebank.operators.vector import cosine_topk
 
@@ -36,10 +36,10 @@ def rrf_fuse(vectors: DataFrame, texts: DataFrame, k: int = 50) -> DataFrame:
     )
 
 
-def hydrate(fused: DataFrame, kb: DataFrame) -> DataFrame:
-    """Document columns of the results. The fused side is small by its cuts, and broadcast after a count."""
+def hydrate(fused: DataFrame, kb: DataFrame, at_most: int | None = None) -> DataFrame:
+    """Document columns of the results. ``at_most``: how many results there can be; few ones are broadcast."""
     there = [c for c in CARRIED if c in kb.columns]
-    return kb.select("id", *there).join(maybe_broadcast(fused), "id")
+    return kb.select("id", *there).join(F.broadcast(fused) if at_most is not None and at_most <= BROADCAST_ROWS else fused, "id")
 
 
 def best_first(df: DataFrame, count: Column | int | None) -> DataFrame:
@@ -56,13 +56,13 @@ def hybrid_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, match
     vectors = cosine_topk(queries, seen, CANDIDATES)
     texts = text_topk(queries, doc_terms.join(seen.select("id"), "id", "left_semi"), CANDIDATES, config)
     count = F.lit(match_count) if compat == "v0" else clamped(match_count)
-    out = hydrate(best_first(rrf_fuse(vectors, texts, rrf_k), count), seen)
+    out = hydrate(best_first(rrf_fuse(vectors, texts, rrf_k), count), seen, queries.count() * max(MOST, match_count or 0))
     return out if compat == "v0" or "topic" not in out.columns else out.withColumn("topic", default_topic(F.col("topic"), "General", only_null=True))
 
 
 def vector_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame | None = None, match_count: int | None = 3, tenant: str | None = None, brand: str | None = None, **_) -> DataFrame:
     found = cosine_topk(queries, visible(kb, tenant, brand, need_vector=True), match_count or 3)
-    return hydrate(found.select("query_id", "id", "similarity", F.col("similarity").alias("rank_score"), F.col("rank").alias("pos")), kb)
+    return hydrate(found.select("query_id", "id", "similarity", F.col("similarity").alias("rank_score"), F.col("rank").alias("pos")), kb, queries.count() * (match_count or 3))
 
 
 def legacy_hybrid(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, **options) -> DataFrame:
