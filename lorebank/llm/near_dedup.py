@@ -14,6 +14,10 @@ with the probability Jaccard of their weighted shingles, which is plain Jaccard
 3. Pairs whose registers agree too rarely for the threshold (by over five standard deviations) are left.
    The best pair of each text is verified: Jaccard of the two sets of shingles, from the whole texts. The
    links make components. Then every other pair between two components is verified, and linked.
+4. The rest: in a large bucket that holds several components, each member outside the one with the most
+   members is compared with all members of other components, by exact Jaccard. Tiles of both sides spread
+   this over tasks, and a tile gives a link at most for each text and component. So two texts of one bucket
+   that are similar enough are always in one class.
 
 Texts without words are near-duplicates of nothing. One document of each class stays: the smallest doc_id.
 Repeated rows share a class. Sizes of classes are not bounded, and no class meets in one task.
@@ -40,6 +44,8 @@ REGISTERS = BANDS * ROWS
 SMALL_BUCKET = 6
 #: Random members of a larger bucket that each member meets.
 RANDOM_PARTNERS = 4
+#: Members and bytes of shingles of one side of a tile.
+TILE_MEMBERS, TILE_BYTES = 512, 4 << 20
 #: Share of agreeing registers under which a pair is not verified.
 LEAST_AGREEMENT = 0.55
 
@@ -135,8 +141,70 @@ def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out, pa.float64())
 
 
-def _pairs(reps: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b), a > b, each once. reps: rep, registers."""
+@F.arrow_udf(T.BinaryType())
+def shingle_set(texts: pa.Array) -> pa.Array:
+    """The sorted 44-bit hashes of the shingles of each text."""
+    out = []
+    data, offsets = buffers(texts)
+    for a, b in blocks(offsets):
+        row, shingle, _ = shingles(Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+        at = np.searchsorted(row, np.arange(b - a + 1))
+        out.extend(shingle[at[i] : at[i + 1]].tobytes() for i in range(b - a))
+    return pa.array(out, pa.binary())
+
+
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _tile(rows: pa.Table) -> pa.Table:
+    """Links of the queries of a tile to its members: at most one for each query and component."""
+    queries, members = rows.filter(pc.field("query")), rows.filter(~pc.field("query"))
+    if not len(queries) or not len(members):
+        return _LINKS.empty_table()
+    sets = [np.frombuffer(x, np.uint64) for x in members["shingles"].to_pylist()]
+    sizes = np.array([len(x) for x in sets])
+    starts = np.cumsum(sizes) - sizes
+    known, place = np.unique(np.concatenate(sets), return_inverse=True)
+    rep, part = members["rep"].to_numpy(), members["part"].to_numpy()
+    out: list[tuple[int, int]] = []
+    for own, own_part, raw in zip(queries["rep"].to_pylist(), queries["part"].to_pylist(), queries["shingles"].to_pylist()):
+        own_set = np.frombuffer(raw, np.uint64)
+        spot = np.minimum(np.searchsorted(known, own_set), len(known) - 1)
+        in_own = np.zeros(len(known), bool)
+        in_own[spot[known[spot] == own_set]] = True
+        common = np.add.reduceat(in_own[place], starts, dtype=np.int64)
+        near = np.flatnonzero((common / (sizes + len(own_set) - common) >= THRESHOLD) & (part != own_part))
+        out.extend((own, int(rep[near[i]])) for i in np.unique(part[near], return_index=True)[1])
+    return pa.Table.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=_LINKS)
+
+
+def _rest(large: DataFrame, whole: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components that share a large bucket. large: bucket, rep; whole: node, component."""
+    placed = large.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("part"))
+    parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
+    mixed_ones = parts.groupBy("bucket").agg(F.max(F.struct("n", "part")).getField("part").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    open_ones = checkpointed(placed.join(mixed_ones.select("bucket", "main"), "bucket").withColumn("stray", F.col("part") != F.col("main")))
+    wanted = open_ones.select(F.col("rep").alias("doc_id")).distinct()
+    sets = checkpointed(texts.join(wanted.hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), shingle_set("text").alias("shingles")))
+    sized = open_ones.join(sets.select("rep", F.octet_length("shingles").alias("size")), "rep")
+
+    def tiles(which) -> F.Column:
+        count, size = F.sum(which.cast("bigint")), F.sum(F.when(which, F.col("size").cast("bigint")).otherwise(0))
+        return F.greatest(F.lit(1), F.ceil(count / TILE_MEMBERS), F.ceil(size / TILE_BYTES)).cast("int")
+
+    cuts = sized.groupBy("bucket").agg(tiles(F.col("stray")).alias("down"), tiles(F.lit(True)).alias("across"))
+    cut = open_ones.join(cuts, "bucket")
+
+    def side(rows: DataFrame, own: str, other: str, query: bool) -> DataFrame:
+        spot = F.pmod(F.xxhash64("rep", F.lit(own)), F.col(own)).cast("int").alias(own)
+        return rows.select("bucket", "rep", "part", spot, F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other), F.lit(query).alias("query"))
+
+    both = side(cut.filter("stray"), "down", "across", True).unionByName(side(cut, "across", "down", False))
+    return both.join(sets, "rep").groupBy("bucket", "down", "across").applyInArrow(_tile, "a bigint, b bigint").distinct()
+
+
+def _pairs(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs (a, b), a > b, each once; and the members (bucket, rep) of large buckets. reps: rep, registers."""
     width = ROWS * 4
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", i * width + 1, width)) for i in range(BANDS)])
     after = F.array(*[F.xxhash64(F.substring("registers", ((i + 1) % BANDS) * width + 1, width)) for i in range(BANDS)])
@@ -155,7 +223,7 @@ def _pairs(reps: DataFrame) -> DataFrame:
     by_bucket = large.select("bucket", "rep").join(leads, "bucket").select("rep", F.explode("leads").alias("other"))
     by_sub = large.select("sub", "rep").join(subs, "sub").select("rep", "other")
     found = met.unionByName(by_bucket).unionByName(by_sub).filter("rep <> other")
-    return found.select(F.greatest("rep", "other").alias("a"), F.least("rep", "other").alias("b")).distinct()
+    return found.select(F.greatest("rep", "other").alias("a"), F.least("rep", "other").alias("b")).distinct(), large.select("bucket", "rep")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -172,9 +240,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     worded = sketches.filter(F.col("registers").isNotNull())
     reps = checkpointed(worded.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "registers")).alias("m")).select("key1", "key2", F.col("m.doc_id").alias("rep"), F.col("m.registers").alias("registers")))
     side = reps.select("rep", "registers")
+    met, large = _pairs(side)
     pairs = (
-        _pairs(side)
-        .join(side.select(F.col("rep").alias("a"), F.col("registers").alias("ra")), "a")
+        met.join(side.select(F.col("rep").alias("a"), F.col("registers").alias("ra")), "a")
         .join(side.select(F.col("rep").alias("b"), F.col("registers").alias("rb")), "b")
         .select("a", "b", agreement("ra", "rb").alias("agree"))
         .filter(F.col("agree") >= LEAST_AGREEMENT)
@@ -196,6 +264,8 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
     more = checkpointed(_verified(rest, of_pairs))
     whole = joined if more.isEmpty() else components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    far = checkpointed(_rest(large, whole, texts))
+    whole = whole if far.isEmpty() else components(whole.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(far))
     owner = reps.select("key1", "key2", "rep").join(whole, F.col("rep") == F.col("node"), "left").select("key1", "key2", F.coalesce("component", "rep").alias("class"))
     out = sketches.select("doc_id", "key1", "key2").join(owner, ["key1", "key2"], "left")
     return out.select("doc_id", F.coalesce("class", "doc_id").alias("class_id")).withColumn("kept", F.col("doc_id") == F.col("class_id"))

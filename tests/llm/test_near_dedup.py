@@ -91,3 +91,15 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert n.near_classes(frame(spark, [], SCHEMA, 1)).count() == 0
+
+
+def test_components_of_a_large_bucket_meet(spark):
+    rng = random.Random(5)
+    base = prose(rng, 200)
+    near = {i: edited(rng, base, 0.005) for i in range(10)}  # 0 to 6 are one component, 7 and 8 are two, 9 is met by nobody
+    near[20] = prose(rng, 200)
+    large = spark.createDataFrame([(b, i) for b in (1, 2) for i in near] + [(3, 0), (3, 1)], "bucket bigint, rep bigint")
+    whole = spark.createDataFrame([(i, 0) for i in range(7)], "node bigint, component bigint")
+    found = n._rest(large, whole, frame(spark, [(i, t, "en", "s", 0) for i, t in near.items()])).collect()
+    parts = {r.node: r.component for r in components(whole.selectExpr("node a", "component b").union(spark.createDataFrame(found))).collect()}
+    assert parts == dict.fromkeys(range(10), 0)
