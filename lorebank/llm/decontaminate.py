@@ -6,7 +6,9 @@ words. A document word inside any occurrence of a window is hit. Window hashes s
 candidate is then compared word by word, so a hash collision changes nothing.
 
 The items are broadcast in blocks of at most ``max_block_bytes`` of text each (their size is summed first):
-a benchmark of any size is handled, by one pass over the documents for each block. No shuffle of texts.
+a benchmark of any size is handled, by one pass over the documents for each block. With several blocks the
+documents are written once, each row with a key of its own, and hits of all blocks are united by row and
+position, so the size of a block changes no result. Texts are shuffled only to cut spans of several blocks.
 
 Null and empty texts have no words and no hits. An empty benchmark contaminates nothing. Repeated rows of
 documents are scanned one by one; repeated items each count as an item by their id.
@@ -18,15 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lorebank.llm.common import Words, blocks, buffers, table, text_of
+from lorebank.llm.scratch import checkpointed
 
 WINDOW = 10
 #: Bytes of item text broadcast at once.
 MAX_BLOCK_BYTES = 16 << 20
 
+#: Columns of our own: no columns of the documents.
+ROW, SPOTS = "_lorebank_row", "_lorebank_spots"
+
 HITS = "struct<n_words:bigint,n_hit:bigint,items:array<bigint>,hit_words:array<int>>"
 
 
@@ -83,9 +91,13 @@ def item_blocks(benchmark: DataFrame, max_block_bytes: int) -> Iterator[list[tup
         yield [(r.item_id, r.text) for r in part.collect()]
 
 
-def _hits_udf(spark: SparkSession, index: WindowIndex, positions: bool):
-    shared = spark.sparkContext.broadcast(index)
+def _indexes(benchmark: DataFrame, window: int, max_block_bytes: int) -> list[Broadcast]:
+    """An index for each block of items; the driver holds one at a time."""
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast(WindowIndex(items, window)) for items in item_blocks(benchmark, max_block_bytes)]
+
 
+def _hits_udf(shared: Broadcast, positions: bool):
     @F.arrow_udf(HITS)
     def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = shared.value
@@ -106,65 +118,68 @@ def _hits_udf(spark: SparkSession, index: WindowIndex, positions: bool):
 
 def scan_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (ids of items with occurring windows)."""
-    spark = docs.sparkSession
-    groups = list(item_blocks(benchmark, max_block_bytes)) or [[]]
+    shared = _indexes(benchmark, window, max_block_bytes) or [docs.sparkSession.sparkContext.broadcast(WindowIndex([], window))]
     rows = docs.select("doc_id", text_of("text").alias("text"))
-    if len(groups) == 1:
-        udf = _hits_udf(spark, WindowIndex(groups[0], window), False)
+    if len(shared) == 1:
+        udf = _hits_udf(shared[0], False)
         return rows.select("doc_id", udf("text").alias("h")).select("doc_id", "h.n_words", "h.n_hit", "h.items")
-    # A window may be hit by items of several blocks: hit words are united by position.
-    base = rows.withColumn("row_key", F.struct("doc_id", F.xxhash64("text")))
-    parts = [base.select("row_key", _hits_udf(spark, WindowIndex(g, window), True)("text").alias("h")) for g in groups]
-    united = parts[0].select("row_key", "h.*")
+    united = _united(checkpointed(rows.withColumn(ROW, F.monotonically_increasing_id())), shared, ["doc_id"])
+    return united.select("doc_id", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"), "items")
+
+
+def _united(rows: DataFrame, shared: list[Broadcast], columns: list[str]) -> DataFrame:
+    """One row per row: its key and ``columns``, n_words, items and hit_words of all blocks."""
+    parts = [rows.select(ROW, *columns, _hits_udf(x, True)("text").alias("h")).select(ROW, *columns, "h.*") for x in shared]
+    united = parts[0]
     for p in parts[1:]:
-        united = united.unionByName(p.select("row_key", "h.*").filter("n_hit > 0"))
-    return united.groupBy("row_key").agg(
+        united = united.unionByName(p.filter("n_hit > 0"))
+    return united.groupBy(ROW).agg(
+        *[F.first(c).alias(c) for c in columns],
         F.max("n_words").alias("n_words"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("hit_words")))).cast("bigint").alias("n_hit"),
-        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
-    ).select("row_key.doc_id", "n_words", "n_hit", "items")
-
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
+    )
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """The documents without hit ones (``remove="documents"``) or without the hit words (``"spans"``).
 
     All columns stay, extra ones too. A span runs from the first to the last of adjoining hit words; what
     stood between words outside a span stays. Blocks of a large benchmark are applied one after the other
-    for documents; for spans each block cuts what it hits.
+    for documents; spans are cut once, from the united hits of all blocks.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is 'documents' or 'spans', not {remove!r}")
-    spark, out = docs.sparkSession, docs
-    for items in item_blocks(benchmark, max_block_bytes):
-        index = WindowIndex(items, window)
-        if remove == "documents":
-            out = out.filter(_hits_udf(spark, index, False)(text_of("text")).getField("n_hit") == 0)
-        else:
-            out = out.withColumn("text", _cut_udf(spark, index)("text"))
-    return out
-
-
-def _cut_udf(spark: SparkSession, index: WindowIndex):
-    shared = spark.sparkContext.broadcast(index)
-
-    @F.arrow_udf("string")
-    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            out = []
-            for text, (_, spots, _) in zip(texts.to_pylist(), shared.value.scan(texts), strict=True):
-                if spots:
-                    raw = text.encode()
-                    words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
-                    keep, at = [], 0
-                    for group in np.split(np.array(spots), np.flatnonzero(np.diff(spots) > 1) + 1):
-                        keep.append(raw[at : words.start[group[0]]])
-                        at = int(words.end[group[-1]])
-                    text = b"".join([*keep, raw[at:]]).decode()
-                out.append(text)
-            yield pa.array(out, pa.string())
-
-    return cut
-
+    shared = _indexes(benchmark, window, max_block_bytes)
+    if not shared:
+        return docs
+    if remove == "documents":
+        out = docs
+        for x in shared:
+            out = out.filter(_hits_udf(x, False)(text_of("text")).getField("n_hit") == 0)
+        return out
+    if len(shared) == 1:
+        return docs.withColumn("text", _cut("text", _hits_udf(shared[0], True)(text_of("text")).getField("hit_words")))
+    rows = checkpointed(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    spots = _united(rows.withColumn("text", text_of("text")), shared, []).filter(F.size("hit_words") > 0).select(ROW, F.col("hit_words").alias(SPOTS))
+    cut = rows.join(spots.hint("merge"), ROW, "left").withColumn("text", F.when(F.col(SPOTS).isNull(), F.col("text")).otherwise(_cut("text", SPOTS)))
+    return cut.select(*docs.columns)
+
+
+@F.arrow_udf(T.StringType())
+def _cut(texts: pa.Array, spots: pa.Array) -> pa.Array:
+    """Texts without the words at the sorted positions ``spots``."""
+    out = []
+    for text, at_words in zip(texts.to_pylist(), spots.to_pylist(), strict=True):
+        if at_words:
+            raw = text.encode()
+            words = Words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+            keep, at = [], 0
+            for group in np.split(np.array(at_words), np.flatnonzero(np.diff(at_words) > 1) + 1):
+                keep.append(raw[at : words.start[group[0]]])
+                at = int(words.end[group[-1]])
+            text = b"".join([*keep, raw[at:]]).decode()
+        out.append(text)
+    return pa.array(out, pa.string())
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -70,3 +70,17 @@ def test_empty_tables(spark):
     assert d.scan_hits(frame(spark, rows()), none).filter("n_hit > 0").count() == 0
     assert d.decontaminate(frame(spark, rows()), none).count() == len(rows())
     assert d.scan_hits(frame(spark, [], SCHEMA, 1), frame(spark, [(1, "a b")], ITEMS)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [d.MAX_BLOCK_BYTES, 150])
+def test_results_do_not_depend_on_blocks(spark, limit):
+    w = [f"w{i}" for i in range(40)]
+    items = [(k, " ".join(w[k : k + 12])) for k in range(0, 28, 4)] + [(90, "a b")]
+    docs = [(1, " ".join(["x", *w, "y"]), "en", "s", 0)] * 3 + [(2, "a " + " ".join(w[:12]) + " b", "en", "s", 0), (None, "a b c", "en", "s", 0), (3, None, None, None, 0)]
+    df, marks = clashing(frame(spark, docs)), frame(spark, items, ITEMS)
+    got = d.scan_hits(df, marks, max_block_bytes=limit).collect()
+    assert sorted(((r.doc_id or 0, r.n_words, r.n_hit, tuple(sorted(r["items"]))) for r in got)) == sorted((i or 0, *r) for i, *r in (brute([x], items)[0] for x in docs))
+    cut = d.decontaminate(df, marks, remove="spans", max_block_bytes=limit)
+    assert cut.columns == df.columns
+    texts = [(r.doc_id, r.text) for r in cut.collect()]
+    assert sorted(texts, key=str) == sorted([(1, "x  w36 w37 w38 w39 y")] * 3 + [(2, "a  b"), (None, " c"), (3, None)], key=str)
