@@ -1,10 +1,11 @@
-"""Near-duplicates by ProbMinHash: sketches of weighted shingles, banding, exact verification, components.
+"""Near-duplicates by ProbMinHash: sketches of shingles, banding, exact verification, components.
 
 A shingle is five consecutive words (ASCII letters lower-cased); a text of fewer words, but not none, is one
-shingle. Its weight is 1 + ln(times it occurs). Each shingle is a Poisson process with that rate: it arrives
+shingle. Each distinct one weighs 1, however often it occurs, for the contract is Jaccard of sets. Each is a
+Poisson process with that rate: it arrives
 again and again, each time at a random register, and a register keeps the shingle that came first. A shingle
 stops once it can no longer be first anywhere, so most stop after one arrival. Registers of two texts agree
-with the probability Jaccard of their weighted shingles, which is plain Jaccard where no shingle repeats.
+with the probability Jaccard of their weights, which is the plain Jaccard of the sets.
 
 1. Texts of the same words fall into one class at once (its smallest doc_id represents it).
 2. Representatives meet in buckets, one for each band of registers. No bucket is spread into all pairs, but
@@ -103,8 +104,8 @@ def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for a, b in blocks(offsets, 1 << 20):
             words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             n, counts = b - a, np.diff(words.first)
-            row, shingle, times = shingles(words)
-            registers = prob_min_hash(row, shingle, 1 + np.log(times), n)
+            row, shingle, _ = shingles(words)
+            registers = prob_min_hash(row, shingle, np.ones(len(row)), n)
             place = np.arange(len(words.start)) - np.repeat(words.first[:-1], counts)
             for seed, keys in ((1, key1), (2, key2)):
                 total = np.zeros(len(words.start) + 1, np.uint64)

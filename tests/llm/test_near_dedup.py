@@ -103,3 +103,12 @@ def test_components_of_a_large_bucket_meet(spark):
     found = n._rest(large, whole, frame(spark, [(i, t, "en", "s", 0) for i, t in near.items()])).collect()
     parts = {r.node: r.component for r in components(whole.selectExpr("node a", "component b").union(spark.createDataFrame(found))).collect()}
     assert parts == dict.fromkeys(range(10), 0)
+
+
+def test_repeated_lines_do_not_weigh(spark):
+    rng = random.Random(9)
+    line, out = prose(rng, 24), []
+    for i in range(12):
+        text = prose(rng, 80)
+        out += [(2 * i, f"{line}\n{text}", "en", "s", 0), (2 * i + 1, f"{line}\n" * 1000 + text, "en", "s", 0)]
+    assert {r.doc_id: r.class_id for r in n.near_classes(frame(spark, out)).collect()} == brute(out)
