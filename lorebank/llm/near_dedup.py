@@ -22,6 +22,8 @@ with the probability Jaccard of their weights, which is the plain Jaccard of the
 
 Texts without words are near-duplicates of nothing. One document of each class stays: the smallest doc_id.
 Repeated rows share a class. Sizes of classes are not bounded, and no class meets in one task.
+Where some doc_id is null, rows are compared by a number of their own. A null id represents a class, as the
+only row that stays, if no text in it has an id: its class_id is null.
 """
 
 from __future__ import annotations
@@ -49,6 +51,8 @@ RANDOM_PARTNERS = 4
 TILE_MEMBERS, TILE_BYTES = 512, 4 << 20
 #: Share of agreeing registers under which a pair is not verified.
 LEAST_AGREEMENT = 0.55
+#: Number of a row, no column of the documents.
+ROW = "_lorebank_row"
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -234,8 +238,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.filter(jaccard("text_a", "text_b") >= THRESHOLD).select("a", "b")
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest doc_id of its class), kept."""
+def _classes(docs: DataFrame) -> DataFrame:
+    """Classes of documents whose doc_id is never null."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
     sketches = checkpointed(texts.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*"))
     worded = sketches.filter(F.col("registers").isNotNull())
@@ -272,9 +276,31 @@ def near_classes(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", F.coalesce("class", "doc_id").alias("class_id")).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+def _some_null(docs: DataFrame) -> bool:
+    return not docs.filter(F.col("doc_id").isNull()).isEmpty()
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents with a number in ROW, written once, and by ROW their doc_id, class_id and kept."""
+    rows = checkpointed(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    found = checkpointed(_classes(rows.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), F.col("class_id").alias("group")))
+    ids = found.join(rows.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id")), ROW)
+    leads = ids.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.min(ROW).alias("lead"))
+    kept = F.when(F.col("class_id").isNull(), F.col(ROW) == F.col("lead")).otherwise(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return rows, ids.join(leads, "group").select(ROW, "doc_id", "class_id", kept.alias("kept"))
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest doc_id of its class), kept."""
+    return _numbered(docs.select("doc_id", "text"))[1].drop(ROW) if _some_null(docs) else _classes(docs)
+
+
 def near_dedup(docs: DataFrame) -> DataFrame:
     """The documents that stay, one of each class, with all their columns."""
-    gone = near_classes(docs).filter(~F.col("kept")).select("doc_id")
+    if _some_null(docs):
+        rows, classes = _numbered(docs)
+        return rows.join(classes.filter(~F.col("kept")).select(ROW).hint("merge"), ROW, "left_anti").select(*docs.columns)
+    gone = _classes(docs).filter(~F.col("kept")).select("doc_id")
     return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -42,3 +42,18 @@ def test_ids_that_repeat_with_other_texts(spark):
 
 def test_empty_table(spark):
     assert exact_groups(frame(spark, [], SCHEMA, 1)).count() == 0
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_null_ids(spark, partitions):
+    big = 2**53 + 1
+    docs = [(big, "one", "en", "s", 0), (None, "One", "en", "s", 0), (None, "two", "en", "s", 0), (None, "two", "en", "s", 0), (None, "three", "en", "s", 0), (4, "four", "en", "s", 0)]
+    df = frame(spark, docs)
+    sha = {hashlib.sha256(t.encode()).hexdigest(): t for t in ("one", "two", "three", "four")}
+    out = sorted(((sha[r.text_sha256], r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in exact_groups(df, partitions).collect()), key=str)
+    assert out == sorted(
+        [("one", big, big, 2, True), ("one", 0, big, 2, False), ("two", 0, None, 2, True), ("two", 0, None, 2, False), ("three", 0, None, 1, True), ("four", 4, 4, 1, True)], key=str
+    )
+    assert sorted((r.doc_id or 0, r.text) for r in exact_dedup(df, partitions).collect()) == [(0, "three"), (0, "two"), (4, "four"), (big, "one")]
+    single = frame(spark, [docs[0], docs[4], docs[5]])
+    assert sorted(r.text for r in exact_dedup(single, partitions).collect()) == ["four", "one", "three"]

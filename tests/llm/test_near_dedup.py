@@ -112,3 +112,14 @@ def test_repeated_lines_do_not_weigh(spark):
         text = prose(rng, 80)
         out += [(2 * i, f"{line}\n{text}", "en", "s", 0), (2 * i + 1, f"{line}\n" * 1000 + text, "en", "s", 0)]
     assert {r.doc_id: r.class_id for r in n.near_classes(frame(spark, out)).collect()} == brute(out)
+
+
+def test_null_ids(spark):
+    rng = random.Random(11)
+    one, two, three = prose(rng, 200), prose(rng, 60), prose(rng, 60)
+    docs = [(None, one), (5, one), (3, one + " end"), (None, two), (None, two), (None, three), (8, None), (None, None)]
+    df = frame(spark, [(*d, "en", "s", 0) for d in docs])
+    out = sorted(((r.doc_id or 0, r.class_id or 0, r.kept) for r in n.near_classes(df).collect()))
+    assert out == sorted([(0, 3, False), (5, 3, False), (3, 3, True), (0, 0, True), (0, 0, False), (0, 0, True), (8, 8, True), (0, 0, True)])
+    kept = sorted((r.doc_id or 0, r.text or "") for r in n.near_dedup(df).collect())
+    assert kept == sorted([(3, one + " end"), (0, two), (0, three), (8, ""), (0, "")])
