@@ -8,22 +8,24 @@ stops once it can no longer be first anywhere, so most stop after one arrival. R
 with the probability Jaccard of their weights, which is the plain Jaccard of the sets.
 
 1. Texts of the same words fall into one class at once (its smallest doc_id represents it).
-2. Representatives meet in buckets, one for each band of registers. No bucket is spread into all pairs, but
-   for those of at most ``SMALL_BUCKET`` members: in a larger one each member meets its hub (the member
-   whose own buckets hold the most texts: of edited copies, the original), random members, and the hub of
-   the members that agree in the next band too.
-3. Pairs whose registers agree too rarely for the threshold (by over five standard deviations) are left.
-   The best pair of each text is verified: Jaccard of the two sets of shingles, from the whole texts. The
-   links make components. Then every other pair between two components is verified, and linked.
-4. The rest: in a large bucket that holds several components, each member outside the one with the most
-   members is compared with all members of other components, by exact Jaccard. Tiles of both sides spread
-   this over tasks, and a tile gives a link at most for each text and component. So two texts of one bucket
-   that are similar enough are always in one class.
+2. Representatives meet in buckets, one for each band of registers. No bucket is spread into pairs: each
+   member meets the hub alone (the member whose own buckets hold the most texts: of edited copies, the
+   original), and what meets in several bands is one pair. Pairs whose registers agree too rarely for the
+   threshold (by over five standard deviations, one in 10^8) are left; all others are verified: Jaccard of
+   the two sets of shingles of the whole texts. The links make components.
+3. A bucket that still holds several components is open, and the members outside the largest of them are its
+   strays. While strays times members, over all open buckets, exceed ``TILE_WORK`` for each member, rounds of
+   leaders go on: each stray meets some random members. A round is linear in the members, and the next one
+   has fewer strays; rounds end when one no longer pays.
+4. The rest is exact: each stray is compared with all members of other components of its bucket, first by
+   registers, then by sets. Tiles of both sides spread this over tasks, and a tile gives a link at most for
+   each text and component. So two texts that share a bucket and are similar enough are always in one class.
 
 Texts without words are near-duplicates of nothing. One document of each class stays: the smallest doc_id.
-Repeated rows share a class. Sizes of classes are not bounded, and no class meets in one task.
-Where some doc_id is null, rows are compared by a number of their own. A null id represents a class, as the
-only row that stays, if no text in it has an id: its class_id is null.
+Repeated rows share a class, and one of them stays. Sizes of classes are not bounded, and no class meets in
+one task. Where some doc_id is null or stands in several rows (with one text or with several), rows are
+compared by a number of their own, with the same result. A null id represents a class, as the only row that
+stays, if no text in it has an id: its class_id is null.
 """
 
 from __future__ import annotations
@@ -44,9 +46,9 @@ from lorebank.llm.scratch import checkpointed
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 4
 REGISTERS = BANDS * ROWS
-SMALL_BUCKET = 6
-#: Random members of a larger bucket that each member meets.
-RANDOM_PARTNERS = 4
+#: Comparisons for each member of an open bucket up to which tiles compare all strays; random members that a
+#: stray meets in a round of leaders; and the share of strays that a round must link to be followed by another.
+TILE_WORK, LEADERS, LEAST_GAIN = 1000, 8, 0.1
 #: Members and bytes of shingles of one side of a tile.
 TILE_MEMBERS, TILE_BYTES = 512, 4 << 20
 #: Share of agreeing registers under which a pair is not verified.
@@ -105,7 +107,7 @@ def sketch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
         data, offsets = buffers(texts)
         key1, key2, out = [], [], []
-        for a, b in blocks(offsets, 1 << 20):
+        for a, b in blocks(offsets):
             words = Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             n, counts = b - a, np.diff(words.first)
             row, shingle, _ = shingles(words)
@@ -131,17 +133,17 @@ def agreement(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array((x == y).mean(axis=1) if len(x) else np.zeros(0))
 
 
+def _set(raw: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(raw.as_buffer(), np.uint64)
+
+
 @F.arrow_udf(T.DoubleType())
 def jaccard(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Exact Jaccard of the sets of shingles of two whole texts."""
+    """Exact Jaccard of two sets of shingles."""
     out = []
-    for x, y in zip(a, b):
-        sets = []
-        for t in (x.as_py(), y.as_py()):
-            raw = np.frombuffer((t or "").encode(), np.uint8)
-            sets.append(shingles(Words(raw, np.array([0, len(raw)])))[1])
-        common = len(np.intersect1d(*sets, assume_unique=True))
-        union = len(sets[0]) + len(sets[1]) - common
+    for x, y in zip(map(_set, a), map(_set, b)):
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        union = len(x) + len(y) - common
         out.append(common / union if union else 0.0)
     return pa.array(out, pa.float64())
 
@@ -166,39 +168,34 @@ def _tile(rows: pa.Table) -> pa.Table:
     queries, members = rows.filter(pc.field("query")), rows.filter(~pc.field("query"))
     if not len(queries) or not len(members):
         return _LINKS.empty_table()
-    sets = [np.frombuffer(x, np.uint64) for x in members["shingles"].to_pylist()]
-    sizes = np.array([len(x) for x in sets])
-    starts = np.cumsum(sizes) - sizes
-    known, place = np.unique(np.concatenate(sets), return_inverse=True)
+    sketches = lambda t: np.frombuffer(b"".join(t["registers"].to_pylist()), np.uint32).reshape(-1, REGISTERS)
+    own, theirs = sketches(queries), sketches(members)
     rep, part = members["rep"].to_numpy(), members["part"].to_numpy()
+    sets = [_set(x) for x in members["shingles"].combine_chunks()]
     out: list[tuple[int, int]] = []
-    for own, own_part, raw in zip(queries["rep"].to_pylist(), queries["part"].to_pylist(), queries["shingles"].to_pylist()):
-        own_set = np.frombuffer(raw, np.uint64)
-        spot = np.minimum(np.searchsorted(known, own_set), len(known) - 1)
-        in_own = np.zeros(len(known), bool)
-        in_own[spot[known[spot] == own_set]] = True
-        common = np.add.reduceat(in_own[place], starts, dtype=np.int64)
-        near = np.flatnonzero((common / (sizes + len(own_set) - common) >= THRESHOLD) & (part != own_part))
-        out.extend((own, int(rep[near[i]])) for i in np.unique(part[near], return_index=True)[1])
+    for i, (node, own_part, raw) in enumerate(zip(queries["rep"].to_pylist(), queries["part"].to_pylist(), queries["shingles"].combine_chunks())):
+        near = ((theirs == own[i]).sum(axis=1) >= LEAST_AGREEMENT * REGISTERS) & (part != own_part)
+        own_set, met = _set(raw), set()
+        for j in np.flatnonzero(near).tolist():
+            if part[j] in met:
+                continue
+            common = len(np.intersect1d(own_set, sets[j], assume_unique=True))
+            if common >= THRESHOLD * (len(own_set) + len(sets[j]) - common):
+                met.add(part[j])
+                out.append((node, int(rep[j])))
     return pa.Table.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], schema=_LINKS)
 
 
-def _rest(large: DataFrame, whole: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between components that share a large bucket. large: bucket, rep; whole: node, component."""
-    placed = large.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("part"))
-    parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("n"))
-    mixed_ones = parts.groupBy("bucket").agg(F.max(F.struct("n", "part")).getField("part").alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    open_ones = checkpointed(placed.join(mixed_ones.select("bucket", "main"), "bucket").withColumn("stray", F.col("part") != F.col("main")))
-    wanted = open_ones.select(F.col("rep").alias("doc_id")).distinct()
-    sets = checkpointed(texts.join(wanted.hint("merge"), "doc_id").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), shingle_set("text").alias("shingles")))
-    sized = open_ones.join(sets.select("rep", F.octet_length("shingles").alias("size")), "rep")
+def _tiled(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components of the open buckets. members: bucket, rep, part, stray; sets: rep, registers, shingles."""
+    sized = members.join(sets.select("rep", F.octet_length("shingles").alias("size")), "rep")
 
     def tiles(which) -> F.Column:
         count, size = F.sum(which.cast("bigint")), F.sum(F.when(which, F.col("size").cast("bigint")).otherwise(0))
         return F.greatest(F.lit(1), F.ceil(count / TILE_MEMBERS), F.ceil(size / TILE_BYTES)).cast("int")
 
-    cuts = sized.groupBy("bucket").agg(tiles(F.col("stray")).alias("down"), tiles(F.lit(True)).alias("across"))
-    cut = open_ones.join(cuts, "bucket")
+    cuts = checkpointed(sized.groupBy("bucket").agg(tiles(F.col("stray")).alias("down"), tiles(F.lit(True)).alias("across")))
+    cut = members.join(cuts, "bucket")
 
     def side(rows: DataFrame, own: str, other: str, query: bool) -> DataFrame:
         spot = F.pmod(F.xxhash64("rep", F.lit(own)), F.col(own)).cast("int").alias(own)
@@ -208,76 +205,97 @@ def _rest(large: DataFrame, whole: DataFrame, texts: DataFrame) -> DataFrame:
     return both.join(sets, "rep").groupBy("bucket", "down", "across").applyInArrow(_tile, "a bigint, b bigint").distinct()
 
 
-def _pairs(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs (a, b), a > b, each once; and the members (bucket, rep) of large buckets. reps: rep, registers."""
+def _members(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Buckets of several members: (bucket, rep), and (bucket, hub, size). reps: rep, registers."""
     width = ROWS * 4
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", i * width + 1, width)) for i in range(BANDS)])
-    after = F.array(*[F.xxhash64(F.substring("registers", ((i + 1) % BANDS) * width + 1, width)) for i in range(BANDS)])
-    rows = reps.select("rep", F.explode(F.arrays_zip(keys.alias("k"), after.alias("s"))).alias("z")).select("rep", F.col("z.k").alias("bucket"), F.col("z.s").alias("sub"))
+    rows = reps.select("rep", F.explode(keys).alias("bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = checkpointed(rows.join(sizes, "bucket"))
     degree = members.groupBy("rep").agg(F.sum("size").alias("degree"))
-    members = members.join(degree, "rep").withColumn("sub", F.xxhash64("bucket", "sub"))
-    small = members.filter(F.col("size") <= SMALL_BUCKET).select("bucket", "rep")
-    large = members.filter(F.col("size") > SMALL_BUCKET)
-    met = small.join(small.withColumnRenamed("rep", "other"), "bucket").filter("rep > other").select("rep", "other")
-    hub = F.max(F.struct("degree", "rep")).getField("rep")
-    some = [F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(i)), "rep")).getField("rep") for i in range(RANDOM_PARTNERS)]
-    leads = large.groupBy("bucket").agg(F.array(hub, *some).alias("leads"))
-    subs = large.groupBy("sub").agg(hub.alias("other"))
-    by_bucket = large.select("bucket", "rep").join(leads, "bucket").select("rep", F.explode("leads").alias("other"))
-    by_sub = large.select("sub", "rep").join(subs, "sub").select("rep", "other")
-    found = met.unionByName(by_bucket).unionByName(by_sub).filter("rep <> other")
-    return found.select(F.greatest("rep", "other").alias("a"), F.least("rep", "other").alias("b")).distinct(), large.select("bucket", "rep")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs whose whole texts are similar enough; those with many partners are split by AQE's skew join."""
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.filter(jaccard("text_a", "text_b") >= THRESHOLD).select("a", "b")
+    # Written, so that the join with a bucket's members can be split where one bucket is hot.
+    hubs = members.join(degree, "rep").groupBy("bucket").agg(F.max(F.struct("degree", "rep")).getField("rep").alias("hub"), F.max("size").alias("size"))
+    return members.select("bucket", "rep"), checkpointed(hubs)
+
+
+def _ordered(one: str, other: str) -> list[F.Column]:
+    return [F.greatest(one, other).alias("a"), F.least(one, other).alias("b")]
+
+
+def _likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (a, b), each once, whose registers agree often enough to be verified."""
+    left = pairs.distinct().join(reps.select(F.col("rep").alias("a"), F.col("registers").alias("ra")), "a")
+    both = left.join(reps.select(F.col("rep").alias("b"), F.col("registers").alias("rb")), "b")
+    return both.filter(agreement("ra", "rb") >= LEAST_AGREEMENT).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose texts are similar enough; those with many partners are split by AQE's skew join."""
+    left = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+    both = left.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
+    return both.filter(jaccard("sa", "sb") >= THRESHOLD).select("a", "b")
+
+
+def _joined(whole: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (node, component) and more links: the components of both."""
+    return whole if links.isEmpty() else components(whole.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links))
+
+
+def _open(large: DataFrame, whole: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components: bucket, rep, part, stray, n (members of the bucket)."""
+    placed = large.join(whole.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("part"))
+    parts = placed.groupBy("bucket", "part").agg(F.count(F.lit(1)).alias("k"))
+    several = parts.groupBy("bucket").agg(F.max(F.struct("k", "part")).getField("part").alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("k").alias("n")).filter("parts > 1")
+    # Written, so that the join can be split where one bucket is hot.
+    return checkpointed(placed.join(checkpointed(several.select("bucket", "main", "n")), "bucket").select("bucket", "rep", "part", (F.col("part") != F.col("main")).alias("stray"), "n"))
+
+
+def _led(members: DataFrame, turn: int) -> DataFrame:
+    """Strays and some random members of their buckets, as pairs."""
+    some = [F.min(F.struct(F.xxhash64("rep", "bucket", F.lit(turn), F.lit(i)), "rep", "part")) for i in range(LEADERS)]
+    leads = checkpointed(members.groupBy("bucket").agg(F.array(*some).alias("leads")))
+    met = members.filter("stray").join(leads, "bucket").select("rep", "part", F.explode("leads").alias("lead"))
+    return met.filter(F.col("part") != F.col("lead.part")).select("rep", F.col("lead.rep").alias("other")).select(*_ordered("rep", "other"))
+
+
+def _rest(large: DataFrame, whole: DataFrame, reps: DataFrame, sets: DataFrame, work: int = TILE_WORK) -> DataFrame:
+    """Components after all members of large buckets have met. large: bucket, rep."""
+    turn, before = 0, None
+    while True:
+        members = _open(large, whole)
+        left = members.agg(F.count_if("stray").alias("strays"), F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("stray"), F.col("n").cast("double"))).alias("pairs")).first()
+        if not left["strays"]:
+            return whole
+        if left["pairs"] <= work * left["n"] or (before is not None and left["strays"] > (1 - LEAST_GAIN) * before):
+            return _joined(whole, checkpointed(_tiled(members, sets)))
+        turn, before = turn + 1, left["strays"]
+        whole = _joined(whole, checkpointed(_verified(_likely(_led(members, turn), reps), sets)))
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """Classes of documents whose doc_id is never null."""
+    """Classes of documents whose doc_id is never null and never repeats."""
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
     sketches = checkpointed(texts.select("doc_id", sketch("text").alias("s")).select("doc_id", "s.*"))
     worded = sketches.filter(F.col("registers").isNotNull())
     reps = checkpointed(worded.groupBy("key1", "key2").agg(F.min(F.struct("doc_id", "registers")).alias("m")).select("key1", "key2", F.col("m.doc_id").alias("rep"), F.col("m.registers").alias("registers")))
     side = reps.select("rep", "registers")
-    met, large = _pairs(side)
-    pairs = (
-        met.join(side.select(F.col("rep").alias("a"), F.col("registers").alias("ra")), "a")
-        .join(side.select(F.col("rep").alias("b"), F.col("registers").alias("rb")), "b")
-        .select("a", "b", agreement("ra", "rb").alias("agree"))
-        .filter(F.col("agree") >= LEAST_AGREEMENT)
-    )
-    pairs = checkpointed(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    members, hubs = _members(side)
+    pairs = checkpointed(_likely(members.join(hubs, "bucket").filter("rep <> hub").select(*_ordered("rep", "hub")), side))
+    # Two members have met when each has met the hub; all larger buckets may have to be gone through.
+    large = checkpointed(members.join(hubs.filter("size > 2").select("bucket"), "bucket").select("bucket", "rep"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).union(large.select("rep")).distinct()
     # The ids of candidates grow with the input: this join is shuffled at every size.
-    of_pairs = checkpointed(texts.join(wanted.hint("merge"), "doc_id").dropDuplicates(["doc_id"]))
-    best = pairs.groupBy("a").agg(F.max(F.struct("agree", "b")).getField("b").alias("b"))
-    links = checkpointed(_verified(best, of_pairs))
-    joined = components(links)
-    rest = (
-        pairs.select("a", "b")
-        .join(joined.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-        .join(joined.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b"))
-        .join(best, ["a", "b"], "left_anti")
-        .select("a", "b")
-    )
-    more = checkpointed(_verified(rest, of_pairs))
-    whole = joined if more.isEmpty() else components(joined.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    far = checkpointed(_rest(large, whole, texts))
-    whole = whole if far.isEmpty() else components(whole.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(far))
+    sets = texts.join(wanted.hint("merge"), "doc_id").select(F.col("doc_id").alias("rep"), shingle_set("text").alias("shingles"))
+    sets = checkpointed(sets.join(side, "rep"))
+    whole = _rest(large, components(checkpointed(_verified(pairs, sets))), side, sets)
     owner = reps.select("key1", "key2", "rep").join(whole, F.col("rep") == F.col("node"), "left").select("key1", "key2", F.coalesce("component", "rep").alias("class"))
     out = sketches.select("doc_id", "key1", "key2").join(owner, ["key1", "key2"], "left")
     return out.select("doc_id", F.coalesce("class", "doc_id").alias("class_id")).withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
-def _some_null(docs: DataFrame) -> bool:
-    return not docs.filter(F.col("doc_id").isNull()).isEmpty()
+def _own_ids(docs: DataFrame) -> bool:
+    """Whether each row has an id of its own."""
+    return docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("doc_id").isNull()).isEmpty()
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -285,19 +303,18 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = checkpointed(docs.withColumn(ROW, F.monotonically_increasing_id()))
     found = checkpointed(_classes(rows.select(F.col(ROW).alias("doc_id"), "text")).select(F.col("doc_id").alias(ROW), F.col("class_id").alias("group")))
     ids = found.join(rows.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id")), ROW)
-    leads = ids.groupBy("group").agg(F.min("doc_id").alias("class_id"), F.min(ROW).alias("lead"))
-    kept = F.when(F.col("class_id").isNull(), F.col(ROW) == F.col("lead")).otherwise(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return rows, ids.join(leads, "group").select(ROW, "doc_id", "class_id", kept.alias("kept"))
+    leads = checkpointed(ids.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW)).alias("lead")))
+    return rows, ids.join(leads, "group").select(ROW, "doc_id", F.col("lead.doc_id").alias("class_id"), (F.col(ROW) == F.col("lead")[ROW]).alias("kept"))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id of its class), kept."""
-    return _numbered(docs.select("doc_id", "text"))[1].drop(ROW) if _some_null(docs) else _classes(docs)
+    return _classes(docs) if _own_ids(docs) else _numbered(docs.select("doc_id", "text"))[1].drop(ROW)
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
     """The documents that stay, one of each class, with all their columns."""
-    if _some_null(docs):
+    if not _own_ids(docs):
         rows, classes = _numbered(docs)
         return rows.join(classes.filter(~F.col("kept")).select(ROW).hint("merge"), ROW, "left_anti").select(*docs.columns)
     gone = _classes(docs).filter(~F.col("kept")).select("doc_id")

@@ -93,18 +93,40 @@ def test_empty_table(spark):
     assert n.near_classes(frame(spark, [], SCHEMA, 1)).count() == 0
 
 
-def test_components_of_a_large_bucket_meet(spark):
+@pytest.mark.parametrize("work", [1000, 0])  # by tiles at once, and after rounds of leaders
+def test_components_of_a_large_bucket_meet(spark, work):
     rng = random.Random(5)
     base = prose(rng, 200)
     near = {i: edited(rng, base, 0.005) for i in range(10)}  # 0 to 6 are one component, 7 and 8 are two, 9 is met by nobody
     near[20] = prose(rng, 200)
     large = spark.createDataFrame([(b, i) for b in (1, 2) for i in near] + [(3, 0), (3, 1)], "bucket bigint, rep bigint")
     whole = spark.createDataFrame([(i, 0) for i in range(7)], "node bigint, component bigint")
-    found = n._rest(large, whole, frame(spark, [(i, t, "en", "s", 0) for i, t in near.items()])).collect()
-    parts = {r.node: r.component for r in components(whole.selectExpr("node a", "component b").union(spark.createDataFrame(found))).collect()}
+    sets = frame(spark, [(i, t, "en", "s", 0) for i, t in near.items()]).selectExpr("doc_id rep", "text").select("rep", n.sketch("text").registers.alias("registers"), n.shingle_set("text").alias("shingles"))
+    parts = {r.node: r.component for r in n._rest(large, whole, sets.select("rep", "registers"), sets, work).collect()}
     assert parts == dict.fromkeys(range(10), 0)
 
 
+def test_leaders_and_tiles_agree(spark, docs, monkeypatch):
+    monkeypatch.setattr(n, "TILE_MEMBERS", 3)
+    want = brute(docs)
+    rest = n._rest
+    for work in (0, 2):
+        monkeypatch.setattr(n, "_rest", lambda large, whole, reps, sets: rest(large, whole, reps, sets, work))
+        assert {r.doc_id: r.class_id for r in n.near_classes(frame(spark, docs)).collect()} == want
+
+
+def test_repeated_ids(spark):
+    rng = random.Random(12)
+    one, two = prose(rng, 100), prose(rng, 100)
+    docs = [(5, one), (5, two), (7, two + " end"), (9, one + " end"), (9, one + " end"), (4, "  "), (4, "  "), (None, one)]
+    df = clashing(frame(spark, [(*d, "en", "s", 0) for d in docs]))
+    got = n.near_classes(df).collect()
+    assert sorted((r.doc_id or 0, r.class_id) for r in got) == [(0, 5), (4, 4), (4, 4), (5, 5), (5, 5), (7, 5), (9, 5), (9, 5)]
+    kept = n.near_dedup(df)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(5, one), (5, two), (4, "  "), (4, "  ")])
+    assert kept.columns == df.columns
+
+
 def test_repeated_lines_do_not_weigh(spark):
     rng = random.Random(9)
     line, out = prose(rng, 24), []
