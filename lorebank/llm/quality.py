@@ -23,12 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lorebank.llm.common import SOLID_BYTES, WORD_BYTES, Words, blocks, buffers, mixed, table, text_of
+from lorebank.llm.scratch import checkpointed
 
 BUCKETS = 1 << 14
 MAX_LABELLED = 20_000
@@ -58,7 +58,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of all rows and of good ones, a row for each bucket."""
+    """Counts of all rows and of good ones, a row for each bucket that has any."""
     total = np.zeros((2, BUCKETS), np.int64)
     for batch in batches:
         data, offsets = buffers(batch["text"])
@@ -67,7 +67,8 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bucket, text = features(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             total[0] += np.bincount(bucket, minlength=BUCKETS)
             total[1] += np.bincount(bucket[good[a:b][text]], minlength=BUCKETS)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), pa.array(total[0]), pa.array(total[1])], ["bucket", "raw", "target"])
+    some = np.flatnonzero(total[0])
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], ["bucket", "raw", "target"])
 
 
 def weight_udf(ratio: np.ndarray, spark: SparkSession):
@@ -161,8 +162,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Selection, DataFrame]:
     share = lambda x: (x + SMOOTHING) / (x + SMOOTHING).sum()
     ratio = np.log(share(target)) - np.log(share(raw))
     weighed = marked.select("doc_id", "label", weight_udf(ratio, spark)("text").alias("log_weight")).withColumn("key", F.col("log_weight") + gumbel())
-    weighed = weighed.persist(StorageLevel.MEMORY_AND_DISK)  # three numbers a document; a lost block is made anew
-    cut = threshold([(r.log_weight, r.label) for r in weighed.filter("label is not null").select("log_weight", "label").limit(4 * MAX_LABELLED).collect()])
+    weighed = checkpointed(weighed)  # three numbers and a label a document
+    # Rows of at most MAX_LABELLED ids; where ids repeat, each id and label counts with its least weight.
+    calibration = weighed.filter("label is not null").groupBy("doc_id", "label").agg(F.min("log_weight").alias("log_weight"))
+    cut = threshold([(r.log_weight, r.label) for r in calibration.collect()])
     k = weighed.filter(F.col("log_weight") >= F.lit(cut)).count()
     least = kth_largest(weighed, "key", k) if k and np.isfinite(cut) else -np.inf
     return Selection(spark, ratio, least), weighed
