@@ -55,7 +55,7 @@ def strip_inline(c: Column, headings: bool = False) -> Column:
 
 def extract_section(c: Column, pattern: str) -> Column:
     """Body of the first ``##`` section whose header matches; empty if none does. Sub-headers do not end it."""
-    return F.regexp_extract(c, r"(?i)##\s*(?:" + pattern + r")[^\r\n]*\r?\n([\s\S]*?)(?=\r?\n##\s|\z)", 1)
+    return F.regexp_extract(c, r"(?iu)##\s*(?:" + pattern + r")[^\r\n]*\r?\n([\s\S]*?)(?=\r?\n##\s|\z)", 1)
 
 
 def parse_takeaways(section: Column, least: int = 15) -> Column:
@@ -70,8 +70,8 @@ def parse_protocols(section: Column, least: int = 20) -> Column:
     blocks = F.filter(F.split(section, r"\r?\n(?=###\s)"), lambda b: F.trim(b).rlike(r"^###\s"))
 
     def sentence(b: Column) -> Column:
-        title = filled(F.trim(F.regexp_extract(b, r"###[ \t]*(\S.*)", 1)), "Protocolo")
-        said = [F.concat(F.lit(f" {name}: "), F.regexp_extract(b, rf"(?i)\*\*{label}:\*\*\s*(.+)", 1)) for name, label in PROTOCOL_LABELS]
+        title = filled(F.trim(F.regexp_extract(b, r"^###\s*(.+)", 1)), "Protocolo")
+        said = [F.concat(F.lit(f" {name}: "), F.regexp_extract(b, rf"(?iu)\*\*{label}:\*\*\s*(.+)", 1)) for name, label in PROTOCOL_LABELS]
         return strip_inline(F.concat(title, F.lit("."), *said))
 
     return F.filter(F.transform(blocks, sentence), lambda p: F.length(p) > least)
@@ -101,22 +101,26 @@ def episode_of(c: Column) -> Column:
     return F.regexp_extract(c, r"hub-ep(\d+)-", 1).try_cast("int")
 
 
+def once(c: Column, f) -> Column:
+    """f of a column that is evaluated once, however often f names it."""
+    return F.transform(F.array(c), f)[0]
+
+
 def titled(key: Column, title: Column, before: str, after: str) -> Column:
     return F.concat(F.lit(before), key.cast("int").cast("string"), title, F.lit(after))
 
 
 def overview_row(key: Column, title: Column, guest: Column, section: Column, limit: int = 1200, least: int = 40) -> Column:
     """Overview text, or null where the section is too short."""
-    body = F.substring(strip_inline(section, True), 1, limit)
     named = F.concat(F.when(title != "", F.concat(F.lit(" - "), title)).otherwise(""), F.when(guest != "", F.concat(F.lit(" (invitado: "), guest, F.lit(")"))).otherwise(""))
-    return F.when(F.length(body) > least, F.concat(titled(key, named, "Episodio ", ". "), body))
+    return once(F.substring(strip_inline(section, True), 1, limit), lambda body: F.when(F.length(body) > least, F.concat(titled(key, named, "Episodio ", ". "), body)))
 
 
 def resources_row(key: Column, title: Column, section: Column, limit: int = 1500, least: int = 40) -> Column:
     """Resources text, or null where the section is too short."""
-    body = F.substring(strip_inline(section, True), 1, limit)
     named = F.when(title != "", F.concat(F.lit(" ("), title, F.lit(")"))).otherwise("")
-    return F.when(F.length(body) > least, F.concat(titled(key, named, "Recursos y estudios mencionados en el episodio ", ": "), body))
+    row = lambda body: F.when(F.length(body) > least, F.concat(titled(key, named, "Recursos y estudios mencionados en el episodio ", ": "), body))
+    return once(F.substring(strip_inline(section, True), 1, limit), row)
 
 
 def ts_seconds(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorebank.functions import packing, text
-from lorebank.jobs.tables import kb_table, query_table, source_number, summaries, table, transcripts, translations
+from lorebank.jobs.tables import brand_table, kb_table, query_table, source_number, summaries, table, transcripts, translations
 from lorebank.operators import catalog, chunking, citations, evaluate, hybrid, kb, lexical, quality, search, vector, worklist
 from lorebank.streaming import jobs as streaming
 
@@ -28,12 +28,12 @@ def kb_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = text.padded(source_number().cast("string"))
     base = docs.join(toxic, "doc_id", "left").select(
         text.row_id(key, F.concat(F.lit("tk"), F.col("doc_id").cast("string"))).alias("id"), F.when(F.col("doc_id") % 9 != 0, F.col("lang")).otherwise("").alias("topic"),
-        F.substring("text", 1, 100).alias("text"), F.coalesce("off", F.lit("true")).alias("active"),
+        "text", F.coalesce("off", F.lit("true")).alias("active"),
     )
     dates = docs.select(key.alias("key"), F.concat(F.lit("2024-01-"), F.lpad((source_number() + 1).cast("string"), 2, "0")).alias("date")).distinct()
     layer = table(spark, sf_dir, "conversations").select(
         F.format_string("hub-ep%03d-ts%d", F.col("conv_id"), F.col("turn")).alias("id"), F.col("conv_id").cast("int").alias("episode_number"), F.lit("2024-02-01").alias("episode_date"),
-        F.lit("00:00:01").alias("timestamp_start"), F.lit(None).cast("string").alias("timestamp_end"), F.col("role").alias("section_title"), F.substring("text", 1, 50).alias("content"),
+        F.lit("00:00:01").alias("timestamp_start"), F.lit(None).cast("string").alias("timestamp_end"), F.col("role").alias("section_title"), F.col("text").alias("content"),
     )
     rows = kb.add_layer(kb.to_kb_rows(base, dates, "hub"), kb.chunks_to_kb_rows(layer, "hub").drop("embed_input"))
     return rows.select("id", "tenant_id", "topic", "content", "episode_number", F.col("episode_date").cast("string").alias("episode_date"), "timestamp_start", "active")
@@ -41,11 +41,11 @@ def kb_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 KB_SHAPE = """
 SELECT 'hub-ep' || CASE WHEN length(n) < 3 THEN lpad(n, 3, '0') ELSE n END || '-tk' || doc_id AS id, 'hub' AS tenant_id,
-  CASE WHEN doc_id % 9 <> 0 THEN lang ELSE 'general' END AS topic, substr(text, 1, 100) AS content, n::INT AS episode_number,
+  CASE WHEN doc_id % 9 <> 0 THEN lang ELSE 'general' END AS topic, text AS content, n::INT AS episode_number,
   '2024-01-' || lpad((n::INT + 1)::VARCHAR, 2, '0') AS episode_date, NULL AS timestamp_start, true AS active
 FROM (SELECT *, substr(source, 4) AS n FROM documents) LEFT JOIN (SELECT DISTINCT doc_id, 1 AS bad FROM labels WHERE toxic = 1) USING (doc_id) WHERE bad IS NULL
 UNION ALL
-SELECT 'hub-ep' || lpad(conv_id::VARCHAR, greatest(3, length(conv_id::VARCHAR))::INT, '0') || '-ts' || turn, 'hub', 'transcript_segment', substr(text, 1, 50), conv_id::INT, '2024-02-01', '00:00:01', true FROM conversations
+SELECT 'hub-ep' || lpad(conv_id::VARCHAR, greatest(3, length(conv_id::VARCHAR))::INT, '0') || '-ts' || turn, 'hub', 'transcript_segment', text, conv_id::INT, '2024-02-01', '00:00:01', true FROM conversations
 """
 
 
@@ -58,11 +58,11 @@ WITH c AS (SELECT doc_id, lang, source, trim(regexp_replace(regexp_replace(coale
 w AS (SELECT *, string_split(t, ' ') AS ws, CASE WHEN length(doc_id::VARCHAR) < 3 THEN lpad(doc_id::VARCHAR, 3, '0') ELSE doc_id::VARCHAR END AS k FROM c),
 p AS (SELECT *, source || '-tema' AS topic, regexp_replace(coalesce(ws[1], 'x'), '[''"]', '', 'g') AS guest FROM w),
 r AS (
-  SELECT 'hub-ep' || k || '-tk1' AS id, topic, trim('Uno ' || trim(substr(t, 1, 60))) AS x, 15 AS least FROM p
-  UNION ALL SELECT 'hub-ep' || k || CASE WHEN length(trim('Uno ' || trim(substr(t, 1, 60)))) > 15 THEN '-tk2' ELSE '-tk1' END, topic, trim('Dos ' || trim(substr(t, 61, 8))), 15 FROM p
+  SELECT 'hub-ep' || k || '-tk1' AS id, topic, trim('Uno ' || trim(t)) AS x, 15 AS least FROM p
+  UNION ALL SELECT 'hub-ep' || k || CASE WHEN length(trim('Uno ' || trim(t))) > 15 THEN '-tk2' ELSE '-tk1' END, topic, trim('Dos ' || coalesce(ws[2], 'x')), 15 FROM p
   UNION ALL SELECT 'hub-ep' || k || '-proto1', topic, trim(regexp_replace('Metodo. Que: ' || coalesce(ws[2], 'x') || ' Como: ' || coalesce(ws[3], 'x') || ' Cuando: ' || coalesce(ws[4], 'x'), '\s{2,}', ' ', 'g')), 20 FROM p
-  UNION ALL SELECT 'hub-ep' || k || '-overview', topic, CASE WHEN length(trim(substr(trim(substr(t, 1, 1500)), 1, 1200))) > 40 THEN 'Episodio ' || doc_id || ' - Parte ' || lang || CASE WHEN guest <> '' THEN ' (invitado: ' || guest || ')' ELSE '' END || '. ' || substr(trim(substr(t, 1, 1500)), 1, 1200) END, 0 FROM p
-  UNION ALL SELECT 'hub-ep' || k || '-recursos', topic, CASE WHEN length(trim(substr(t, 101, 200))) > 40 THEN 'Recursos y estudios mencionados en el episodio ' || doc_id || ' (Parte ' || lang || '): ' || trim(substr(t, 101, 200)) END, 0 FROM p
+  UNION ALL SELECT 'hub-ep' || k || '-overview', topic, CASE WHEN length(substr(trim(t), 1, 1200)) > 40 THEN 'Episodio ' || doc_id || ' - Parte ' || lang || CASE WHEN guest <> '' THEN ' (invitado: ' || guest || ')' ELSE '' END || '. ' || substr(trim(t), 1, 1200) END, 0 FROM p
+  UNION ALL SELECT 'hub-ep' || k || '-recursos', topic, CASE WHEN length(substr(trim(t), 1, 1500)) > 40 THEN 'Recursos y estudios mencionados en el episodio ' || doc_id || ' (Parte ' || lang || '): ' || substr(trim(t), 1, 1500) END, 0 FROM p
 )
 """
 
@@ -81,21 +81,18 @@ SELECT count(DISTINCT regexp_extract(id, 'hub-ep(\d+)-', 1)) AS sources, count(*
 
 
 def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.slugify(F.substring("text", 1, 80)).alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.slugify(F.col("text")).alias("slug"))
 
 
 SLUGIFY = r"""
-SELECT doc_id, coalesce(nullif(substr(regexp_replace(regexp_replace(strip_accents(lower(substr(text, 1, 80))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 40), ''), 'general') AS slug FROM documents
+SELECT doc_id, coalesce(nullif(substr(regexp_replace(regexp_replace(strip_accents(lower(coalesce(text, ''))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 40), ''), 'general') AS slug FROM documents
 """
 
 
 def resolve_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     asked = docs.select(F.col("doc_id").alias("query_id"), F.col("lang").alias("tenant_id"), F.when(F.col("doc_id") % 2 == 0, F.col("source")).alias("brand_id"))
-    brands = docs.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")).select(
-        F.col("source").alias("id"), F.col("lang").alias("tenant_id"), (source_number() % 3 != 0).alias("active"), (F.col("source") == "src1").alias("is_default")
-    )
-    good, bad = kb.resolve_brand(asked, brands)
+    good, bad = kb.resolve_brand(asked, brand_table(spark, sf_dir))
     return good.withColumn("accepted", F.lit(True)).unionByName(bad.withColumn("accepted", F.lit(False))).select("query_id", "tenant_id", "brand_id", "accepted")
 
 
@@ -172,14 +169,24 @@ SELECT query_id, id, round(s, 6) AS similarity, rank FROM (
 
 def ivf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = vector.ivf_build(_vectors(spark, sf_dir))
-    return vector.ivf_topk(query_table(spark, sf_dir), index, 10, probes=max(8, len(index[1]) // 3))
+    return vector.ivf_topk(query_table(spark, sf_dir), index, 10, probes=max(8, -(-2 * len(index[1]) // 3)))
+
+
+def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the exact ten nearest rows of all queries, how many are asked for, and whether the index finds nine in ten of them."""
+    found, exact = ivf_topk(spark, sf_dir).select("query_id", "id", F.lit(1).alias("found")), vector.cosine_topk(query_table(spark, sf_dir), _vectors(spark, sf_dir), 10)
+    both = exact.join(found, ["query_id", "id"], "left")
+    return both.agg(F.count_distinct("query_id").alias("queries"), F.count(F.lit(1)).alias("wanted"), (F.count("found") >= 0.9 * F.count(F.lit(1))).alias("enough"))
+
+
+IVF_RECALL = "SELECT count(*) AS queries, (count(*) * least(10, (SELECT count(*) FROM embeddings WHERE embedding IS NOT NULL)))::BIGINT AS wanted, true AS enough FROM embeddings WHERE vec_id % 20 = 0"
 
 
 def text_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").filter(F.col("doc_id") % 20 == 0)
     queries = words.select(F.col("doc_id").alias("query_id"), F.regexp_extract(F.lower("text"), r"([\p{L}\p{N}_]+)", 1).alias("query_text"))
-    terms = lexical.term_table(table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
-    return _rounded(lexical.text_topk(queries, terms, 50), "text_rank").select("query_id", "id", "text_rank", "rank")
+    tokens = lexical.token_rows(table(spark, sf_dir, "documents"), id_col="doc_id", text_col="text")
+    return _rounded(lexical.text_topk(queries, tokens, 50), "text_rank").select("query_id", "id", "text_rank", "rank")
 
 
 _TERMS = r"SELECT doc_id, t AS term, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS t FROM documents) GROUP BY ALL"
@@ -194,13 +201,14 @@ SELECT query_id, id, text_rank, rank FROM (
 def text_topk_spanish(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").filter("lang = 'es'")
     queries = docs.filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(F.split("text", r"\s+"), 1, 2), " ").alias("query_text"))
-    return lexical.text_topk(queries, lexical.term_table(docs, "spanish", "doc_id", "text"), 50, "spanish")
+    return lexical.text_topk(queries, lexical.token_rows(docs, "spanish", "doc_id", "text"), 50, "spanish")
 
 
 def _hybrid(spark, sf_dir, **options):
     base = kb_table(spark, sf_dir)
-    terms = lexical.term_table(base.filter("active"), id_col="id", text_col="content")
-    return hybrid.hybrid_search(query_table(spark, sf_dir).select("query_id", "query_text", "embedding"), base, terms, **options)
+    tokens = lexical.token_rows(base.filter("active"), id_col="id", text_col="content")
+    asked = query_table(spark, sf_dir).select("query_id", "query_text", "embedding", *(["tenant_id", "brand_id"] if "brands" in options else []))
+    return hybrid.hybrid_search(asked, base, tokens, **options)
 
 
 def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,6 +216,12 @@ def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("query_id", "pos", "id", "topic", "episode_number", "similarity", "rank_score", F.length("content").cast("long").alias("chars"))
 
 
+def hybrid_tenants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each query searches the rows of its tenant and brand, or of the tenant's default brand; rejected ones find nothing."""
+    out = _rounded(_hybrid(spark, sf_dir, brands=brand_table(spark, sf_dir)), "similarity").withColumn("rank_score", F.round("rank_score", 9))
+    return out.select("query_id", "pos", "id", "topic", "similarity", "rank_score")
+
+
 def hybrid_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _rounded(_hybrid(spark, sf_dir, match_count=25, compat="v0"), "similarity").withColumn("rank_score", F.round("rank_score", 9))
     return out.select("query_id", "pos", "id", "topic", "similarity", "rank_score")
@@ -218,13 +232,13 @@ WITH kb AS (
   SELECT d.doc_id AS id, CASE WHEN d.doc_id % 9 <> 0 THEN 'topic' || (d.doc_id % 5) END AS topic, text, substr(source, 4)::INT AS episode_number, embedding
   FROM documents d LEFT JOIN embeddings ON doc_id = vec_id LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE coalesce(l.toxic, 0) <> 1
 ), q AS (
-  SELECT vec_id AS query_id, e.embedding, CASE lang WHEN 'en' THEN 'edble' WHEN 'de' THEN 'nicht' WHEN 'fr' THEN 'leaux' WHEN 'es' THEN 'osción' ELSE '' END AS term
+  SELECT vec_id AS query_id, e.embedding, coalesce(regexp_extract(lower(text), '([\p{{L}}\p{{N}}_]+)', 1), '') AS term
   FROM embeddings e LEFT JOIN documents ON doc_id = vec_id WHERE vec_id % 20 = 0
 ), v AS (
   SELECT * FROM (SELECT query_id, id, {_SIM} AS s, row_number() OVER (PARTITION BY query_id ORDER BY {_SIM} DESC, id) AS r FROM q, kb e WHERE e.embedding IS NOT NULL) WHERE r <= 50
 ), t AS (
   SELECT * FROM (SELECT query_id, doc_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, doc_id) AS r
-    FROM q JOIN ({_TERMS}) USING (term) WHERE doc_id IN (SELECT id FROM kb)) WHERE r <= 50
+    FROM q JOIN ({_TERMS}) USING (term) WHERE term NOT IN ('', 'or') AND doc_id IN (SELECT id FROM kb)) WHERE r <= 50
 ), f AS (
   SELECT coalesce(v.query_id, t.query_id) AS query_id, coalesce(v.id, t.id) AS id, coalesce(s, 0) AS s,
     coalesce(1.0::DOUBLE / (50 + v.r), 0) + coalesce(1.0::DOUBLE / (50 + t.r), 0) AS score
@@ -232,6 +246,26 @@ WITH kb AS (
 ), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s DESC, id) AS pos FROM f)
 """
 HYBRID_RRF = _HYBRID + "SELECT query_id, pos, id, coalesce(topic, 'General') AS topic, episode_number, round(s, 6) AS similarity, round(score, 9) AS rank_score, length(text) AS chars FROM o JOIN kb USING (id) WHERE pos <= 8"
+HYBRID_TENANTS = rf"""
+WITH brands AS (SELECT DISTINCT lang, source FROM documents WHERE substr(source, 4)::INT % 3 <> 0), kb AS (
+  SELECT d.doc_id AS id, CASE WHEN d.doc_id % 9 <> 0 THEN 'topic' || (d.doc_id % 5) END AS topic, lang, source, embedding
+  FROM documents d LEFT JOIN embeddings ON doc_id = vec_id LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE coalesce(l.toxic, 0) <> 1
+), q AS (
+  SELECT query_id, embedding, term, lang, brands.source FROM (
+    SELECT vec_id AS query_id, e.embedding, regexp_extract(lower(text), '([\p{{L}}\p{{N}}_]+)', 1) AS term, lang, CASE WHEN vec_id % 40 = 0 THEN source ELSE 'src1' END AS wanted
+    FROM embeddings e JOIN documents ON doc_id = vec_id WHERE vec_id % 20 = 0) JOIN brands USING (lang) WHERE brands.source = wanted
+), v AS (
+  SELECT * FROM (SELECT query_id, id, {_SIM} AS s, row_number() OVER (PARTITION BY query_id ORDER BY {_SIM} DESC, id) AS r FROM q JOIN kb e USING (lang, source) WHERE e.embedding IS NOT NULL) WHERE r <= 50
+), t AS (
+  SELECT * FROM (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, id) AS r
+    FROM q JOIN ({_TERMS}) t USING (term) JOIN kb ON kb.id = t.doc_id AND kb.lang = q.lang AND kb.source = q.source WHERE term NOT IN ('', 'or')) WHERE r <= 50
+), f AS (
+  SELECT coalesce(v.query_id, t.query_id) AS query_id, coalesce(v.id, t.id) AS id, coalesce(s, 0) AS s,
+    coalesce(1.0::DOUBLE / (50 + v.r), 0) + coalesce(1.0::DOUBLE / (50 + t.r), 0) AS score
+  FROM v FULL JOIN t ON v.query_id = t.query_id AND v.id = t.id
+), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s DESC, id) AS pos FROM f)
+SELECT query_id, pos, id, coalesce(topic, 'General') AS topic, round(s, 6) AS similarity, round(score, 9) AS rank_score FROM o JOIN kb USING (id) WHERE pos <= 8
+"""
 HYBRID_LEGACY = _HYBRID + "SELECT query_id, pos, id, topic, round(s, 6) AS similarity, round(score, 9) AS rank_score FROM o JOIN kb USING (id) WHERE pos <= 25"
 
 
@@ -258,15 +292,16 @@ WHERE rerank_pos <= 5"""
 
 
 def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    index = docs.select(F.col("doc_id").alias("id"), F.substring("text", 1, 40).alias("title_en"), F.substring("text", 41, 40).alias("title_es"), F.substring("text", 1, 400).alias("summary_en"), F.substring("text", 401, 400).alias("summary_es"))
-    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.concat(F.lit("es "), F.regexp_replace(F.substring("text", 1, 40), r"[.,]", "")).alias("query_text"))
+    """Documents with their page as a catalogue; whole items of the benchmark, with language and source, as queries."""
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), "url", "html")
+    index = table(spark, sf_dir, "documents").join(pages, "doc_id", "left").select(F.col("doc_id").alias("id"), F.col("url").alias("title_en"), F.concat("lang", F.lit(" "), "source").alias("title_es"), F.col("text").alias("summary_en"), F.col("html").alias("summary_es"))
+    queries = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.concat(F.lit("es src1 "), F.regexp_replace("text", r"[.,]", "")).alias("query_text"))
     return search.keyword_search(index, queries)
 
 
 KEYWORD_SEARCH = r"""
-WITH w AS (SELECT item_id AS query_id, unnest(string_split_regex(lower('es ' || regexp_replace(substr(text, 1, 40), '[.,]', '', 'g')), '\s+')) AS w FROM benchmark),
-i AS (SELECT doc_id AS id, lower(substr(text, 41, 40)) AS a, lower(substr(text, 1, 40)) AS b, lower(substr(text, 401, 400)) AS c, lower(substr(text, 1, 400)) AS d FROM documents),
+WITH w AS (SELECT item_id AS query_id, unnest(string_split_regex(lower('es src1 ' || regexp_replace(text, '[.,]', '', 'g')), '\s+')) AS w FROM benchmark),
+i AS (SELECT doc_id AS id, lower(lang || ' ' || source) AS a, lower(coalesce(url, '')) AS b, lower(coalesce(html, '')) AS c, lower(coalesce(text, '')) AS d FROM documents LEFT JOIN pages ON doc_id = page_id),
 s AS (SELECT query_id, id, sum(15 * contains(a, w)::INT + 10 * contains(b, w)::INT + 3 * contains(c, w)::INT + 2 * contains(d, w)::INT) AS score FROM w, i WHERE length(w) > 2 GROUP BY ALL)
 SELECT query_id, id, score::INT AS score, pos FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS pos FROM s WHERE score > 0) WHERE pos <= 5
 """
@@ -299,7 +334,7 @@ j AS (SELECT f.query_id, f.type, CASE WHEN f.type <> 'offtopic' THEN rank IS NOT
 """
 _MEASURES = """count(*) FILTER (type <> 'offtopic') AS evaluable, count(*) FILTER (hit) AS hits,
   round(coalesce(count(*) FILTER (hit) / nullif(count(*) FILTER (type <> 'offtopic'), 0), 0), 3) AS recall,
-  round(coalesce(sum(CASE WHEN hit THEN 1.0::DOUBLE / rank ELSE 0 END) / nullif(count(*) FILTER (type <> 'offtopic'), 0), 0), 3) AS mrr, round(avg(top_score) FILTER (type = 'offtopic'), 3) AS offtopic_score"""
+  round(round(coalesce(sum(CASE WHEN hit THEN 1.0::DOUBLE / rank ELSE 0 END) / nullif(count(*) FILTER (type <> 'offtopic'), 0), 0), 9), 3) AS mrr, round(avg(top_score) FILTER (type = 'offtopic'), 3) AS offtopic_score"""
 
 
 def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,13 +362,15 @@ CONTEXT_PRECISION = _JUDGED + "SELECT query_id, count(*) FILTER (coalesce(qualit
 
 
 def keyword_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    asked = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.slice(F.split(F.substring("text", 1, 60), " "), 1, 6).alias("keywords"))
-    context = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("query_id"), F.substring("text", 30, 200).alias("context"))
+    """All words of each document, looked for in the next document."""
+    docs = table(spark, sf_dir, "documents")
+    asked = docs.select(F.col("doc_id").alias("query_id"), F.split("text", " ").alias("keywords"))
+    context = docs.select((F.col("doc_id") - 1).alias("query_id"), F.col("text").alias("context"))
     return _rounded(evaluate.keyword_coverage(asked, context), "share")
 
 
 KEYWORD_COVERAGE = """
-WITH k AS (SELECT doc_id AS query_id, string_split(substr(text, 1, 60), ' ')[1:6] AS ws, lower(substr(text, 30, 200)) AS ctx FROM documents)
+WITH k AS (SELECT d.doc_id AS query_id, string_split(d.text, ' ') AS ws, lower(coalesce(n.text, '')) AS ctx FROM documents d LEFT JOIN documents n ON n.doc_id = d.doc_id + 1)
 SELECT query_id, len(list_filter(ws, lambda w: contains(ctx, lower(w)))) AS found, len(ws) AS expected, round(len(list_filter(ws, lambda w: contains(ctx, lower(w))))::DOUBLE / len(ws), 6) AS share FROM k
 """
 
@@ -369,26 +406,26 @@ SELECT (SELECT count(*) FROM (FROM a EXCEPT ALL FROM b)) AS only_a, (SELECT coun
 
 
 def chunk_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = chunking.chunk_transcripts(transcripts(spark, sf_dir), limit=10_000_000)
+    rows = chunking.chunk_transcripts(transcripts(spark, sf_dir))
     return rows.select("id", "episode_number", "episode_title", "timestamp_start", "timestamp_end", F.col("timestamp_start_seconds").cast("long").alias("seconds"), "section_title", F.length("content").cast("long").alias("chars"))
 
 
 _TURNS = r"""
-WITH t AS (SELECT *, turn * 90 AS sec, trim(regexp_replace(regexp_replace(coalesce(text, ''), '#', '', 'g'), '[\s\x{00A0}\x{0085}\p{Z}]+', ' ', 'g')) AS content FROM conversations),
+WITH t AS (SELECT *, (CASE WHEN conv_id % 3 = 0 THEN turn // 2 ELSE turn END) * 90 AS sec, trim(regexp_replace(regexp_replace(coalesce(text, ''), '#', '', 'g'), '[\s\x{00A0}\x{0085}\p{Z}]+', ' ', 'g')) AS content FROM conversations),
 s AS (SELECT *, printf('%02d:%02d:%02d', sec // 3600, sec % 3600 // 60, sec % 60) AS ts FROM t),
 e AS (SELECT *, lead(ts) OVER (PARTITION BY conv_id ORDER BY turn) AS ts_end FROM s)
 """
 CHUNK_SECTIONS = _TURNS + """
-SELECT 'hub-ep' || lpad(conv_id::VARCHAR, greatest(3, length(conv_id::VARCHAR))::INT, '0') || '-ts' || replace(ts, ':', '') AS id, conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title,
+SELECT 'hub-ep' || lpad(conv_id::VARCHAR, greatest(3, length(conv_id::VARCHAR))::INT, '0') || '-ts' || replace(ts, ':', '') || CASE WHEN n > 1 THEN '-dup' || n ELSE '' END AS id, conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title,
   ts AS timestamp_start, ts_end AS timestamp_end, sec::BIGINT AS seconds, role AS section_title, length(content) AS chars
-FROM e WHERE length(content) >= 40
+FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, ts ORDER BY turn) AS n FROM e WHERE length(content) >= 40)
 """
 
 
 def chunk_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = transcripts(spark, sf_dir)
     sources = files.select("episode_id", F.lit(True).alias("has_file"))
-    return chunking.chunk_stats(sources, chunking.chunk_transcripts(files, limit=10_000_000))
+    return chunking.chunk_stats(sources, chunking.chunk_transcripts(files))
 
 
 CHUNK_STATS = _TURNS + """, c AS (SELECT conv_id, count(*) FILTER (length(content) >= 40) AS n FROM e GROUP BY 1)
@@ -408,8 +445,7 @@ SELECT doc_id, length(text) > 3000 AND regexp_matches(substr(text, 1, length(tex
 
 
 def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    long = table(spark, sf_dir, "documents").filter(F.length("text") > 3000)
-    return long.select("doc_id", F.explode(packing.split_long(F.col("text"))).alias("part")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("parts"), F.max(F.length("part")).cast("long").alias("longest"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(packing.split_long(F.col("text"))).alias("part")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("parts"), F.max(F.length("part")).cast("long").alias("longest"))
 
 
 def pack_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -439,7 +475,7 @@ def md_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _TRANSLATIONS = r"""
-WITH b AS (SELECT doc_id, length(text) // 2 AS half, length(text) AS n, regexp_replace(text, '[#\[\]]|---|title:', '', 'g') AS f FROM documents WHERE length(text) > 200),
+WITH b AS (SELECT doc_id, length(text) // 2 AS half, length(text) AS n, regexp_replace(text, '[#\[\]]|---|title:', '', 'g') AS f FROM documents WHERE text IS NOT NULL),
 p AS (SELECT *, '---' || chr(10) || 'title: one' || chr(10) || '---' || chr(10) AS head, '## [00:00:10] First' || chr(10) || substr(f, 1, half) || chr(10) AS a, '[00:10:00] Second' || chr(10) || substr(f, half + 1) || chr(10) AS z FROM b),
 s AS (SELECT doc_id, half, head || a || '## ' || z AS source, head || a || z AS lost, head || '---' || chr(10) || 'title: again' || chr(10) || '---' || chr(10) || a || '## ' || z AS ghost FROM p),
 x AS (SELECT doc_id AS episode_id, source, CASE doc_id % 5 WHEN 0 THEN source WHEN 1 THEN substr(source, 1, half) WHEN 2 THEN source || source WHEN 3 THEN lost ELSE ghost END AS text FROM s),
@@ -579,7 +615,7 @@ SELECT id, CASE WHEN ts IS NULL THEN '[Episodio ' || n || ']' WHEN url IS NULL T
 
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _judged(spark, sf_dir)[1]
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.substring("text", 1, 50).alias("content"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     shown = found.join(docs, "id")
     both = citations.build_context(shown, 3).join(citations.answer_confidence(found), "query_id")
     return _rounded(both, "confidence").select("query_id", "confidence", F.md5("context").alias("context_md5"))
@@ -587,7 +623,7 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ANSWERS = _JUDGED + """SELECT query_id, confidence, context_md5 FROM
 (SELECT query_id, round(max(s), 6) AS confidence FROM f GROUP BY 1) JOIN
-(SELECT query_id, md5(string_agg(substr(text, 1, 50), chr(10) || chr(10) ORDER BY pos)) AS context_md5 FROM f JOIN documents ON doc_id = id WHERE pos <= 3 GROUP BY 1) USING (query_id)"""
+(SELECT query_id, md5(string_agg(text, chr(10) || chr(10) ORDER BY pos)) AS context_md5 FROM f JOIN documents ON doc_id = id WHERE pos <= 3 GROUP BY 1) USING (query_id)"""
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -640,7 +676,7 @@ SMALLTALK = "SELECT conv_id, turn, conv_id % 4 = 0 AS small FROM conversations"
 
 QUERIES = {
     "kb_shape": kb_shape, "summary_rows": summary_rows, "kb_stats": kb_stats, "slugify": slugify, "resolve_brand": resolve_brand, "upsert": upsert, "append_lot": append_lot, "deactivate": deactivate, "coverage": coverage,
-    "vector_topk": vector_topk, "ivf_topk": ivf_topk, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "hybrid_rrf": hybrid_rrf, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
+    "vector_topk": vector_topk, "ivf_topk": ivf_topk, "ivf_recall": ivf_recall, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "hybrid_rrf": hybrid_rrf, "hybrid_tenants": hybrid_tenants, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
     "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
     "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "verify": verify,
     "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
@@ -649,7 +685,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "kb_shape": KB_SHAPE, "summary_rows": SUMMARY_ROWS, "kb_stats": KB_STATS, "slugify": SLUGIFY, "resolve_brand": RESOLVE_BRAND, "upsert": UPSERT, "append_lot": APPEND_LOT, "deactivate": DEACTIVATE, "coverage": COVERAGE,
-    "vector_topk": VECTOR_TOPK, "text_topk": TEXT_TOPK, "hybrid_rrf": HYBRID_RRF, "hybrid_legacy": HYBRID_LEGACY, "allocate_slots": SLOTS, "rerank": RERANK, "keyword_search": KEYWORD_SEARCH,
+    "vector_topk": VECTOR_TOPK, "text_topk": TEXT_TOPK, "ivf_recall": IVF_RECALL, "hybrid_rrf": HYBRID_RRF, "hybrid_tenants": HYBRID_TENANTS, "hybrid_legacy": HYBRID_LEGACY, "allocate_slots": SLOTS, "rerank": RERANK, "keyword_search": KEYWORD_SEARCH,
     "judged": _JUDGED + "SELECT query_id, type, hit, rank, round(top_score, 6) AS top_score FROM j", "eval_summary": _JUDGED + f"SELECT {_MEASURES} FROM j",
     "eval_by_type": _JUDGED + f"SELECT coalesce(type, 'all') AS type, {_MEASURES} FROM j GROUP BY ROLLUP (type)", "rank_histogram": _JUDGED + "SELECT rank, count(*) AS questions FROM j WHERE hit GROUP BY 1",
     "context_precision": CONTEXT_PRECISION, "keyword_coverage": KEYWORD_COVERAGE, "run_diff": RUN_DIFF, "same_runs": SAME_RUNS,

@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A frequent word of each language's documents, for text queries.
-WORDS = {"en": "edble", "de": "nicht", "fr": "leaux", "es": "osción"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -34,17 +31,25 @@ def kb_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A query for every vector whose id is divisible by 20: its vector, and a word of the language of the document of that id."""
-    langs = table(spark, sf_dir, "documents").filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("vec_id"), "lang")
-    word = F.coalesce(F.create_map(*[F.lit(x) for p in WORDS.items() for x in p])[F.col("lang")], F.lit(""))
-    rows = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % 20 == 0).join(langs, "vec_id", "left")
-    return rows.select(F.col("vec_id").alias("query_id"), word.alias("query_text"), "embedding", "label")
+    """A query for every vector whose id is divisible by 20: its vector, and tenant, brand (of each second one) and first word of the document of that id."""
+    word = F.regexp_extract(F.lower("text"), r"([\p{L}\p{N}_]+)", 1)
+    docs = table(spark, sf_dir, "documents").filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("vec_id"), word.alias("word"), "lang", "source")
+    rows = table(spark, sf_dir, "embeddings").filter(F.col("vec_id") % 20 == 0).join(docs, "vec_id", "left")
+    return rows.select(
+        F.col("vec_id").alias("query_id"), F.coalesce("word", F.lit("")).alias("query_text"), "embedding", "label", F.col("lang").alias("tenant_id"), F.when(F.col("vec_id") % 40 == 0, F.col("source")).alias("brand_id")
+    )
+
+
+def brand_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages as tenants, their sources as brands: every third number is not active, src1 is the default."""
+    pairs = table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.select(F.col("source").alias("id"), F.col("lang").alias("tenant_id"), (source_number() % 3 != 0).alias("active"), (F.col("source") == "src1").alias("is_default"))
 
 
 def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as transcripts: a ``## [hh:mm:ss] role`` section a turn, 90 seconds apart."""
+    """Conversations as transcripts: a ``## [hh:mm:ss] role`` section a turn, 90 seconds apart; in each third one two turns share a time."""
     turns = table(spark, sf_dir, "conversations")
-    sec = F.col("turn") * 90
+    sec = F.when(F.col("conv_id") % 3 == 0, F.floor(F.col("turn") / 2)).otherwise(F.col("turn")).cast("int") * 90
     stamp = F.format_string("%02d:%02d:%02d", (sec / 3600).cast("int"), (sec % 3600 / 60).cast("int"), (sec % 60).cast("int"))
     section = F.concat(F.lit("## ["), stamp, F.lit("] "), F.col("role"), F.lit("\n\n"), F.regexp_replace(F.coalesce("text", F.lit("")), "#", ""))
     body = turns.groupBy("conv_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("turn", section.alias("s")))), lambda x: x["s"]), "\n\n").alias("body"))
@@ -59,16 +64,16 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("t", clean)
     text = F.concat(
         F.lit("---\nnúmero_episodio: "), F.col("doc_id").cast("string"), F.lit("\ninvitado: '"), F.regexp_replace(word(1), "['\"]", ""), F.lit("'\ntemas:\n- "), F.col("source"), F.lit(" tema\n- otro\n---\n# Episodio "),
-        F.col("doc_id").cast("string"), F.lit(": Parte "), F.col("lang"), F.lit("\n\n## Resumen del Episodio\n"), F.substring("t", 1, 1500),
-        F.lit("\n\n## Puntos Clave\n- **Uno** "), F.substring("t", 1, 60), F.lit("\n1. **Dos** "), F.substring("t", 61, 8), F.lit("\n\n## Herramientas y Protocolos\n### Metodo\n**Qué:** "), word(2),
-        F.lit("\n**Cómo:** "), word(3), F.lit("\n**Cuándo:** "), word(4), F.lit("\n\n## Recursos Mencionados\n"), F.substring("t", 101, 200), F.lit("\n"),
+        F.col("doc_id").cast("string"), F.lit(": Parte "), F.col("lang"), F.when(F.col("doc_id") % 2 == 0, F.lit("\n\n## Resumen del Episodio\n")).otherwise(F.lit("\n\n## DESCRIPCIÓN GENERAL DEL EPISODIO\n")), F.col("t"),
+        F.lit("\n\n## Puntos Clave\n- **Uno** "), F.col("t"), F.lit("\n1. **Dos** "), word(2), F.lit("\n\n## Herramientas y Protocolos\n### Metodo\n**Qué:** "), word(2),
+        F.when(F.col("doc_id") % 2 == 0, F.lit("\n**Cómo:** ")).otherwise(F.lit("\n**CÓMO:** ")), word(3), F.lit("\n**Cuándo:** "), word(4), F.lit("\n\n## Recursos Mencionados\n"), F.col("t"), F.lit("\n"),
     )
     return docs.select(F.format_string("EP-%d", "doc_id").alias("episode_id"), text.alias("text"))
 
 
 def translations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Sources with headers, and translations in five states by ``doc_id % 5``: same, cut, doubled, a header mark lost, a ghost title."""
-    docs = table(spark, sf_dir, "documents").filter(F.length("text") > 200)
+    docs = table(spark, sf_dir, "documents").filter("text is not null")
     half = (F.length("text") / 2).cast("int")
     flat = F.regexp_replace("text", r"[#\[\]]|---|title:", "")
     head = F.lit("---\ntitle: one\n---\n")

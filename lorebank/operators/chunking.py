@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lorebank.functions.packing import split_long
 from lorebank.functions.text import chunk_id, filled, leading_int, padded, parse_transcript_meta, ts_seconds
 
-_HEADER = r"(?m)^##[^\S\n]*\[?\(?(\d{1,2}:\d{2}(?::\d{2})?)\)?\]?\s+([^\n]+)$"
+# Fixed value of the transcript format: a section header.
+_HEADER = r"(?m)^##\s*\[?(\d{1,2}:\d{2}(?::\d{2})?)\]?\s+(.*)$"
 
 
 def split_sections(body: Column) -> Column:
@@ -40,7 +41,7 @@ def chunk_transcripts(files: DataFrame, limit: int = 3000, least: int = 40, loss
         "episode_id", "m.body",
         F.coalesce(leading_int(F.col("m.meta")["episode_number"]), leading_int(F.regexp_replace("episode_id", "EP-", ""))).alias("episode_number"),
         filled(F.col("m.meta")["episode_date"]).alias("episode_date"),
-        filled(F.col("m.meta")["title"], F.col("episode_id")).alias("episode_title"),
+        F.coalesce(F.col("m.meta")["title"], F.lit("")).alias("episode_title"),
     )
     sections = read.withColumn("s", F.explode(split_sections(F.col("body")))).drop("body").filter(F.length("s.text") >= least)
     parts = sections.withColumn("parts", split_long(F.col("s.text"), limit, lossless)).select("*", F.posexplode("parts").alias("part", "content"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lorebank.functions.text import once
+
 
 def judge(golden: DataFrame, retrieved: DataFrame) -> DataFrame:
     """One row a question: hit (null where nothing is expected), rank of the first relevant result, top score.
 
-    golden: query_id, type, expected (array). retrieved: query_id, pos, episode, similarity. Positions count
+    golden: query_id, type, expected (array), and the question if it shall be kept. retrieved: query_id, pos, episode, similarity. Positions count
     results with an episode only; the top score is the first result's similarity, with an episode or not."""
     top = retrieved.groupBy("query_id").agg(F.min_by("similarity", "pos").alias("top_score"))
     seen = retrieved.filter("episode is not null").withColumn("at", F.row_number().over(Window.partitionBy("query_id").orderBy("pos")))
@@ -17,7 +19,7 @@ def judge(golden: DataFrame, retrieved: DataFrame) -> DataFrame:
     first = seen.join(asked, "query_id").filter(F.array_contains("expected", F.col("episode"))).groupBy("query_id").agg(F.min("at").alias("rank"))
     out = golden.join(top, "query_id", "left").join(first, "query_id", "left")
     judged = (F.col("type") != "offtopic") & (F.size("expected") > 0)
-    return out.select("query_id", "type", F.when(judged, F.col("rank").isNotNull()).alias("hit"), F.when(judged, F.col("rank")).alias("rank"), F.coalesce("top_score", F.lit(0.0)).alias("top_score"), (F.size("expected") > 0).alias("answerable"))
+    return out.select("query_id", "type", *[c for c in ("question",) if c in golden.columns], F.when(judged, F.col("rank").isNotNull()).alias("hit"), F.when(judged, F.col("rank")).alias("rank"), F.coalesce("top_score", F.lit(0.0)).alias("top_score"), (F.size("expected") > 0).alias("answerable"))
 
 
 def _measures(exclude_unanswerable: bool):
@@ -26,7 +28,8 @@ def _measures(exclude_unanswerable: bool):
     hits = F.count_if(F.coalesce("hit", F.lit(False)))
     return [
         n.alias("evaluable"), hits.alias("hits"), F.round(F.coalesce(F.try_divide(hits, n), F.lit(0.0)), 3).alias("recall"),
-        F.round(F.coalesce(F.try_divide(F.sum(F.when(F.col("hit"), 1.0 / F.col("rank")).otherwise(0.0)), n), F.lit(0.0)), 3).alias("mrr"),
+        # Rounded first to what does not depend on the order of the sum.
+        F.round(F.round(F.coalesce(F.try_divide(F.sum(F.when(F.col("hit"), 1.0 / F.col("rank")).otherwise(0.0)), n), F.lit(0.0)), 9), 3).alias("mrr"),
         F.round(F.avg(F.when(F.col("type") == "offtopic", F.col("top_score"))), 3).alias("offtopic_score"),
     ]
 
@@ -54,8 +57,9 @@ def context_precision(retrieved: DataFrame, flags: DataFrame, k: int) -> DataFra
 def keyword_coverage(expected: DataFrame, context: DataFrame) -> DataFrame:
     """Share of a question's expected keywords that its context holds. expected: query_id, keywords."""
     met = expected.join(context, "query_id", "left")
-    found = F.size(F.filter("keywords", lambda w: F.contains(F.lower(F.coalesce(F.col("context"), F.lit(""))), F.lower(w))))
-    return met.select("query_id", found.cast("long").alias("found"), F.size("keywords").cast("long").alias("expected"), F.try_divide(found, F.size("keywords")).alias("share"))
+    found = once(F.lower(F.coalesce(F.col("context"), F.lit(""))), lambda c: F.size(F.filter("keywords", lambda w: F.contains(c, F.lower(w)))))
+    counted = met.select("query_id", found.cast("long").alias("found"), F.size("keywords").cast("long").alias("expected"))
+    return counted.select("query_id", "found", "expected", F.try_divide("found", "expected").alias("share"))
 
 
 def diff_runs(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lorebank.functions.text import default_topic, rrf
-from lorebank.operators.kb import BROADCAST_ROWS, visible
+from lorebank.operators.kb import BROADCAST_ROWS, resolve_brand, visible
 from lorebank.operators.lexical import text_topk
 from lorebank.operators.vector import cosine_topk
 
@@ -47,21 +47,66 @@ def best_first(df: DataFrame, count: Column | int | None) -> DataFrame:
     return df.withColumn("pos", F.row_number().over(order)).filter(F.col("pos") <= count)
 
 
-def hybrid_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, match_count: int | None = DEFAULT_COUNT, rrf_k: int = 50, tenant: str | None = None, brand: str | None = None, config: str = "plain", compat: str = "v1") -> DataFrame:
+def _scope(by_brand: bool) -> Column:
+    """Tenant and brand as one text; null where either is."""
+    return F.concat("tenant_id", F.lit("\u0001"), "brand_id") if by_brand else F.col("tenant_id")
+
+
+def scoped(queries: DataFrame, kb: DataFrame, brands: DataFrame | None) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Queries and rows with a column ``scope``, and the rejected queries.
+
+    Queries with a ``tenant_id`` find rows of their tenant, and with ``brands`` of their own brand or else the
+    tenant's default one; those without an active brand of their tenant are rejected. Other queries find all rows."""
+    if "tenant_id" not in queries.columns:
+        return queries, kb, None
+    if brands is None:
+        return queries.withColumn("scope", _scope(False)).filter("scope is not null"), kb.withColumn("scope", _scope(False)), None
+    asked = queries if "brand_id" in queries.columns else queries.withColumn("brand_id", F.lit(None).cast("string"))
+    good, bad = resolve_brand(asked, brands)
+    return good.withColumn("scope", _scope(True)), kb.withColumn("scope", _scope(True)), bad
+
+
+def hybrid_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, match_count: int | None = DEFAULT_COUNT, rrf_k: int = 50, brands: DataFrame | None = None, tenant: str | None = None, brand: str | None = None, config: str = "plain", compat: str = "v1") -> DataFrame:
     """Results of each query: pos, id, similarity, rank_score and the document's columns.
 
-    queries: query_id, query_text, embedding. ``compat="v0"``: no brand, no clamp, no topic default.
-    Both sides are cut to their candidates, the fusion to its results, before documents are read."""
-    seen = visible(kb, tenant, None if compat == "v0" else brand)
-    vectors = cosine_topk(queries, seen, CANDIDATES)
-    texts = text_topk(queries, doc_terms.join(seen.select("id"), "id", "left_semi"), CANDIDATES, config)
-    count = F.lit(match_count) if compat == "v0" else clamped(match_count)
+    queries: query_id, query_text, embedding, and for searches within tenants tenant_id and brand_id (see
+    ``scoped``; a null brand is the tenant's default one, rejected queries find nothing). doc_terms: a term table
+    or rows of tokens. ``tenant`` and ``brand`` narrow all queries alike. ``compat="v0"``: no brand, no clamp, no
+    topic default, and rows without a vector rank after all others. Both sides are cut to their candidates, the
+    fusion to its results, before documents are read."""
+    old = compat == "v0"
+    asked, rows, _ = scoped(queries, kb, None if old else brands)
+    seen = visible(rows, tenant, None if old else brand)
+    scope = "scope" if "scope" in asked.columns else None
+    vectors = cosine_topk(asked, seen, CANDIDATES, scope=scope)
+    if old:
+        vectors = with_null_vectors(vectors, asked, seen, CANDIDATES, scope)
+    texts = text_topk(asked, doc_terms, CANDIDATES, config, seen.select("id", *([scope] if scope else [])))
+    count = F.lit(match_count) if old else clamped(match_count)
     out = hydrate(best_first(rrf_fuse(vectors, texts, rrf_k), count), seen, queries.count() * max(MOST, match_count or 0))
-    return out if compat == "v0" or "topic" not in out.columns else out.withColumn("topic", default_topic(F.col("topic"), "General", only_null=True))
+    return out if old or "topic" not in out.columns else out.withColumn("topic", default_topic(F.col("topic"), "General", only_null=True))
 
 
-def vector_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame | None = None, match_count: int | None = 3, tenant: str | None = None, brand: str | None = None, **_) -> DataFrame:
-    found = cosine_topk(queries, visible(kb, tenant, brand, need_vector=True), match_count or 3)
+def with_null_vectors(found: DataFrame, queries: DataFrame, kb: DataFrame, k: int, scope: str | None = None) -> DataFrame:
+    """Ranks of vector search where rows without a vector follow all others, by id, without a similarity.
+
+    They show only where fewer than ``k`` rows (of the scope) have a vector; no more than k of each scope are needed."""
+    by = [scope] if scope else []
+    own = F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy("id"))
+    # The k smallest ids of each partition come first, so that no task sees all rows of a scope.
+    part = F.row_number().over(Window.partitionBy(*by, F.spark_partition_id()).orderBy("id"))
+    bare = kb.filter(F.col("embedding").isNull()).select("id", *by).withColumn("_part", part).filter(F.col("_part") <= k).withColumn("_n", own).filter(F.col("_n") <= k).drop("_part")
+    have = queries.filter(F.col("embedding").isNotNull()).select("query_id", *by).join(found.groupBy("query_id").agg(F.count(F.lit(1)).alias("_have")), "query_id", "left")
+    short = have.withColumn("_have", F.coalesce("_have", F.lit(0))).filter(F.col("_have") < k)
+    more = short.join(bare, by) if by else short.join(F.broadcast(bare))  # at most k rows
+    last = more.withColumn("rank", (F.col("_have") + F.col("_n")).cast("int")).filter(F.col("rank") <= k)
+    return found.unionByName(last.select("query_id", "id", F.lit(None).cast("double").alias("similarity"), "rank"))
+
+
+def vector_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame | None = None, match_count: int | None = 3, brands: DataFrame | None = None, tenant: str | None = None, brand: str | None = None, **_) -> DataFrame:
+    asked, rows, _rejected = scoped(queries, kb, brands)
+    scope = "scope" if "scope" in asked.columns else None
+    found = cosine_topk(asked, visible(rows, tenant, brand, need_vector=True), match_count or 3, scope=scope)
     return hydrate(found.select("query_id", "id", "similarity", F.col("similarity").alias("rank_score"), F.col("rank").alias("pos")), kb, queries.count() * (match_count or 3))
 
 
@@ -69,6 +114,16 @@ def legacy_hybrid(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, **opt
     return hybrid_search(queries, kb, doc_terms, compat="v0", **options)
 
 
+def one_query(search: Callable[..., DataFrame], text: str | None, embedding: list[float], kb: DataFrame, doc_terms: DataFrame | None = None, tenant: str | None = None, brand: str | None = None, **options) -> DataFrame:
+    """A search function for a single question, best result first."""
+    row = {"query_id": 1, "query_text": text, "embedding": [float(x) for x in embedding]}
+    kinds = "query_id int, query_text string, embedding array<float>"
+    if tenant is not None:
+        row, kinds = row | {"tenant_id": tenant, "brand_id": brand}, kinds + ", tenant_id string, brand_id string"
+    asked = kb.sparkSession.createDataFrame([tuple(row.values())], kinds)
+    return search(asked, kb, doc_terms, **options).orderBy("pos")
+
+
 #: Search functions by name.
 SEARCHES: dict[str, Callable[..., DataFrame]] = {"production": hybrid_search, "hybrid": legacy_hybrid, "vector": vector_search}
 

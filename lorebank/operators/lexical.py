@@ -48,10 +48,19 @@ def tokenize(c: Column, config: str = "plain") -> Column:
     return rows if config == "plain" else F.filter(rows, lambda r: r["term"].isNotNull())
 
 
+def token_rows(docs: DataFrame, config: str = "plain", id_col: str = "id", text_col: str = "content") -> DataFrame:
+    """id, term, pos: one row a token, without a shuffle."""
+    return docs.select(F.col(id_col).alias("id"), F.explode(tokenize(F.col(text_col), config)).alias("t")).select("id", "t.term", "t.pos")
+
+
+def gathered(tokens: DataFrame) -> DataFrame:
+    """Tokens to id, term, positions."""
+    return tokens.groupBy("id", "term").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+
+
 def term_table(docs: DataFrame, config: str = "plain", id_col: str = "id", text_col: str = "content") -> DataFrame:
-    """id, term, positions: write it bucketed or sorted by term to prune reads."""
-    rows = docs.select(F.col(id_col).alias("id"), F.explode(tokenize(F.col(text_col), config)).alias("t"))
-    return rows.groupBy("id", F.col("t.term").alias("term")).agg(F.sort_array(F.collect_list("t.pos")).alias("positions"))
+    """id, term, positions, to be written bucketed or sorted by term. For one search, ``token_rows`` will do."""
+    return gathered(token_rows(docs, config, id_col, text_col))
 
 
 def parsed_query(text: str | None, config: str = "plain") -> dict:
@@ -123,22 +132,40 @@ def text_rank(groups: pd.Series, excluded: pd.Series, terms: pd.Series, position
 
 
 def text_candidates(queries: DataFrame, doc_terms: DataFrame, config: str = "plain") -> DataFrame:
-    """Documents with all terms of a group of a query: query_id, id, rank.
+    """Documents with all terms of a group of a query: query_text, id, text_rank.
 
-    queries: query_id, query_text. Query terms are broadcast (their table is counted first): the token table
-    is read once and not shuffled; only matched terms are."""
+    queries: query_text; equal ones are ranked once. doc_terms: a term table, or the rows of tokens. Terms of
+    queries are broadcast (their table is counted first): tokens are dropped where they are read unless a query
+    has them, and only those are gathered. A query of one word is ranked by its count alone."""
     from lorebank.operators.kb import maybe_broadcast
 
-    parsed = queries.select("query_id", parse_query(F.col("query_text"), config).alias("q")).filter(F.size("q.groups") > 0)
+    parsed = queries.select("query_text").distinct().select("query_text", parse_query(F.col("query_text"), config).alias("q")).filter(F.size("q.groups") > 0)
     needed = F.transform("q.groups", lambda g: F.size(F.array_distinct(F.flatten(g))))
     terms = F.array_distinct(F.concat(F.flatten(F.flatten("q.groups")), F.flatten("q.excluded")))
-    wanted = parsed.select("query_id", F.explode(terms).alias("term"))
-    hits = doc_terms.join(maybe_broadcast(wanted), "term").groupBy("query_id", "id").agg(F.collect_list("term").alias("terms"), F.collect_list("positions").alias("positions"))
-    enough = hits.join(maybe_broadcast(parsed.select("query_id", F.col("q.groups").alias("groups"), F.col("q.excluded").alias("excluded"), F.array_min(needed).alias("least"))), "query_id").filter(F.size("terms") >= F.col("least"))
-    return enough.select("query_id", "id", text_rank("groups", "excluded", "terms", "positions").alias("text_rank")).filter("text_rank is not null")
-
-
-def text_topk(queries: DataFrame, doc_terms: DataFrame, k: int = 50, config: str = "plain") -> DataFrame:
-    """query_id, id, text_rank, rank: the k best of each query; ties by id. An empty query has none."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("text_rank"), "id")
-    return text_candidates(queries, doc_terms, config).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    parsed = parsed.select("query_text", F.col("q.groups").alias("groups"), F.col("q.excluded").alias("excluded"), terms.alias("terms"), F.array_min(needed).alias("least"))
+    wanted = parsed.select(F.explode("terms").alias("term")).distinct()
+    held = doc_terms.join(maybe_broadcast(wanted), "term", "left_semi")
+    held = held if "positions" in held.columns else gathered(held)
+    single = (F.size("terms") == 1) & (F.size("excluded") == 0) & F.forall(F.flatten("groups"), lambda phrase: F.size(phrase) == 1)
+    one = held.join(maybe_broadcast(parsed.filter(single).select("query_text", F.col("terms")[0].alias("term"))), "term")
+    more = parsed.filter(~single)
+    met = held.join(maybe_broadcast(more.select("query_text", F.explode("terms").alias("term"))), "term")
+    hits = met.groupBy("query_text", "id").agg(F.collect_list("term").alias("terms"), F.collect_list("positions").alias("positions"))
+    enough = hits.join(maybe_broadcast(more.select("query_text", "groups", "excluded", "least")), "query_text").filter(F.size("terms") >= F.col("least"))
+    ranked = enough.select("query_text", "id", text_rank("groups", "excluded", "terms", "positions").alias("text_rank")).filter("text_rank is not null")
+    return one.select("query_text", "id", (F.size("positions") * F.lit(WEIGHT)).alias("text_rank")).unionByName(ranked)
+
+
+def text_topk(queries: DataFrame, doc_terms: DataFrame, k: int = 50, config: str = "plain", rows: DataFrame | None = None) -> DataFrame:
+    """query_id, id, text_rank, rank: the k best of each query; ties by id. An empty query has none.
+
+    ``rows``: ids that may be found. With a column ``scope`` in it and in the queries, a query finds only rows
+    of its own scope. Matches meet these rows, not all tokens."""
+    found = text_candidates(queries, doc_terms, config)
+    by = ["query_text"]
+    if rows is not None:
+        found = found.join(rows, "id")
+        by += ["scope"] if "scope" in rows.columns else []
+    order = Window.partitionBy(*by).orderBy(F.desc("text_rank"), "id")
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return queries.select("query_id", *by).join(best, by).select("query_id", "id", "text_rank", "rank")

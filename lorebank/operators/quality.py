@@ -43,6 +43,12 @@ def audit_translation(pairs: DataFrame, key: str = "episode_id") -> DataFrame:
     )
 
 
+def progress_after(progress: DataFrame, audit: DataFrame, key: str = "episode_id") -> DataFrame:
+    """The done flags after an audit: a discarded text is not done any more, so the work list has it again."""
+    off = audit.filter("status = 'discarded'").select(key).distinct().withColumn("_off", F.lit(True))
+    return progress.join(off, key, "left").withColumn("transcript", F.col("transcript") & F.col("_off").isNull()).drop("_off")
+
+
 def audit_summary(audit: DataFrame) -> DataFrame:
     return audit.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 

@@ -83,7 +83,7 @@ def write_eval_run(spark: SparkSession, judged: DataFrame, retrieved: DataFrame,
     from lorebank.operators.evaluate import eval_summary
 
     got = retrieved.groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "episode"))), lambda r: r["episode"]).alias("gotEpisodes"))
-    each = judged.join(got, "query_id", "left").select(F.struct(F.col("query_id").alias("id"), "type", "hit", "rank", F.col("top_score").alias("topScore"), "gotEpisodes").alias("r"))
+    each = judged.join(got, "query_id", "left").select(F.struct(F.col("query_id").alias("id"), "type", *([F.col("question")] if "question" in judged.columns else [F.lit(None).cast("string").alias("question")]), "hit", "rank", F.col("top_score").alias("topScore"), "gotEpisodes").alias("r"))
     whole = each.agg(F.sort_array(F.collect_list("r")).alias("results")).crossJoin(eval_summary(judged))  # two single rows
     run = whole.select(
         F.lit(str(stamp)).alias("timestamp"), F.lit(mode).alias("mode"), F.lit(top_k).alias("topK"), F.size("results").alias("totalQuestions"), "evaluable", "hits",
@@ -97,7 +97,7 @@ def write_eval_run(spark: SparkSession, judged: DataFrame, retrieved: DataFrame,
 def read_eval_runs(spark: SparkSession, path: str) -> DataFrame:
     """One row a question of each stored run: run (file name), mode, and the question's columns."""
     rows = spark.read.schema(RUN).json(path, multiLine=True, recursiveFileLookup=True).select(F.col("_metadata.file_name").alias("run"), "mode", F.explode("results").alias("r"))
-    return rows.select("run", "mode", F.col("r.id").alias("query_id"), F.col("r.type").alias("type"), F.col("r.hit").alias("hit"), F.col("r.rank").alias("rank"), F.col("r.topScore").alias("top_score"), F.col("r.gotEpisodes").alias("got"))
+    return rows.select("run", "mode", F.col("r.id").alias("query_id"), F.col("r.type").alias("type"), F.col("r.question").alias("question"), F.col("r.hit").alias("hit"), F.col("r.rank").alias("rank"), F.col("r.topScore").alias("top_score"), F.col("r.gotEpisodes").alias("got"))
 
 
 def retried(call: Callable, tries: int = 4, first_wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Callable:

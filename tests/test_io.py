@@ -32,11 +32,11 @@ def test_keyed_json_and_golden(spark, tmp_path):
 
 
 def test_eval_runs_round_trip(spark, tmp_path):
-    golden = spark.createDataFrame([("a", "specific", [5])], "query_id string, type string, expected array<int>")
+    golden = spark.createDataFrame([("a", "specific", "Why?", [5])], "query_id string, type string, question string, expected array<int>")
     got = spark.createDataFrame([("a", 1, 5, 0.5)], "query_id string, pos int, episode int, similarity double")
     io.write_eval_run(spark, evaluate.judge(golden, got), got, str(tmp_path), "vector", 8, 17)
     r = io.read_eval_runs(spark, str(tmp_path)).first()
-    assert (r.query_id, r.mode, r.hit, r["rank"], r.got) == ("a", "vector", True, 1, [5])
+    assert (r.query_id, r.mode, r.question, r.hit, r["rank"], r.got) == ("a", "vector", "Why?", True, 1, [5])
 
 
 def test_embedder_batches_and_retries(spark):

@@ -8,7 +8,7 @@ def rows(df, *cols):
 
 
 def test_chunks(spark):
-    body = "intro\n## [00:00:10] One\n" + "a" * 50 + "\n## (00:01:00)\nTitle below\n" + "b " * 30 + "\n## 02:00 Short\ntiny\n## [00:03:00] Last\n" + "c" * 40 + "\n### [00:04:00] no header\n"
+    body = "intro\n## [00:00:10] One\n" + "a" * 50 + "\n## [00:01:00]\nTitle below\n" + "b " * 30 + "\n## (00:01:30) no header\n## 02:00 Short\ntiny\n## [00:03:00] Last\n" + "c" * 40 + "\n### [00:04:00] no header\n"
     files = spark.createDataFrame([("EP-9", "---\nepisode_number: 12abc\ntitle: T\n---\n" + body), ("EP-10", "## no time\nx")], "episode_id string, text string")
     out = chunking.chunk_transcripts(files)
     assert rows(out, "id", "timestamp_start", "timestamp_end", "timestamp_start_seconds", "section_title") == [

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lorebank.operators import citations, evaluate, hybrid, lexical, vector
+from lorebank.operators import citations, evaluate, hybrid, lexical, search, vector
 
 
 def rows(df, *cols):
@@ -135,3 +135,73 @@ def test_precision_keywords_runs(spark):
     sims = got.withColumn("similarity", F.col("pos") / 10)
     assert citations.answer_confidence(sims).first().confidence == pytest.approx(0.6)
     assert citations.build_context(got.withColumn("content", F.col("id").cast("string")), 2).first().context == "1\n\n2"
+
+
+@pytest.fixture(scope="module")
+def tenants(spark):
+    data = [(i, "ab"[i % 2], f"b{i % 3}", f"gato {'negro' if i % 4 else 'blanco'}", [1.0, i / 10] if i % 5 else None, True) for i in range(40)]
+    kb = spark.createDataFrame(data, "id int, tenant_id string, brand_id string, content string, embedding array<float>, active boolean")
+    brands = spark.createDataFrame([("b0", "a", True, True), ("b1", "a", True, False), ("b2", "a", False, False), ("b1", "b", True, False)], "id string, tenant_id string, active boolean, is_default boolean")
+    return kb, brands
+
+
+@pytest.mark.parametrize("search", [hybrid.hybrid_search, hybrid.vector_search])
+def test_each_query_has_its_tenant_and_brand(spark, tenants, search):
+    kb, brands = tenants
+    asked = [(1, "a", None), (2, "a", "b1"), (3, "b", "b1"), (4, "b", None), (5, "a", "b2"), (6, None, "b1"), (7, "b", "b0")]
+    queries = spark.createDataFrame([(i, "gato", [1.0, 0.5], t, b) for i, t, b in asked], "query_id int, query_text string, embedding array<float>, tenant_id string, brand_id string")
+    found = search(queries, kb, lexical.token_rows(kb), match_count=20, brands=brands).join(kb.select("id", "tenant_id", "brand_id"), "id")
+    seen = {}
+    for r in found.collect():
+        seen.setdefault(r.query_id, set()).add((r.tenant_id, r.brand_id))
+    assert seen == {1: {("a", "b0")}, 2: {("a", "b1")}, 3: {("b", "b1")}}  # no default brand, inactive, no tenant, brand of another tenant
+    by_tenant = search(queries, kb, lexical.token_rows(kb), match_count=20).join(kb.select("id", "tenant_id"), "id")
+    assert {(r.query_id, r.tenant_id) for r in by_tenant.collect()} == {(1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "a"), (7, "b")}
+
+
+def test_rows_without_a_vector_take_the_last_ranks_of_legacy_search(spark, tenants):
+    kb, _ = tenants
+    q = spark.createDataFrame([(1, "zzz", [1.0, 0.5])], "query_id int, query_text string, embedding array<float>")
+    out = sorted(hybrid.legacy_hybrid(q, kb, lexical.token_rows(kb), match_count=40).collect(), key=lambda r: r.pos)
+    assert [r.id for r in out[-8:]] == list(range(0, 40, 5)) and all(r.similarity == 0 for r in out[-8:])
+    assert [round(1 / r.rank_score) for r in out] == list(range(51, 91))
+    single = hybrid.one_query(hybrid.legacy_hybrid, "zzz", [1.0, 0.5], kb, lexical.token_rows(kb), match_count=40).collect()
+    assert [r.id for r in single] == [r.id for r in out]
+    assert [r.tenant_id for r in hybrid.one_query(hybrid.vector_search, None, [1, 0], kb, tenant="b").join(kb.select("id", "tenant_id"), "id").collect()] == ["b"] * 3
+
+
+@pytest.mark.parametrize("block", [2, 1000])
+def test_keyword_search_matches_a_plain_loop(spark, block):
+    rng = np.random.default_rng(2)
+    words = ["sueño", "luz", "luces", "ejercicio", "Ejercicios", "a", "de", "café"]
+    text = lambda n: " ".join(rng.choice(words, n))
+    index = [(i, text(2), text(3), None if i == 3 else text(9), text(5)) for i in range(60)]
+    queries = [(i, text(4)) for i in range(9)] + [(20, "a de"), (21, None), (22, "luz luz")]
+    want = []
+    for q, t in queries:
+        ws = [w for w in (t or "").lower().split() if len(w) > 2]
+        scores = [(-sum(p * (w in (f or "").lower()) for w in ws for p, f in zip((10, 15, 2, 3), row[1:])), row[0]) for row in index]
+        want += [(q, i, -s, n + 1) for n, (s, i) in enumerate(sorted(x for x in scores if x[0])[:5])]
+    got = search.keyword_search(spark.createDataFrame(index, "id int, title_en string, title_es string, summary_en string, summary_es string").repartition(4), spark.createDataFrame(queries, "query_id int, query_text string"), block=block)
+    assert rows(got, "query_id", "id", "score", "pos") == sorted(want, key=str)
+
+
+def test_equal_queries_and_phrases_match_a_plain_rank(spark):
+    rng = np.random.default_rng(4)
+    docs = [(i, " ".join(rng.choice(["uno", "dos", "tres", "or", "x"], 30))) for i in range(30)]
+    asked = ["uno", "uno", "uno uno", '"uno dos"', "uno dos tres", "uno or tres", "uno -tres", 'dos "tres uno" -"x x"', "zzz", "or"]
+    got = lexical.text_topk(spark.createDataFrame(list(enumerate(asked)), "query_id int, query_text string"), lexical.token_rows(spark.createDataFrame(docs, "id int, content string")), 50)
+    want = []
+    for q, t in enumerate(asked):
+        p = lexical.parsed_query(t)
+        scores = []
+        for i, text in docs:
+            held = {}
+            for at, w in enumerate(text.split(), 1):
+                held.setdefault(w, []).append(at)
+            s = lexical._rank(p["groups"], p["excluded"], list(held), list(held.values()))
+            if s is not None:
+                scores.append((-round(s, 9), i))
+        want += [(q, i, n + 1) for n, (_, i) in enumerate(sorted(scores))]
+    assert rows(got.withColumn("text_rank", F.round("text_rank", 9)), "query_id", "id") == sorted([(q, i) for q, i, _ in want], key=str)
+    assert {r.rank for r in got.filter("query_id = 0").collect()} == set(range(1, 1 + sum(q == 0 for q, *_ in want)))

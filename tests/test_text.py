@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lorebank.functions import packing as p
 from lorebank.functions import text as t
+from lorebank.operators import quality
 
 
 def one(spark, expr, **values):
@@ -108,3 +109,15 @@ def test_pieces_hold_everything_but_blanks(text, limit):
 def test_unpack(spark):
     df = spark.createDataFrame([(1, 1, " b "), (1, 0, "a"), (2, 0, "c")], "d int, p int, t string")
     assert {(r.d, r.t) for r in p.unpack(df, "d", "p", "t").collect()} == {(1, "a\n\nb"), (2, "c")}
+
+
+def test_a_discarded_translation_is_not_done_any_more(spark):
+    progress = spark.createDataFrame([("a", True), ("b", True), ("c", False), ("d", True)], "episode_id string, transcript boolean")
+    audit = spark.createDataFrame([("a", "ok"), ("b", "discarded"), ("c", "discarded")], "episode_id string, status string")
+    assert sorted(tuple(r) for r in quality.progress_after(progress, audit).collect()) == [("a", True), ("b", False), ("c", False), ("d", True)]
+
+
+def test_titles_and_capitals(spark):
+    assert one(spark, t.extract_section(F.col("v"), t.OVERVIEW_HEADER), v="## DESCRIPCIÓN GENERAL DEL EPISODIO\nuno\n## x") == "uno"
+    blocks = "### \u00a0\nx\n### T\n**QUÉ:** uno dos tres cuatro\n"
+    assert one(spark, t.parse_protocols(F.col("v")), v=blocks)[-1].startswith("T. Que: uno")
