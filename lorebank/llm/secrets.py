@@ -4,14 +4,19 @@ Base matches of three fixed kinds (assignments of credentials, access keys, long
 labelled credentials. For each kind a prefix tree of their formats is built, whose states are merged where
 their counts are statistically compatible (Hoeffding bounds), in the red-blue order; the result is a
 deterministic probabilistic automaton. A format is the string of character classes of a credential: digit,
-upper case, a-f, g-z, and each of the marks. Every other candidate, a maximal run of credential characters
-with a digit, is scored by the likelihood of its format under each automaton, for each character, against
-that of the same length under the classes of ordinary text; those likelier by ``LEAST_GAIN`` are added, as
-kind ``format``.
-
-Grammars are inferred from a bounded sample: at most ``MAX_CREDENTIALS`` of each kind, by hash. All base
-matches and all candidates of every whole text are found and scored. Null and empty texts have none.
-Without base matches there is no grammar and nothing is added. Repeated rows are scanned one by one.
+upper case, a-f, g-z, and each of the marks. A fourth automaton is inferred in the same way from ordinary
+runs: maximal runs of credential characters in texts without a base match. Rates of all states are smoothed
+(half a count for each symbol), and a format that leaves an automaton goes on with the rates of all its states.
+
+Every maximal run of at least ``LEAST_CHARS`` credential characters, other than those that overlap a base
+match, is scored by the likelihood of its format under the automata of credentials against that of ordinary
+runs. With the share of credentials among all runs as the prior, it is added as kind ``format`` where it is a
+credential with a probability of at least ``LEAST_POSTERIOR``.
+
+Grammars are inferred from a bounded sample, by one scan: at most ``MAX_CREDENTIALS`` distinct values of each
+kind and ``MAX_ORDINARY`` ordinary runs, those with the smallest hashes. All base matches and all runs of every
+whole text are counted, found and scored. Null and empty texts have none. Without base matches there is no
+grammar and nothing is added. Repeated rows are scanned one by one.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from math import log, sqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,18 +34,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lorebank.llm.common import blocks, buffers, table, text_of
+from lorebank.llm.scratch import checkpointed
 
 KINDS = ("assign", "access", "hex", "format")
-MAX_CREDENTIALS = 2000
+MAX_CREDENTIALS, MAX_ORDINARY = 2000, 4000
 #: Significance of the merge test.
 ALPHA = 0.05
-#: Shortest candidate, and by how many nats a character it must be likelier as a credential.
-LEAST_CHARS, LEAST_GAIN = 16, 1.0
+#: Shortest run that is scored (as of base credentials), and how probable a credential must be.
+LEAST_CHARS, LEAST_POSTERIOR = 8, 0.99
+#: Formats whose scores a worker remembers.
+MAX_FORMATS = 1_000_000
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST_CHARS)
 _HINTS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 _CHARS = np.zeros(256, bool)
@@ -47,11 +55,14 @@ _CHARS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.
 _HEX_CHARS = np.zeros(256, bool)
 _HEX_CHARS[list(b"0123456789abcdef")] = True
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_CLASS = {**{c: "0" for c in "0123456789"}, **{c: "A" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}, **{c: "a" for c in "abcdef"}, **{c: "z" for c in "ghijklmnopqrstuvwxyz"}}
+_CLASSES = {"0": "0123456789", "A": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "a": "abcdef", "z": "ghijklmnopqrstuvwxyz"}
+_FORMAT = bytes(next((ord(k) for k, members in _CLASSES.items() if chr(b) in members), b) for b in range(256))
+#: Symbols of formats: classes, marks and the end.
+_SYMBOLS = len(_CLASSES) + len("+/_.=-") + 1
 
 
 def format_of(value: str) -> str:
-    return "".join(_CLASS.get(c, c) for c in value)
+    return value.encode().translate(_FORMAT).decode()
 
 
 class Automaton:
@@ -114,41 +125,46 @@ class Automaton:
             else:
                 red.append(p)
                 done.add(p)
-        self.rates = {}
+        smooth = lambda counts: (Counter(counts), log(sum(counts.values()) + 0.5 * _SYMBOLS))
+        total: Counter = Counter()
+        self.states = {}
         for q in red:
-            n = sum(self.count[q].values())
-            self.rates[q] = ({c: log(k / n) for c, k in self.count[q].items()}, {c: p for c, p in self.to[q].items()})
+            total.update(self.count[q])
+            self.states[q] = (*smooth(self.count[q]), dict(self.to[q]))
+        self.other = (*smooth(total), {})
         del self.count, self.to
 
-    def score(self, s: str, miss: float = -6.0) -> float:
-        """Logarithm of the likelihood of a format for each character; ``miss`` for a symbol that a state lacks."""
-        q, total = 0, 0.0
+    def score(self, s: str) -> float:
+        """Logarithm of the likelihood of a format."""
+        (counts, whole, to), out = self.states.get(0, self.other), 0.0
         for c in s:
-            rates, to = self.rates.get(q, ({}, {}))
-            total += rates.get(c, miss)
-            q = to.get(c, q)
-        total += self.rates.get(q, ({}, {}))[0].get(None, miss)
-        return total / (len(s) + 1)
+            out += log(counts[c] + 0.5) - whole
+            counts, whole, to = self.states[to[c]] if c in to else self.other
+        return out + log(counts[None] + 0.5) - whole
 
 
 class Grammar:
-    """Automata of the kinds, and how likely classes are in ordinary runs of characters."""
+    """Automata of the kinds and of ordinary runs; credentials and runs: how many there are."""
 
-    def __init__(self, credentials: dict[str, list[str]]):
-        self.automata = {k: Automaton(sorted(format_of(v) for v in values)) for k, values in credentials.items() if values}
-        # Ordinary runs are words, nearly all lower-case, or numbers with points and dashes.
-        self.plain = [
-            ({"a": log(0.3), "z": log(0.6), "A": log(0.03)}, log(0.01)),
-            ({"0": log(0.9), ".": log(0.04), "-": log(0.04)}, log(0.002)),
-        ]
+    def __init__(self, samples: dict[str, list[str]], ordinary: list[str], credentials: int, runs: int):
+        self.automata = [Automaton(sorted(format_of(v) for v in values)) for values in samples.values() if values]
+        self.ordinary = Automaton(sorted(format_of(v) for v in ordinary))
+        self.least = log(max(1, runs) / max(1, credentials)) + log(LEAST_POSTERIOR / (1 - LEAST_POSTERIOR))
+        self.known: dict[bytes, bool] = {}
 
     def gain(self, value: str) -> float:
-        """By how much a value is likelier as a credential."""
-        if not self.automata:
-            return float("-inf")
+        """Logarithm of how many times likelier a value's format is as a credential."""
         f = format_of(value)
-        ordinary = max(sum(rates.get(c, rare) for c in f) for rates, rare in self.plain) / (len(f) + 1)
-        return max(a.score(f) for a in self.automata.values()) - ordinary
+        return max((a.score(f) for a in self.automata), default=-float("inf")) - self.ordinary.score(f)
+
+    def is_credential(self, form: bytes) -> bool:
+        """Whether a run of that format is one."""
+        known = self.known.get(form)
+        if known is None:
+            if len(self.known) >= MAX_FORMATS:
+                self.known.clear()
+            known = self.known[form] = self.gain(form.decode()) >= self.least
+        return known
 
 
 def base_matches(text: str) -> list[tuple[int, int, int, str]]:
@@ -169,16 +185,12 @@ def _runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray
     return a[long], b[long]
 
 
-def _suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marks texts that may hold a base match, and those with a candidate run that has a digit."""
-    n = len(offsets) - 1
-    base, other = np.zeros(n, bool), np.zeros(n, bool)
+def _suspects(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Marks texts that may hold a base match."""
+    base = np.zeros(len(offsets) - 1, bool)
     owner = lambda at: np.searchsorted(offsets, at, side="right") - 1
     a, _ = _runs(_HEX_CHARS[data], offsets, 32)
     base[owner(a)] = True
-    a, b = _runs(_CHARS[data], offsets, LEAST_CHARS)
-    digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
-    other[owner(a[digits[b] > digits[a]])] = True
     raw = data.tobytes()
     low = raw.translate(_LOWER)
     for hint, where in (*((h, low) for h in _HINTS), (b"AKIA", raw)):
@@ -186,41 +198,82 @@ def _suspects(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
         while at >= 0:
             base[owner(np.array([at]))] = True
             at = where.find(hint, at + 1)
-    return base, other
-
-
-def _scan(texts: pa.Array, grammar: Grammar | None) -> Iterator[list[tuple[int, int, int, str]]]:
-    """All spans of each text, base ones first found, then added ones, by start and kind."""
+    return base
+
+
+class Block:
+    """A block of texts: base matches of each, and all its runs of credential characters by their bytes."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.raw, self.offsets = data.tobytes(), offsets
+        self.base: dict[int, list[tuple[int, int, int, str]]] = {}
+        for i in np.flatnonzero(_suspects(data, offsets)).tolist():
+            if found := base_matches(self.raw[offsets[i] : offsets[i + 1]].decode()):
+                self.base[i] = found
+        start, end = _runs(_CHARS[data], offsets, LEAST_CHARS)
+        owner = np.searchsorted(offsets, start, side="right") - 1
+        self.runs = list(zip(owner.tolist(), start.tolist(), end.tolist()))
+
+    def spans(self, grammar: Grammar) -> dict[int, list[tuple[int, int, int, str]]]:
+        """All spans of the texts that have any: base ones, and added ones that overlap none of them."""
+        out = {i: list(found) for i, found in self.base.items()}
+        if not grammar.automata:
+            return out
+        forms = self.raw.translate(_FORMAT)
+        for i, a, b in self.runs:
+            if grammar.is_credential(forms[a:b]):
+                s = len(self.raw[self.offsets[i] : a].decode())
+                e = s + b - a
+                if not any(x < e and s < y for x, _, y, _ in self.base.get(i, ())):
+                    out.setdefault(i, []).append((s, 3, e, self.raw[a:b].decode()))
+        return {i: sorted(found) for i, found in out.items()}
+
+
+def _read(texts: pa.Array) -> Iterator[tuple[int, Block]]:
+    """Blocks of texts, each with its number of texts."""
     data, offsets = buffers(texts)
     for a, b in blocks(offsets):
-        own = data[offsets[a] : offsets[b]]
-        at = offsets[a : b + 1] - offsets[a]
-        base, other = _suspects(own, at)
-        for i in range(b - a):
-            if not base[i] and not (other[i] and grammar):
-                yield []
-                continue
-            text = own[at[i] : at[i + 1]].tobytes().decode()
-            spans = base_matches(text) if base[i] else []
-            if grammar and other[i]:
-                taken = [(s, e) for s, _, e, _ in spans]
-                for m in _CANDIDATE.finditer(text):
-                    if any(c in "0123456789" for c in m[0]) and not any(s < m.end() and m.start() < e for s, e in taken) and grammar.gain(m[0]) >= LEAST_GAIN:
-                        spans.append((m.start(), 3, m.end(), m[0]))
-                spans.sort()
-            yield spans
-
-
-_FOUND = T.ArrayType(T.StructType().add("kind", T.IntegerType()).add("value", T.StringType()))
+        yield b - a, Block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+
+
 _SPANS = T.StructType().add("n_assign", T.LongType()).add("n_access", T.LongType()).add("n_hex", T.LongType()).add("n_format", T.LongType()).add("base_spans", T.StringType()).add("spans", T.StringType())
 
 
-@F.arrow_udf(_FOUND)
-def credentials(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    """Base credentials of each text."""
-    kind = pa.list_(pa.struct([("kind", pa.int32()), ("value", pa.string())]))
-    for texts in batches:
-        yield pa.array([[{"kind": k, "value": v} for _, k, _, v in spans] for spans in _scan(texts, None)], kind)
+class _Sample:
+    """The distinct values with the smallest hashes, and how many values came."""
+
+    def __init__(self, limit: int):
+        self.limit, self.bar, self.n, self.held = limit, 1 << 32, 0, {}
+
+    def add(self, value: bytes) -> None:
+        self.n += 1
+        h = crc32(value)
+        if h < self.bar:
+            self.held[value] = h
+            if len(self.held) > 2 * self.limit:
+                self.held = dict(sorted(self.held.items(), key=lambda x: (x[1], x[0]))[: self.limit])
+                self.bar = max(self.held.values()) + 1
+
+
+def _sample_task(limits: list[int]):
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = [_Sample(n) for n in limits]
+        for batch in batches:
+            for _, block in _read(batch["text"]):
+                for found in block.base.values():
+                    for _, kind, _, value in found:
+                        samples[kind].add(value.encode())
+                for i, a, b in block.runs:
+                    if i not in block.base:
+                        samples[3].add(block.raw[a:b])
+        for kind, sample in enumerate(samples):
+            values, hashes = list(sample.held), list(sample.held.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([kind] * (len(values) + 1), pa.int32()), pa.array([*(v.decode() for v in values), None], pa.string()), pa.array([*hashes, None], pa.int64()), pa.array([0] * len(values) + [sample.n], pa.int64())],
+                ["kind", "value", "hash", "n"],
+            )
+
+    return task
 
 
 def spans_udf(grammar: Grammar, spark: SparkSession):
@@ -228,9 +281,13 @@ def spans_udf(grammar: Grammar, spark: SparkSession):
 
     @F.arrow_udf(_SPANS)
     def spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        grammar = shared.value
         said = lambda found: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in found)
         for texts in batches:
-            rows = list(_scan(texts, shared.value))
+            rows: list[list[tuple[int, int, int, str]]] = []
+            for n, block in _read(texts):
+                found = block.spans(grammar)
+                rows += [found.get(i, []) for i in range(n)]
             counts = [pa.array([sum(k == kind for _, k, _, _ in r) for r in rows], pa.int64()) for kind in range(4)]
             base = pa.array([said([x for x in r if x[1] < 3]) for r in rows], pa.string())
             yield pa.StructArray.from_arrays([*counts, base, pa.array([said(r) for r in rows], pa.string())], ["n_assign", "n_access", "n_hex", "n_format", "base_spans", "spans"])
@@ -238,14 +295,17 @@ def spans_udf(grammar: Grammar, spark: SparkSession):
     return spans
 
 
-def infer(docs: DataFrame, limit: int = MAX_CREDENTIALS) -> Grammar:
-    """Grammars from at most ``limit`` distinct credentials of each kind: those with the smallest hashes."""
-    found = docs.select(F.explode(credentials(text_of("text"))).alias("c")).select("c.kind", "c.value").distinct()
-    out: dict[str, list[str]] = {}
-    for i, kind in enumerate(KINDS[:3]):
-        rows = found.filter(F.col("kind") == i).orderBy(F.xxhash64("value"), "value").limit(limit).collect()
-        out[kind] = [r.value for r in rows]
-    return Grammar(out)
+def infer(docs: DataFrame, limit: int = MAX_CREDENTIALS, ordinary: int = MAX_ORDINARY) -> Grammar:
+    """Grammars from at most ``limit`` distinct credentials of each kind and so many ordinary runs. Each task sends a bounded sample."""
+    limits = [limit] * 3 + [ordinary]
+    found = checkpointed(docs.select(text_of("text").alias("text")).mapInArrow(_sample_task(limits), "kind int, value string, hash bigint, n bigint"))
+    n = {r.kind: r.n for r in found.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    values = []
+    for kind, most in enumerate(limits):
+        rows = found.filter((F.col("kind") == kind) & F.col("value").isNotNull()).select("hash", "value").distinct().orderBy("hash", "value").limit(most).collect()
+        values.append([r.value for r in rows])
+    credentials = sum(n.get(kind, 0) for kind in range(3))
+    return Grammar(dict(zip(KINDS, values[:3])), values[3], credentials, credentials + n.get(3, 0))
 
 
 def secrets(docs: DataFrame, grammar: Grammar | None = None) -> DataFrame:
