@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorebank.functions import packing, text
+from lorebank.jobs import files
 from lorebank.jobs.tables import brand_table, kb_table, query_table, source_number, summaries, table, transcripts, translations
 from lorebank.operators import catalog, chunking, citations, evaluate, hybrid, kb, lexical, quality, search, vector, worklist
+from lorebank.sources import io
 from lorebank.streaming import jobs as streaming
 
 
@@ -674,13 +676,26 @@ def smalltalk(spark: SparkSession, sf_dir: str) -> DataFrame:
 SMALLTALK = "SELECT conv_id, turn, conv_id % 4 = 0 AS small FROM conversations"
 
 
+def eval_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run as it is stored and read again, with the questions' texts and the episodes that were found."""
+    golden, retrieved, _ = _judged(spark, sf_dir)
+    asked = query_table(spark, sf_dir).select("query_id", F.col("query_text").alias("question"))
+    path = files.scratch(spark)
+    io.write_eval_run(spark, evaluate.judge(golden.join(asked, "query_id"), retrieved), retrieved, path, "vector", 8, 17)
+    return io.read_eval_runs(spark, path).select("mode", "query_id", "type", "question", "hit", "rank", F.size("got").alias("got"))
+
+
+EVAL_RUNS = _JUDGED + r"""SELECT 'vector' AS mode, j.query_id::VARCHAR AS query_id, type, coalesce(regexp_extract(lower(text), '([\p{L}\p{N}_]+)', 1), '') AS question, hit, rank::INT AS rank, n.got::INT AS got
+FROM j LEFT JOIN documents ON doc_id = query_id JOIN (SELECT query_id, count(*) AS got FROM f GROUP BY 1) n ON n.query_id = j.query_id"""
+
+
 QUERIES = {
     "kb_shape": kb_shape, "summary_rows": summary_rows, "kb_stats": kb_stats, "slugify": slugify, "resolve_brand": resolve_brand, "upsert": upsert, "append_lot": append_lot, "deactivate": deactivate, "coverage": coverage,
     "vector_topk": vector_topk, "ivf_topk": ivf_topk, "ivf_recall": ivf_recall, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "hybrid_rrf": hybrid_rrf, "hybrid_tenants": hybrid_tenants, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
     "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
     "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "verify": verify,
     "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
-    "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk,
+    "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk, "eval_runs": eval_runs, **files.QUERIES,
 }
 
 ORACLE_SQL = {
@@ -692,5 +707,6 @@ ORACLE_SQL = {
     "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "pack_lines": PACK_LINES, "bisect": BISECT, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "verify": VERIFY,
     "repeated_text": REPEATED_TEXT, "ad_rule_report": AD_RULE_REPORT, "pending": PENDING, "bucket_load": _PENDING + "SELECT idx % 7 AS bucket, count(*) AS load FROM p GROUP BY 1",
     "episode_catalog": EPISODE_CATALOG, "compile": COMPILE_DOCS, "video_map": VIDEO_MAP, "citations": CITED, "answers": ANSWERS,
-    "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK,
+    "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK, "eval_runs": EVAL_RUNS, **files.ORACLE_SQL,
+    "chunk_files": CHUNK_SECTIONS.replace("conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title", "conv_id::INT AS episode_number").replace("ts_end AS timestamp_end, sec::BIGINT AS seconds, ", ""),
 }

@@ -15,6 +15,8 @@ QUESTION = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("type", T.StringType()), T.StructField("question", T.StringType()),
     T.StructField("expected_episodes", T.ArrayType(T.IntegerType())), T.StructField("expected_keywords", T.ArrayType(T.StringType())), T.StructField("notes", T.StringType()),
 ])
+#: Questions of a run that is stored as one document.
+MAX_QUESTIONS = 100_000
 RESULT = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("type", T.StringType()), T.StructField("question", T.StringType()), T.StructField("hit", T.BooleanType()),
     T.StructField("rank", T.IntegerType()), T.StructField("topScore", T.DoubleType()), T.StructField("gotEpisodes", T.ArrayType(T.IntegerType())),
@@ -53,9 +55,10 @@ def read_keyed_json(spark: SparkSession, path: str, value_schema: str) -> DataFr
 
 
 def read_chunks(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A JSON array of objects a file, or a line each."""
+    """A JSON array of objects a file, or an object a line: the first character of the first file tells which."""
+    start = spark.read.text(path).filter(F.trim("value") != "").first()
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.json(path, multiLine=True)
+    return reader.json(path, multiLine=start is not None and start.value.lstrip().startswith("["))
 
 
 def write_chunks(df: DataFrame, path: str) -> None:
@@ -79,9 +82,11 @@ def read_golden(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_eval_run(spark: SparkSession, judged: DataFrame, retrieved: DataFrame, folder: str, mode: str, top_k: int, stamp: int) -> str:
-    """One file a run, with its mode and time in the name of its folder; rows are questions, at most a few thousand."""
+    """One file a run, with its mode and time in the name of its folder. A run is one JSON document: at most ``MAX_QUESTIONS``."""
     from lorebank.operators.evaluate import eval_summary
 
+    if judged.limit(MAX_QUESTIONS + 1).count() > MAX_QUESTIONS:
+        raise ValueError(f"a stored run has at most {MAX_QUESTIONS} questions: write its tables as Parquet instead")
     got = retrieved.groupBy("query_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "episode"))), lambda r: r["episode"]).alias("gotEpisodes"))
     each = judged.join(got, "query_id", "left").select(F.struct(F.col("query_id").alias("id"), "type", *([F.col("question")] if "question" in judged.columns else [F.lit(None).cast("string").alias("question")]), "hit", "rank", F.col("top_score").alias("topScore"), "gotEpisodes").alias("r"))
     whole = each.agg(F.sort_array(F.collect_list("r")).alias("results")).crossJoin(eval_summary(judged))  # two single rows

@@ -68,3 +68,11 @@ def test_chunk_collection_and_documents(spark, tmp_path):
     io.write_episode_docs(docs, f"{tmp_path}/docs")
     assert spark.read.json(f"{tmp_path}/docs/index").select(F.length("summary_en").alias("n")).first().n == 5000
     assert spark.read.json(f"{tmp_path}/docs/episodes").count() == 1
+
+
+def test_chunks_round_trip_and_arrays(spark, tmp_path):
+    rows = spark.range(20).select(F.col("id").cast("string").alias("id"), F.lit("x\ny [z").alias("content"))
+    io.write_chunks(rows.coalesce(2), f"{tmp_path}/lines")
+    assert sorted(tuple(r) for r in io.read_chunks(spark, f"{tmp_path}/lines", rows.schema).collect()) == sorted(tuple(r) for r in rows.collect())
+    (tmp_path / "array.json").write_text(json.dumps([{"id": "1", "content": "a"}, {"id": "2", "content": None}], indent=1))
+    assert sorted((r.id, r.content) for r in io.read_chunks(spark, f"{tmp_path}/array.json").collect()) == [("1", "a"), ("2", None)]
