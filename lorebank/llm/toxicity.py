@@ -7,8 +7,8 @@ the ordinary one too. A window's distance is how much shorter it gets with the t
 length that is left it picks a cell, whose log odds were learned. The three highest log odds of a document's
 distinct words and its length give the score, by a logistic curve.
 
-Fitting uses a bounded sample of labelled rows (``MAX_TOXIC`` and ``MAX_ORDINARY`` rows by hash of doc_id,
-texts of at most ``MAX_SAMPLE_BYTES``): one half trains the dictionaries, the other the cells and the curve.
+Fitting uses a bounded sample of labelled rows (``MAX_TOXIC`` and ``MAX_ORDINARY`` rows by hash of doc_id, whole
+texts of any length, of each kind as many as fit into ``MAX_SAMPLE_BYTES``): one half trains the dictionaries, the other the cells and the curve.
 Scoring compresses every distinct word of every whole text; a worker keeps the odds of words it has met.
 
 Null and empty texts have no windows and get the score of such a document. Without labels of both kinds,
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lorebank.llm.common import Words, blocks, buffers, table, text_of
 
-MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 1500, 3000, 16_000
+MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 1500, 3000, 32 << 20
 DICTIONARY_BYTES = 4096
 CUT = 0.3
 #: Documents of the sample in which a toxic word occurs, and how many times likelier it is there.
@@ -204,8 +204,14 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> list[tuple[int, str, i
     for y, limit in ((1, MAX_TOXIC), (0, MAX_ORDINARY)):
         ids = [r.doc_id for r in marks.filter(F.col("y") == y).orderBy(order, "doc_id").limit(limit).collect()]
         if ids:
-            rows = docs.filter(F.col("doc_id").isin(ids)).select("doc_id", text_of("text").alias("text")).filter(F.octet_length("text") <= MAX_SAMPLE_BYTES)
-            out += [(r.doc_id, r.text, y) for r in rows.orderBy("doc_id").limit(limit).collect()]
+            rows = docs.filter(F.col("doc_id").isin(ids)).select("doc_id", text_of("text").alias("text"))
+            sizes = rows.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("size")).collect()
+            fits, total = [], 0
+            for r in sorted(sizes, key=lambda r: (zlib.crc32(b"%d" % r.doc_id), r.doc_id)):
+                if total + r.size <= MAX_SAMPLE_BYTES:
+                    total += r.size
+                    fits.append(r.doc_id)
+            out += [(r.doc_id, r.text, y) for r in rows.filter(F.col("doc_id").isin(fits)).orderBy("doc_id").limit(limit).collect()]
     return out
 
 
