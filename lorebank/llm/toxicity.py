@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lorebank.llm.common import Words, blocks, buffers, table, text_of
 
-MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 1500, 3000, 32 << 20
+MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 1500, 3000, 6 << 20
 DICTIONARY_BYTES = 4096
 CUT = 0.3
 #: Documents of the sample in which a toxic word occurs, and how many times likelier it is there.
