@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lorebank.llm.common import Words, blocks, buffers, table, text_of
 
-MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 1500, 3000, 6 << 20
+MAX_TOXIC, MAX_ORDINARY, MAX_SAMPLE_BYTES = 1500, 3000, 12 << 20
 DICTIONARY_BYTES = 4096
 CUT = 0.3
 #: Documents of the sample in which a toxic word occurs, and how many times likelier it is there.
@@ -166,8 +166,8 @@ def fit(sample: list[tuple[int, str, int]]) -> Model:
     prior = sum(y for *_, y in sample) / len(sample) if sample else 0.0
     sample = sorted(sample)
     half = [zlib.crc32(b"half" + str(i).encode()) % 2 for i, *_ in sample]
-    words = _words_of([t for _, t, _ in sample])
-    own = [(w, y) for w, (*_, y), h in zip(words, sample, half) if h]
+    first = [(t, y) for (_, t, y), h in zip(sample, half) if h]
+    own = list(zip(_words_of([t for t, _ in first]), (y for _, y in first)))
     n_toxic = sum(y for _, y in own)
     n_ordinary = len(own) - n_toxic
     if not n_toxic or not n_ordinary or not any(y for (*_, y), h in zip(sample, half) if not h):
