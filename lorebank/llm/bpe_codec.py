@@ -7,8 +7,8 @@ a chunk may be cut short and are not trusted. Where an overlap holds no common b
 the left chunk is matched on from its last trusted boundary. Then each piece is encoded by merging, lowest
 rank first, and pieces' ids are joined. Decoding looks up the bytes of each id and joins them.
 
-Null counts as empty: no ids, and the hash of no bytes. Every row is encoded whole, on its own; there is no
-shuffle. Special strings inside a text are ordinary text.
+Null counts as empty: no ids, and the hash of no bytes. Every row is encoded whole, on its own, whatever its
+doc_id (null too) and however often it stands there; there is no shuffle. Special strings inside a text are ordinary text.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ weights and k cover all documents. Noise is a function of doc_id, so a repeated
 
 Null and empty texts have weight 0. Without good labels the target model is the raw one: all weights are
 0 and every document stays; so does every document where no label is bad. Labels that are null are ignored;
-repeated labels count once, the lowest holds. Repeated rows of documents get the same weight and noise.
+repeated labels count once, the lowest holds. Repeated rows of documents get the same weight and noise; rows
+of null doc_id have no label, and noise in common.
 """
 
 from __future__ import annotations

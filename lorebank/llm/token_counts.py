@@ -12,7 +12,7 @@ Two deterministic transducers are compiled from a byte-level BPE tokenizer file:
   number of tokens that it adds (or takes back). States are compiled when first met and kept by the worker.
 
 Null counts as empty (0 tokens). A special string in a text is one token, as the library has it by default.
-No truncation; texts of any length; repeated rows are counted one by one. No shuffle.
+No truncation; texts of any length; repeated rows and rows of null doc_id are counted one by one. No shuffle.
 """
 
 from __future__ import annotations

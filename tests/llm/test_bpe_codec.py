@@ -58,3 +58,8 @@ def test_round_trip_through_columns(spark):
     docs = rows()
     back = frame(spark, docs).select("doc_id", "text", b.decode_udf(*args)(b.encode_udf(*args)("text")).alias("bytes")).collect()
     assert all(bytes(r.bytes).decode() == (r.text or "") for r in back)
+
+
+def test_null_ids_and_repeated_rows(spark):
+    got = b.coded(frame(spark, [(None, "one two", "en", "s", 0), (None, "one two", "en", "s", 0), (None, None, None, None, None)])).collect()
+    assert len(got) == 3 and len({(r.n_tokens, r.ids_sha256) for r in got}) == 2 and all(r.doc_id is None for r in got)

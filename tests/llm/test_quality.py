@@ -68,3 +68,13 @@ def test_kth_largest(spark, k):
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
     assert quality.kth_largest(df, "x", k, width=7) == sorted(values, reverse=True)[k - 1]
     assert df.filter(F.col("x") >= quality.kth_largest(df, "x", k)).count() >= k
+
+
+def test_null_ids(spark, corpus):
+    docs, labels = corpus
+    some = [(None, docs[0][1], "en", "s", 0), (None, docs[-1][1], "en", "s", 0), (None, None, None, None, None)]
+    df, marks = frame(spark, docs + some), frame(spark, labels, LABELS)
+    out = quality.selected(df, marks).filter("doc_id is null").collect()
+    assert len(out) == 3 and sorted(r.log_weight for r in out)[0] < 0
+    kept = quality.select_documents(df, marks).filter("doc_id is null").collect()
+    assert len(kept) == sum(r.kept for r in out) < 3

@@ -48,3 +48,8 @@ def test_documents(spark, tokenizer):
         n = len(tokenizer.encode(text[r.doc_id], add_special_tokens=False).ids)
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(text[r.doc_id].encode()), n, n > 512)
     assert token_counts(frame(spark, [], SCHEMA, 1)).count() == 0
+
+
+def test_null_ids_and_repeated_rows(spark):
+    got = token_counts(frame(spark, [(None, "one two", "en", "s", 0), (None, "one two", "en", "s", 0), (None, None, None, None, None)])).collect()
+    assert len(got) == 3 and sorted(r.n_tokens for r in got)[0] == 0 and all(r.doc_id is None for r in got)
