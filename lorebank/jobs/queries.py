@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lorebank.functions import packing, text
+from lorebank.functions import packing, spanish, text
 from lorebank.jobs import files
 from lorebank.jobs.tables import brand_table, kb_table, query_table, source_number, summaries, table, transcripts, translations
 from lorebank.operators import catalog, chunking, citations, evaluate, hybrid, kb, lexical, quality, search, vector, worklist
@@ -201,11 +201,49 @@ SELECT query_id, id, text_rank, rank FROM (
 
 
 def text_topk_spanish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").filter("lang = 'es'")
+    docs = table(spark, sf_dir, "documents")
     queries = docs.filter(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), F.array_join(F.slice(F.split("text", r"\s+"), 1, 2), " ").alias("query_text"))
     return lexical.text_topk(queries, lexical.token_rows(docs, "spanish", "doc_id", "text"), 50, "spanish")
 
 
+def spanish_stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct word of all documents: its Spanish stem and how often it occurs."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("word"))
+    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).select("word", lexical.stemmed(F.array("word"))[0].alias("stem"), "n")
+
+
+def _spanish_sql() -> str:
+    """The stemmer's rules, a table a step: regions, attached pronouns, nouns, verbs, the rest."""
+    one_of = lambda words: "(?:" + words.replace(" ", "|") + ")$"
+    listed = lambda words: ", ".join(f"'{w}'" for w in words.split())
+    v, c, plain = "[aeiouáéíóúü]", "[^aeiouáéíóúü]", lambda x: f"translate({x}, 'áéíóú', 'aeiou')"
+    nouns = f"{spanish.PLAIN} {spanish.AFTER_IC} logía logías ución ucion uciones encia encias amente mente idad idades iva ivo ivas ivos"
+    return rf"""
+WITH words AS (SELECT word, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+')) AS word FROM documents) GROUP BY 1),
+a AS (SELECT word, n, length(word) AS len, length(regexp_extract(word, '^(?:{v}{v}+{c}|.{c}+{v}|{c}{v}.)')) AS v0, length(regexp_extract(word, '^{c}*{v}+{c}')) AS a0 FROM words),
+b AS (SELECT word, n, if(v0 = 0, len, v0) AS rv, if(a0 = 0, len, a0) AS r1, len FROM a),
+c AS (SELECT *, length(regexp_extract(substring(word, r1 + 1), '^{c}*{v}+{c}')) AS b0 FROM b),
+d AS (SELECT word, n, rv, r1, if(b0 = 0, len, r1 + b0) AS r2, regexp_extract(word, '{one_of(spanish.PRONOUNS)}') AS pronoun FROM c),
+e AS (SELECT *, left(word, length(word) - length(pronoun)) AS host FROM d),
+f AS (SELECT *, regexp_extract(host, '{one_of(spanish.BEFORE_PRONOUNS)}') AS ending FROM e),
+g AS (SELECT word, n, rv, r1, r2, CASE WHEN pronoun <> '' AND ending <> '' AND length(host) - length(ending) + (ending = 'uyendo')::INT >= rv
+  THEN left(host, length(host) - length(ending)) || {plain('ending')} ELSE word END AS w FROM f),
+h AS (SELECT *, regexp_extract(w, '{one_of(nouns)}') AS noun FROM g),
+i AS (SELECT *, left(w, length(w) - length(noun)) AS base, noun <> '' AND length(w) - length(noun) >= if(noun = 'amente', r1, r2) AS is_noun FROM h),
+j AS (SELECT *, regexp_extract(base, CASE WHEN noun IN ({listed(spanish.AFTER_IC)}) THEN 'ic$' WHEN noun = 'amente' THEN '(?:iv|os|ic|ad)$' WHEN noun = 'mente' THEN '(?:ante|able|ible)$'
+  WHEN noun IN ('idad', 'idades') THEN '(?:abil|ic|iv)$' WHEN noun IN ('iva', 'ivo', 'ivas', 'ivos') THEN 'at$' ELSE 'xx$' END) AS more FROM i),
+k AS (SELECT *, if(more <> 'xx' AND length(base) - length(more) >= r2, left(base, length(base) - length(more)), base) AS less FROM j),
+l AS (SELECT *, if(noun = 'amente' AND more = 'iv' AND less <> base AND less LIKE '%at' AND length(less) - 2 >= r2, left(less, length(less) - 2), less) AS least,
+  CASE WHEN noun LIKE 'log%' THEN 'log' WHEN noun IN ('ución', 'ucion', 'uciones') THEN 'u' WHEN noun LIKE 'encia%' THEN 'ente' ELSE '' END AS put FROM k),
+m AS (SELECT *, regexp_extract(substring(w, rv + 1), '{one_of(spanish.Y_VERBS)}') AS y, regexp_extract(substring(w, rv + 1), '{one_of(spanish.GU_VERBS + " " + spanish.VERBS)}') AS verb FROM l),
+o AS (SELECT word, n, rv, CASE WHEN is_noun THEN least || put WHEN y <> '' AND left(w, length(w) - length(y)) LIKE '%u' THEN left(w, length(w) - length(y))
+  WHEN verb IN ({listed(spanish.GU_VERBS)}) AND left(w, length(w) - length(verb)) LIKE '%gu' THEN left(w, length(w) - length(verb) - 1) ELSE left(w, length(w) - length(verb)) END AS w FROM m),
+p AS (SELECT *, regexp_extract(substring(w, rv + 1), '{one_of(spanish.REST)}') AS rest FROM o),
+q AS (SELECT *, left(w, length(w) - length(rest)) AS cut FROM p)
+SELECT word, {plain("if(rest IN ('e', 'é') AND cut LIKE '%gu' AND length(cut) - 1 >= rv, left(cut, length(cut) - 1), cut)")} AS stem, n FROM q
+"""
+
+
 def _hybrid(spark, sf_dir, **options):
     base = kb_table(spark, sf_dir)
     tokens = lexical.token_rows(base.filter("active"), id_col="id", text_col="content")
@@ -691,7 +729,7 @@ FROM j LEFT JOIN documents ON doc_id = query_id JOIN (SELECT query_id, count(*)
 
 QUERIES = {
     "kb_shape": kb_shape, "summary_rows": summary_rows, "kb_stats": kb_stats, "slugify": slugify, "resolve_brand": resolve_brand, "upsert": upsert, "append_lot": append_lot, "deactivate": deactivate, "coverage": coverage,
-    "vector_topk": vector_topk, "ivf_topk": ivf_topk, "ivf_recall": ivf_recall, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "hybrid_rrf": hybrid_rrf, "hybrid_tenants": hybrid_tenants, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
+    "vector_topk": vector_topk, "ivf_topk": ivf_topk, "ivf_recall": ivf_recall, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "spanish_stems": spanish_stems, "hybrid_rrf": hybrid_rrf, "hybrid_tenants": hybrid_tenants, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
     "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
     "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "verify": verify,
     "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
@@ -700,7 +738,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "kb_shape": KB_SHAPE, "summary_rows": SUMMARY_ROWS, "kb_stats": KB_STATS, "slugify": SLUGIFY, "resolve_brand": RESOLVE_BRAND, "upsert": UPSERT, "append_lot": APPEND_LOT, "deactivate": DEACTIVATE, "coverage": COVERAGE,
-    "vector_topk": VECTOR_TOPK, "text_topk": TEXT_TOPK, "ivf_recall": IVF_RECALL, "hybrid_rrf": HYBRID_RRF, "hybrid_tenants": HYBRID_TENANTS, "hybrid_legacy": HYBRID_LEGACY, "allocate_slots": SLOTS, "rerank": RERANK, "keyword_search": KEYWORD_SEARCH,
+    "vector_topk": VECTOR_TOPK, "text_topk": TEXT_TOPK, "spanish_stems": _spanish_sql(), "ivf_recall": IVF_RECALL, "hybrid_rrf": HYBRID_RRF, "hybrid_tenants": HYBRID_TENANTS, "hybrid_legacy": HYBRID_LEGACY, "allocate_slots": SLOTS, "rerank": RERANK, "keyword_search": KEYWORD_SEARCH,
     "judged": _JUDGED + "SELECT query_id, type, hit, rank, round(top_score, 6) AS top_score FROM j", "eval_summary": _JUDGED + f"SELECT {_MEASURES} FROM j",
     "eval_by_type": _JUDGED + f"SELECT coalesce(type, 'all') AS type, {_MEASURES} FROM j GROUP BY ROLLUP (type)", "rank_histogram": _JUDGED + "SELECT rank, count(*) AS questions FROM j WHERE hit GROUP BY 1",
     "context_precision": CONTEXT_PRECISION, "keyword_coverage": KEYWORD_COVERAGE, "run_diff": RUN_DIFF, "same_runs": SAME_RUNS,

@@ -8,7 +8,6 @@ no smaller such span; each counts 0.1 / (1 + positions in it that are not needed
 from __future__ import annotations
 
 import re
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -16,34 +15,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lorebank.functions.spanish import stem, stop_words
+
 WEIGHT = 0.1
 _WORD = r"[\p{L}\p{N}_]+"
 
-# Suffixes of Spanish words, longest first, that the light stemmer takes off: endings of adverbs and nouns, of
-# verbs, and of gender and number.
-_SUFFIXES = ("amientos", "imientos", "amiento", "imiento", "aciones", "uciones", "adoras", "adores", "ancias", "acion", "ucion", "adora", "mente", "idades", "ancia", "ables", "ibles", "istas", "encia", "idad", "able", "ible", "ando", "iendo", "ados", "idos", "adas", "idas", "aron", "ieron", "aban", "ado", "ido", "ada", "ida", "aba", "ar", "er", "ir", "es", "os", "as", "o", "a", "e", "s")
-_UNACCENT = str.maketrans("áéíóúü", "aeiouu")
-STOP_WORDS = frozenset("a al ante con contra como cual cuando de del desde donde e el ella ellas ellos en entre era es esa ese eso esta este esto fue ha han hasta hay la las le les lo los mas me mi muy no nos o para pero por porque que se si sin sobre su sus tambien te tu un una uno y ya yo".split())
-
 
-@cache
-def stem(word: str) -> str:
-    word = word.translate(_UNACCENT)
-    for s in _SUFFIXES:
-        if word.endswith(s) and len(word) - len(s) >= 3:
-            return word[: -len(s)]
-    return word
+def stemmed(words: Column, stop: frozenset[str] = frozenset()) -> Column:
+    """Spanish stems of an array of words in lower case; null for stop words and nulls."""
 
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def stems(column: pd.Series) -> pd.Series:
+        return column.map(lambda ws: None if ws is None else [None if w is None or w in stop else stem(w) for w in ws])
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _stems(words: pd.Series) -> pd.Series:
-    return words.map(lambda ws: None if ws is None else [None if w.translate(_UNACCENT) in STOP_WORDS else stem(w) for w in ws])
+    return stems(words)
 
 
 def tokenize(c: Column, config: str = "plain") -> Column:
     """Terms with positions from 1; stop words of ``spanish`` are left out but count as positions."""
     words = F.regexp_extract_all(F.lower(c), F.lit(_WORD), F.lit(0))
-    terms = words if config == "plain" else _stems(words)
+    terms = words if config == "plain" else stemmed(words, stop_words())
     rows = F.transform(terms, lambda t, i: F.struct(t.alias("term"), (i + 1).alias("pos")))
     return rows if config == "plain" else F.filter(rows, lambda r: r["term"].isNotNull())
 
@@ -63,9 +54,13 @@ def term_table(docs: DataFrame, config: str = "plain", id_col: str = "id", text_
     return gathered(token_rows(docs, config, id_col, text_col))
 
 
-def parsed_query(text: str | None, config: str = "plain") -> dict:
-    """Groups (joined by or) of phrases (all needed), and excluded phrases, of a web-search query."""
-    clean = (lambda w: w) if config == "plain" else (lambda w: None if w.translate(_UNACCENT) in STOP_WORDS else stem(w))
+def parsed_query(text: str | None, config: str = "plain", stop: frozenset[str] | None = None) -> dict:
+    """Groups (joined by or) of phrases (all needed), and excluded phrases, of a web-search query.
+
+    ``stop``: stop words of ``spanish``; on the driver Spark's list by default."""
+    if config != "plain" and stop is None:
+        stop = stop_words()
+    clean = (lambda w: w) if config == "plain" else (lambda w: None if w in stop else stem(w))
     groups, out = [[]], []
     for dash, quoted, word in re.findall(r'(-?)(?:"([^"]*)"|([^\s"]+))', (text or "").lower()):
         if not quoted and word == "or" and not dash:
@@ -82,9 +77,11 @@ QUERY = T.StructType().add("groups", T.ArrayType(_PHRASES)).add("excluded", _PHR
 
 
 def parse_query(c: Column, config: str = "plain") -> Column:
+    stop = frozenset() if config == "plain" else stop_words()
+
     @F.pandas_udf(QUERY)
     def parsed(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parsed_query(t, config) for t in texts], columns=["groups", "excluded"])
+        return pd.DataFrame([parsed_query(t, config, stop) for t in texts], columns=["groups", "excluded"])
 
     return parsed(c)
 

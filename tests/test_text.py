@@ -4,8 +4,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lorebank.functions import packing as p
+from lorebank.functions import spanish
 from lorebank.functions import text as t
-from lorebank.operators import quality
+from lorebank.operators import lexical, quality
 
 
 def one(spark, expr, **values):
@@ -121,3 +122,21 @@ def test_titles_and_capitals(spark):
     assert one(spark, t.extract_section(F.col("v"), t.OVERVIEW_HEADER), v="## DESCRIPCIÓN GENERAL DEL EPISODIO\nuno\n## x") == "uno"
     blocks = "### \u00a0\nx\n### T\n**QUÉ:** uno dos tres cuatro\n"
     assert one(spark, t.parse_protocols(F.col("v")), v=blocks)[-1].startswith("T. Que: uno")
+
+
+# Words and stems of the published sample vocabulary.
+SAMPLE = (
+    "cheque chequ, chequeo cheque, cheques chequ, chetumaleños chetumaleñ, cheyenne cheyenn, chía chi, chiapaneca chiapanec, chiapas chiap, chic chic, chicana chican, chicas chic, chicharrones chicharron, "
+    "chicles chicl, torá tor, tórax torax, torcer torc, toreados tor, toreándolo tor, torear tor, toreara tor, torearlo tor, toreó tore, toreros torer, torio tori, tormentas torment, tornado torn, tornen torn, "
+    "torneos torne, tornillos tornill, torniquete torniquet, torno torn, toronto toront, torpedearon torped, torpeza torpez, torrado torr, torrenciales torrencial, torrente torrent, torreón torreon, torres torr"
+)
+
+
+def test_spanish_stems(spark):
+    pairs = [p.split() for p in SAMPLE.split(", ")]
+    assert [spanish.stem(w) for w, _ in pairs] == [s for _, s in pairs]
+    endings = {"rápidamente": "rapid", "activamente": "activ", "relativamente": "relat", "biología": "biolog", "evolución": "evolu", "paguen": "pag", "sigue": "sig", "distribuyó": "distribu", "siguiéndole": "sigu", "nacionalidad": "nacional", "oso": "oso", "": "", "u": "u"}
+    assert {w: spanish.stem(w) for w in endings} == endings
+    assert {"de", "los", "más", "él"} <= spanish.stop_words() and "gato" not in spanish.stop_words()
+    rows = spark.createDataFrame([("Más gatos, y los GATOS",), ("",), (None,)], "t string").select(lexical.tokenize(F.col("t"), "spanish").alias("t")).collect()
+    assert [None if r.t is None else [(x.term, x.pos) for x in r.t] for r in rows] == [[("gat", 2), ("gat", 5)], [], None]
