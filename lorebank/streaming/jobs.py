@@ -63,11 +63,22 @@ def answer_sources(messages: DataFrame) -> DataFrame:
     return messages.groupBy("user_id").transformWithStateInPandas(LastValue(), "user_id bigint, ts timestamp, value string", "Append", "None")
 
 
-def answer_sources_batch(messages: DataFrame, order: str | None = None) -> DataFrame:
-    """The same over a table: ties in time by ``order``."""
-    w = Window.partitionBy("user_id").orderBy("ts", *([order] if order else [])).rowsBetween(Window.unboundedPreceding, -1)
-    last = F.last(F.when(F.col("kind") == "answer", F.col("value")), True).over(w)
-    return messages.withColumn("value", last).filter(F.col("kind") == "sources")
+def answer_sources_batch(messages: DataFrame, order: str | None = None, span: str = "day") -> DataFrame:
+    """The same over a table: ties in time by ``order``.
+
+    A window sees the messages of one user within one ``span`` only, so that a user with very many is spread over
+    tasks; the last answer of each span, one row, is carried into the later ones. Answers without a value count as none."""
+    at = ["ts", *([order] if order else [])]
+    rows = messages.withColumn("_span", F.date_trunc(span, "ts"))
+    answer = (F.col("kind") == "answer") & F.col("value").isNotNull()
+    last = F.max_by("value", F.when(answer, F.struct(*at))).alias("_last")
+    spans = rows.groupBy("user_id", "_span").agg(last, F.max(F.col("kind") == "sources").alias("_asked"))
+    before = Window.partitionBy("user_id").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    carried = spans.withColumn("_carried", F.last("_last", True).over(before)).filter("_asked").select(F.col("user_id").alias("_user"), F.col("_span").alias("_of"), "_carried")
+    own = F.last(F.when(F.col("kind") == "answer", F.col("value")), True).over(Window.partitionBy("user_id", "_span").orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))
+    found = rows.withColumn("_own", own).filter(F.col("kind") == "sources")
+    out = found.join(carried, F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_span").eqNullSafe(F.col("_of")), "left").withColumn("value", F.coalesce("_own", "_carried"))
+    return out.select(*messages.columns)
 
 
 def last_value(rows: DataFrame, user: str, value: str, order) -> DataFrame:

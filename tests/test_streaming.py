@@ -55,6 +55,18 @@ def test_last_answer(spark, messages, stream):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
 
 
+def test_last_answer_over_days(spark):
+    day = timedelta(days=1)
+    rows = [(1, T0, "answer", "a"), (1, T0 + 2 * day, "sources", None), (1, T0 + 3 * day, "answer", None), (1, T0 + 3 * day, "sources", "x"), (1, T0 + 4 * day, "answer", "b"), (1, T0 + 4 * day, "sources", None)]
+    rows += [(1, T0 + 9 * day, "sources", None), (2, T0, "sources", None), (None, T0, "answer", "n"), (None, T0 + day, "sources", None), (1, None, "sources", None)]
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n int, user_id bigint, ts timestamp, kind string, value string")
+    want = {1: "a", 3: "a", 5: "b", 6: "b", 7: None, 9: "n", 10: None}
+    for span in ("day", "hour", "year"):
+        out = jobs.answer_sources_batch(table, "n", span)
+        assert out.columns == table.columns and {r.n: r.value for r in out.collect()} == want
+    assert jobs.answer_sources_batch(table.limit(0), "n").count() == 0
+
+
 def test_retrieve_for_each_message(spark, messages, stream):
     seen = []
     q = jobs.retrieve_each(stream, lambda b: b.filter("kind = 'sources'").select("message_id"), lambda df, n: seen.extend(r.message_id for r in df.collect())).start()
