@@ -32,8 +32,12 @@ from lorebank.llm.common import blocks, buffers, span_hash, table, text_of
 LIMIT = 512
 #: Characters of a chunk, of which a state map is built.
 CHUNK = 64
+#: Bytes of a span of a long piece, and bytes before it that lead to the state it starts from.
+SPAN, WARM = 256, 64
 #: Compiled counter states after which a worker starts anew.
 MAX_STATES = 100_000
+#: Pairs of tokens that a worker knows to follow one another or not, before it starts afresh.
+MAX_PAIRS = 2_000_000
 #: Pieces with known counts after which a worker starts anew.
 MAX_PIECES = 4_000_000
 
@@ -146,6 +150,8 @@ class Counter:
             spec = json.load(f)
         if spec["model"]["type"] != "BPE" or spec.get("normalizer") or (spec.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
             raise ValueError(f"{path} is not a byte-level BPE tokenizer without normalizer")
+        if odd := [t["content"] for t in spec["added_tokens"] if t.get("single_word") or t.get("lstrip") or t.get("rstrip")]:
+            raise ValueError(f"added tokens that take blanks or whole words only are not counted: {odd}")
         self.special = [t["content"].encode() for t in spec["added_tokens"]]
         chars = self._byte_chars()
         raw = lambda s: bytes(chars[c] for c in s)
@@ -155,7 +161,6 @@ class Counter:
         self.begun = {t[:i] for t in self.tokens for i in range(1, len(t))}
         self.halves = {a + b: (a, b) for a, b in self.rank}
         self.made = {a + b: i for (a, b), i in self.rank.items()}
-        self._fits: dict[tuple[bytes, bytes], bool] = {}
         self.known: list[tuple[np.ndarray, np.ndarray]] = []  # of pieces met before: sorted hashes, counts
         self._reset()
 
@@ -167,6 +172,7 @@ class Counter:
         return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
     def _reset(self) -> None:
+        self._fits: dict[tuple[bytes, bytes], bool] = {}
         root = (b"", (b"",), (0,))
         self.ids, self.states = {root: 0}, [root]
         self.to, self.adds = np.full((1024, 256), -1, np.int32), np.zeros((1024, 256), np.int8)
@@ -240,14 +246,14 @@ class Counter:
                 self.known = []
         return out[back]
 
-    def _run(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """All pieces take one step of the transducer at a time together."""
-        if len(self.states) > MAX_STATES:
-            self._reset()
+    def _steps(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after data[starts[i]:ends[i]] from state entry[i], and what the transitions add up to.
+
+        All take one step of the transducer at a time together."""
         sizes = ends - starts
         order = np.argsort(-sizes, kind="stable")
         begin, sizes = starts[order], sizes[order]
-        state, total = np.zeros(len(order), np.int64), np.zeros(len(order), np.int64)
+        state, total = entry[order], np.zeros(len(order), np.int64)
         alive = np.searchsorted(-sizes, -np.arange(int(sizes[0]) if len(sizes) else 0), side="left")  # longer than j
         for j, k in enumerate(alive.tolist()):
             byte = data[begin[:k] + j].astype(np.int64)
@@ -259,9 +265,29 @@ class Counter:
                 to = self.to.ravel()[at]
             total[:k] += self.adds.ravel()[at]
             state[:k] = to
-        out = np.empty_like(total)
-        out[order] = total
-        return out
+        out = np.empty((2, len(order)), np.int64)
+        out[0, order], out[1, order] = state, total
+        return out[0], out[1]
+
+    def _run(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Tokens of pieces. Long ones are cut into spans that run side by side, each from the state that the bytes
+        before it lead to; where that is not the state in which the span before ended, the span runs again."""
+        if len(self.states) > MAX_STATES or len(self._fits) > MAX_PAIRS:
+            self._reset()
+        cuts = np.maximum(1, -(-(ends - starts) // SPAN))
+        piece = np.repeat(np.arange(len(starts)), cuts)
+        begun = starts[piece] + SPAN * (np.arange(len(piece)) - np.repeat(np.cumsum(cuts) - cuts, cuts))
+        ended = np.minimum(begun + SPAN, ends[piece])
+        entry, _ = self._steps(data, np.maximum(begun - WARM, starts[piece]), begun, np.zeros(len(piece), np.int64))
+        left, added = self._steps(data, begun, ended, entry)
+        while True:
+            off = np.flatnonzero((entry[1:] != left[:-1]) & (piece[1:] == piece[:-1])) + 1
+            if not len(off):
+                break
+            first = off[np.unique(piece[off], return_index=True)[1]]  # what precedes it is right
+            entry[first] = left[first - 1]
+            left[first], added[first] = self._steps(data, begun[first], ended[first], entry[first])
+        return np.bincount(piece, added, len(starts)).astype(np.int64)
 
     def count_texts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each text."""

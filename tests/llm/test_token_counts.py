@@ -1,3 +1,4 @@
+import json
 import random
 
 import public_tokenizers
@@ -5,6 +6,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from lorebank.llm import token_counts as token_counts_module
 from lorebank.llm.common import buffers
 from lorebank.llm.token_counts import Counter, piece_starts, token_counts
 from tests.llm.helpers import SCHEMA, clashing, frame, rows
@@ -25,6 +27,28 @@ def test_counts_are_the_librarys(tokenizer):
     assert Counter(PATH).count_texts(*buffers(pa.array(texts))).tolist() == want
 
 
+@pytest.mark.parametrize("span, warm", [(1, 0), (2, 1), (3, 2), (7, 3), (256, 64)])
+def test_spans_of_long_pieces(tokenizer, monkeypatch, span, warm):
+    monkeypatch.setattr(token_counts_module, "SPAN", span)
+    monkeypatch.setattr(token_counts_module, "WARM", warm)
+    monkeypatch.setattr(token_counts_module, "MAX_PAIRS", 50)  # starts anew between texts
+    rng = random.Random(5)
+    texts = ["", "z" * 1000, "é" * 700, " " * 1001, "!?" * 400, "abcab" * 300, "漢字" * 200]
+    texts += ["".join(rng.choice("abcdeinorst") for _ in range(rng.randrange(900))) for _ in range(30)]
+    want = [len(x.ids) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    own = Counter(PATH)
+    assert own.count_texts(*buffers(pa.array(texts))).tolist() == want
+    assert [own.count_texts(*buffers(pa.array([x])))[0] for x in texts[::-1]] == want[::-1]
+
+
+def test_added_tokens_that_take_blanks_are_refused(tmp_path):
+    spec = json.load(open(PATH, encoding="utf-8"))
+    spec["added_tokens"][0]["lstrip"] = True
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="added tokens"):
+        Counter(str(tmp_path / "t.json"))
+
+
 def test_starts_do_not_depend_on_chunks():
     import numpy as np
     import regex
