@@ -548,6 +548,26 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.audit_summary(quality.audit_translation(pairs))
 
 
+def audit_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Translations of about the right length with other faults, by ``doc_id % 3``: none, all headers lost, a second title."""
+    docs = table(spark, sf_dir, "documents").filter("text is not null").withColumn("flat", F.regexp_replace("text", r"[#\[\]]|---|title:", ""))
+    header = lambda left, right, i: F.lit(f"\n{left}00:0{i}:00{right} Part\n")
+    body = lambda left, right: F.concat(*(x for i in range(4) for x in (header(left, right, i), F.col("flat"))))
+    one, two = F.lit("---\ntitle: one\n---\n"), F.lit("---\ntitle: one\ntitle: two\n---\n")
+    source, kind = F.concat(one, body("## [", "]")), F.col("doc_id") % 3
+    done = F.when(kind == 0, source).when(kind == 1, F.concat(one, body("** (", ")"))).otherwise(F.concat(two, body("## [", "]")))
+    pairs = docs.select(F.col("doc_id").alias("episode_id"), source.alias("source"), done.alias("translation"))
+    return quality.audit_translation(pairs).select("episode_id", F.round("ratio", 6).alias("ratio"), "title_count", "header_diff", "status", "reason")
+
+
+AUDIT_REASONS = r"""
+WITH s AS (SELECT doc_id AS episode_id, 19 + 4 * (20 + length(regexp_replace(text, '[#\[\]]|---|title:', '', 'g'))) AS n FROM documents WHERE text IS NOT NULL)
+SELECT episode_id, round(CASE WHEN episode_id % 3 = 2 THEN (n + 11) / n::DOUBLE ELSE 1.0 END, 6) AS ratio, CASE WHEN episode_id % 3 = 2 THEN 2 ELSE 1 END AS title_count,
+  CASE WHEN episode_id % 3 = 1 THEN -4 ELSE 0 END AS header_diff, CASE WHEN episode_id % 3 = 0 THEN 'ok' ELSE 'discarded' END AS status,
+  CASE episode_id % 3 WHEN 1 THEN 'missing headers' WHEN 2 THEN 'ghost title' END AS reason FROM s
+"""
+
+
 def verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verify_structure(*translations(spark, sf_dir))
 
@@ -706,12 +726,19 @@ SELECT event_id, user_id, value FROM (
 """
 
 
+_SAID = ("¡Hola!", "  GRACIAS. ", "hola amigo", "Buenos días", "holaa")
+
+
 def smalltalk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.when(F.col("conv_id") % 4 == 0, F.lit("¡Hola!")).otherwise(F.col("text"))
+    """Every second turn says one of five things, two of which are more than a greeting; the others keep their text."""
+    said = F.when(F.col("turn") % 2 == 0, F.array(*map(F.lit, _SAID))[(F.col("conv_id") % 5).cast("int")]).otherwise(F.col("text"))
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.is_smalltalk(said).alias("small"))
 
 
-SMALLTALK = "SELECT conv_id, turn, conv_id % 4 = 0 AS small FROM conversations"
+SMALLTALK = f"""
+WITH s AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN ({list(_SAID)})[conv_id % 5 + 1] ELSE text END AS said FROM conversations)
+SELECT conv_id, turn, coalesce(translate(lower(trim(said)), 'áéíóú¡!¿?.,', 'aeiou') IN ({", ".join(f"'{w}'" for w in text.SMALL_TALK)}), false) AS small FROM s
+"""
 
 
 def eval_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -731,7 +758,7 @@ QUERIES = {
     "kb_shape": kb_shape, "summary_rows": summary_rows, "kb_stats": kb_stats, "slugify": slugify, "resolve_brand": resolve_brand, "upsert": upsert, "append_lot": append_lot, "deactivate": deactivate, "coverage": coverage,
     "vector_topk": vector_topk, "ivf_topk": ivf_topk, "ivf_recall": ivf_recall, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "spanish_stems": spanish_stems, "hybrid_rrf": hybrid_rrf, "hybrid_tenants": hybrid_tenants, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
     "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
-    "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "verify": verify,
+    "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "audit_reasons": audit_reasons, "verify": verify,
     "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
     "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk, "eval_runs": eval_runs, **files.QUERIES,
 }
@@ -742,7 +769,7 @@ ORACLE_SQL = {
     "judged": _JUDGED + "SELECT query_id, type, hit, rank, round(top_score, 6) AS top_score FROM j", "eval_summary": _JUDGED + f"SELECT {_MEASURES} FROM j",
     "eval_by_type": _JUDGED + f"SELECT coalesce(type, 'all') AS type, {_MEASURES} FROM j GROUP BY ROLLUP (type)", "rank_histogram": _JUDGED + "SELECT rank, count(*) AS questions FROM j WHERE hit GROUP BY 1",
     "context_precision": CONTEXT_PRECISION, "keyword_coverage": KEYWORD_COVERAGE, "run_diff": RUN_DIFF, "same_runs": SAME_RUNS,
-    "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "pack_lines": PACK_LINES, "bisect": BISECT, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "verify": VERIFY,
+    "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "pack_lines": PACK_LINES, "bisect": BISECT, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "audit_reasons": AUDIT_REASONS, "verify": VERIFY,
     "repeated_text": REPEATED_TEXT, "ad_rule_report": AD_RULE_REPORT, "pending": PENDING, "bucket_load": _PENDING + "SELECT idx % 7 AS bucket, count(*) AS load FROM p GROUP BY 1",
     "episode_catalog": EPISODE_CATALOG, "compile": COMPILE_DOCS, "video_map": VIDEO_MAP, "citations": CITED, "answers": ANSWERS,
     "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK, "eval_runs": EVAL_RUNS, **files.ORACLE_SQL,
