@@ -11,6 +11,8 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +26,13 @@ _WORD = r"[\p{L}\p{N}_]+"
 def stemmed(words: Column, stop: frozenset[str] = frozenset()) -> Column:
     """Spanish stems of an array of words in lower case; null for stop words and nulls."""
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def stems(column: pd.Series) -> pd.Series:
-        return column.map(lambda ws: None if ws is None else [None if w is None or w in stop else stem(w) for w in ws])
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def stems(column: pa.Array) -> pa.Array:
+        coded = column.flatten().dictionary_encode()  # each distinct word of a batch is stemmed once
+        own = pa.array([None if w is None or w in stop else stem(w) for w in coded.dictionary.to_pylist()], pa.string())
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, own.take(coded.indices), mask=column.is_null())
 
     return stems(words)
 
