@@ -95,7 +95,7 @@ def stem(word: str) -> str:
 
 @lru_cache(maxsize=1)
 def stop_words() -> frozenset[str]:
-    """Spark's list of Spanish stop words; read on the driver and handed to tasks."""
+    """Spark's list of Spanish stop words; read on the driver, where a session must run, and handed to tasks."""
     from pyspark.ml.feature import StopWordsRemover
 
     return frozenset(StopWordsRemover.loadDefaultStopWords("spanish"))

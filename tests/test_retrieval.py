@@ -48,7 +48,7 @@ def test_cosine(spark):
     assert [r.c if r.c is None else round(r.c, 9) for r in df.select(vector.cosine(F.col("a"), F.col("b")).alias("c")).collect()] == [1.0, 0.0, None]
 
 
-def test_query_syntax():
+def test_query_syntax(spark):  # the stop words are read through the session
     assert lexical.parsed_query('uno "dos tres" or cuatro -cinco -"seis siete"') == {"groups": [[["uno"], ["dos", "tres"]], [["cuatro"]]], "excluded": [["cinco"], ["seis", "siete"]]}
     assert lexical.parsed_query(None) == {"groups": [], "excluded": []} == lexical.parsed_query("or -")
     assert lexical.parsed_query("los gatos", "spanish")["groups"] == [[[lexical.stem("gato")]]]
