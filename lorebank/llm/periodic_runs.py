@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -123,14 +122,14 @@ def _nearest_smaller(x: np.ndarray) -> np.ndarray:
         near[open_] = near[near[open_]]
 
 
-def _borders(length: np.ndarray, first: int, end: int) -> list[int]:
-    """Where the Lempel-Ziv blocks of one text begin, and its end."""
-    step = np.maximum(length[first:end], 1).tolist()
-    out, at = [], 0
-    while at < len(step):
-        out.append(first + at)
+def _borders(length: np.ndarray) -> np.ndarray:
+    """Where the Lempel-Ziv blocks of all texts begin (each text begins one), and the end."""
+    step = np.maximum(length, 1).tolist()
+    out, at, n = [], 0, len(step)
+    while at < n:
+        out.append(at)
         at += step[at]
-    return [*out, end]
+    return np.array([*out, n], np.int64)
 
 
 def _touching(names: Names, before: np.ndarray, border: np.ndarray, after: np.ndarray, first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -149,11 +148,10 @@ def _touching(names: Names, before: np.ndarray, border: np.ndarray, after: np.nd
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-def _runs_of(found: dict[int, list[tuple[int, int]]], borders: list[int], source: np.ndarray) -> None:
+def _copy_runs(found: dict[int, list[tuple[int, int]]], borders: np.ndarray, source: np.ndarray) -> None:
     """Adds to the runs that touch borders (by start: end, period) those that lie inside blocks."""
-    for b, c in pairwise(borders):
-        if c - b < LEAST_WORDS + 2:
-            continue
+    long = np.flatnonzero(np.diff(borders) >= LEAST_WORDS + 2)
+    for b, c in zip(borders[long].tolist(), borders[long + 1].tolist()):
         back = b - int(source[b])
         for s in range(b + 1, c - LEAST_WORDS):
             for e, p in found.get(s - back, ()):
@@ -171,11 +169,10 @@ def find_runs(ids: np.ndarray, first: np.ndarray) -> list[list[Run]]:
     starts = np.concatenate([[0], np.cumsum(first[chosen + 1] - first[chosen])])
     names = Names(ids[own], starts)
     length, source = names.previous_factors()
-    borders = [_borders(length, int(a), int(z)) for a, z in pairwise(starts)]
-    # The end of a text is a border too, with nothing behind it.
-    triples = [(x, y, z) for each in borders for x, y, z in zip(each, each[1:], [*each[2:], each[-1]])]
-    before, border, after = (np.array(x, np.int64) for x in zip(*triples, strict=True))
-    text = np.searchsorted(starts, border - 1, side="right") - 1  # the end of a text belongs to it
+    borders = _borders(length)
+    before, border, after = borders[:-1], borders[1:], np.append(borders[2:], len(own))
+    after = np.where(np.isin(border, starts), border, after)  # the end of a text is a border too, with nothing behind it
+    text = np.searchsorted(starts, border - 1, side="right") - 1
     s, e, p = _touching(names, before, border, after, starts[text], starts[text + 1])
     enough = e - s >= np.maximum(LEAST_WORDS, LEAST_POWER * p)
     s, e, p = s[enough], e[enough], p[enough]
@@ -187,8 +184,8 @@ def find_runs(ids: np.ndarray, first: np.ndarray) -> list[list[Run]]:
     for t, x, y, z in zip((np.searchsorted(starts, s[least], side="right") - 1).tolist(), s[least].tolist(), e[least].tolist(), p[least].tolist()):
         by_text.setdefault(t, {}).setdefault(x, []).append((y, z))
     for t, found in by_text.items():
-        _runs_of(found, borders[t], source)
         base = int(starts[t])
+        _copy_runs(found, borders[np.searchsorted(borders, base) : np.searchsorted(borders, starts[t + 1]) + 1], source)
         out[chosen[t]] = sorted(((x - base, y - x, z) for x, each in found.items() for y, z in each), key=lambda r: (r[0], r[2]))
     return out
 
