@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pandas as pd
 from pyspark.sql import Column
@@ -16,9 +17,22 @@ OVERVIEW_HEADER = r"Resumen del Episodio|Descripci[oó]n general del episodio"
 RESOURCES_HEADER = r"Recursos(?:\s+Mencionados)?"
 PROTOCOL_LABELS = (("Que", "Qu[eé]"), ("Como", "C[oó]mo"), ("Cuando", "Cu[aá]ndo"))
 
-#: Letters whose canonical decomposition is a base letter and marks, in Latin-1 and Latin Extended-A.
-_ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćĉċčďēĕėęěĝğġģĥĩīĭįĵķĺļľńņňōŏőŕŗřśŝşšţťũūŭůűųŵŷźżž"
-_PLAIN = "aaaaaaceeeeiiiinooooouuuuyyaaaccccdeeeeegggghiiiijklllnnnooorrrssssttuuuuuuwyzzz"
+# White space and the characters that end a line, as the format's own parser takes them.
+BLANK = r"[\t\n\x0B\f\r \u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]"
+NOT_LINE_END = r"[^\n\r\u2028\u2029]"
+
+
+def _accented() -> tuple[str, str]:
+    """Lower-case letters that decompose into a plain letter or digit and marks of U+0300 to U+036F, and the plain ones."""
+    found = {}
+    for code in range(0x80, 0x10000):
+        bare = [c for c in unicodedata.normalize("NFD", chr(code)) if not "\u0300" <= c <= "\u036f"]
+        if len(bare) == 1 and bare[0].isascii() and (bare[0].islower() or bare[0].isdigit()):
+            found[chr(code)] = bare[0]
+    return "".join(found), "".join(found.values())
+
+
+_ACCENTED, _PLAIN = _accented()
 
 #: Greetings and thanks that need no retrieval.
 SMALL_TALK = ("hola", "hi", "hello", "hey", "buenas", "buenos dias", "gracias", "thanks", "thank you", "ok", "adios", "bye", "salut", "hallo", "danke", "merci")
@@ -35,6 +49,11 @@ def default_topic(c: Column, value: str = "general", only_null: bool = False) ->
     return F.coalesce(c, F.lit(value)) if only_null else filled(c, value)
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(c, rf"^{BLANK}+|{BLANK}+\z", "")
+
+
 def slugify(c: Column, limit: int = 40) -> Column:
     """Lower-case, accents dropped, other runs to single dashes, cut; empty gives ``general``."""
     plain = F.regexp_replace(F.translate(F.lower(F.coalesce(c, F.lit(""))), _ACCENTED, _PLAIN), r"[̀-ͯ]", "")
@@ -67,11 +86,12 @@ def parse_takeaways(section: Column, least: int = 15) -> Column:
 
 def parse_protocols(section: Column, least: int = 20) -> Column:
     """``### title`` blocks with their labelled lines, as one sentence each."""
-    blocks = F.filter(F.split(section, r"\r?\n(?=###\s)"), lambda b: F.trim(b).rlike(r"^###\s"))
+    blocks = F.filter(F.split(section, r"\r?\n(?=###\s)"), lambda b: trimmed(b).rlike(rf"^###{BLANK}"))
 
     def sentence(b: Column) -> Column:
-        title = filled(F.trim(F.regexp_extract(b, r"^###\s*(.+)", 1)), "Protocolo")
-        said = [F.concat(F.lit(f" {name}: "), F.regexp_extract(b, rf"(?iu)\*\*{label}:\*\*\s*(.+)", 1)) for name, label in PROTOCOL_LABELS]
+        head = rf"^###{BLANK}*({NOT_LINE_END}+)"
+        title = F.when(b.rlike(head), trimmed(F.regexp_extract(b, head, 1))).otherwise("Protocolo")
+        said = [F.concat(F.lit(f" {name}: "), F.regexp_extract(b, rf"(?iu)\*\*{label}:\*\*{BLANK}*({NOT_LINE_END}+)", 1)) for name, label in PROTOCOL_LABELS]
         return strip_inline(F.concat(title, F.lit("."), *said))
 
     return F.filter(F.transform(blocks, sentence), lambda p: F.length(p) > least)
@@ -185,10 +205,13 @@ def rrf(rank: Column, k: int = 50) -> Column:
 
 
 def parse_transcript_meta(c: Column) -> Column:
-    """Front matter of a transcript (``key: value`` lines, LF only) and the body after it; the last key wins."""
-    block = r"^---\n([\s\S]*?)\n---\n?"
-    lines = F.filter(F.split(F.regexp_extract(c, block, 1), "\n"), lambda x: x.rlike(r"^\w+:"))
-    pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^(\w+):", 1).alias("key"), F.regexp_replace(F.trim(F.regexp_replace(x, r"^\w+:", "")), '^"|"$', "").alias("value")))
+    """Front matter of a transcript (``key: value`` lines, LF only) and the body after it; the last key wins.
+
+    Only a whole line of three dashes closes the block; without one all is body."""
+    block = r"^---\n([\s\S]*?)\n---\n"
+    lines = F.filter(F.split(F.regexp_extract(c, block, 1), "\n"), lambda x: x.rlike(rf"^\w+:{BLANK}*{NOT_LINE_END}*\z"))
+    value = lambda x: F.regexp_replace(F.regexp_replace(x, rf"^\w+:{BLANK}*", ""), r'^"|"\z', "")
+    pairs = F.transform(lines, lambda x: F.struct(F.regexp_extract(x, r"^(\w+):", 1).alias("key"), value(x).alias("value")))
     keys = F.array_distinct(F.transform(pairs, lambda p: p["key"]))
     last = F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda p: p["key"] == k), -1)["value"]))
     return F.struct(last.alias("meta"), F.regexp_replace(c, block, "").alias("body"))

@@ -6,10 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lorebank.functions.packing import split_long
-from lorebank.functions.text import chunk_id, filled, leading_int, padded, parse_transcript_meta, ts_seconds
+from lorebank.functions.text import BLANK, NOT_LINE_END, chunk_id, filled, leading_int, padded, parse_transcript_meta, trimmed, ts_seconds
 
-# Fixed value of the transcript format: a section header.
-_HEADER = r"(?m)^##\s*\[?(\d{1,2}:\d{2}(?::\d{2})?)\]?\s+(.*)$"
+# Fixed value of the transcript format: a section header. A line begins and ends at any of four characters.
+_HEADER = rf"(?:(?<=[\n\r\u2028\u2029])|^)##{BLANK}*\[?(\d{{1,2}}:\d{{2}}(?::\d{{2}})?)\]?{BLANK}+({NOT_LINE_END}*)(?=[\n\r\u2028\u2029]|\z)"
+
+#: Stands for a header; the same character in a text is written with another one behind it.
+_MARK, _CUT, _KEPT = "\u0001", "\u0001\u0003", "\u0001\u0002"
 
 
 def split_sections(body: Column) -> Column:
@@ -17,14 +20,15 @@ def split_sections(body: Column) -> Column:
 
     Text before the first header is left out; blanks in a text become one space."""
     ts, title = F.regexp_extract_all(body, F.lit(_HEADER), F.lit(1)), F.regexp_extract_all(body, F.lit(_HEADER), F.lit(2))
-    marked = F.regexp_replace(body, _HEADER, "\u0001")
-    text = F.slice(F.split(marked, "\u0001"), 2, F.greatest(F.size(ts), F.lit(1)))
+    marked = F.regexp_replace(F.replace(body, F.lit(_MARK), F.lit(_KEPT)), _HEADER, _CUT)
+    text = F.slice(F.split(marked, _CUT), 2, F.greatest(F.size(ts), F.lit(1)))
+    own = lambda i: F.replace(F.coalesce(F.try_element_at(text, i + 1), F.lit("")), F.lit(_KEPT), F.lit(_MARK))
     return F.transform(
         ts,
         lambda t, i: F.struct(
             (i + 1).alias("pos"), t.alias("ts"), F.try_element_at(ts, i + 2).alias("ts_end"),
-            F.trim(F.element_at(title, i + 1)).alias("title"),
-            F.trim(F.regexp_replace(F.coalesce(F.try_element_at(text, i + 1), F.lit("")), r"(?U)\s+", " ")).alias("text"),
+            trimmed(F.element_at(title, i + 1)).alias("title"),
+            F.trim(F.regexp_replace(own(i), r"(?U)\s+", " ")).alias("text"),
         ),
     )
 

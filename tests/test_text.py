@@ -1,3 +1,6 @@
+import re
+import unicodedata
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -140,3 +143,43 @@ def test_spanish_stems(spark):
     assert {"de", "los", "más", "él"} <= spanish.stop_words() and "gato" not in spanish.stop_words()
     rows = spark.createDataFrame([("Más gatos, y los GATOS",), ("",), (None,)], "t string").select(lexical.tokenize(F.col("t"), "spanish").alias("t")).collect()
     assert [None if r.t is None else [(x.term, x.pos) for x in r.t] for r in rows] == [[("gat", 2), ("gat", 5)], [], None]
+
+
+def test_slugs_of_letters_beyond_the_usual(spark):
+    words = ["Tiếng Việt", "Ångström", "ǎ ǖ ḧ ṩ ẟ", "Öffnung ß", "naïve — café", "İstanbul Kelvin", "日本", "ﬁn ½ ²", "é ȫ", "ά ў", None, ""]
+
+    def plain(s):
+        s = unicodedata.normalize("NFD", (s or "general").lower())
+        s = re.sub("[̀-ͯ]", "", s)
+        return re.sub("^-+|-+$", "", re.sub("[^a-z0-9]+", "-", s))[:40] or "general"
+
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
+    assert {r.i: r.s for r in df.select("i", t.slugify(F.col("w")).alias("s")).collect()} == {i: plain(w) for i, w in enumerate(words)}
+    assert plain(words[0]) == "tieng-viet"
+
+
+def test_front_matter_closes_with_a_whole_line(spark):
+    def meta(raw):
+        r = spark.createDataFrame([(raw,)], "t string").select(t.parse_transcript_meta(F.col("t")).alias("m")).first().m
+        return r.meta, r.body
+
+    assert meta("---\na: 1\n---- x\nb: 2\n---\nbody") == ({"a": "1", "b": "2"}, "body")
+    assert meta("---\na: 1\n---- x\nbody") == ({}, "---\na: 1\n---- x\nbody")
+    assert meta("---\na: 1\n---") == ({}, "---\na: 1\n---")
+    assert meta('---\ntitle:\t"Talk"\nx: "a" \n---\n') == ({"title": "Talk", "x": 'a" '}, "")
+    assert meta("---\na: 1\rz\nb: \nc: ok\u0085\n---\nbody") == ({"b": "", "c": "ok\u0085"}, "body")
+
+
+def test_protocol_lines_end_where_the_format_says(spark):
+    section = "### Sleep\u0085well\n**Qué:** dark\u0085room\n**Cómo:**\tblinds no\n###   Walk \t\n**Cuándo:** now"
+    (r,) = spark.createDataFrame([(section,)], "t string").select(t.parse_protocols(F.col("t")).alias("p")).collect()
+    assert r.p == ["Sleep\u0085well. Que: dark\u0085room Como: blinds Cuando:", "Walk. Que: Como: Cuando: now"]
+
+
+def test_sections_with_the_marks_own_characters(spark):
+    from lorebank.operators.chunking import split_sections
+
+    body = "## [00:01] A\none \u0001 x \u0001\u0003\n## 00:02\tB\t\ntwo\u0001\u0002\n## [00:03]\n## [00:04] D\nthree\u0085## [00:05] not\n##[1:00:06] E"
+    got = spark.createDataFrame([(body,)], "t string").select(split_sections(F.col("t")).alias("s")).first().s
+    assert [(s.pos, s.ts, s.ts_end, s.title) for s in got] == [(1, "00:01", "00:02", "A"), (2, "00:02", "00:03", "B"), (3, "00:03", "1:00:06", "## [00:04] D"), (4, "1:00:06", None, "E")]
+    assert [s.text for s in got] == ["one \u0001 x \u0001\u0003", "two\u0001\u0002", "three ## [00:05] not", ""]
