@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lorebank.functions import packing, spanish, text
-from lorebank.jobs import files
+from lorebank.jobs import files, stored
 from lorebank.jobs.tables import brand_table, kb_table, query_table, source_number, summaries, table, transcripts, translations
 from lorebank.operators import catalog, chunking, citations, evaluate, hybrid, kb, lexical, quality, search, vector, worklist
 from lorebank.sources import io
@@ -245,10 +245,9 @@ SELECT word, {plain("if(rest IN ('e', 'é') AND cut LIKE '%gu' AND length(cut) -
 
 
 def _hybrid(spark, sf_dir, **options):
-    base = kb_table(spark, sf_dir)
-    tokens = lexical.token_rows(base.filter("active"), id_col="id", text_col="content")
+    base, index = kb_table(spark, sf_dir), stored.kb_index(spark, sf_dir)
     asked = query_table(spark, sf_dir).select("query_id", "query_text", "embedding", *(["tenant_id", "brand_id"] if "brands" in options else []))
-    return hybrid.hybrid_search(asked, base, tokens, **options)
+    return hybrid.hybrid_search(asked, base, index, **options)
 
 
 def hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +284,18 @@ WITH kb AS (
   FROM v FULL JOIN t ON v.query_id = t.query_id AND v.id = t.id
 ), o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s DESC, id) AS pos FROM f)
 """
+HYBRID_SPANISH = rf"""
+WITH stems AS MATERIALIZED ({_spanish_sql()}), words AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]+') AS ws FROM documents),
+terms AS (SELECT doc_id, stem AS term, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM words) JOIN stems USING (word) GROUP BY ALL),
+kb AS (SELECT d.doc_id AS id, embedding FROM documents d LEFT JOIN embeddings ON doc_id = vec_id LEFT JOIN labels l ON d.doc_id = l.doc_id WHERE coalesce(l.toxic, 0) <> 1),
+first AS (SELECT doc_id AS query_id, list_filter(ws, lambda w: length(w) >= 9 AND NOT regexp_matches(w, '{stored._STOP_LIKE}'))[1] AS word FROM words),
+q AS (SELECT vec_id AS query_id, embedding, stem AS term FROM embeddings LEFT JOIN first ON query_id = vec_id LEFT JOIN stems USING (word) WHERE vec_id % 20 = 0),
+v AS (SELECT * FROM (SELECT query_id, id, {_SIM} AS s, row_number() OVER (PARTITION BY query_id ORDER BY {_SIM} DESC, id) AS r FROM q, kb e WHERE e.embedding IS NOT NULL) WHERE r <= 50),
+t AS (SELECT * FROM (SELECT query_id, doc_id AS id, row_number() OVER (PARTITION BY query_id ORDER BY n DESC, doc_id) AS r FROM q JOIN terms USING (term) WHERE doc_id IN (SELECT id FROM kb)) WHERE r <= 50),
+f AS (SELECT coalesce(v.query_id, t.query_id) AS query_id, coalesce(v.id, t.id) AS id, coalesce(s, 0) AS s, coalesce(1.0::DOUBLE / (50 + v.r), 0) + coalesce(1.0::DOUBLE / (50 + t.r), 0) AS score FROM v FULL JOIN t ON v.query_id = t.query_id AND v.id = t.id),
+o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, s DESC, id) AS pos FROM f)
+SELECT query_id, pos, id, round(s, 6) AS similarity, round(score, 9) AS rank_score FROM o WHERE pos <= 8
+"""
 HYBRID_RRF = _HYBRID + "SELECT query_id, pos, id, coalesce(topic, 'General') AS topic, episode_number, round(s, 6) AS similarity, round(score, 9) AS rank_score, length(text) AS chars FROM o JOIN kb USING (id) WHERE pos <= 8"
 HYBRID_TENANTS = rf"""
 WITH brands AS (SELECT DISTINCT lang, source FROM documents WHERE substr(source, 4)::INT % 3 <> 0), kb AS (
@@ -760,7 +771,7 @@ QUERIES = {
     "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
     "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "audit_reasons": audit_reasons, "verify": verify,
     "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
-    "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk, "eval_runs": eval_runs, **files.QUERIES,
+    "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk, "eval_runs": eval_runs, **files.QUERIES, **stored.QUERIES,
 }
 
 ORACLE_SQL = {
@@ -772,6 +783,6 @@ ORACLE_SQL = {
     "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "pack_lines": PACK_LINES, "bisect": BISECT, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "audit_reasons": AUDIT_REASONS, "verify": VERIFY,
     "repeated_text": REPEATED_TEXT, "ad_rule_report": AD_RULE_REPORT, "pending": PENDING, "bucket_load": _PENDING + "SELECT idx % 7 AS bucket, count(*) AS load FROM p GROUP BY 1",
     "episode_catalog": EPISODE_CATALOG, "compile": COMPILE_DOCS, "video_map": VIDEO_MAP, "citations": CITED, "answers": ANSWERS,
-    "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK, "eval_runs": EVAL_RUNS, **files.ORACLE_SQL,
+    "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK, "eval_runs": EVAL_RUNS, **files.ORACLE_SQL, **stored.ORACLE_SQL, "text_index_topk": TEXT_TOPK, "hybrid_spanish": HYBRID_SPANISH,
     "chunk_files": CHUNK_SECTIONS.replace("conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title", "conv_id::INT AS episode_number").replace("ts_end AS timestamp_end, sec::BIGINT AS seconds, ", ""),
 }

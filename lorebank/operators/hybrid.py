@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lorebank.functions.text import default_topic, rrf
 from lorebank.operators.kb import BROADCAST_ROWS, resolve_brand, visible
 from lorebank.operators.lexical import text_topk
+from lorebank.operators.textindex import TextIndex, indexed_topk
 from lorebank.operators.vector import cosine_topk
 
 #: Candidates of each side, and bounds of the number of results.
@@ -66,12 +67,20 @@ def scoped(queries: DataFrame, kb: DataFrame, brands: DataFrame | None) -> tuple
     return good.withColumn("scope", _scope(True)), kb.withColumn("scope", _scope(True)), bad
 
 
-def hybrid_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, match_count: int | None = DEFAULT_COUNT, rrf_k: int = 50, brands: DataFrame | None = None, tenant: str | None = None, brand: str | None = None, config: str = "plain", compat: str = "v1") -> DataFrame:
+def _texts(queries: DataFrame, seen: DataFrame, terms: DataFrame | TextIndex, config: str, scope: str | None, narrow: bool) -> DataFrame:
+    """Candidates of the text side, from a stored index or from rows of tokens."""
+    rows = seen.select("id", *([scope] if scope else []))
+    if isinstance(terms, TextIndex):
+        return indexed_topk(queries, terms, CANDIDATES, rows if narrow or (scope and not terms.scoped) else None)
+    return text_topk(queries, terms, CANDIDATES, config, rows)
+
+
+def hybrid_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame | TextIndex, match_count: int | None = DEFAULT_COUNT, rrf_k: int = 50, brands: DataFrame | None = None, tenant: str | None = None, brand: str | None = None, config: str = "plain", compat: str = "v1") -> DataFrame:
     """Results of each query: pos, id, similarity, rank_score and the document's columns.
 
     queries: query_id, query_text, embedding, and for searches within tenants tenant_id and brand_id (see
-    ``scoped``; a null brand is the tenant's default one, rejected queries find nothing). doc_terms: a term table
-    or rows of tokens. ``tenant`` and ``brand`` narrow all queries alike. ``compat="v0"``: no brand, no clamp, no
+    ``scoped``; a null brand is the tenant's default one, rejected queries find nothing). doc_terms: a term table,
+    rows of tokens, or a stored index, which holds the active rows and has its own ``config``. ``tenant`` and ``brand`` narrow all queries alike. ``compat="v0"``: no brand, no clamp, no
     topic default, and rows without a vector rank after all others. Both sides are cut to their candidates, the
     fusion to its results, before documents are read."""
     old = compat == "v0"
@@ -81,7 +90,7 @@ def hybrid_search(queries: DataFrame, kb: DataFrame, doc_terms: DataFrame, match
     vectors = cosine_topk(asked, seen, CANDIDATES, scope=scope)
     if old:
         vectors = with_null_vectors(vectors, asked, seen, CANDIDATES, scope)
-    texts = text_topk(asked, doc_terms, CANDIDATES, config, seen.select("id", *([scope] if scope else [])))
+    texts = _texts(asked, seen, doc_terms, config, scope, tenant is not None or brand is not None)
     count = F.lit(match_count) if old else clamped(match_count)
     out = hydrate(best_first(rrf_fuse(vectors, texts, rrf_k), count), seen, queries.count() * max(MOST, match_count or 0))
     return out if old or "topic" not in out.columns else out.withColumn("topic", default_topic(F.col("topic"), "General", only_null=True))
