@@ -35,6 +35,17 @@ def read_markdown(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return rows.filter("episode_id <> ''")
 
 
+def stream_markdown(spark: SparkSession, root: str, archive: str | None = None, files_a_batch: int = 1000) -> DataFrame:
+    """A stream of episode_id, text of new files below ``root`` with ``EP-<digits>`` in a folder's name.
+
+    ``archive``: a folder outside ``root`` to which files are moved after the batch that read them is done."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_a_batch)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    rows = reader.text(root, wholetext=True, recursiveFileLookup=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"/(?:[^/]*=)?(EP-\d+)/[^/]+$", 1).alias("episode_id"), F.col("value").alias("text"))
+    return rows.filter("episode_id <> ''")
+
+
 def read_kb_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(KB_CSV).csv(path, header=True, quote='"', escape='"')
 

@@ -36,34 +36,74 @@ def retrieve_each(messages: DataFrame, search: Callable[[DataFrame], DataFrame],
 
 
 class LastValue(StatefulProcessor):
-    """Keeps the latest answer of a user and returns it for each ``sources`` request."""
+    """Keeps a user's answers that a request may still ask for, and returns the last one before each ``sources`` request.
+
+    An answer without a value is none. State: the answers since the watermark and the last one before it. With
+    ``expires`` (seconds) an answer is forgotten that long after its time, and a timer clears the state of users who
+    do not come back."""
+
+    def __init__(self, expires: int | None = None):
+        self.expires = expires
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState("last", "ts timestamp, value string")
+        self.handle = handle
+        self.answers = handle.getListState("answers", "ts timestamp, value string")
+
+    def _held(self) -> list[tuple]:
+        return [(pd.Timestamp(ts), value) for ts, value in self.answers.get()] if self.answers.exists() else []
+
+    def _keep(self, answers: list[tuple], watermark_ms: int) -> None:
+        now = pd.Timestamp(watermark_ms, unit="ms") if self.expires is not None else None
+        if now is not None:
+            answers = [a for i, a in enumerate(answers) if (i + 1 == len(answers) or answers[i + 1][0] >= now) and a[0] + pd.Timedelta(seconds=self.expires) >= now]
+        else:
+            answers = answers[-1:]
+        if not answers:
+            self.answers.clear()
+            return
+        self.answers.put([(ts.to_pydatetime(), value) for ts, value in answers])
+        if self.expires is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(int(answers[-1][0].timestamp() * 1000) + self.expires * 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = pd.concat(list(rows)).sort_values("ts", kind="stable")
-        last = self.state.get() if self.state.exists() else None
+        said = frame[(frame.kind != "sources") & frame.value.notna() & frame.ts.notna()]
+        fresh = list(zip(said.ts, said.value))
+        held = self._held()
         out = []
-        for r in frame.itertuples():
-            if r.kind == "sources":
-                out.append((key[0], r.ts, last[1] if last else None))
-            elif last is None or r.ts >= last[0]:
-                last = (r.ts, r.value)
-        if last is not None:
-            self.state.update((pd.Timestamp(last[0]).to_pydatetime(), last[1]))
+        for place, r in enumerate(frame.itertuples()):
+            if r.kind != "sources":
+                continue
+            before = frame.iloc[:place]
+            own = before[(before.kind != "sources") & before.value.notna()]
+            known = [a for a in held if a[0] <= r.ts] + list(zip(own.ts, own.value))
+            last = max(known, key=lambda a: a[0]) if known else None  # of ties the first stands: a held one came earlier
+            ties = [a for a in known if last and a[0] == last[0]]
+            fits = last is not None and (self.expires is None or r.ts - last[0] <= pd.Timedelta(seconds=self.expires))
+            out.append((key[0], r.ts, ties[-1][1] if fits else None))
+        self._keep(sorted(held + fresh, key=lambda a: a[0]), timerValues.getCurrentWatermarkInMs() if self.expires is not None else 0)
         yield pd.DataFrame(out, columns=["user_id", "ts", "value"])
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._keep(self._held(), timerValues.getCurrentWatermarkInMs())
+        yield pd.DataFrame([], columns=["user_id", "ts", "value"])
+
     def close(self) -> None:
         pass
 
 
-def answer_sources(messages: DataFrame) -> DataFrame:
-    """messages: user_id, ts, kind (answer or sources), value. Each request with the links of the last answer before it."""
-    return messages.groupBy("user_id").transformWithStateInPandas(LastValue(), "user_id bigint, ts timestamp, value string", "Append", "None")
+def answer_sources(messages: DataFrame, expires: int | None = None, watermark: str = IDLE) -> DataFrame:
+    """messages: user_id, ts, kind (answer or sources), value. Each request with the links of the last answer before it.
+
+    ``expires``: seconds after which an answer is forgotten; rows behind the watermark are then dropped, and state of
+    users without a living answer goes. Needs the RocksDB state store."""
+    rows = messages if expires is None else messages.withWatermark("ts", watermark)
+    return rows.groupBy("user_id").transformWithStateInPandas(LastValue(expires), "user_id bigint, ts timestamp, value string", "Append", "None" if expires is None else "EventTime")
 
 
-def answer_sources_batch(messages: DataFrame, order: str | None = None, span: str = "day") -> DataFrame:
+def answer_sources_batch(messages: DataFrame, order: str | None = None, span: str = "day", expires: int | None = None) -> DataFrame:
     """The same over a table: ties in time by ``order``.
 
     A window sees the messages of one user within one ``span`` only, so that a user with very many is spread over
@@ -71,14 +111,16 @@ def answer_sources_batch(messages: DataFrame, order: str | None = None, span: st
     at = ["ts", *([order] if order else [])]
     rows = messages.withColumn("_span", F.date_trunc(span, "ts"))
     answer = (F.col("kind") == "answer") & F.col("value").isNotNull()
-    last = F.max_by("value", F.when(answer, F.struct(*at))).alias("_last")
+    said = F.when(answer, F.struct(F.col("ts").alias("said"), F.col("value").alias("value")))
+    last = F.max_by(F.struct(F.col("ts").alias("said"), F.col("value").alias("value")), F.when(answer, F.struct(*at))).alias("_last")
     spans = rows.groupBy("user_id", "_span").agg(last, F.max(F.col("kind") == "sources").alias("_asked"))
     before = Window.partitionBy("user_id").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     carried = spans.withColumn("_carried", F.last("_last", True).over(before)).filter("_asked").select(F.col("user_id").alias("_user"), F.col("_span").alias("_of"), "_carried")
-    own = F.last(F.when(F.col("kind") == "answer", F.col("value")), True).over(Window.partitionBy("user_id", "_span").orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))
+    own = F.last(said, True).over(Window.partitionBy("user_id", "_span").orderBy(*at).rowsBetween(Window.unboundedPreceding, -1))
     found = rows.withColumn("_own", own).filter(F.col("kind") == "sources")
-    out = found.join(carried, F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_span").eqNullSafe(F.col("_of")), "left").withColumn("value", F.coalesce("_own", "_carried"))
-    return out.select(*messages.columns)
+    out = found.join(carried, F.col("user_id").eqNullSafe(F.col("_user")) & F.col("_span").eqNullSafe(F.col("_of")), "left").withColumn("_found", F.coalesce("_own", "_carried"))
+    living = F.lit(True) if expires is None else F.unix_micros("ts") - F.unix_micros("_found.said") <= F.lit(expires * 1_000_000)
+    return out.withColumn("value", F.when(living, F.col("_found.value"))).select(*messages.columns)
 
 
 def last_value(rows: DataFrame, user: str, value: str, order) -> DataFrame:
