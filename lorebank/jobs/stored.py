@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorebank.jobs.files import scratch
-from lorebank.jobs.tables import kb_table, query_table, table
-from lorebank.operators import hybrid, textindex
+from lorebank.jobs.tables import kb_table, query_table, table, transcripts
+from lorebank.operators import chunking, citations, hybrid, store, textindex
+from lorebank.sources import io
+from lorebank.streaming import jobs as streaming
 
 _built: dict[tuple, object] = {}
 
@@ -24,12 +26,12 @@ def once_a_session(spark: SparkSession, sf_dir: str, name: str, build: Callable[
 
 def documents_index(spark: SparkSession, sf_dir: str) -> textindex.TextIndex:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return once_a_session(spark, sf_dir, "documents", lambda root: textindex.build_text_index(docs, root, id_col="doc_id", text_col="text"))
+    return once_a_session(spark, sf_dir, "documents", lambda root: textindex.build_text_index(docs, root, id_col="doc_id", text_col="text", buckets=8))
 
 
 def kb_index(spark: SparkSession, sf_dir: str, config: str = "plain") -> textindex.TextIndex:
     """The active rows of the knowledge base."""
-    return once_a_session(spark, sf_dir, f"kb-{config}", lambda root: textindex.build_text_index(kb_table(spark, sf_dir).filter("active").select("id", "content"), root, config))
+    return once_a_session(spark, sf_dir, f"kb-{config}", lambda root: textindex.build_text_index(kb_table(spark, sf_dir).filter("active").select("id", "content"), root, config, buckets=8))
 
 
 def text_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +98,86 @@ def hybrid_spanish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("query_id", "pos", "id", F.round("similarity", 6).alias("similarity"), F.round("rank_score", 9).alias("rank_score"))
 
 
-QUERIES = {"text_index": text_index, "text_index_topk": text_index_topk, "text_phrases": text_phrases, "hybrid_spanish": hybrid_spanish}
 
-ORACLE_SQL = {"text_index": TEXT_INDEX, "text_phrases": TEXT_PHRASES}
+def kb_store(spark: SparkSession, sf_dir: str) -> store.KbStore:
+    """The knowledge base as a stored table."""
+    return once_a_session(spark, sf_dir, "kb-store", lambda root: store.create_store(kb_table(spark, sf_dir), root, buckets=8))
+
+
+def store_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The query ``upsert`` on a stored table, run twice: its rows, and how many buckets the second run rewrote."""
+    docs = table(spark, sf_dir, "documents")
+    target = docs.filter(F.col("doc_id") % 4 != 3).select(F.col("doc_id").alias("id"), F.col("lang").alias("tenant_id"), F.col("n_chars").alias("size"), F.lit(True).alias("active"))
+    new = docs.filter(F.col("doc_id") % 3 == 0).select(F.col("doc_id").alias("id"), F.concat("lang", F.lit("-new")).alias("tenant_id"), F.lit(-1).cast("long").alias("size"), F.lit(2).alias("n"))
+    updates = new.withColumn("n", F.lit(1)).withColumn("tenant_id", F.lit("overwritten")).unionByName(new)
+    own = store.create_store(target, scratch(spark), buckets=16)
+    store.upsert_store(own, updates, "n")
+    again = store.upsert_store(own, updates, "n")
+    return store.read_store(spark, own).withColumn("rewritten_again", F.lit(len(again)))
+
+
+STORE_UPSERT = """
+SELECT coalesce(a.doc_id, b.doc_id) AS id, CASE WHEN b.doc_id IS NOT NULL THEN b.lang || '-new' ELSE a.lang END AS tenant_id,
+  CASE WHEN b.doc_id IS NOT NULL THEN -1 ELSE a.n_chars END AS size, CASE WHEN a.doc_id IS NOT NULL THEN true END AS active, 0 AS rewritten_again
+FROM (SELECT * FROM documents WHERE doc_id % 4 <> 3) a FULL JOIN (SELECT * FROM documents WHERE doc_id % 3 = 0) b ON a.doc_id = b.doc_id
+"""
+
+
+def tenant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active rows of the tenants of all documents of the first source, from the stored table: other tenants' folders are not read."""
+    asking = table(spark, sf_dir, "documents").filter((F.col("source") == "src0") & F.col("lang").isin("en", "es")).select(F.col("lang").alias("tenant_id"))
+    return store.rows_of_tenants(kb_store(spark, sf_dir), asking).select("id", "tenant_id", "brand_id", F.length("content").cast("long").alias("chars"))
+
+
+TENANT_ROWS = """
+SELECT d.doc_id AS id, lang AS tenant_id, source AS brand_id, length(text) AS chars FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE coalesce(l.toxic, 0) <> 1 AND lang IN (SELECT lang FROM documents WHERE source = 'src0' AND lang IN ('en', 'es'))
+"""
+
+
+def ingested_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts as a folder of files a source, read as a stream, chunked, and upserted into a stored table; all of it twice."""
+    root = scratch(spark)
+    transcripts(spark, sf_dir).repartition("episode_id").write.partitionBy("episode_id").text(f"{root}/in")
+    own = ["id", "episode_number", "timestamp_start", "section_title", F.length("content").cast("long").alias("chars")]
+    chunk = lambda files: chunking.chunk_transcripts(files).select(F.lit("hub").alias("tenant_id"), *own)
+    target = store.create_store(spark.createDataFrame([], "tenant_id string, id string, episode_number int, timestamp_start string, section_title string, chars bigint"), f"{root}/kb", buckets=16)
+    for attempt in range(2):  # without the checkpoint of the first: its batches come again and are skipped
+        stream = io.stream_markdown(spark, f"{root}/in", files_a_batch=100_000)
+        query = store.ingest_to_store(stream, chunk, target, "episodes").option("checkpointLocation", f"{root}/at-{attempt}").trigger(availableNow=True).start()
+        query.awaitTermination()
+    return store.read_store(spark, target).drop("tenant_id").withColumn("batches", F.lit(target.state(spark)["ledger"]["episodes"] + 1))
+
+
+def stream_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The queries of ``hybrid_rrf`` as a stream of several batches, each answered from the stored table and index and written by its number."""
+    root, index, rows = scratch(spark), kb_index(spark, sf_dir), kb_store(spark, sf_dir)
+    asked = query_table(spark, sf_dir).select("query_id", "query_text", "embedding")
+    asked.repartition(3, "query_id").write.parquet(f"{root}/in")
+    messages = spark.readStream.schema(asked.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    search = lambda batch: hybrid.hybrid_search(batch, store.read_store(batch.sparkSession, rows), index)
+    sink = lambda found, n: found.select("query_id", "pos", "id", "topic", "episode_number", "similarity", "rank_score").write.mode("overwrite").parquet(f"{root}/out/batch={n}")
+    streaming.retrieve_each(messages, search, sink).option("checkpointLocation", f"{root}/at").trigger(availableNow=True).start().awaitTermination()
+    found = spark.read.schema("query_id bigint, pos int, id bigint, topic string, episode_number int, similarity double, rank_score double, batch int").parquet(f"{root}/out").drop("batch")
+    return found.withColumns({"similarity": F.round("similarity", 6), "rank_score": F.round("rank_score", 9)})
+
+
+def video_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transcripts by what their video id is: some lose it, some keep a part of it."""
+    files = transcripts(spark, sf_dir)
+    kind = F.pmod(F.regexp_extract("episode_id", r"(\d+)", 1).cast("int"), F.lit(5))
+    none, part = F.regexp_replace("text", "youtube_id:[^\n]*\n", ""), F.regexp_replace("text", "youtube_id: \"vid", 'youtube_id: "')
+    return citations.video_stats(files.withColumn("text", F.when(kind == 1, none).when(kind == 2, part).otherwise(F.col("text"))))
+
+
+VIDEO_STATS = """
+SELECT CASE conv_id % 5 WHEN 1 THEN 'missing' WHEN 2 THEN 'invalid' ELSE 'ok' END AS status, count(*) AS count FROM (SELECT DISTINCT conv_id FROM conversations) GROUP BY 1
+"""
+
+
+QUERIES = {
+    "text_index": text_index, "text_index_topk": text_index_topk, "text_phrases": text_phrases, "hybrid_spanish": hybrid_spanish, "store_upsert": store_upsert, "tenant_rows": tenant_rows,
+    "ingested_files": ingested_files, "stream_retrieval": stream_retrieval, "video_stats": video_stats,
+}
+
+ORACLE_SQL = {"text_index": TEXT_INDEX, "text_phrases": TEXT_PHRASES, "store_upsert": STORE_UPSERT, "tenant_rows": TENANT_ROWS, "video_stats": VIDEO_STATS}

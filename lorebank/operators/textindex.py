@@ -134,14 +134,16 @@ def _write_segment(rows: DataFrame, root: str, segment: int, buckets: int) -> No
     blocks.sortWithinPartitions("bucket", "term", "level").write.mode("overwrite").partitionBy("bucket").parquet(f"{root}/postings/segment={segment}")
 
 
-def build_text_index(docs: DataFrame, root: str, config: str = "plain", id_col: str = "id", text_col: str = "content", scope: str | None = None) -> TextIndex:
-    """Writes an index of documents with distinct ids. ``scope``: a column; searches within a scope read its postings only."""
+def build_text_index(docs: DataFrame, root: str, config: str = "plain", id_col: str = "id", text_col: str = "content", scope: str | None = None, buckets: int = BUCKETS) -> TextIndex:
+    """Writes an index of documents with distinct ids. ``scope``: a column; searches within a scope read its postings only.
+
+    ``buckets``: folders by term; one for each few GB of postings."""
     spark = docs.sparkSession
     state = manifest.latest(spark, root) or {}
     segment = state.get("last", 0) + 1
-    _write_segment(document_terms(docs, config, id_col, text_col, scope), root, segment, BUCKETS)
+    _write_segment(document_terms(docs, config, id_col, text_col, scope), root, segment, buckets)
     kind = docs.schema[id_col].dataType.simpleString()
-    manifest.commit(spark, root, state | {"segments": [segment], "removed": [], "last": segment, "id": kind, "config": config, "scoped": scope is not None, "buckets": BUCKETS})
+    manifest.commit(spark, root, state | {"segments": [segment], "removed": [], "last": segment, "id": kind, "config": config, "scoped": scope is not None, "buckets": buckets})
     return TextIndex(root, config, scope is not None)
 
 

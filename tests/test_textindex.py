@@ -29,12 +29,12 @@ def rows_of(df):
 @pytest.fixture
 def small_blocks(monkeypatch):
     monkeypatch.setattr(ti, "BLOCK", 4)
-    monkeypatch.setattr(ti, "BUCKETS", 3)
+
 
 
 def test_equal_to_a_search_without_an_index(spark, tmp_path, small_blocks):
     docs = spark.createDataFrame(corpus(), "id bigint, content string, scope string").repartition(5)
-    index = ti.build_text_index(docs, str(tmp_path))
+    index = ti.build_text_index(docs, str(tmp_path), buckets=3)
     want = rows_of(lexical.text_topk(asked(spark), lexical.token_rows(docs), 7))
     assert rows_of(ti.indexed_topk(asked(spark), index, 7)) == want and len(want) > 60
     some = docs.filter("id % 3 = 1").select("id")
@@ -47,7 +47,7 @@ def test_equal_to_a_search_without_an_index(spark, tmp_path, small_blocks):
 
 def test_within_scopes(spark, tmp_path, small_blocks):
     docs = spark.createDataFrame(corpus(), "id bigint, content string, scope string")
-    index = ti.build_text_index(docs, str(tmp_path), scope="scope")
+    index = ti.build_text_index(docs, str(tmp_path), scope="scope", buckets=3)
     want = rows_of(lexical.text_topk(asked(spark, True), lexical.token_rows(docs), 5, rows=docs.select("id", "scope")))
     assert rows_of(ti.indexed_topk(asked(spark, True), index, 5)) == want and len(want) > 20
 
@@ -55,7 +55,7 @@ def test_within_scopes(spark, tmp_path, small_blocks):
 def test_added_removed_and_merged(spark, tmp_path, small_blocks):
     docs = {d: (t, s) for d, t, s in corpus()}
     frame = lambda rows: spark.createDataFrame([(d, *x) for d, x in rows.items()], "id bigint, content string, scope string")
-    index = ti.build_text_index(frame(docs), str(tmp_path))
+    index = ti.build_text_index(frame(docs), str(tmp_path), buckets=2)
     check = lambda: rows_of(ti.indexed_topk(asked(spark), index, 6)) == rows_of(lexical.text_topk(asked(spark), lexical.token_rows(frame(docs)), 6))
     new = {5: ("luna luna luna casa", "t0"), 9: ("", "t0"), 402: ("sol", "t1"), 900: ("casa perro sol luna", "t2")}
     ti.add_documents(index, frame(new))
@@ -88,7 +88,7 @@ def test_an_unfinished_change_is_not_seen(spark, tmp_path):
 
 def test_spanish_and_text_ids(spark, tmp_path):
     docs = spark.createDataFrame([("a", "Los perros corrían por las casas"), ("b", "una casa"), ("c", "gatos")], "key string, body string")
-    index = ti.build_text_index(docs, str(tmp_path), "spanish", "key", "body")
+    index = ti.build_text_index(docs, str(tmp_path), "spanish", "key", "body", buckets=2)
     q = spark.createDataFrame([(1, "la casa"), (2, "perro casas"), (3, "de los")], "query_id int, query_text string")
     assert sorted((r.query_id, r.id) for r in ti.indexed_topk(q, index).collect()) == [(1, "a"), (1, "b"), (2, "a")]
 
@@ -105,7 +105,7 @@ def test_the_plan_reads_only_the_terms_buckets(spark, tmp_path):
 
 def test_empty_tables(spark, tmp_path):
     docs = spark.createDataFrame([], "id bigint, content string")
-    index = ti.build_text_index(docs, str(tmp_path))
+    index = ti.build_text_index(docs, str(tmp_path), buckets=2)
     assert ti.indexed_topk(asked(spark), index).count() == 0
     ti.add_documents(index, spark.createDataFrame([(1, "casa")], "id bigint, content string"))
     assert ti.indexed_topk(asked(spark), index).count() > 0 and ti.indexed_topk(asked(spark).limit(0), index).count() == 0
