@@ -784,7 +784,7 @@ ORACLE_SQL = {
     "repeated_text": REPEATED_TEXT, "ad_rule_report": AD_RULE_REPORT, "pending": PENDING, "bucket_load": _PENDING + "SELECT idx % 7 AS bucket, count(*) AS load FROM p GROUP BY 1",
     "episode_catalog": EPISODE_CATALOG, "compile": COMPILE_DOCS, "video_map": VIDEO_MAP, "citations": CITED, "answers": ANSWERS,
     "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK, "eval_runs": EVAL_RUNS, **files.ORACLE_SQL, **stored.ORACLE_SQL, "text_index_topk": TEXT_TOPK, "hybrid_spanish": HYBRID_SPANISH,
-    "stream_retrieval": HYBRID_RRF.replace(", length(text) AS chars", ""),
+    "ivf_stored_recall": IVF_RECALL, "stream_retrieval": HYBRID_RRF.replace(", length(text) AS chars", ""),
     "ingested_files": CHUNK_SECTIONS.replace("conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title", "conv_id::INT AS episode_number, 1 AS batches").replace("ts_end AS timestamp_end, sec::BIGINT AS seconds, ", ""),
     "chunk_files": CHUNK_SECTIONS.replace("conv_id::INT AS episode_number, 'Talk ' || conv_id AS episode_title", "conv_id::INT AS episode_number").replace("ts_end AS timestamp_end, sec::BIGINT AS seconds, ", ""),
 }

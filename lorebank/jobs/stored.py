@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lorebank.jobs.files import scratch
 from lorebank.jobs.tables import kb_table, query_table, table, transcripts
-from lorebank.operators import chunking, citations, hybrid, store, textindex
+from lorebank.operators import chunking, citations, hybrid, ivf, store, textindex
 from lorebank.sources import io
 from lorebank.streaming import jobs as streaming
 
@@ -175,9 +175,36 @@ SELECT CASE conv_id % 5 WHEN 1 THEN 'missing' WHEN 2 THEN 'invalid' ELSE 'ok' EN
 """
 
 
+#: Of the lists of the stored vector index, the share that a query probes. The given vectors have no clusters.
+PROBED = 0.4
+
+
+def vector_index(spark: SparkSession, sf_dir: str) -> ivf.VectorIndex:
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return once_a_session(spark, sf_dir, "vectors", lambda root: ivf.build_ivf(rows, root))
+
+
+def ivf_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of each query, from the stored index."""
+    index = vector_index(spark, sf_dir)
+    probes = max(1, round(PROBED * index.state(spark)["lists"]))
+    return ivf.ivf_search(query_table(spark, sf_dir).select("query_id", "embedding"), index, 10, probes)
+
+
+def ivf_stored_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the exact ten nearest rows of all queries, how many the stored index finds."""
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return ivf.recall(ivf_stored(spark, sf_dir), query_table(spark, sf_dir).select("query_id", "embedding"), rows, 10)
+
+
+def ivf_stored_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether these are nine in ten."""
+    return ivf_stored_measured(spark, sf_dir).select("queries", "wanted", (F.col("recall") >= 0.9).alias("enough"))
+
+
 QUERIES = {
     "text_index": text_index, "text_index_topk": text_index_topk, "text_phrases": text_phrases, "hybrid_spanish": hybrid_spanish, "store_upsert": store_upsert, "tenant_rows": tenant_rows,
-    "ingested_files": ingested_files, "stream_retrieval": stream_retrieval, "video_stats": video_stats,
+    "ingested_files": ingested_files, "stream_retrieval": stream_retrieval, "video_stats": video_stats, "ivf_stored": ivf_stored, "ivf_stored_measured": ivf_stored_measured, "ivf_stored_recall": ivf_stored_recall,
 }
 
 ORACLE_SQL = {"text_index": TEXT_INDEX, "text_phrases": TEXT_PHRASES, "store_upsert": STORE_UPSERT, "tenant_rows": TENANT_ROWS, "video_stats": VIDEO_STATS}
