@@ -7,8 +7,9 @@ candidate is then compared word by word, so a hash collision changes nothing.
 
 The items are broadcast in blocks of at most ``max_block_bytes`` of text each (their size is summed first):
 a benchmark of any size is handled, by one pass over the documents for each block. With several blocks the
-documents are written once, each row with a key of its own, and hits of all blocks are united by row and
-position, so the size of a block changes no result. Texts are shuffled only to cut spans of several blocks.
+documents are written once, each row with a key of its own, and the hits of each block are written before the
+next block is built, so no task and no driver holds two indexes. Hits are united by row and position: the size
+of a block changes no result. Texts are shuffled only to cut spans, or drop documents, of several blocks.
 
 Null and empty texts have no words and no hits. An empty benchmark contaminates nothing. Repeated rows of
 documents are scanned one by one; repeated items each count as an item by their id.
@@ -17,6 +18,7 @@ documents are scanned one by one; repeated items each count as an item by their
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -91,12 +93,6 @@ def item_blocks(benchmark: DataFrame, max_block_bytes: int) -> Iterator[list[tup
         yield [(r.item_id, r.text) for r in part.collect()]
 
 
-def _indexes(benchmark: DataFrame, window: int, max_block_bytes: int) -> list[Broadcast]:
-    """An index for each block of items; the driver holds one at a time."""
-    context = benchmark.sparkSession.sparkContext
-    return [context.broadcast(WindowIndex(items, window)) for items in item_blocks(benchmark, max_block_bytes)]
-
-
 def _hits_udf(shared: Broadcast, positions: bool):
     @F.arrow_udf(HITS)
     def hits(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -118,21 +114,38 @@ def _hits_udf(shared: Broadcast, positions: bool):
 
 def scan_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, items (ids of items with occurring windows)."""
-    shared = _indexes(benchmark, window, max_block_bytes) or [docs.sparkSession.sparkContext.broadcast(WindowIndex([], window))]
+    found = item_blocks(benchmark, max_block_bytes)
+    first, second = next(found, []), next(found, None)
     rows = docs.select("doc_id", text_of("text").alias("text"))
-    if len(shared) == 1:
-        udf = _hits_udf(shared[0], False)
+    if second is None:
+        udf = _hits_udf(_shared(docs, first, window), False)
         return rows.select("doc_id", udf("text").alias("h")).select("doc_id", "h.n_words", "h.n_hit", "h.items")
-    united = _united(checkpointed(rows.withColumn(ROW, F.monotonically_increasing_id())), shared, ["doc_id"])
+    keyed = checkpointed(rows.withColumn(ROW, F.monotonically_increasing_id()))
+    united = _united(keyed, _all(first, second, found), window, ["doc_id"], True)
     return united.select("doc_id", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"), "items")
 
 
-def _united(rows: DataFrame, shared: list[Broadcast], columns: list[str]) -> DataFrame:
-    """One row per row: its key and ``columns``, n_words, items and hit_words of all blocks."""
-    parts = [rows.select(ROW, *columns, _hits_udf(x, True)("text").alias("h")).select(ROW, *columns, "h.*") for x in shared]
-    united = parts[0]
-    for p in parts[1:]:
-        united = united.unionByName(p.filter("n_hit > 0"))
+def _shared(docs: DataFrame, items: list[tuple[int, str]], window: int) -> Broadcast:
+    return docs.sparkSession.sparkContext.broadcast(WindowIndex(items, window))
+
+
+def _all(first: list, second: list, rest: Iterator[list]) -> Iterator[list]:
+    yield first
+    yield second
+    yield from rest
+
+
+def _united(rows: DataFrame, found: Iterator[list], window: int, columns: list[str], keep_clean: bool) -> DataFrame:
+    """A row for each row with hits (or with ``keep_clean`` for each row): its key and ``columns``, n_words, items and hit_words of all blocks.
+
+    The hits of one block are written, and its index is given up, before the next is built."""
+    parts = []
+    for i, items in enumerate(found):
+        shared = _shared(rows, items, window)
+        each = rows.select(ROW, *columns, _hits_udf(shared, True)("text").alias("h")).select(ROW, *columns, "h.*")
+        parts.append(checkpointed(each if keep_clean and not i else each.filter("n_hit > 0")))
+        shared.destroy()
+    united = reduce(DataFrame.unionByName, parts)
     return united.groupBy(ROW).agg(
         *[F.first(c).alias(c) for c in columns],
         F.max("n_words").alias("n_words"),
@@ -140,27 +153,28 @@ def _united(rows: DataFrame, shared: list[Broadcast], columns: list[str]) -> Dat
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
     )
 
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES) -> DataFrame:
     """The documents without hit ones (``remove="documents"``) or without the hit words (``"spans"``).
 
-    All columns stay, extra ones too. A span runs from the first to the last of adjoining hit words; what
-    stood between words outside a span stays. Blocks of a large benchmark are applied one after the other
-    for documents; spans are cut once, from the united hits of all blocks.
+    All columns stay, extra ones too, and rows of null doc_id like any others. A span runs from the first to the
+    last of adjoining hit words; what stood between words outside a span stays. Documents are dropped, and spans
+    cut, once, by the united hits of all blocks.
     """
     if remove not in ("documents", "spans"):
         raise ValueError(f"remove is 'documents' or 'spans', not {remove!r}")
-    shared = _indexes(benchmark, window, max_block_bytes)
-    if not shared:
+    found = item_blocks(benchmark, max_block_bytes)
+    first, second = next(found, None), next(found, None)
+    if first is None:
         return docs
-    if remove == "documents":
-        out = docs
-        for x in shared:
-            out = out.filter(_hits_udf(x, False)(text_of("text")).getField("n_hit") == 0)
-        return out
-    if len(shared) == 1:
-        return docs.withColumn("text", _cut("text", _hits_udf(shared[0], True)(text_of("text")).getField("hit_words")))
+    if second is None:
+        hits = _hits_udf(_shared(docs, first, window), remove == "spans")(text_of("text"))
+        return docs.filter(hits.getField("n_hit") == 0) if remove == "documents" else docs.withColumn("text", _cut("text", hits.getField("hit_words")))
     rows = checkpointed(docs.withColumn(ROW, F.monotonically_increasing_id()))
-    spots = _united(rows.withColumn("text", text_of("text")), shared, []).filter(F.size("hit_words") > 0).select(ROW, F.col("hit_words").alias(SPOTS))
+    hit = _united(rows.withColumn("text", text_of("text")), _all(first, second, found), window, [], False)
+    if remove == "documents":
+        return rows.join(hit.select(ROW), ROW, "left_anti").select(*docs.columns)
+    spots = hit.select(ROW, F.col("hit_words").alias(SPOTS))
     cut = rows.join(spots.hint("merge"), ROW, "left").withColumn("text", F.when(F.col(SPOTS).isNull(), F.col("text")).otherwise(_cut("text", SPOTS)))
     return cut.select(*docs.columns)
 

@@ -82,3 +82,22 @@ def test_results_do_not_depend_on_blocks(spark, limit):
     assert cut.columns == df.columns
     texts = [(r.doc_id, r.text) for r in cut.collect()]
     assert sorted(texts, key=str) == sorted([(1, "x  w36 w37 w38 w39 y")] * 3 + [(2, "a  b"), (None, " c"), (3, None)], key=str)
+
+
+def test_many_blocks_hold_one_index_a_task(spark):
+    docs, items = _case()
+    bench = frame(spark, items, "item_id bigint, text string")
+    table = clashing(frame(spark, docs))
+    for remove in ("documents", "spans"):
+        one, many = d.decontaminate(table, bench, remove), d.decontaminate(table, bench, remove, max_block_bytes=300)
+        plan = many._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ArrowEvalPython") <= 1 and many.columns == one.columns
+        assert sorted(map(str, many.collect())) == sorted(map(str, one.collect()))
+    kept = {r.doc_id for r in d.decontaminate(table, bench, max_block_bytes=300).collect()}
+    assert None in kept and 0 < len(kept) < len({i for i, *_ in docs})
+
+
+def _case():
+    docs = rows(n=30) + [(None, "clean and short", None, None, None), (None, None, None, None, None)]
+    items = [(i, " ".join((docs[i][1] or "").split()[:14])) for i in range(0, 30, 3)] + [(99, None), (98, "")]
+    return docs, items

@@ -44,3 +44,11 @@ def test_without_labels_and_empty_tables(spark):
     assert {(r.score, r.predicted) for r in t.scored(frame(spark, rows()), none).collect()} == {(0.0, 0)}
     assert {r.predicted for r in t.scored(frame(spark, rows()), frame(spark, [(1, 1, 1), (2, 1, 1)], LABELS)).collect()} == {1}
     assert t.scored(frame(spark, [], SCHEMA, 1), frame(spark, [(1, 1, 0)], LABELS)).count() == 0
+
+
+def test_bounds_are_compared_by_folds_of_labelled_rows(corpus):
+    docs, labels = corpus
+    sample = [(d, x, y) for (d, x, *_), (_, _, y) in zip(docs, labels)]
+    areas = t.compared_bounds(sample, (2_000, 1 << 20))
+    assert 0.9 < areas[1 << 20] <= 1 and areas[2_000] < areas[1 << 20]
+    assert t._fitting(sample, 0) == [] and {r[0] for r in t._fitting(sample, 1 << 30)} == {r[0] for r in sample}
