@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lorebank.jobs.files import scratch
+from lorebank.jobs.files import EMBEDDED, scratch
 from lorebank.jobs.tables import kb_table, query_table, table, transcripts
 from lorebank.operators import chunking, citations, hybrid, ivf, store, textindex
-from lorebank.sources import io
+from lorebank.sources import embedding, io
 from lorebank.streaming import jobs as streaming
 
 _built: dict[tuple, object] = {}
@@ -202,9 +202,19 @@ def ivf_stored_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ivf_stored_measured(spark, sf_dir).select("queries", "wanted", (F.col("recall") >= 0.9).alias("enough"))
 
 
+def embedded_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of all documents by way of a ledger, asked for twice: what the second run still asked for, and each document's vector."""
+    root, docs = scratch(spark), table(spark, sf_dir, "documents").select("doc_id", "text")
+    measure = lambda texts: [[float(len(t)), float(t.count("\n"))] for t in texts]
+    embedding.embed_missing(docs, "text", root, measure, parts=4)
+    again = embedding.embed_missing(docs, "text", root, measure, parts=4)
+    rows = embedding.with_embeddings(docs, "text", root)
+    return rows.select("doc_id", F.col("embedding")[0].cast("double").alias("first"), F.col("embedding")[1].cast("double").alias("second"), F.lit(again).alias("asked_again"))
+
+
 QUERIES = {
     "text_index": text_index, "text_index_topk": text_index_topk, "text_phrases": text_phrases, "hybrid_spanish": hybrid_spanish, "store_upsert": store_upsert, "tenant_rows": tenant_rows,
-    "ingested_files": ingested_files, "stream_retrieval": stream_retrieval, "video_stats": video_stats, "ivf_stored": ivf_stored, "ivf_stored_measured": ivf_stored_measured, "ivf_stored_recall": ivf_stored_recall,
+    "ingested_files": ingested_files, "stream_retrieval": stream_retrieval, "video_stats": video_stats, "ivf_stored": ivf_stored, "ivf_stored_measured": ivf_stored_measured, "ivf_stored_recall": ivf_stored_recall, "embedded_once": embedded_once,
 }
 
-ORACLE_SQL = {"text_index": TEXT_INDEX, "text_phrases": TEXT_PHRASES, "store_upsert": STORE_UPSERT, "tenant_rows": TENANT_ROWS, "video_stats": VIDEO_STATS}
+ORACLE_SQL = {"text_index": TEXT_INDEX, "text_phrases": TEXT_PHRASES, "store_upsert": STORE_UPSERT, "tenant_rows": TENANT_ROWS, "video_stats": VIDEO_STATS, "embedded_once": EMBEDDED.replace("AS second", "AS second, 0 AS asked_again")}
