@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lorebank.jobs.files import EMBEDDED, scratch
-from lorebank.jobs.tables import kb_table, query_table, table, transcripts
+from lorebank.jobs.tables import kb_table, query_table, spread, table, transcripts
 from lorebank.operators import chunking, citations, hybrid, ivf, store, textindex
 from lorebank.sources import embedding, io
 from lorebank.streaming import jobs as streaming
@@ -25,7 +25,7 @@ def once_a_session(spark: SparkSession, sf_dir: str, name: str, build: Callable[
 
 
 def documents_index(spark: SparkSession, sf_dir: str) -> textindex.TextIndex:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return once_a_session(spark, sf_dir, "documents", lambda root: textindex.build_text_index(docs, root, id_col="doc_id", text_col="text", buckets=8))
 
 

@@ -10,6 +10,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than cores (few files, or one row group), dealt over all of them before costly work on its rows.
+
+    A table of many files is left as it is, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def source_number(name: str = "source"):
     return F.regexp_extract(name, r"(\d+)", 1).try_cast("int")
 
@@ -61,7 +69,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as markdown summaries with takeaways, protocols, overview and resources."""
     clean = F.trim(F.regexp_replace(F.regexp_replace(F.coalesce("text", F.lit("")), r"[*#\[\]|`-]", ""), r"\s+", " "))
     word = lambda i: F.coalesce(F.try_element_at(F.split("t", " "), F.lit(i)), F.lit("x"))
-    docs = table(spark, sf_dir, "documents").withColumn("t", clean)
+    docs = spread(table(spark, sf_dir, "documents")).withColumn("t", clean)
     text = F.concat(
         F.lit("---\nnúmero_episodio: "), F.col("doc_id").cast("string"), F.lit("\ninvitado: '"), F.regexp_replace(word(1), "['\"]", ""), F.lit("'\ntemas:\n- "), F.col("source"), F.lit(" tema\n- otro\n---\n# Episodio "),
         F.col("doc_id").cast("string"), F.lit(": Parte "), F.col("lang"), F.when(F.col("doc_id") % 2 == 0, F.lit("\n\n## Resumen del Episodio\n")).otherwise(F.lit("\n\n## DESCRIPCIÓN GENERAL DEL EPISODIO\n")), F.col("t"),
@@ -73,7 +81,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def translations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Sources with headers, and translations in five states by ``doc_id % 5``: same, cut, doubled, a header mark lost, a ghost title."""
-    docs = table(spark, sf_dir, "documents").filter("text is not null")
+    docs = spread(table(spark, sf_dir, "documents").filter("text is not null"))
     half = (F.length("text") / 2).cast("int")
     flat = F.regexp_replace("text", r"[#\[\]]|---|title:", "")
     head = F.lit("---\ntitle: one\n---\n")
