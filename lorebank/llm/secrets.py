@@ -15,7 +15,7 @@ credential with a probability of at least ``LEAST_POSTERIOR``.
 
 Grammars are inferred from a bounded sample, by one scan: at most ``MAX_CREDENTIALS`` distinct values of each
 kind and ``MAX_ORDINARY`` ordinary runs, those with the smallest hashes. All base matches and all runs of every
-whole text are counted, found and scored. Null and empty texts have none. Without base matches there is no
+whole text are counted, found and scored. Null and empty texts have none; rows of a null or repeated doc_id are each scanned and kept. Without base matches there is no
 grammar and nothing is added. Repeated rows are scanned one by one.
 """
 

@@ -9,7 +9,7 @@ come to the driver, and no text is shuffled.
 
 Among the cuts within the capacity those nearest to even shards are taken. Law ``bytes``: no shard holds
 more than the smallest feasible capacity, and groups are never split. Null texts have no bytes and form one
-group; an empty table gives an empty result. Rows that repeat a doc_id get slots of their own.
+group; an empty table gives an empty result. Rows that repeat a doc_id, and rows of a null one, get slots of their own.
 """
 
 from __future__ import annotations

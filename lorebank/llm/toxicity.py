@@ -13,7 +13,8 @@ learned from, but scored): one half trains the dictionaries, the other the cells
 Scoring compresses every distinct word of every whole text; a worker keeps the odds of words it has met.
 
 Null and empty texts have no windows and get the score of such a document. Without labels of both kinds,
-the score is the share of toxic labels (0 without any). Null labels are ignored; a document with several
+the score is the share of toxic labels (0 without any). Null labels and labels of a null doc_id are ignored, and
+documents of a null doc_id are scored and never held out; a document with several
 labels counts as toxic if one of them is. Repeated rows are scored one by one.
 """
 
