@@ -1,70 +1,92 @@
-"""Cutting long texts into pieces of bounded size, and repairs that need the lines before. Small vectorised helpers."""
+"""Cutting long texts into pieces of bounded size, in built-in expressions, and repairs that need the lines before."""
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PIECES = T.ArrayType(T.StringType())
+from lorebank.functions.text import BLANK, once, trimmed
+
+# A sentence and the end of one, by the format's own rule (the blank after it belongs to it).
+_SENTENCE = rf"(?:\G|(?<=[.!?]))[^.!?]++[.!?]++(?:{BLANK}|\z)"
+_AFTER_SENTENCE = rf"(?<=[.!?]{BLANK})"
+
+_RUNS = "array<struct<first:int,n:int>>"
+
+
+def _runs(sizes: Column, limit: int, gap: int) -> Column:
+    """Runs (first, n) of sizes whose sum, with ``gap`` between any two, stays within the limit, filled in order.
 
+    A size beyond it stands alone, zeros at a start vanish. The fold carries numbers only, and the runs so far."""
+    state = F.struct(*(F.lit(0).alias(c) for c in ("at", "first", "n", "size")), F.array().cast(_RUNS).alias("done"))
 
-def packed_lines(text: str, limit: int) -> list[str]:
-    """Runs of whole lines of at most ``limit`` characters; a longer line stands alone, blanks at a start vanish."""
-    pieces, held, size = [], [], 0
-    for line in text.split("\n"):
-        if held and size + 1 + len(line) > limit:
-            pieces.append("\n".join(held))
-            held, size = [], 0
-        if not held and not line:
-            continue
-        size += len(line) + (1 if held else 0)
-        held.append(line)
-    return [*pieces, "\n".join(held)] if held else pieces
+    def with_last(s: Column) -> Column:
+        return F.concat(s["done"], F.array(F.struct(s["first"].alias("first"), s["n"].alias("n"))))
 
+    def step(s: Column, x: Column) -> Column:
+        full = (s["n"] > 0) & (s["size"] + gap + x > limit)
+        begins = full | (s["n"] == 0)
+        return F.struct(
+            (s["at"] + 1).alias("at"), F.when(begins, s["at"]).otherwise(s["first"]).alias("first"),
+            F.when(begins, (x > 0).cast("int")).otherwise(s["n"] + 1).alias("n"),
+            F.when(begins, x).otherwise(s["size"] + gap + x).alias("size"),
+            F.when(full, with_last(s)).otherwise(s["done"]).alias("done"),
+        )
 
-def sentences(text: str, lossless: bool = False) -> list[str]:
+    return F.aggregate(sizes, state, step, lambda s: F.when(s["n"] > 0, with_last(s)).otherwise(s["done"]))
+
+
+def _joined_runs(pieces: Column, limit: int, between: str) -> Column:
+    """Pieces joined within the limit, an array of texts."""
+    return once(
+        pieces,
+        lambda p: F.transform(_runs(F.transform(p, lambda x: F.length(x)), limit, len(between)), lambda r: F.array_join(F.slice(p, r["first"] + 1, r["n"]), between)),
+    )
+
+
+def pack_lines(c: Column, limit: int) -> Column:
+    """Runs of whole lines of at most ``limit`` characters; a longer line stands alone, blank lines at a start vanish."""
+    return _joined_runs(F.split(c, "\n", -1), limit, "\n")
+
+
+def sentences(c: Column, lossless: bool = False) -> Column:
     """Sentences with the blank after them. Not lossless: a tail without an end and text before an inner dot are lost."""
-    if not lossless:
-        out, begin = [], 0
-        for m in re.finditer(r"[.!?]+", text):
-            end = m.end()
-            if end == len(text) or text[end].isspace():
-                if m.start() > begin:
-                    out.append(text[begin : end + 1])
-                end += 1
-            begin = end
-        return out
-    cuts = [m.end() for m in re.finditer(r"[.!?]+\s", text)]
-    return [p for p in (text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])) if p]
-
-
-def long_parts(text: str, limit: int, lossless: bool = False) -> list[str]:
-    """A text beyond the limit as runs of whole sentences within it; a longer sentence stays whole."""
-    if len(text) <= limit:
-        return [text]
-    parts, held = [], ""
-    for s in sentences(text, lossless) or [text]:
-        if held and len(held) + len(s) > limit:
-            parts.append(held.strip())
-            held = ""
-        held += s
-    return [*parts, held.strip()] if held.strip() else parts
-
-
-def halves(text: str, share: float = 0.15) -> list[str]:
+    if lossless:
+        return F.filter(F.split(c, _AFTER_SENTENCE, -1), lambda s: s != "")
+    return F.regexp_extract_all(c, F.lit(_SENTENCE), F.lit(0))
+
+
+def split_long(c: Column, limit: int = 3000, lossless: bool = False) -> Column:
+    """A text beyond the limit as runs of whole sentences within it, trimmed; a longer sentence stays whole."""
+
+    def parts(t: Column) -> Column:
+        found = once(sentences(t, lossless), lambda s: F.when(F.size(s) == 0, F.array(t)).otherwise(s))
+        return F.filter(F.transform(_joined_runs(found, limit, ""), trimmed), lambda p: p != "")
+
+    return once(c, lambda t: F.when(F.length(t) <= limit, F.array(t)).when(t.isNotNull(), parts(t)))
+
+
+def bisect(c: Column, share: float = 0.15) -> Column:
     """Two parts: at the middle line if neither is too small, else at the first space from the middle on."""
-    lines = text.split("\n")
-    mid = len(lines) // 2 or 1
-    first, second = "\n".join(lines[:mid]), "\n".join(lines[mid:])
-    if len(lines) > 1 and min(len(first), len(second)) > share * len(text):
-        return [first, second]
-    at = text.find(" ", len(text) // 2)
-    at = len(text) // 2 if at < 0 else at
-    return [text[:at], text[at:]]
+
+    def at_space(t: Column) -> Column:
+        middle = F.floor(F.length(t) / 2).cast("int")
+        found = F.call_function("locate", F.lit(" "), t, middle + 1)
+        return once(F.when(found > 0, found - 1).otherwise(middle), lambda n: F.array(F.substring(t, F.lit(1), n), F.substring(t, n + 1, F.length(t))))
+
+    def by_lines(t: Column) -> Column:
+        def halves(lines: Column) -> Column:
+            middle = F.greatest(F.lit(1), F.floor(F.size(lines) / 2).cast("int"))
+            return F.array(F.array_join(F.slice(lines, F.lit(1), middle), "\n"), F.array_join(F.slice(lines, middle + 1, F.size(lines)), "\n"))
+
+        return once(F.split(t, "\n", -1), halves)
+
+    def either(t: Column) -> Column:
+        return once(by_lines(t), lambda h: F.when(F.least(F.length(h[0]), F.length(h[1])) > share * F.length(t), h).otherwise(at_space(t)))
+
+    return once(c, lambda t: F.when(t.isNotNull(), either(t)))
 
 
 def without_ghosts(text: str, span: int = 12, long_title: int = 300) -> tuple[str, int]:
@@ -88,41 +110,24 @@ def without_ghosts(text: str, span: int = 12, long_title: int = 300) -> tuple[st
     return "\n".join(out), removed
 
 
-def pack_lines(c: Column, limit: int) -> Column:
-    @F.pandas_udf(_PIECES)
-    def pieces(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else packed_lines(t, limit))
-
-    return pieces(c)
-
-
-def split_long(c: Column, limit: int = 3000, lossless: bool = False) -> Column:
-    @F.pandas_udf(_PIECES)
-    def parts(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else long_parts(t, limit, lossless))
-
-    return parts(c)
-
-
-def bisect(c: Column) -> Column:
-    @F.pandas_udf(_PIECES)
-    def two(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else halves(t))
-
-    return two(c)
-
-
 def needs_split(source: Column, out: Column, share: float = 0.65) -> Column:
     """The output is too short for its source."""
     return F.length(out) < F.length(source) * F.lit(share)
 
 
 @F.pandas_udf(T.StructType().add("text", T.StringType()).add("removed", T.IntegerType()))
-def strip_ghost_blocks(texts: pd.Series) -> pd.DataFrame:
+def _without_ghosts(texts: pd.Series) -> pd.DataFrame:
     rows = [(None, 0) if t is None else without_ghosts(t) for t in texts]
     return pd.DataFrame(rows, columns=["text", "removed"])
 
 
+def strip_ghost_blocks(c: Column) -> Column:
+    """(text, removed): a text without repeated front matter. Python sees those with three rules at least, no others."""
+    rules = (F.length(c) - F.length(F.replace(c, F.lit("---")))) / 3
+    held = _without_ghosts(F.when(rules >= 3, c))
+    return F.struct(F.coalesce(held["text"], c).alias("text"), held["removed"].alias("removed"))
+
+
 def unpack(pieces: DataFrame, key: str, pos: str, text: str) -> DataFrame:
     """One text a key: its pieces in order, trimmed, a blank line between."""
     rows = F.sort_array(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(text).alias("t"))))

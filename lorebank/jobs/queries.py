@@ -499,6 +499,48 @@ def split_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(packing.split_long(F.col("text"))).alias("part")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("parts"), F.max(F.length("part")).cast("long").alias("longest"))
 
 
+#: Sentences numbered by document, of each the last one that a part from it on still holds, and the parts by recursion.
+_PARTS = r"""
+WITH RECURSIVE s AS (
+  SELECT doc_id, CASE WHEN length(text) <= 3000 OR len(f) = 0 THEN [text] ELSE f END AS list
+  FROM (SELECT doc_id, text, regexp_extract_all(text, '[^.!?]+[.!?]+(?:[\t\n\x0B\f\r \x{FEFF}\p{Z}]|$)') AS f FROM documents WHERE text IS NOT NULL)),
+u AS (SELECT doc_id, unnest(list) AS one, generate_subscripts(list, 1) AS i FROM s),
+w AS (SELECT doc_id, i, length(one) AS n, sum(length(one)) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM u),
+j AS (SELECT a.doc_id, a.i, greatest(a.i, b.i) AS j FROM w a ASOF LEFT JOIN w b ON a.doc_id = b.doc_id AND b.e <= 3000 + a.e - a.n),
+r AS (SELECT doc_id, i, j FROM j WHERE i = 1 UNION ALL SELECT j.doc_id, j.i, j.j FROM r JOIN j ON j.doc_id = r.doc_id AND j.i = r.j + 1),
+p AS (SELECT doc_id, r.i, array_to_string(list[r.i:r.j], '') AS t, length(list[1]) <= 3000 AND len(list) = 1 AS short FROM r JOIN s USING (doc_id)),
+q AS (SELECT doc_id, i, CASE WHEN short THEN t ELSE regexp_replace(t, '^[\t\n\x0B\f\r \x{FEFF}\p{Z}]+|[\t\n\x0B\f\r \x{FEFF}\p{Z}]+$', '', 'g') END AS t, short FROM p)
+"""
+SPLIT_SENTENCES = _PARTS + "SELECT doc_id, count(*) AS parts, max(length(t)) AS longest FROM q WHERE short OR t <> '' GROUP BY 1"
+
+
+def split_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part of every document, with its borders, in the default form (what is no sentence is left out)."""
+    parts = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(packing.split_long(F.col("text"))).alias("pos", "part"))
+    return parts.select("doc_id", "pos", F.length("part").cast("long").alias("chars"), F.md5("part").alias("part_md5"))
+
+
+SPLIT_PARTS = _PARTS + "SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INT AS pos, length(t) AS chars, md5(t) AS part_md5 FROM q WHERE short OR t <> ''"
+
+
+def packed_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of whole lines of every document, with its borders."""
+    pieces = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(packing.pack_lines(F.col("text"), 500)).alias("pos", "piece"))
+    return pieces.select("doc_id", "pos", F.length("piece").cast("long").alias("chars"), F.md5("piece").alias("piece_md5"))
+
+
+PACKED_PIECES = """
+WITH RECURSIVE l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL),
+w AS (SELECT doc_id, i, length(line) AS n, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) AS e FROM l),
+x AS (SELECT doc_id, i, min(CASE WHEN n > 0 THEN i END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM w),
+j AS (SELECT a.doc_id, a.i, greatest(a.i, b.i) AS j, a.e - a.n AS start FROM w a ASOF LEFT JOIN w b ON a.doc_id = b.doc_id AND b.e <= 500 + a.e - a.n),
+k AS (SELECT j.doc_id, j.i, j.start, w.e AS stop, x.later FROM j JOIN w ON w.doc_id = j.doc_id AND w.i = j.j JOIN x ON x.doc_id = j.doc_id AND x.i = j.j),
+r AS (SELECT doc_id, i, start, stop, later, 0 AS pos FROM k WHERE (doc_id, i) IN (SELECT (doc_id, min(i)) FROM w WHERE n > 0 GROUP BY doc_id)
+  UNION ALL SELECT k.doc_id, k.i, k.start, k.stop, k.later, r.pos + 1 FROM r JOIN k ON k.doc_id = r.doc_id AND k.i = r.later)
+SELECT doc_id, pos, (stop - start)::BIGINT AS chars, md5(substr(text, start::BIGINT, (stop - start)::BIGINT)) AS piece_md5 FROM r JOIN documents USING (doc_id)
+"""
+
+
 def pack_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of whole lines, put together again."""
     pieces = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(packing.pack_lines(F.col("text"), 500)).alias("pos", "text"))
@@ -521,6 +563,21 @@ SELECT doc_id, cut AS first, n - cut AS second, cut < n * 0.65 AS is_short FROM
 """
 
 
+def bisect_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Halves of the texts as they are: at the middle line, or at a space where a half would be too small."""
+    halves = table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", packing.bisect(F.col("text")).alias("h"))
+    return halves.select("doc_id", *[F.length(F.col("h")[i]).cast("long").alias(f"{n}_chars") for i, n in enumerate(("first", "second"))], *[F.md5(F.col("h")[i]).alias(f"{n}_md5") for i, n in enumerate(("first", "second"))])
+
+
+BISECT_LINES = """
+WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls, length(text) // 2 AS mid FROM documents WHERE text IS NOT NULL),
+h AS (SELECT *, array_to_string(ls[1:greatest(1, len(ls) // 2)], chr(10)) AS a, array_to_string(ls[greatest(1, len(ls) // 2) + 1:], chr(10)) AS b FROM l),
+c AS (SELECT *, len(ls) > 1 AND least(length(a), length(b)) > 0.15 * length(text) AS by_line, CASE WHEN instr(substr(text, mid + 1), ' ') > 0 THEN mid + instr(substr(text, mid + 1), ' ') - 1 ELSE mid END AS cut FROM h),
+o AS (SELECT doc_id, CASE WHEN by_line THEN a ELSE substr(text, 1, cut) END AS f, CASE WHEN by_line THEN b ELSE substr(text, cut + 1) END AS s FROM c)
+SELECT doc_id, length(f) AS first_chars, length(s) AS second_chars, md5(f) AS first_md5, md5(s) AS second_md5 FROM o
+"""
+
+
 def md_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return translations(spark, sf_dir)[1].select("episode_id", text.md_counts(F.col("text")).alias("c")).select("episode_id", "c.*")
 
@@ -769,7 +826,7 @@ QUERIES = {
     "kb_shape": kb_shape, "summary_rows": summary_rows, "kb_stats": kb_stats, "slugify": slugify, "resolve_brand": resolve_brand, "upsert": upsert, "append_lot": append_lot, "deactivate": deactivate, "coverage": coverage,
     "vector_topk": vector_topk, "ivf_topk": ivf_topk, "ivf_recall": ivf_recall, "text_topk": text_topk, "text_topk_spanish": text_topk_spanish, "spanish_stems": spanish_stems, "hybrid_rrf": hybrid_rrf, "hybrid_tenants": hybrid_tenants, "hybrid_legacy": hybrid_legacy, "allocate_slots": slots, "rerank": rerank, "keyword_search": keyword_search,
     "judged": judged, "eval_summary": eval_summary, "eval_by_type": eval_by_type, "rank_histogram": rank_histogram, "context_precision": context_precision, "keyword_coverage": keyword_coverage, "run_diff": run_diff, "same_runs": same_runs,
-    "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "pack_lines": pack_lines, "bisect": bisect, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "audit_reasons": audit_reasons, "verify": verify,
+    "chunk_sections": chunk_sections, "chunk_stats": chunk_stats, "split_long": split_long, "split_sentences": split_sentences, "split_parts": split_parts, "pack_lines": pack_lines, "packed_pieces": packed_pieces, "bisect": bisect, "bisect_lines": bisect_lines, "md_counts": md_counts, "audit": audit, "audit_summary": audit_summary, "audit_reasons": audit_reasons, "verify": verify,
     "repeated_text": repeated_text, "ad_rule_report": ad_rule_report, "pending": pending, "bucket_load": bucket_load, "episode_catalog": episode_catalog, "compile": compile_docs, "video_map": video_map, "citations": cited, "answers": answers,
     "sessions": sessions, "dedup_messages": dedup_messages, "last_value": last_value, "answer_sources": answer_sources, "smalltalk": smalltalk, "eval_runs": eval_runs, **files.QUERIES, **stored.QUERIES,
 }
@@ -780,7 +837,7 @@ ORACLE_SQL = {
     "judged": _JUDGED + "SELECT query_id, type, hit, rank, round(top_score, 6) AS top_score FROM j", "eval_summary": _JUDGED + f"SELECT {_MEASURES} FROM j",
     "eval_by_type": _JUDGED + f"SELECT coalesce(type, 'all') AS type, {_MEASURES} FROM j GROUP BY ROLLUP (type)", "rank_histogram": _JUDGED + "SELECT rank, count(*) AS questions FROM j WHERE hit GROUP BY 1",
     "context_precision": CONTEXT_PRECISION, "keyword_coverage": KEYWORD_COVERAGE, "run_diff": RUN_DIFF, "same_runs": SAME_RUNS,
-    "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "pack_lines": PACK_LINES, "bisect": BISECT, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "audit_reasons": AUDIT_REASONS, "verify": VERIFY,
+    "chunk_sections": CHUNK_SECTIONS, "chunk_stats": CHUNK_STATS, "split_long": SPLIT_LONG, "split_sentences": SPLIT_SENTENCES, "split_parts": SPLIT_PARTS, "pack_lines": PACK_LINES, "packed_pieces": PACKED_PIECES, "bisect": BISECT, "bisect_lines": BISECT_LINES, "md_counts": MD_COUNTS, "audit": AUDIT, "audit_summary": _AUDIT + "SELECT status, count(*) AS n FROM v GROUP BY 1", "audit_reasons": AUDIT_REASONS, "verify": VERIFY,
     "repeated_text": REPEATED_TEXT, "ad_rule_report": AD_RULE_REPORT, "pending": PENDING, "bucket_load": _PENDING + "SELECT idx % 7 AS bucket, count(*) AS load FROM p GROUP BY 1",
     "episode_catalog": EPISODE_CATALOG, "compile": COMPILE_DOCS, "video_map": VIDEO_MAP, "citations": CITED, "answers": ANSWERS,
     "sessions": SESSIONS, "dedup_messages": DEDUP_MESSAGES, "last_value": LAST_VALUE, "answer_sources": ANSWER_SOURCES, "smalltalk": SMALLTALK, "eval_runs": EVAL_RUNS, **files.ORACLE_SQL, **stored.ORACLE_SQL, "text_index_topk": TEXT_TOPK, "hybrid_spanish": HYBRID_SPANISH,

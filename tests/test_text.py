@@ -1,9 +1,8 @@
+import random
 import re
 import unicodedata
 
 import pytest
-from hypothesis import given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lorebank.functions import packing as p
@@ -11,6 +10,8 @@ from lorebank.functions import spanish
 from lorebank.functions import text as t
 from lorebank.operators import lexical, quality
 
+from . import plain_packing
+
 
 def one(spark, expr, **values):
     df = spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])
@@ -78,19 +79,42 @@ def test_titles_counts_headings(spark):
     assert one(spark, t.is_smalltalk(F.col("v")), v="¡Hola!") and not one(spark, t.is_smalltalk(F.col("v")), v="hola, ¿qué es esto?")
 
 
-def test_packing_cases():
-    assert p.packed_lines("aaaa\nbbbb\n" + "c" * 20, 10) == ["aaaa\nbbbb", "c" * 20]
-    assert p.packed_lines("\n\na\n\nb", 3) == ["a\n", "b"]
-    assert p.sentences("Toma 3.5 mg al dia. Luego descansa. cola") == ["5 mg al dia. ", "Luego descansa. "]
-    assert "".join(p.sentences("Toma 3.5 mg al dia. Luego descansa. cola", True)) == "Toma 3.5 mg al dia. Luego descansa. cola"
-    assert p.long_parts("x" * 4000, 3000) == ["x" * 4000]
-    assert [len(x) for x in p.long_parts("a" * 9 + ". " + "b" * 9 + ". " + "c" * 9 + ".", 22)] == [21, 10]
-    assert p.halves("a b") == ["a", " b"] and p.halves("aa\nbb\ncc\ndd") == ["aa\nbb", "cc\ndd"]
+def pieces(spark, texts, make):
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, v string").repartition(4)
+    return [r.x for r in rows.select("i", make(F.col("v")).alias("x")).orderBy("i").collect()]
+
+
+def test_packing_cases(spark):
+    pack = lambda text, limit: pieces(spark, [text], lambda c: p.pack_lines(c, limit))[0]
+    assert pack("aaaa\nbbbb\n" + "c" * 20, 10) == ["aaaa\nbbbb", "c" * 20]
+    assert pack("\n\na\n\nb", 3) == ["a\n", "b"] and pack("", 3) == [] and pack("\n\n", 3) == [] and pack(None, 3) is None
+    dose = "Toma 3.5 mg al dia. Luego descansa. cola"
+    assert pieces(spark, [dose], p.sentences)[0] == ["5 mg al dia. ", "Luego descansa. "]
+    assert pieces(spark, ["a. . b."], p.sentences)[0] == ["a. ", " b."]
+    assert "".join(pieces(spark, [dose], lambda c: p.sentences(c, True))[0]) == dose
+    long = "a" * 9 + ". " + "b" * 9 + ". " + "c" * 9 + "."
+    assert pieces(spark, ["x" * 4000, None, "", " " * 4000], p.split_long) == [["x" * 4000], None, [""], []]
+    assert [len(x) for x in pieces(spark, [long], lambda c: p.split_long(c, 22))[0]] == [21, 10]
+    assert pieces(spark, ["a b", "aa\nbb\ncc\ndd", None, "", "x"], p.bisect) == [["a", " b"], ["aa\nbb", "cc\ndd"], None, ["", ""], ["", "x"]]
+
 
+def test_long_texts_without_ends_are_fast(spark):
+    texts = ["palabra " * 200_000, "a.b" * 200_000]
+    assert pieces(spark, texts, p.sentences) == [[], []]
+    assert [len(x[0]) for x in pieces(spark, texts, p.split_long)] == [1_599_999, 600_000]
+    lines = "word\n" * 100_000
+    assert pieces(spark, [lines], lambda c: p.pack_lines(c, 500))[0] == plain_packing.packed_lines(lines, 500)
 
-def test_a_long_text_without_ends_is_fast():
-    assert p.sentences("palabra " * 200_000) == []
-    assert len(p.sentences("a.b" * 200_000)) == 0
+
+@pytest.mark.parametrize("limit", [5, 12, 40])
+def test_packing_against_plain_loops(spark, limit):
+    some = random.Random(limit)
+    texts = ["".join(some.choice("ab  .!?\n\né\U0001F600") for _ in range(some.randrange(160))) for _ in range(300)]
+    assert pieces(spark, texts, lambda c: p.pack_lines(c, limit)) == [plain_packing.packed_lines(x, limit) for x in texts]
+    for lossless in (False, True):
+        assert pieces(spark, texts, lambda c: p.sentences(c, lossless)) == [plain_packing.sentences(x, lossless) for x in texts]
+        assert pieces(spark, texts, lambda c: p.split_long(c, limit, lossless)) == [plain_packing.long_parts(x, limit, lossless) for x in texts]
+    assert pieces(spark, texts, p.bisect) == [plain_packing.halves(x) for x in texts]
 
 
 def test_ghost_blocks():
@@ -101,15 +125,6 @@ def test_ghost_blocks():
     assert p.without_ghosts("x\n---\ntitle: b\n---\n") == ("x\n---\ntitle: b\n---\n", 0)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(alphabet="ab .!?\n", max_size=120), st.integers(5, 40))
-def test_pieces_hold_everything_but_blanks(text, limit):
-    squeeze = lambda s: "".join(s.split())
-    assert squeeze("".join(p.packed_lines(text, limit))) == squeeze(text)
-    assert squeeze("".join(p.long_parts(text, limit, True))) == squeeze(text)
-    assert "".join(p.halves(text)).replace("\n", "") == text.replace("\n", "")
-
-
 def test_unpack(spark):
     df = spark.createDataFrame([(1, 1, " b "), (1, 0, "a"), (2, 0, "c")], "d int, p int, t string")
     assert {(r.d, r.t) for r in p.unpack(df, "d", "p", "t").collect()} == {(1, "a\n\nb"), (2, "c")}
