@@ -123,8 +123,8 @@ def _without_ghosts(texts: pd.Series) -> pd.DataFrame:
 
 def strip_ghost_blocks(c: Column) -> Column:
     """(text, removed): a text without repeated front matter. Python sees those with three rules at least, no others."""
-    rules = (F.length(c) - F.length(F.replace(c, F.lit("---")))) / 3
-    held = _without_ghosts(F.when(rules >= 3, c))
+    third = F.octet_length(F.substring_index(c, "---", 3)) < F.octet_length(c)
+    held = _without_ghosts(F.when(third, c))
     return F.struct(F.coalesce(held["text"], c).alias("text"), held["removed"].alias("removed"))
 
 

@@ -178,15 +178,21 @@ def md_counts(c: Column) -> Column:
 
 
 def normalize_newlines(c: Column) -> Column:
-    return F.regexp_replace(c, "\r\n", "\n")
+    return F.replace(c, F.lit("\r\n"), F.lit("\n"))
 
 
+HEADING_MARK = "## "
 _LOST_HEADER = r"(?m)^(\[\d{2}:\d{2}:\d{2}\][^\S\n]+\S.*)$"
 
 
+def lost_headings(c: Column) -> Column:
+    """Number of ``[hh:mm:ss] title`` lines without a mark."""
+    return F.regexp_count(c, F.lit(_LOST_HEADER)).cast("int")
+
+
 def restore_headings(c: Column) -> Column:
     """Puts the mark back before ``[hh:mm:ss] title`` lines; text and number of lines."""
-    return F.struct(F.regexp_replace(c, _LOST_HEADER, "## $1").alias("text"), F.regexp_count(c, F.lit(_LOST_HEADER)).cast("int").alias("fixed"))
+    return F.struct(F.regexp_replace(c, _LOST_HEADER, f"{HEADING_MARK}$1").alias("text"), lost_headings(c).alias("fixed"))
 
 
 def normalized(c: Column) -> Column:

@@ -125,7 +125,7 @@ def pending_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is to be translated after an audit: sources never done, and those whose translation is discarded."""
     raw, done = translations(spark, sf_dir)
     progress = raw.select("episode_id", (F.col("episode_id") % 6 != 5).alias("transcript"))
-    audit = quality.audit_translation(quality.pair_docs(progress, raw, done)[0])
+    audit = quality.audit_done(progress, raw, done)
     return worklist.pending(raw.select("episode_id", F.lit(True).alias("has_transcript")), quality.progress_after(progress, audit), "transcript").select("episode_id")
 
 

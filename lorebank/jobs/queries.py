@@ -596,8 +596,7 @@ MD_COUNTS = _TRANSLATIONS + "SELECT episode_id, headers, fences, titles FROM c"
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, done = translations(spark, sf_dir)
     progress = raw.select("episode_id", F.lit(True).alias("transcript"))
-    pairs, _ = quality.pair_docs(progress, raw, done)
-    return quality.audit_translation(pairs).select("episode_id", F.round("ratio", 6).alias("ratio"), "removed_blocks", "headings_fixed", "status", "reason")
+    return quality.audit_done(progress, raw, done).select("episode_id", F.round("ratio", 6).alias("ratio"), "removed_blocks", "headings_fixed", "status", "reason")
 
 
 _AUDIT = _TRANSLATIONS + """, r AS (
@@ -612,8 +611,7 @@ AUDIT = _AUDIT + "SELECT episode_id, ratio, removed_blocks, headings_fixed, stat
 
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, done = translations(spark, sf_dir)
-    pairs, _ = quality.pair_docs(raw.select("episode_id", F.lit(True).alias("transcript")), raw, done)
-    return quality.audit_summary(quality.audit_translation(pairs))
+    return quality.audit_summary(quality.audit_done(raw.select("episode_id", F.lit(True).alias("transcript")), raw, done))
 
 
 def audit_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:

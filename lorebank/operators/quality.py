@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lorebank.functions.packing import strip_ghost_blocks
-from lorebank.functions.text import md_counts, normalize_newlines, normalized, restore_headings
+from lorebank.functions.text import HEADING_MARK, lost_headings, md_counts, normalize_newlines, normalized, restore_headings
 
 # Shares of the source's length, and headers that may be missing.
 TRUNCATED, INFLATED, MISSING_HEADERS = 0.85, 1.40, -2
@@ -26,21 +26,46 @@ def _verdict(ratio: Column, titles: Column, diff: Column, heads: Column) -> Colu
     )
 
 
+def _source_measures(text: Column) -> Column:
+    source = normalize_newlines(text)
+    return F.struct(md_counts(source).getField("headers").alias("headers"), F.length(source).alias("chars"))
+
+
+def _repaired(df: DataFrame, text: str) -> DataFrame:
+    """Replaces a text by what the audit asks of it: _text without repeated front matter, and its measures.
+
+    Lost header marks are counted only: each one that is put back adds a header and three characters."""
+    lines = df.withColumn("_n", normalize_newlines(F.col(text))).drop(text)
+    seen = lines.withColumn("_g", strip_ghost_blocks(F.col("_n"))).drop("_n")
+    seen = seen.withColumns({"_text": F.col("_g.text"), "_removed": F.col("_g.removed")}).drop("_g")
+    return seen.withColumns({"_counts": md_counts(F.col("_text")), "_chars": F.length("_text"), "_lost": lost_headings(F.col("_text"))})
+
+
+def _judged(pairs: DataFrame, key: str) -> DataFrame:
+    """pairs: _source (measures) and the columns of ``_repaired``."""
+    heads = F.col("_source.headers") > 0
+    fixed = F.when(heads, F.col("_lost")).otherwise(0)
+    ratio = F.try_divide(F.col("_chars") + F.length(F.lit(HEADING_MARK)) * fixed, F.col("_source.chars"))
+    titles, diff = F.col("_counts.titles"), F.col("_counts.headers") + fixed - F.col("_source.headers")
+    reason = _verdict(ratio, titles, diff, heads)
+    return pairs.select(
+        key, ratio.alias("ratio"), titles.alias("title_count"), diff.alias("header_diff"), F.col("_removed").alias("removed_blocks"), fixed.alias("headings_fixed"),
+        F.when(reason.isNotNull(), "discarded").when((F.col("_removed") > 0) | (fixed > 0), "patched").otherwise("ok").alias("status"), reason.alias("reason"),
+        F.when(heads, restore_headings(F.col("_text")).getField("text")).otherwise(F.col("_text")).alias("text"),
+    )
+
+
 def audit_translation(pairs: DataFrame, key: str = "episode_id") -> DataFrame:
     """Repairs each translation and judges what comes out: status ok, patched or discarded, and the first reason."""
-    source = normalize_newlines(F.col("source"))
-    fixed = pairs.select(key, source.alias("source"), strip_ghost_blocks(normalize_newlines(F.col("translation"))).alias("g"), md_counts(source).alias("s"))
-    heads = F.col("s.headers") > 0
-    restored = fixed.withColumn("r", F.when(heads, restore_headings(F.col("g.text"))).otherwise(F.struct(F.col("g.text").alias("text"), F.lit(0).alias("fixed"))))
-    counted = restored.withColumn("t", md_counts(F.col("r.text")))
-    ratio = F.try_divide(F.length("r.text"), F.length("source"))
-    diff = F.col("t.headers") - F.col("s.headers")
-    reason = _verdict(ratio, F.col("t.titles"), diff, heads)
-    touched = (F.col("g.removed") > 0) | (F.col("r.fixed") > 0)
-    return counted.select(
-        key, ratio.alias("ratio"), F.col("t.titles").alias("title_count"), diff.alias("header_diff"), F.col("g.removed").alias("removed_blocks"), F.col("r.fixed").alias("headings_fixed"),
-        F.when(reason.isNotNull(), "discarded").when(touched, "patched").otherwise("ok").alias("status"), reason.alias("reason"), F.col("r.text").alias("text"),
-    )
+    return _judged(_repaired(pairs.withColumn("_source", _source_measures(F.col("source"))).drop("source"), "translation"), key)
+
+
+def audit_done(progress: DataFrame, raw: DataFrame, translated: DataFrame, key: str = "episode_id") -> DataFrame:
+    """The audit of all that is marked done and whole. Measures are joined: no source is shuffled, and repaired
+    translations only where ``text`` is asked for."""
+    source = raw.select(key, _source_measures(F.col("text")).alias("_source")).filter("_source.chars is not null")
+    there = _repaired(translated.select(key, "text").filter("text is not null"), "text")
+    return _judged(progress.filter("transcript").select(key).join(source, key).join(there, key), key)
 
 
 def progress_after(progress: DataFrame, audit: DataFrame, key: str = "episode_id") -> DataFrame:

@@ -1,4 +1,7 @@
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from lorebank.operators import catalog, chunking, citations, kb, quality, search, worklist
 
@@ -70,8 +73,17 @@ def test_audit_thresholds(spark):
     pairs = [(n, src, "y" * n) for n in (840, 850, 1400, 1410)]
     heads = "## a\n## b\n## c\n" + "z" * 100
     pairs += [(1, heads, "title: a\ntitle: b\n" + heads), (2, heads, "## a\n[00:00:01] b\n[00:00:02] c\n" + "z" * 90), (3, heads, "## a\nb b b b\nc c c c\n" + "z" * 95), (4, heads, "## a\n## b\nc c c c\n" + "z" * 95), (5, "", "")]
-    out = {r.episode_id: (r.status, r.reason) for r in quality.audit_translation(spark.createDataFrame(pairs, "episode_id int, source string, translation string")).collect()}
+    paired = spark.createDataFrame(pairs, "episode_id int, source string, translation string")
+    whole = quality.audit_translation(paired)
+    out = {r.episode_id: (r.status, r.reason) for r in whole.collect()}
     assert out == {840: ("discarded", "truncated"), 850: ("ok", None), 1400: ("ok", None), 1410: ("discarded", "inflated"), 1: ("discarded", "ghost title"), 2: ("patched", None), 3: ("discarded", "missing headers"), 4: ("ok", None), 5: ("ok", None)}
+    done = paired.select("episode_id", (F.col("episode_id") != 850).alias("transcript"))
+    raw, es = paired.select("episode_id", F.col("source").alias("text")), paired.select("episode_id", F.when(F.col("episode_id") != 840, F.col("translation")).alias("text"))
+    joined = quality.audit_done(done, raw, es)
+    assert rows(joined) == rows(whole.filter("episode_id not in (840, 850)")) and {r.episode_id: r.text for r in joined.collect()}[2].startswith("## a\n## [00:00:01] b\n")
+    plan = joined.drop("text")._sc._jvm.PythonSQLUtils.explainString(joined.drop("text")._jdf.queryExecution(), "formatted")
+    moved = re.findall(r"\(\d+\) \w*Exchange\nInput \[\d+\]: (.*)", plan)
+    assert moved and not [m for m in moved if "_text" in m or "translation" in m]
 
 
 def test_pairs_and_ads(spark):
