@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-
-from lorebank.functions.text import once
+from pyspark.sql import types as T
 
 
 def judge(golden: DataFrame, retrieved: DataFrame) -> DataFrame:
@@ -54,11 +56,34 @@ def context_precision(retrieved: DataFrame, flags: DataFrame, k: int) -> DataFra
     return own.groupBy("query_id").agg((F.count_if(~F.coalesce("is_ad", F.lit(False))) / F.lit(float(k))).alias("precision"))
 
 
+@F.arrow_udf(T.LongType())
+def _held(keywords: pa.Array, contexts: pa.Array) -> pa.Array:
+    """How many keywords, repeats too, a context holds: one pass of an automaton of the distinct ones."""
+    import ahocorasick
+
+    out = []
+    for words, context in zip(keywords.to_pylist(), contexts.to_pylist()):
+        if words is None:
+            out.append(None)
+            continue
+        times = Counter(w for w in words if w is not None)
+        always = times.pop("", 0)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        for w in times:
+            automaton.add_word(w, w)
+        automaton.make_automaton()
+        met = {w for _, w in automaton.iter(context)} if times and context else ()
+        out.append(always + sum(times[w] for w in met))
+    return pa.array(out, pa.int64())
+
+
 def keyword_coverage(expected: DataFrame, context: DataFrame) -> DataFrame:
-    """Share of a question's expected keywords that its context holds. expected: query_id, keywords."""
+    """Share of a question's expected keywords that its context holds. expected: query_id, keywords.
+
+    Null keywords are expected and never found; an empty one always is."""
     met = expected.join(context, "query_id", "left")
-    found = once(F.lower(F.coalesce(F.col("context"), F.lit(""))), lambda c: F.size(F.filter("keywords", lambda w: F.contains(c, F.lower(w)))))
-    counted = met.select("query_id", found.cast("long").alias("found"), F.size("keywords").cast("long").alias("expected"))
+    found = _held(F.transform("keywords", lambda w: F.lower(w)), F.lower(F.coalesce(F.col("context"), F.lit(""))))
+    counted = met.select("query_id", found.alias("found"), F.size("keywords").cast("long").alias("expected"))
     return counted.select("query_id", "found", "expected", F.try_divide("found", "expected").alias("share"))
 
 

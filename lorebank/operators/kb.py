@@ -10,19 +10,29 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lorebank.functions.text import (
     OVERVIEW_HEADER, PROTOCOLS_HEADER, RESOURCES_HEADER, TAKEAWAYS_HEADER, default_topic, episode_key, episode_of, extract_section,
     overview_row, parse_frontmatter, parse_protocols, parse_takeaways, resources_row, row_id, slugify,
 )
 
-#: Rows of a lookup table up to which it may be broadcast; above, the join shuffles.
-BROADCAST_ROWS = 2_000_000
+#: Rows and bytes of a lookup table up to which it may be broadcast; above, the join shuffles.
+BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
 
 
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint for a table that was counted and is small; no hint for any other."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is within both bounds. One job; only widths are gathered, and no more of them than the bound."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.NullType)
+    wide = [f"`{f.name}`" for f in df.schema.fields if not isinstance(f.dataType, fixed)]
+    width = reduce(lambda x, y: x + y, [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("bigint") for c in wide], F.lit(16 * len(df.columns)).cast("bigint"))
+    seen = df.select(width.alias("width")).limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("width"), F.lit(0)).alias("bytes")).first()
+    return seen["n"] <= rows and seen["bytes"] <= size
+
+
+def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A broadcast hint for a table that was measured and is small; no hint for any other."""
+    return F.broadcast(df) if is_small(df, limit, size) else df
 
 
 def summary_rows(files: DataFrame) -> DataFrame:

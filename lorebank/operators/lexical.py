@@ -138,23 +138,25 @@ def text_candidates(queries: DataFrame, doc_terms: DataFrame, config: str = "pla
     """Documents with all terms of a group of a query: query_text, id, text_rank.
 
     queries: query_text; equal ones are ranked once. doc_terms: a term table, or the rows of tokens. Terms of
-    queries are broadcast (their table is counted first): tokens are dropped where they are read unless a query
+    queries are broadcast if they are few (measured once, with all that the joins take of them): tokens are dropped where they are read unless a query
     has them, and only those are gathered. A query of one word is ranked by its count alone."""
-    from lorebank.operators.kb import maybe_broadcast
+    from lorebank.operators.kb import is_small
 
     parsed = queries.select("query_text").distinct().select("query_text", parse_query(F.col("query_text"), config).alias("q")).filter(F.size("q.groups") > 0)
     needed = F.transform("q.groups", lambda g: F.size(F.array_distinct(F.flatten(g))))
     terms = F.array_distinct(F.concat(F.flatten(F.flatten("q.groups")), F.flatten("q.excluded")))
     parsed = parsed.select("query_text", F.col("q.groups").alias("groups"), F.col("q.excluded").alias("excluded"), terms.alias("terms"), F.array_min(needed).alias("least"))
+    few = is_small(parsed.select("query_text", "groups", "excluded", F.explode("terms").alias("term")))
+    side = F.broadcast if few else lambda df: df
     wanted = parsed.select(F.explode("terms").alias("term")).distinct()
-    held = doc_terms.join(maybe_broadcast(wanted), "term", "left_semi")
+    held = doc_terms.join(side(wanted), "term", "left_semi")
     held = held if "positions" in held.columns else gathered(held)
     single = (F.size("terms") == 1) & (F.size("excluded") == 0) & F.forall(F.flatten("groups"), lambda phrase: F.size(phrase) == 1)
-    one = held.join(maybe_broadcast(parsed.filter(single).select("query_text", F.col("terms")[0].alias("term"))), "term")
+    one = held.join(side(parsed.filter(single).select("query_text", F.col("terms")[0].alias("term"))), "term")
     more = parsed.filter(~single)
-    met = held.join(maybe_broadcast(more.select("query_text", F.explode("terms").alias("term"))), "term")
+    met = held.join(side(more.select("query_text", F.explode("terms").alias("term"))), "term")
     hits = met.groupBy("query_text", "id").agg(F.collect_list("term").alias("terms"), F.collect_list("positions").alias("positions"))
-    enough = hits.join(maybe_broadcast(more.select("query_text", "groups", "excluded", "least")), "query_text").filter(F.size("terms") >= F.col("least"))
+    enough = hits.join(side(more.select("query_text", "groups", "excluded", "least")), "query_text").filter(F.size("terms") >= F.col("least"))
     ranked = enough.select("query_text", "id", text_rank("groups", "excluded", "terms", "positions").alias("text_rank")).filter("text_rank is not null")
     return one.select("query_text", "id", (F.size("positions") * F.lit(WEIGHT)).alias("text_rank")).unionByName(ranked)
 

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lorebank.operators import citations, evaluate, hybrid, lexical, search, vector
+from lorebank.operators import citations, evaluate, hybrid, kb, lexical, search, vector
 
 
 def rows(df, *cols):
@@ -129,6 +129,9 @@ def test_precision_keywords_runs(spark):
     asked = spark.createDataFrame([(1, ["Sueño", "luz"]), (2, ["x"])], "query_id int, keywords array<string>")
     ctx = spark.createDataFrame([(1, "el SUEÑO")], "query_id int, context string")
     assert rows(evaluate.keyword_coverage(asked, ctx), "query_id", "found", "share") == [(1, 1, 0.5), (2, 0, 0.0)]
+    odd = spark.createDataFrame([(1, ["a", "A", "", None, "ab", "zz"]), (2, []), (3, None)], "query_id int, keywords array<string>")
+    ctx = spark.createDataFrame([(1, "xAb"), (2, "y")], "query_id int, context string")
+    assert rows(evaluate.keyword_coverage(odd, ctx), "query_id", "found", "expected", "share") == [(1, 4, 6, 4 / 6), (2, 0, 0, None), (3, None, None, None)]
     other = got.withColumn("id", F.when(F.col("pos") == 2, 99).otherwise(F.col("id"))).filter("pos < 6")
     assert rows(evaluate.diff_runs(got, other), "pos", "id_a", "id_b") == [(2, 2, 99), (6, 6, None)]
     assert rows(evaluate.same_runs(got, other), "*") == [(2, 1, 4)]
@@ -205,3 +208,26 @@ def test_equal_queries_and_phrases_match_a_plain_rank(spark):
         want += [(q, i, n + 1) for n, (_, i) in enumerate(sorted(scores))]
     assert rows(got.withColumn("text_rank", F.round("text_rank", 9)), "query_id", "id") == sorted([(q, i) for q, i, _ in want], key=str)
     assert {r.rank for r in got.filter("query_id = 0").collect()} == set(range(1, 1 + sum(q == 0 for q, *_ in want)))
+
+
+def test_vector_search_within_scopes_equals_a_plain_loop(spark):
+    rng = np.random.default_rng(3)
+    scopes = ["a", "b", None, "only rows", "c"]
+    kb_rows = [(i, rng.normal(size=4).round(1).tolist(), scopes[i % 4]) for i in range(300)]
+    asked = [(i, rng.normal(size=4).round(1).tolist(), scopes[(0, 1, 2, 4)[i % 4]]) for i in range(40)]
+    kb_df = spark.createDataFrame(kb_rows, "id int, embedding array<float>, scope string").repartition(3)
+    q = spark.createDataFrame(asked, "query_id int, embedding array<float>, scope string")
+    got = rows(vector.cosine_topk(q, kb_df, 5, block=16, scope="scope"), "query_id", "rank", "id")
+
+    def cosine(x, y):
+        x, y = np.float32(x).astype(float), np.float32(y).astype(float)
+        return round(float(x @ y / (np.linalg.norm(x) * np.linalg.norm(y))), 12)
+
+    want = [(n, r + 1, i) for n, x, own in asked for r, (_, i) in enumerate(sorted((-cosine(x, y), i) for i, y, there in kb_rows if there == own)[:5])]
+    assert sorted(got) == sorted(want)
+
+
+def test_tables_are_small_by_rows_and_bytes(spark):
+    wide = spark.range(10).select("id", F.array(F.repeat(F.lit("x"), 1000)).alias("terms"))
+    assert kb.is_small(wide) and not kb.is_small(wide, rows=9) and not kb.is_small(wide, size=10_000) and kb.is_small(wide.select("id"), size=160)
+    assert kb.is_small(wide.filter("id < 0"), rows=0, size=0)
