@@ -1,11 +1,11 @@
 """Language-model scores by a hierarchical Pitman-Yor model.
 
 Tokens are words between white space, A-Z lower-cased, then one end a text. The restaurant of a context
-seats the tokens that follow it; a context is the token before (a text begins in the context of the end).
-The ``HEADS`` most frequent tokens, counted over all training rows, have a restaurant each; what follows any
-other token is seated in one restaurant of its own kind. All contexts share one parent restaurant, in which
-each table of a context is a customer; its base is uniform over the training types, with a share for unknown
-tokens that makes their probability the Good-Turing estimate (tokens seen once over all). Discounts come from
+seats the tokens that follow it; a context is the token before (a text begins in the context of the end), and
+each token of the training texts has its own. The ``HEADS`` most frequent tokens decide only where pairs are kept
+(by token after a head, by context before a head, else by token; buckets tell each other tables and customers of
+contexts in every sweep). All contexts share one parent restaurant, in which each table of a context is a customer;
+its base is uniform over the training types, with a share for unknown tokens that makes their probability the Good-Turing estimate (tokens seen once over all). Discounts come from
 the counts of counts of each level.
 
 Gibbs: given the numbers of tables in the restaurants, the number of tables that serve one token in one
@@ -17,29 +17,29 @@ from the totals of the sweep before, and the totals are summed anew after each s
 probabilities are averaged over the last sweeps.
 
 Everything from the corpus is counted over all training rows, by Spark: counts are added up in each task,
-dealt by token and added again; tables follow the input, and a token has at most ``CONTEXTS`` counts. The
-heads and the most frequent pairs (a fixed number of each) are broadcast; those pairs are scored where the
-texts are read. All other tokens go, packed, to the task that holds their probabilities, and those of heads
-are dealt by pair; sums come back, packed by blocks of texts.
+dealt by bucket and added again; tables follow the input. The heads and the most frequent pairs after heads (a
+fixed number of each) are broadcast; those pairs are scored where the texts are read. All other tokens go, packed,
+to the bucket that holds their probabilities; sums come back, packed by blocks of texts.
 
 Null counts as empty: one token, the end. Repeated rows, and rows of a null doc_id (never held out), are each counted and scored; the id -2^63 stands for null. An empty table gives
 an empty result; without training rows the base is one type, the unknown. Tokens are told apart by 52 bits of
-a hash.
+a hash, pairs of two other tokens by 64.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from lorebank.llm.common import SOLID_BYTES, Words, blocks, buffers, mixed, table, text_of
-from lorebank.llm.scratch import checkpointed
+from lorebank.llm.scratch import bucketed, checkpointed, removed, shuffles_cleared
 
-#: Restaurants: one for each head, and one for all other contexts.
+#: Tokens whose counts are shared by all tasks and stand in a pair's low bits. They decide where a pair is kept, not how it is seated.
 CONTEXTS = 4096
 HEADS = CONTEXTS - 1
 #: Pairs that are broadcast, and buckets over which the pairs of one head are dealt.
@@ -58,9 +58,14 @@ _CTX = np.uint64(CONTEXTS - 1)
 _TOKEN = ~_CTX
 _END = np.uint64(0xA5A5_1234_5678_9A40) & _TOKEN
 
-COUNTS = "bucket int, keys binary, counts binary"
-MODEL = "bucket int, keys binary, p binary, tokens binary, p_parent binary, counts binary"
-PACKED = "bucket int, kind int, a binary, b binary, c binary, d binary, e binary, block bigint"
+PARTS = "bucket int, kind int, keys binary, others binary, counts binary"
+COUNTS = "bucket int, keys binary, counts binary, b_keys binary, b_counts binary, words binary, others binary, pair_counts binary"
+MODEL = "bucket int, keys binary, p binary, tokens binary, p_parent binary, counts binary, back binary, b_keys binary, b_p binary, pairs binary, pair_p binary, pair_back binary, pair_counts binary, home int"
+#: What a bucket holds and gets while tables are drawn. Kinds: 0 its repeated pairs, 1 its words, 2 contexts of pairs held
+#: elsewhere, 3 tables of contexts, 4 tables of a context's pairs, 5 sums (bucket -1), 6 what contexts leave, 7 all pairs.
+STATE = "bucket int, kind int, draw int, src int, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary, i binary, j binary, k binary"
+PACKED = "bucket int, kind int, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary, i binary, j binary, k binary, l binary, block bigint"
+SCORES = "block bigint, kind int, a binary, b binary, c binary"
 SUMS = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
@@ -75,8 +80,8 @@ def _places(heads: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     return np.where(heads[at] == tokens, at + 1, 0).astype(np.uint64)
 
 
-def token_keys(data: np.ndarray, offsets: np.ndarray, heads: np.ndarray = NO_HEADS) -> tuple[np.ndarray, np.ndarray]:
-    """Of each token, ends too: key (token in the high bits, context in the low twelve) and its text."""
+def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of all texts, ends too, and the text of each."""
     words = Words(data, offsets, SOLID_BYTES)
     n = np.diff(words.first)
     ends = np.cumsum(n + 1) - 1
@@ -84,9 +89,27 @@ def token_keys(data: np.ndarray, offsets: np.ndarray, heads: np.ndarray = NO_HEA
     is_end = np.zeros(len(token), bool)
     is_end[ends] = True
     token[is_end], token[~is_end] = _END, words.hash & _TOKEN
-    after = _places(heads, token)
-    before = np.concatenate([_places(heads, np.array([_END])), after[:-1]])
-    return token | before, np.repeat(np.arange(len(n)), n + 1)
+    return token, np.repeat(np.arange(len(n)), n + 1)
+
+
+def token_keys(data: np.ndarray, offsets: np.ndarray, heads: np.ndarray = NO_HEADS) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token, ends too: key (token in the high bits, place of the head before, or 0, in the low twelve) and its text."""
+    token, text = _tokens(data, offsets)
+    return token | np.concatenate([_places(heads, np.array([_END])), _places(heads, token)[:-1]]), text
+
+
+def _pairs(token: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: kind, key and the token before. Kind 0: after a head, keyed by token and the head's place.
+    Kind 1: a head after another token, keyed by that token and the head's place. Kind 2: neither is a head, keyed by the token."""
+    before, place = np.concatenate([[_END], token[:-1]]), _places(heads, token)
+    under = np.concatenate([_places(heads, np.array([_END])), place[:-1]])
+    kind = np.where(under > 0, 0, np.where(place > 0, 1, 2))
+    return kind, np.where(kind == 1, before | place, token | under), before
+
+
+def _pair(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """64-bit hashes of pairs of tokens."""
+    return mixed(words ^ mixed(contexts ^ np.uint64(0x5851F42D4C957F2D)))
 
 
 def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
@@ -99,75 +122,103 @@ def _dealt_to(keys: np.ndarray, n: int, heads: np.ndarray) -> np.ndarray:
     return ((_bucket(keys, n) + spread.astype(np.int64)) % n).astype(np.int32)
 
 
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.zeros(0, np.int64)
-    return k[at], np.add.reduceat(c, at) if len(k) else c
+def _added(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """parts: ids, counts and columns that go with the ids. Counts of equal ids are added; ids in order."""
+    ids, counts, *more = (np.concatenate(x) for x in zip(*parts))
+    if not len(ids):
+        return (ids, counts, *more)
+    order = np.argsort(ids, kind="stable")
+    ids = ids[order]
+    at = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    return (ids[at], np.add.reduceat(counts[order], at), *(x[order[at]] for x in more))
+
+
+def _kept(held: list[tuple[np.ndarray, ...]], part: tuple[np.ndarray, ...]) -> None:
+    """Adds a part to others, of which each is at least double the next."""
+    held.append(part)
+    while len(held) > 1 and len(held[-2][0]) < 2 * len(held[-1][0]):
+        held.append(_added([held.pop(), held.pop()]))
+
+
+def _row(names: list[str], numbers: list[int], *columns: np.ndarray) -> pa.RecordBatch:
+    """One row: whole numbers, then arrays as bytes; columns that are missing are empty."""
+    values = [x.tobytes() for x in columns] + [b""] * (len(names) - len(numbers) - len(columns))
+    return pa.RecordBatch.from_arrays([*(pa.array([x], pa.int32()) for x in numbers), *(pa.array([x], pa.binary()) for x in values)], names)
+
+
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(",")]
+
+
+def _runs(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each value and where it stands."""
+    order = np.argsort(of, kind="stable")
+    at = np.flatnonzero(np.concatenate([[True], np.diff(of[order]) != 0])) if len(of) else np.zeros(0, np.int64)
+    for x, y in zip(at, [*at[1:], len(of)]):
+        yield int(of[order[x]]), order[x:y]
 
 
-def _count_task(n_buckets: int, heads: np.ndarray = NO_HEADS):
-    def dealt(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        b = _bucket(keys, n_buckets)
-        order = np.argsort(b, kind="stable")
-        b, keys, counts = b[order], keys[order], counts[order]
-        at = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
-        parts = list(zip(at, [*at[1:], len(b)]))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(b[at]), pa.array([keys[x:y].tobytes() for x, y in parts], pa.binary()), pa.array([counts[x:y].tobytes() for x, y in parts], pa.binary())], ["bucket", "keys", "counts"]
-        )
+def _count_task(n_buckets: int, heads: np.ndarray | None):
+    """Counts of pairs, or of tokens where no heads are given."""
+
+    def dealt(held: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for kind, parts in held.items():
+            if parts:
+                ids, counts, *more = _added(parts)
+                words, others = more or (ids, ids[:0])
+                for b, at in _runs(_bucket(words, n_buckets)):
+                    yield _row(_names(PARTS), [b, kind], words[at], others[at] if more else others, counts[at])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: dict[int, list] = {0: [], 1: [], 2: []}
         for batch in batches:
             data, offsets = buffers(batch["text"])
             for a, b in blocks(offsets):
-                keys, _ = token_keys(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], heads)
-                k, c = np.unique(keys, return_counts=True)
-                held.append((k, c.astype(np.int64)))
-                while len(held) > 1 and len(held[-2][0]) < 2 * len(held[-1][0]):
-                    x, y = held.pop(), held.pop()
-                    held.append(_added([x[0], y[0]], [x[1], y[1]]))
-                if sum(len(k) for k, _ in held) > HELD_KEYS:
-                    yield dealt(*_added(*map(list, zip(*held))))
-                    held = []
-        if held:
-            yield dealt(*_added(*map(list, zip(*held))))
+                token, _ = _tokens(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                kind, keys, before = _pairs(token, heads) if heads is not None else (np.zeros(len(token), np.int64), token, token)
+                for one in (0, 1):
+                    k, c = np.unique(keys[kind == one], return_counts=True)
+                    _kept(held[one], (k, c.astype(np.int64)))
+                words, others = keys[kind == 2], before[kind == 2]
+                ids, at, c = np.unique(_pair(words, others), return_index=True, return_counts=True)
+                _kept(held[2], (ids, c.astype(np.int64), words[at], others[at]))
+                if sum(len(x[0]) for parts in held.values() for x in parts) > HELD_KEYS:
+                    yield from dealt(held)
+                    held = {0: [], 1: [], 2: []}
+        yield from dealt(held)
 
     return task
 
 
 def _add_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """All counts of the buckets of a task, one row a bucket with keys in order."""
-    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    held: dict[int, dict[int, list]] = {}
     for batch in batches:
-        for b, k, c in zip(batch["bucket"].to_pylist(), batch["keys"].to_pylist(), batch["counts"].to_pylist()):
-            own = held.setdefault(b, [])
-            own.append((np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)))
-            while len(own) > 1 and len(own[-2][0]) < 2 * len(own[-1][0]):
-                x, y = own.pop(), own.pop()
-                own.append(_added([x[0], y[0]], [x[1], y[1]]))
+        for b, kind, k, o, c in zip(*(batch[x].to_pylist() for x in _names(PARTS))):
+            own = held.setdefault(b, {0: [], 1: [], 2: []})[kind]
+            k, o, c = np.frombuffer(k, np.uint64), np.frombuffer(o, np.uint64), np.frombuffer(c, np.int64)
+            _kept(own, (_pair(k, o), c, k, o) if kind == 2 else (k, c))
+    none, zero = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for b, own in held.items():
-        keys, counts = _added(*map(list, zip(*own)))
-        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([keys.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], ["bucket", "keys", "counts"])
+        (keys, counts), (b_keys, b_counts) = (_added(own[kind]) if own[kind] else (none, zero) for kind in (0, 1))
+        _, c, words, others = _added(own[2]) if own[2] else (none, zero, none, none)
+        order = np.lexsort((others, words))
+        yield _row(_names(COUNTS), [b], keys, counts, b_keys, b_counts, words[order], others[order], c[order])
 
 
-def _by_token(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each token's keys begin, and each key's token."""
-    token = keys & _TOKEN
-    at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    return at, np.repeat(np.arange(len(at)), np.diff(np.concatenate([at, [len(keys)]])))
+def _arrays(row: dict) -> dict[str, np.ndarray]:
+    """A row of COUNTS as arrays."""
+    return {x: np.frombuffer(row[x], np.int64 if x.endswith("counts") else np.uint64) for x in _names(COUNTS)[1:]}
 
 
 def _sums_task(measure):
-    """Applies measure(keys, counts) to each bucket: an array of statistics, one row for each."""
+    """Applies measure to the arrays of each bucket: an array of statistics, one row for each."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            for k, c in zip(batch["keys"].to_pylist(), batch["counts"].to_pylist()):
-                own = measure(np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64))
+            for row in batch.to_pylist():
+                own = measure(_arrays(row))
                 total = own if total is None else total + own
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total.astype(np.int64))], ["i", "x"])
@@ -183,44 +234,91 @@ def _summed(counts: DataFrame, measure, n: int) -> np.ndarray:
     return out
 
 
-def _facts(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    at, _ = _by_token(keys)
-    whole = np.add.reduceat(counts, at)
-    customers = np.bincount((keys & _CTX).astype(np.int64), weights=counts, minlength=CONTEXTS).astype(np.int64)
-    types = np.bincount((keys & _CTX).astype(np.int64), minlength=CONTEXTS)
-    contexts = np.diff(np.concatenate([at, [len(keys)]]))
-    some = [len(at), (whole == 1).sum(), (counts == 1).sum(), (counts == 2).sum(), (contexts == 1).sum(), (contexts == 2).sum()]
-    return np.concatenate([customers, types, some])
+def _at_places(places: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+    """Sums by place of a head."""
+    return np.bincount(places.astype(np.int64), weights=weights, minlength=CONTEXTS).astype(np.int64)
+
+
+def _facts(heads: np.ndarray):
+    def measure(x: dict[str, np.ndarray]) -> np.ndarray:
+        context, after = x["keys"] & _CTX, x["b_keys"] & _CTX
+        token, of = np.unique(np.concatenate([x["keys"] & _TOKEN, x["words"]]), return_inverse=True)
+        whole = np.bincount(of, weights=np.concatenate([x["counts"], x["pair_counts"]]), minlength=len(token))
+        contexts, place = np.bincount(of, minlength=len(token)), _places(heads, token)
+        rare, own = place == 0, place > 0
+        every = np.concatenate([x["counts"], x["b_counts"], x["pair_counts"]])
+        some = [rare.sum(), (whole[rare] == 1).sum(), (every == 1).sum(), (every == 2).sum(), (contexts[rare] == 1).sum(), (contexts[rare] == 2).sum()]
+        some += [every.sum(), len(x["b_keys"]) + len(x["words"]), (x["b_counts"] == 1).sum() + (x["pair_counts"] == 1).sum()]
+        by_place = [_at_places(context, x["counts"]), _at_places(context), _at_places(context[x["counts"] == 1])]
+        by_place += [_at_places(place[own], whole[own]), _at_places(place[own], contexts[own])]
+        by_place += [_at_places(after, x["b_counts"]), _at_places(after), _at_places(after[x["b_counts"] == 1])]
+        return np.concatenate([*by_place, some]).astype(np.int64)
+
+    return measure
 
 
 class Totals:
-    """Sizes of all restaurants: what the tasks of a sweep share. Its size is fixed."""
+    """What the tasks of a sweep share: sizes of the heads' restaurants, their place in the parent, and sums over all
+    others. Its size is fixed."""
+
+    SIZE = 8 * CONTEXTS + 9
 
     def __init__(self, facts: np.ndarray):
-        self.customers = facts[:CONTEXTS].astype(float)
-        self.tables = np.maximum(facts[CONTEXTS : 2 * CONTEXTS].astype(float), 0)
-        self.types, once, n1, n2, p1, p2 = (int(x) for x in facts[2 * CONTEXTS :])
-        self.tokens = int(facts[:CONTEXTS].sum())
+        by_place = facts[: 8 * CONTEXTS].reshape(8, CONTEXTS)
+        customers, tables, self.ones, whole, contexts, after, sent, self.sent_ones = by_place
+        self.customers, self.tables = customers.astype(float), tables.astype(float)
+        self.sent, self.sent_b, self.opened = contexts.astype(float), sent.astype(float), np.minimum(contexts + sent, 1).astype(float)
+        types, self.hapax, n1, n2, p1, p2, self.tokens, rare, self.rare_ones = (int(x) for x in facts[8 * CONTEXTS :])
+        self.head_counts = whole + after
+        contexts = contexts + sent
+        self.types = types + int((contexts > 0).sum())
+        p1, p2 = p1 + int((contexts == 1).sum()), p2 + int((contexts == 2).sum())
+        once = self.hapax + int((self.head_counts == 1).sum())
         self.discount = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
         self.parent_discount = min(0.95, max(0.05, p1 / (p1 + 2 * p2))) if p1 else 0.5
-        self.parent_tables = float(self.types)
+        self.parent_tables, self.rare_tables, self.rare_back = float(self.types), float(rare), 0.0
         self.once = once / self.tokens if self.tokens else 1.0
 
+    def after(self, sums: np.ndarray) -> "Totals":
+        """The totals with the sums of a sweep."""
+        import copy
+
+        new, (tables, sent, opened, sent_b) = copy.copy(self), sums[: 4 * CONTEXTS].reshape(4, CONTEXTS)
+        rare, parent, back = sums[4 * CONTEXTS :]
+        new.tables, new.sent, new.opened, new.sent_b = (x.astype(float) for x in (self.ones + tables, sent, opened, self.sent_ones + sent_b))
+        new.rare_tables, new.parent_tables = float(self.rare_ones + rare), float(self.hapax + parent)
+        return new.leaving(back)
+
+    def leaving(self, back: int) -> "Totals":
+        """With the customers that all contexts but the heads leave to the parent, in units of 2**-20."""
+        self.rare_back = float(back) / (1 << 20) + self.hapax * self.hapax_back
+        return self
+
+    @property
+    def hapax_back(self) -> float:
+        """What a context of one customer leaves to the parent."""
+        return (STRENGTH + self.discount) / (STRENGTH + 1)
+
     @property
     def back(self) -> np.ndarray:
-        """What each context leaves to the parent."""
+        """What each head leaves to the parent; at 0 a context without customers, which leaves all."""
         return (STRENGTH + self.discount * self.tables) / (STRENGTH + self.customers)
 
+    @property
+    def below(self) -> float:
+        """Tables of all contexts."""
+        return self.tables.sum() + self.rare_tables
+
     @property
     def parent_back(self) -> float:
-        return (STRENGTH + self.parent_discount * self.parent_tables) / (STRENGTH + self.tables.sum())
+        return (STRENGTH + self.parent_discount * self.parent_tables) / (STRENGTH + self.below)
 
     @property
     def unknown(self) -> float:
         """The base's share of unknown tokens."""
         if not self.types:
             return 1.0
-        mean = float((self.customers * self.back).sum() / max(1.0, self.customers.sum()))
+        mean = float(((self.customers * self.back).sum() + self.rare_back) / max(1.0, self.tokens))
         return min(0.95, max(1e-6, self.once / max(1e-12, mean * self.parent_back)))
 
     @property
@@ -231,7 +329,16 @@ class Totals:
     def p_type(self) -> float:
         return (1 - self.unknown) / max(1, self.types)
 
+    def p_parent(self, sent: np.ndarray, opened: np.ndarray) -> np.ndarray:
+        """The parent's probability of tokens with so many customers and tables in it."""
+        return (sent - self.parent_discount * opened) / (STRENGTH + self.below) + self.parent_back * self.p_type
+
+    @property
+    def p_head(self) -> np.ndarray:
+        return self.p_parent(self.sent + self.sent_b, self.opened)
+
 
+@cache
 def _stirling(discount: float) -> np.ndarray:
     """Logarithms of generalised Stirling numbers: ways to seat n customers at t tables."""
     out = np.full((EXACT + 1, EXACT + 1), -np.inf)
@@ -295,69 +402,283 @@ def _poisson(mean: np.ndarray, u: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sweep(keys: np.ndarray, counts: np.ndarray, t: Totals, sweep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tables of each key and each token's, from the totals: two turns, the first to find each token's place in the parent."""
-    at, token = _by_token(keys)
-    context = (keys & _CTX).astype(np.int64)
-    sent = np.diff(np.concatenate([at, [len(keys)]])).astype(np.int64)
-    opened = np.minimum(sent, 1)
-    below = t.tables.sum()
-    for turn in (0, 1):
-        p = (sent - t.parent_discount * opened) / (STRENGTH + below) + t.parent_back * t.p_type
-        rate = (STRENGTH + t.discount * t.tables[context]) * p[token]
-        tables = seated(keys, counts, rate, t.discount, 2 * sweep + turn)
-        sent = np.add.reduceat(tables, at)
-        up = np.full(len(at), (STRENGTH + t.parent_discount * t.parent_tables) * t.p_type)
-        opened = seated(keys[at] & _TOKEN, sent, up, t.parent_discount, 2 * sweep + turn + 1_000_003)
-    p = (sent - t.parent_discount * opened) / (STRENGTH + below) + t.parent_back * t.p_type
-    return tables, sent, opened, p, token
-
-
-def _tables_of(t: Totals, sweep: int):
-    def measure(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        tables, _, opened, _, _ = _sweep(keys, counts, t, sweep)
-        own = np.bincount((keys & _CTX).astype(np.int64), weights=tables, minlength=CONTEXTS)
-        return np.concatenate([own, [opened.sum()]]).astype(np.int64)
+def _state_task(n_buckets: int):
+    """Of each bucket: its repeated pairs and the numbers of the others (a pair of one customer has one table), and for
+    the buckets of their contexts how many pairs of kind 2 it holds."""
 
-    return measure
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                x, b = _arrays(row), row["bucket"]
+                often, b_often, pair_often = (x[c] > 1 for c in ("counts", "b_counts", "pair_counts"))
+                ones = np.unique(np.concatenate([x["keys"][~often] & _TOKEN, x["words"][~pair_often]]), return_counts=True)
+                b_ones = np.unique(x["b_keys"][~b_often] & _TOKEN, return_counts=True)
+                pairs = (x["words"][pair_often], x["others"][pair_often], x["pair_counts"][pair_often])
+                yield _row(_names(STATE), [b, 0, -1, b], x["keys"][often], x["counts"][often], *ones, *pairs, x["b_keys"][b_often], x["b_counts"][b_often], *b_ones)
+                contexts, of = np.unique(x["others"], return_inverse=True)
+                single = np.bincount(of, weights=~pair_often, minlength=len(contexts)).astype(np.int32)
+                many = np.bincount(of, weights=pair_often, minlength=len(contexts)).astype(np.int32)
+                for to, at in _runs(_bucket(contexts, n_buckets)):
+                    yield _row(_names(STATE), [to, 2, -1, b], contexts[at], single[at], many[at])
 
+    return task
 
-def _predict_task(draws: list[tuple[Totals, int]], heads: np.ndarray, least: int, n_buckets: int):
-    """Averaged probabilities of every key and token. Bucket -1: heads, and pairs of at least that level."""
 
-    def row(bucket: int, keys, p, tokens, parent, counts) -> pa.RecordBatch:
-        columns = (keys, p.astype(np.float32), tokens, parent.astype(np.float32), counts)
-        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in columns)], ["bucket", "keys", "p", "tokens", "p_parent", "counts"])
+def _words_task(heads: np.ndarray):
+    """The heads and repeated tokens of each bucket."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b, k, c in zip(batch["bucket"].to_pylist(), batch["keys"].to_pylist(), batch["counts"].to_pylist()):
-                keys, counts = np.frombuffer(k, np.uint64), np.frombuffer(c, np.int64)
-                at, token = _by_token(keys)
-                context = (keys & _CTX).astype(np.int64)
-                p, parent = np.zeros(len(keys)), np.zeros(len(at))
-                for t, sweep in draws:
-                    tables, _, _, up, _ = _sweep(keys, counts, t, sweep)
-                    p += (counts - t.discount * tables) / (STRENGTH + t.customers[context]) + t.back[context] * up[token]
-                    parent += up
-                p, parent = p / len(draws), parent / len(draws)
-                tokens, whole = keys[at] & _TOKEN, np.add.reduceat(counts, at)
-                head, often = _places(heads, tokens) > 0, _level(counts) >= least
-                some = head | (np.add.reduceat(often.astype(np.int64), at) > 0)
-                yield row(-1, keys[often], p[often], tokens[some], parent[some], whole[some])
-                rest = ~head[token]
-                yield row(b, keys[rest], p[rest], tokens[~head], parent[~head], whole[~head])
-                keys, p = keys[~rest], p[~rest]
-                to = _dealt_to(keys, n_buckets, heads)
-                order = np.argsort(to, kind="stable")
-                to, keys, p = to[order], keys[order], p[order]
-                begin = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else []
-                for x, y in zip(begin, [*begin[1:], len(to)]):
-                    yield row(int(to[x]), keys[x:y], p[x:y], tokens[:0], parent[:0], whole[:0])
+            for row in batch.to_pylist():
+                tokens, counts = (x := _arrays(row))["keys"], x["counts"]
+                at = (counts > 1) | (_places(heads, tokens) > 0)
+                yield _row(_names(STATE), [row["bucket"], 1, -1, row["bucket"]], tokens[at], counts[at])
+
+    return task
+
+
+class Seats:
+    """The repeated pairs of a bucket: draws their tables, given the totals and what other buckets sent."""
+
+    def __init__(self, rows: pa.Table, heads: np.ndarray):
+        self.got: dict[int, list[dict]] = {}
+        for row in sorted(rows.to_pylist(), key=lambda r: (r["kind"], r["draw"], r["src"])):
+            self.got.setdefault(row["kind"], []).append(row)
+        word = self.got.get(1, [{"a": b"", "b": b""}])[0]
+        self.tokens, self.customers = np.frombuffer(word["a"], np.uint64), np.frombuffer(word["b"], np.int64)
+        kinds = (np.uint64, np.int64, np.uint64, np.int64, np.uint64, np.uint64, np.int64, np.uint64, np.int64, np.uint64, np.int64)
+        own = self.got.get(0, [dict.fromkeys("abcdefghijk", b"")])[0]
+        self.keys, self.counts, one, ones, self.words, self.others, pair_counts, self.b_keys, self.b_counts, b_one, b_ones = (np.frombuffer(own[c], kind) for c, kind in zip("abcdefghijk", kinds))
+        self.place = _places(heads, self.tokens)
+        self.head = self.place > 0
+        self.context = (self.keys & _CTX).astype(np.int64)
+        self.of = np.searchsorted(self.tokens, np.concatenate([self.keys & _TOKEN, self.words]))
+        self.ids = np.concatenate([self.keys, self.words ^ mixed(self.others)])
+        self.every = np.concatenate([self.counts, pair_counts])
+        self.ones = self._added(self.tokens, [(one, ones)])
+        # The contexts kept here, and their tables for pairs of one customer.
+        self.contexts, self.c_customers = self.tokens[~self.head], self.customers[~self.head]
+        self.c_of = np.searchsorted(self.contexts, self.b_keys & _TOKEN)
+        held = [(np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int32)) for r in self.got.get(2, [])]
+        self.c_ones = self._added(self.contexts, [(b_one, b_ones), *held])
+
+    @staticmethod
+    def _added(tokens: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Sums of values for each of the tokens; values of others are left out."""
+        out = np.zeros(len(tokens))
+        for t, x in parts:
+            at = np.minimum(np.searchsorted(tokens, t), max(0, len(tokens) - 1))
+            there = tokens[at] == t if len(tokens) else np.zeros(len(t), bool)
+            np.add.at(out, at[there], x[there])
+        return out
+
+    def asked(self, draw: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """Which bucket has repeated pairs of which contexts of this one, and their tables in the sweep before."""
+        if draw < 1:
+            all_ = [(r["src"], np.frombuffer(r["a"], np.uint64), np.frombuffer(r["c"], np.int32)) for r in self.got.get(2, [])]
+            return [(src, c[n > 0], n[n > 0]) for src, c, n in all_ if (n > 0).any()]
+        return [(r["src"], np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int32)) for r in self.got.get(4, []) if r["draw"] == draw]
+
+    def drawn(self, t: Totals, sweep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tables of the pairs kept by token; of each token, its customers and tables in the parent, and its probability:
+        two turns, the first to find its place there."""
+        known = [(np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int64)) for r in self.got.get(3, []) if r["draw"] == sweep]
+        contexts, tables = (np.concatenate([np.zeros(0, kind), *x]) for kind, x in zip((np.uint64, np.int64), zip(*known) if known else ((), ())))
+        order = np.argsort(contexts)
+        beside = tables[order][np.searchsorted(contexts[order], self.others)]
+        weight = STRENGTH + t.discount * np.concatenate([t.tables[self.context], beside])
+        away = np.where(self.head, t.sent_b[self.place.astype(np.int64)], 0)
+        base = self.ones + away
+        sent = base + np.bincount(self.of, minlength=len(base))
+        opened = np.minimum(sent, 1)
+        for turn in (0, 1):
+            rate = weight * t.p_parent(sent, opened)[self.of]
+            tables = seated(self.ids, self.every, rate, t.discount, 2 * sweep + turn)
+            sent = base + np.bincount(self.of, weights=tables, minlength=len(base))
+            up = np.full(len(base), (STRENGTH + t.parent_discount * t.parent_tables) * t.p_type)
+            opened = seated(self.tokens, sent.astype(np.int64), up, t.parent_discount, 2 * sweep + turn + 1_000_003)
+        return tables, sent - away, opened, t.p_parent(sent, opened)
+
+    def left(self, t: Totals, sweep: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tables of the pairs kept by context, and all tables of each context kept here. Before the first sweep each pair has one."""
+        base = self.c_ones + self._added(self.contexts, [(c, n) for _, c, n in self.asked(sweep)])
+        tables = np.ones(len(self.b_keys), np.int64)
+        whole = base + np.bincount(self.c_of, minlength=len(base))
+        up = t.p_head[(self.b_keys & _CTX).astype(np.int64)]
+        for turn in (0, 1) if sweep >= 0 else ():
+            tables = seated(~self.b_keys, self.b_counts, (STRENGTH + t.discount * whole[self.c_of]) * up, t.discount, 2 * sweep + turn)
+            whole = base + np.bincount(self.c_of, weights=tables, minlength=len(base))
+        return tables, whole
+
+    def back(self, t: Totals, whole: np.ndarray) -> np.ndarray:
+        return (STRENGTH + t.discount * whole) / (STRENGTH + self.c_customers)
+
+
+def _batches(rows: list[pa.RecordBatch], schema: str) -> pa.Table:
+    if rows:
+        return pa.Table.from_batches(rows)
+    return pa.table({x: pa.array([], pa.int32() if kind == "int" else pa.binary()) for x, kind in (c.split() for c in schema.split(","))})
+
+
+def _sweep_task(t: Totals, sweep: int, heads: np.ndarray, n_buckets: int):
+    """A sweep over a bucket: sums (bucket -1) and what the next sweep needs. Before the first, at -1, nothing is drawn."""
+
+    def task(rows: pa.Table) -> pa.Table:
+        seats, out = Seats(rows, heads), []
+        bucket = rows["bucket"][0].as_py()
+        b_tables, whole = seats.left(t, sweep)
+        for src, contexts, _ in seats.asked(sweep):
+            out.append(_row(_names(STATE), [src, 3, sweep + 1, bucket], contexts, whole[np.searchsorted(seats.contexts, contexts)].astype(np.int64)))
+        left = int(np.rint(seats.c_customers * seats.back(t, whole) * (1 << 20)).astype(np.int64).sum())
+        sums = np.zeros(4 * CONTEXTS, np.int64)
+        rare = opened = np.zeros(0)
+        if sweep >= 0:
+            tables, sent, opened, _ = seats.drawn(t, sweep)
+            n = len(seats.keys)
+            at, rare = seats.place[seats.head], tables[n:]
+            sums = np.concatenate([_at_places(seats.context, tables[:n]), _at_places(at, sent[seats.head]), _at_places(at, opened[seats.head]), _at_places(seats.b_keys & _CTX, b_tables)])
+            contexts, of = np.unique(seats.others, return_inverse=True)
+            all_ = np.bincount(of, weights=rare, minlength=len(contexts)).astype(np.int32)
+            for to, at in _runs(_bucket(contexts, n_buckets)):
+                out.append(_row(_names(STATE), [to, 4, sweep + 1, bucket], contexts[at], all_[at]))
+        some = np.array([rare.sum() + b_tables.sum(), opened.sum(), left]).astype(np.int64)
+        out.append(_row(_names(STATE), [-1, 5, sweep, bucket], np.concatenate([sums, some])))
+        return _batches(out, STATE)
+
+    return task
+
+
+def _back_task(draws: list[tuple[Totals, int]], heads: np.ndarray):
+    """What each context leaves to the parent, averaged, and its customers: for all buckets that hold pairs of it."""
+
+    def task(rows: pa.Table) -> pa.Table:
+        seats, out = Seats(rows, heads), []
+        bucket = rows["bucket"][0].as_py()
+        back = np.mean([seats.back(t, seats.left(t, sweep)[1]) for t, sweep in draws], axis=0)
+        for r in seats.got.get(2, []):
+            contexts = np.frombuffer(r["a"], np.uint64)
+            out.append(_row(_names(STATE), [r["src"], 6, -1, bucket], contexts, *_of_contexts(contexts, seats, back, draws[0][0])))
+        return _batches(out, STATE)
 
     return task
 
 
+def _of_contexts(contexts: np.ndarray, seats: Seats, back: np.ndarray, t: Totals) -> tuple[np.ndarray, np.ndarray]:
+    """What contexts leave to the parent, and their customers. Those that are not repeated have one."""
+    if not len(seats.contexts):
+        return np.full(len(contexts), t.hapax_back, np.float32), np.ones(len(contexts), np.int32)
+    at = np.minimum(np.searchsorted(seats.contexts, contexts), len(seats.contexts) - 1)
+    there = seats.contexts[at] == contexts
+    return np.where(there, back[at], t.hapax_back).astype(np.float32), np.where(there, seats.c_customers[at], 1).astype(np.int32)
+
+
+def _predict_task(draws: list[tuple[Totals, int]], heads: np.ndarray, least: int, n_buckets: int):
+    """Probabilities of every pair and token from averaged tables. Bucket -1: heads, and pairs of at least that level."""
+
+    def task(rows: pa.Table) -> pa.Table:
+        seats, out = Seats(rows, heads), []
+        home = bucket = rows["bucket"][0].as_py()
+        full = seats.got.get(7, [dict.fromkeys("abcdefg", b"")])[0]
+        x = _arrays(dict(zip(_names(COUNTS)[1:], (full[c] for c in "abcdefg"))))
+        t = draws[0][0]
+        d, one = t.discount, np.mean([t.p_parent(1.0, 1.0) for t, _ in draws])
+        drawn = [seats.drawn(t, sweep) for t, sweep in draws]
+        left = [seats.left(t, sweep) for t, sweep in draws]
+        n = len(seats.keys)
+
+        def averaged(counts: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+            out = np.ones(len(counts))
+            out[counts > 1] = np.mean(tables, axis=0)
+            return out
+
+        tokens = np.unique(np.concatenate([seats.tokens, x["keys"] & _TOKEN, x["words"]]))
+        parent, whole = np.full(len(tokens), one), np.ones(len(tokens), np.int64)
+        at = np.searchsorted(tokens, seats.tokens)
+        parent[at], whole[at] = np.mean([r[3] for r in drawn], axis=0), seats.customers
+        c_back = np.mean([seats.back(t, w) for (t, _), (_, w) in zip(draws, left)], axis=0)
+        back, _ = _of_contexts(tokens, seats, c_back, t)
+        # After heads.
+        keys, counts = x["keys"], x["counts"]
+        context, token = (keys & _CTX).astype(np.int64), np.searchsorted(tokens, keys & _TOKEN)
+        p = (counts - d * averaged(counts, [r[0][:n] for r in drawn])) / (STRENGTH + t.customers[context]) + np.mean([t.back for t, _ in draws], axis=0)[context] * parent[token]
+        # Heads after other tokens.
+        context, place = np.searchsorted(tokens, x["b_keys"] & _TOKEN), (x["b_keys"] & _CTX).astype(np.int64)
+        b_p = (x["b_counts"] - d * averaged(x["b_counts"], [r[0] for r in left])) / (STRENGTH + whole[context]) + back[context] * np.mean([t.p_head for t, _ in draws], axis=0)[place]
+        # Other tokens after other tokens.
+        beside = [(np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.float32), np.frombuffer(r["c"], np.int32)) for r in seats.got.get(6, [])]
+        contexts, backs, customers = (np.concatenate(c) for c in zip(*beside)) if beside else (np.zeros(0, kind) for kind in (np.uint64, np.float32, np.int32))
+        order = np.argsort(contexts)
+        at = order[np.searchsorted(contexts[order], x["others"])]
+        pair_back, word = backs[at], np.searchsorted(tokens, x["words"])
+        pair_p = (x["pair_counts"] - d * averaged(x["pair_counts"], [r[0][n:] for r in drawn])) / (STRENGTH + customers[at]) + pair_back * parent[word]
+        ids = _pair(x["words"], x["others"])
+        rare = (x["b_keys"], b_p.astype(np.float32), ids, pair_p.astype(np.float32), pair_back, whole[word])
+        none = (np.zeros(0, np.uint64),) * 6
+
+        def row(bucket: int, keys, p, tokens, parent, counts, back=none[0], rare=none) -> None:
+            one = _row(_names(MODEL)[:-1], [bucket], keys, p.astype(np.float32), tokens, parent.astype(np.float32), counts, back, *rare)
+            out.append(pa.RecordBatch.from_arrays([*one.columns, pa.array([home], pa.int32())], _names(MODEL)))
+
+        head, often = _places(heads, tokens) > 0, _level(counts) >= least
+        some = head | (np.bincount(token[often], minlength=len(tokens)) > 0)
+        row(-1, keys[often], p[often], tokens[some], parent[some], whole[some])
+        rest = ~head[token]
+        row(bucket, keys[rest], p[rest], tokens[~head], parent[~head], whole[~head], back[~head], rare)
+        keys, p = keys[~rest], p[~rest]
+        for to, at in _runs(_dealt_to(keys, n_buckets, heads)):
+            row(to, keys[at], p[at], *none[:3])
+        return _batches(out, MODEL)
+
+    return task
+
+
+class Rare:
+    """Probabilities and training counts of pairs whose context is no head, as far as one bucket holds them."""
+
+    def __init__(self, rows: list[tuple], look: "Lookup", p_head: np.ndarray, head_counts: np.ndarray):
+        """rows: the columns of MODEL from tokens on, as bytes."""
+        kinds = (np.uint64, np.float32, np.uint64, np.float32, np.uint64, np.float32, np.float32, np.int64)
+        cols = [np.concatenate([np.zeros(0, kind), *(np.frombuffer(r[i], kind) for r in rows)]) for i, kind in enumerate(kinds)]
+        by_token, by_key, by_pair = (np.argsort(cols[i], kind="stable") for i in (0, 2, 4))
+        self.tokens, self.back = cols[0][by_token], cols[1][by_token]
+        self.b_keys, self.b_p = cols[2][by_key], cols[3][by_key]
+        self.pairs, self.pair_p, self.pair_back, self.pair_counts = (x[by_pair] for x in cols[4:])
+        self.look, self.p_head, self.head_counts = look, p_head, head_counts
+
+    def backs(self, contexts: np.ndarray) -> np.ndarray:
+        """What contexts leave to the parent: all, where they have no customers."""
+        at, there = _found(self.tokens, contexts)
+        return np.where(there, self.back[at], 1.0) if len(self.back) else np.ones(len(contexts))
+
+    def heads(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of heads after other tokens."""
+        (at, there), place = _found(self.b_keys, keys), (keys & _CTX).astype(np.int64)
+        p = self.backs(keys & _TOKEN) * self.p_head[place]
+        return np.where(there, self.b_p[at], p) if len(self.b_p) else p, self.head_counts[place]
+
+    def seen(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of training texts."""
+        at, there = _found(self.pairs, pairs)
+        if not there.all():
+            raise ValueError("a text that is marked as trained is not among the training texts")
+        return self.pair_p[at], self.pair_counts[at]
+
+    def any(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of any pairs, over what their contexts leave to the parent; that comes from the contexts' buckets."""
+        p, counts = self.look(words)
+        at, there = _found(self.pairs, _pair(words, contexts))
+        return np.where(there, self.pair_p[at] / self.pair_back[at], p) if len(self.pairs) else p, counts
+
+
+def _found(sorted_: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each key stands, and whether it does."""
+    if not len(sorted_):
+        return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+    at = np.searchsorted(sorted_, keys)
+    at[at == len(sorted_)] = 0
+    return at, sorted_[at] == keys
+
+
 class Lookup:
     """Probabilities of some tokens in some contexts, and their counts."""
 
@@ -381,11 +702,7 @@ class Lookup:
 
     def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each key stands, and whether it does."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.searchsorted(self.keys, keys)
-        at[at == len(self.keys)] = 0
-        return at, self.keys[at] == keys
+        return _found(self.keys, keys)
 
     def of(self, heads: np.ndarray) -> tuple[bytes, bytes, bytes, bytes, bytes]:
         """The heads without pairs, as a row of ``_lookup``."""
@@ -406,9 +723,9 @@ def _level(counts: np.ndarray) -> np.ndarray:
     return np.floor(16 * np.log2(np.maximum(counts, 1))).astype(np.int64)
 
 
-def _levels(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def _levels(x: dict[str, np.ndarray]) -> np.ndarray:
     """Of keys, how many have each level."""
-    return np.bincount(_level(counts), minlength=16 * 64)
+    return np.bincount(_level(x["counts"]), minlength=16 * 64)
 
 
 def _least(levels: np.ndarray, most: int) -> int:
@@ -428,17 +745,16 @@ def _often_task(least: int):
     return task
 
 
-def _counted(training: DataFrame, n_buckets: int, heads: np.ndarray = NO_HEADS) -> DataFrame:
-    """Counts of all keys, one row a bucket."""
-    partial = training.select("text").mapInArrow(_count_task(n_buckets, heads), COUNTS)
-    return checkpointed(partial.repartition(n_buckets, "bucket").mapInArrow(_add_task, COUNTS))
+def _counted(training: DataFrame, n_buckets: int, heads: np.ndarray | None = None) -> DataFrame:
+    """Counts of all pairs, or of tokens where no heads are given: one row a bucket."""
+    partial = training.select("text").mapInArrow(_count_task(n_buckets, heads), PARTS)
+    return bucketed(partial.repartition(n_buckets, "bucket").mapInArrow(_add_task, COUNTS), n_buckets, "bucket")
 
 
-def head_tokens(training: DataFrame, n_buckets: int, most: int = HEADS) -> np.ndarray:
+def head_tokens(words: DataFrame, most: int = HEADS) -> np.ndarray:
     """The most frequent tokens, at most so many (of equal level all or none), in order."""
-    counts = _counted(training, n_buckets)
-    least = _least(_summed(counts, _levels, 16 * 64), most)
-    return np.sort(np.array([r.token for r in counts.mapInArrow(_often_task(least), "token bigint").collect()], np.int64).view(np.uint64))
+    least = _least(_summed(words, _levels, 16 * 64), most)
+    return np.sort(np.array([r.token for r in words.mapInArrow(_often_task(least), "token bigint").collect()], np.int64).view(np.uint64))
 
 
 def _base(counts: np.ndarray, n: int, types: int) -> np.ndarray:
@@ -448,70 +764,82 @@ def _base(counts: np.ndarray, n: int, types: int) -> np.ndarray:
 def _event_task(shared, n_buckets: int, n: int, types: int):
     """Scores frequent pairs; packs the other tokens by bucket.
 
-    A block of texts has one row of kind 2 (its doc_ids, sums so far), and one of kind 1 a bucket (the texts
-    of its tokens, by their place in the block, and the tokens' keys)."""
+    A block of texts has one row of kind 2 (its doc_ids, sums so far), and one of kind 1 a bucket: the texts of its
+    tokens, by their place in the block, and keys in five parts. 0 and 1: those kinds of pairs. 2: hashes of other
+    pairs of trained texts. 3: words of other pairs, with their contexts; 4: those contexts, for their own bucket."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        (heads, look), block = shared.value, TaskContext.get().partitionId() << 32
+        (heads, look, *_), block = shared.value, TaskContext.get().partitionId() << 32
         for batch in batches:
             data, offsets = buffers(batch["text"])
             ids = np.asarray(batch["doc_id"].fill_null(NO_ID).to_numpy(zero_copy_only=False), np.int64)
+            trained = batch["trained"].to_numpy(zero_copy_only=False)
             for a, b in blocks(offsets, EVENT_BLOCK):
                 bounds = offsets[a : b + 1] - offsets[a]
-                parts = [(token_keys(data[offsets[a + x] : offsets[a + y]], bounds[x : y + 1] - bounds[x], heads), x) for x, y in blocks(bounds)]
-                keys = np.concatenate([k for (k, _), _ in parts])
-                text = np.concatenate([t + x for (_, t), x in parts])
+                kind, keys, before, text = [], [], [], []
+                for x, y in blocks(bounds):
+                    token, of = _tokens(data[offsets[a + x] : offsets[a + y]], bounds[x : y + 1] - bounds[x])
+                    for all_, own in zip((kind, keys, before, text), (*_pairs(token, heads), of + x)):
+                        all_.append(own)
+                kind, keys, before, text = (np.concatenate(x) for x in (kind, keys, before, text))
                 spot, often = look.found(keys)
+                often &= kind == 0
                 p, c = look.p[spot[often]], look.key_counts[spot[often]]
                 m = b - a
                 sums = np.stack([np.bincount(text[often], weights=w, minlength=m) for w in (_base(c, n, types), np.log10(p.astype(float)))])
                 whole = np.stack([np.bincount(text, minlength=m), np.bincount(text[often], weights=c > 0, minlength=m).astype(np.int64)])
-                rows = [(int(mixed(np.uint64(block))[0] % np.uint64(n_buckets)), 2, ids[a:b].tobytes(), whole.tobytes(), sums.tobytes())]
-                keys, text = keys[~often], text[~often].astype(np.int32)
-                bucket = _dealt_to(keys, n_buckets, heads)
-                order = np.argsort(bucket, kind="stable")
-                bucket, keys, text = bucket[order], keys[order], text[order]
-                at = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else []
-                for x, y in zip(at, [*at[1:], len(bucket)]):
-                    own, place = np.unique(text[x:y], return_inverse=True)
-                    rows.append((int(bucket[x]), 1, own.tobytes(), place.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes(), keys[x:y].tobytes()))
+                rows = [(int(mixed(np.uint64(block))[0] % np.uint64(n_buckets)), 2, ids[a:b].tobytes(), whole.tobytes(), sums.tobytes(), b"", b"")]
+                kind, keys, before, text = kind[~often], keys[~often], before[~often], text[~often].astype(np.int32)
+                bucket = np.where(kind == 0, _dealt_to(keys, n_buckets, heads), _bucket(keys, n_buckets))
+                apart = kind == 2
+                seen = apart & trained[a:b][text]
+                keys = np.where(seen, _pair(keys, before), keys)
+                kind[apart & ~seen] = 3
+                more = kind == 3
+                bucket, keys, text, before = (np.concatenate([x, y]) for x, y in ((bucket, _bucket(before[more], n_buckets)), (keys, before[more]), (text, text[more]), (before, before[more])))
+                kind = np.concatenate([kind, np.full(more.sum(), 4)])
+                for to, at in _runs(bucket):
+                    at = at[np.argsort(kind[at], kind="stable")]
+                    own, place = np.unique(text[at], return_inverse=True)
+                    of = kind[at]
+                    place = place.astype(np.uint16 if len(own) < 65536 else np.uint32)
+                    rows.append((to, 1, own.tobytes(), place.tobytes(), keys[at].tobytes(), np.bincount(of, minlength=5).astype(np.int32).tobytes(), before[at[of == 3]].tobytes()))
                 none = pa.array([b""] * len(rows), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 5)),
-                        none, none, pa.array(np.full(len(rows), block)),
-                    ], ["bucket", "kind", "a", "b", "c", "d", "e", "block"])
+                columns = [*(pa.array([r[i] for r in rows], pa.int32()) for i in (0, 1)), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(2, 7)), *[none] * 7]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(rows), block))], _names(PACKED))
                 block += 1
 
     return task
 
 
 def _score_task(shared, n: int, types: int):
-    """A bucket's probabilities (kind 0) come first, then its tokens: sums for the texts of each block."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads, often = shared.value
-        rows: list[tuple] = [often.of(heads)]
-        look = None
-        for batch in batches:
-            out = []
-            for kind, block, *x in zip(*(batch[c].to_pylist() for c in ("kind", "block", "a", "b", "c", "d", "e"))):
-                if kind == 0:
-                    rows.append(tuple(x))
-                elif kind == 2:
+    """A bucket's probabilities (kind 0) and its tokens: sums for the texts of each block."""
+
+    def task(met: pa.Table) -> pa.Table:
+        heads, often, p_head, head_counts = shared.value
+        out, rows = [], met.to_batches(max_chunksize=1024)
+        named = ("kind", "block", *"abcdefghijkl")
+        known = [x for batch in rows for kind, _, *x in zip(*(batch[c].to_pylist() for c in named)) if kind == 0]
+        look = _lookup([often.of(heads), *known], often.back, often.unknown)
+        rare = Rare([(x[2], *x[5:]) for x in known], look, p_head, head_counts)
+        for batch in rows:
+            for kind, block, *x in zip(*(batch[c].to_pylist() for c in named[:7])):
+                if kind == 2:
                     out.append((block, 2, *x[:3]))
-                else:
-                    look = look or _lookup(rows, often.back, often.unknown)
+                elif kind == 1:
                     own, keys = np.frombuffer(x[0], np.int32), np.frombuffer(x[2], np.uint64)
                     place = np.frombuffer(x[1], np.uint16 if len(x[1]) == 2 * len(keys) else np.uint32)
-                    p, c = look(keys)
-                    known = np.bincount(place, weights=c > 0, minlength=len(own)).astype(np.int32)
-                    sums = np.stack([np.bincount(place, weights=w, minlength=len(own)) for w in (_base(c, n, types), np.log10(p))])
-                    out.append((block, 1, x[0], known.tobytes(), sums.tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out]), pa.array([r[1] for r in out], pa.int32()), *(pa.array([r[i] for r in out], pa.binary()) for i in range(2, 5))], ["block", "kind", "a", "b", "c"])
+                    after, heads_after, pairs, words, contexts = np.split(keys, np.cumsum(np.frombuffer(x[3], np.int32))[:-1])
+                    found = [look(after), rare.heads(heads_after), rare.seen(pairs), rare.any(words, np.frombuffer(x[4], np.uint64))]
+                    p, c = np.concatenate([*(f[0] for f in found), rare.backs(contexts)]), np.concatenate([f[1] for f in found])
+                    at = place[: len(c)]
+                    of = np.bincount(at, weights=c > 0, minlength=len(own)).astype(np.int32)
+                    sums = np.stack([np.bincount(at, weights=_base(c, n, types), minlength=len(own)), np.bincount(place, weights=np.log10(p), minlength=len(own))])
+                    out.append((block, 1, x[0], of.tobytes(), sums.tobytes()))
+        columns = zip(*out) if out else [()] * 5
+        return pa.table([pa.array(list(x), kind) for x, kind in zip(columns, (pa.int64(), pa.int32(), *[pa.binary()] * 3))], _names(SCORES))
 
     return task
 
@@ -541,41 +869,84 @@ def _gather_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(training: DataFrame, n_buckets: int) -> tuple[DataFrame, np.ndarray, Totals, list[tuple[Totals, int]]]:
     """Probabilities by bucket, the heads, the totals, and the sweeps that they average."""
-    import copy
-
-    heads = head_tokens(training, n_buckets)
+    words = _counted(training, n_buckets)
+    heads = head_tokens(words)
     counts = _counted(training, n_buckets, heads)
-    now = Totals(_summed(counts, _facts, 2 * CONTEXTS + 6))
+    now = Totals(_summed(counts, _facts(heads), Totals.SIZE))
+    shuffles_cleared(training.sparkSession)
+    own = counts.mapInArrow(_state_task(n_buckets), STATE).unionByName(words.mapInArrow(_words_task(heads), STATE))
+    state = bucketed(own.repartition(n_buckets, "bucket"), n_buckets, "bucket")
+    removed(words)
+    shuffles_cleared(training.sparkSession)
+
+    def met(*others: DataFrame, here: DataFrame | None = None) -> GroupedData:
+        """The state of each bucket, with what was sent to it and what is kept in the same buckets."""
+        every = state if here is None else state.unionByName(here)
+        for df in others:
+            every = every.unionByName(df.filter("bucket >= 0").repartition(n_buckets, "bucket"))
+        return every.groupBy("bucket")
+
+    # sent[s]: what sweep s needs from the one before; the first has only what stands for one table a pair.
+    sent: list[DataFrame] = []
     draws = []
-    for sweep in range(BURN_IN + SAMPLES):
+    for sweep in range(-1, BURN_IN + SAMPLES):
         if sweep >= BURN_IN:
             draws.append((now, sweep))
         if sweep == BURN_IN + SAMPLES - 1:
             break
-        sums = _summed(counts, _tables_of(now, sweep), CONTEXTS + 1)
-        now = copy.copy(now)
-        now.tables, now.parent_tables = sums[:CONTEXTS].astype(float), float(sums[CONTEXTS])
+        sent.append(checkpointed(met(*sent[-1:]).applyInArrow(_sweep_task(now, sweep, heads, n_buckets), STATE)))
+        sums = np.zeros(4 * CONTEXTS + 3, np.int64)
+        for r in sent[-1].filter("bucket = -1").select("a").mapInArrow(_total_task, "i int, x bigint").groupBy("i").agg(F.sum("x").alias("x")).collect():
+            sums[r.i] = r.x
+        now = now.after(sums) if sweep >= 0 else now.leaving(int(sums[-1]))
+    used = [sent[sweep] for _, sweep in draws]
+    back = checkpointed(met(*used).applyInArrow(_back_task(draws, heads), STATE))
+    names = dict(zip(_names(STATE)[4:], _names(COUNTS)[1:]))
+    full = counts.select("bucket", F.lit(7).alias("kind"), F.lit(-1).alias("draw"), F.lit(-1).alias("src"), *(F.col(names[c]).alias(c) if c in names else F.lit(b"").alias(c) for c in _names(STATE)[4:]))
     least = _least(_summed(counts, _levels, 16 * 64), FREQUENT)
-    return checkpointed(counts.mapInArrow(_predict_task(draws, heads, least, n_buckets), MODEL)), heads, now, draws
+    shuffles_cleared(training.sparkSession)
+    every = met(*used, back, here=full)
+    model = bucketed(every.applyInArrow(_predict_task(draws, heads, least, n_buckets), MODEL), n_buckets, "home")
+    removed(state, counts, back, *sent)
+    del own, every, full
+    shuffles_cleared(training.sparkSession)
+    return model, heads, now, draws
+
+
+def _total_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds up arrays of the same length."""
+    total = None
+    for batch in batches:
+        for x in batch["a"].to_pylist():
+            own = np.frombuffer(x, np.int64)
+            total = own if total is None else total + own
+    if total is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total), dtype=np.int32)), pa.array(total)], ["i", "x"])
 
 
 def scored(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
-    """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score."""
+    """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score.
+
+    A boolean column ``trained`` of docs may mark texts that are in training too: their pairs take less to look up."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
-    training = texts if training is None else training.select(text_of("text").alias("text"))
+    trained = F.lit(True) if training is None else F.col("trained") if "trained" in docs.columns else F.lit(False)
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"), trained.alias("trained"))
+    training = (texts if training is None else training).select(text_of("text").alias("text"))
     n_buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     model, heads, totals, draws = fit(training, n_buckets)
     back = np.mean([t.back for t, _ in draws], axis=0)
     unknown = float(np.mean([t.p_unknown for t, _ in draws]))
+    p_head = np.mean([t.p_head for t, _ in draws], axis=0)
     # At most HEADS tokens and FREQUENT pairs with their tokens, whatever the size of the data.
     top = model.filter("bucket = -1").drop("bucket").collect()
-    shared = spark.sparkContext.broadcast((heads, _lookup([tuple(map(bytes, r)) for r in top], back, unknown)))
+    shared = spark.sparkContext.broadcast((heads, _lookup([tuple(map(bytes, r)) for r in top], back, unknown), p_head, totals.head_counts))
     n, types = totals.tokens, totals.types
     events = texts.mapInArrow(_event_task(shared, n_buckets, n, types), PACKED)
-    known = model.filter("bucket >= 0").select("bucket", F.lit(0).alias("kind"), F.col("keys").alias("a"), F.col("p").alias("b"), F.col("tokens").alias("c"), F.col("p_parent").alias("d"), F.col("counts").alias("e"), F.lit(-1).cast("bigint").alias("block"))
-    met = known.unionByName(events).repartition(n_buckets, "bucket").sortWithinPartitions("kind")
-    parts = met.mapInArrow(_score_task(shared, n, types), "block bigint, kind int, a binary, b binary, c binary")
+    columns = [F.lit(0).alias("kind"), *(F.col(x).alias(c) for x, c in zip(_names(MODEL)[1:-1], "abcdefghijkl")), F.lit(-1).cast("bigint").alias("block")]
+    known = model.filter("bucket = home").select(F.col("home").alias("bucket"), *columns)
+    for df in (model.filter("bucket >= 0 and bucket <> home").select("bucket", *columns), events):
+        known = known.unionByName(df.repartition(n_buckets, "bucket"))
+    parts = known.groupBy("bucket").applyInArrow(_score_task(shared, n, types), SCORES)
     sums = parts.repartition(n_buckets, "block").sortWithinPartitions("block", F.desc("kind")).mapInArrow(_gather_task, SUMS)
     return sums.select(F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "n_tokens", "n_known", F.lit(n).cast("bigint").alias("train_tokens"), "base_score", "score")
 
@@ -583,4 +954,4 @@ def scored(docs: DataFrame, training: DataFrame | None = None) -> DataFrame:
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
-    return scored(docs, docs.filter(~held_out)).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored(docs.withColumn("trained", ~held_out), docs.filter(~held_out)).select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

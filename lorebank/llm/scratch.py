@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -38,3 +39,26 @@ def checkpointed(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/lorebank-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, n: int, column: str) -> DataFrame:
+    """As ``checkpointed``, for rows that are dealt by a column to n partitions: reading keeps them so, without a shuffle."""
+    name = f"lorebank-{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(n, column).option("path", f"{shared_folder(df.sparkSession)}/{name}").saveAsTable(name.replace("-", "_"))
+    return df.sparkSession.table(name.replace("-", "_"))
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes tables of ``checkpointed`` and ``bucketed`` that no later step reads."""
+    for df in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("lorebank-"):
+                path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+                df.sparkSession.sql(f"DROP TABLE IF EXISTS {folder.rsplit('/', 1)[1].replace('-', '_')}")
+
+
+def shuffles_cleared(spark: SparkSession) -> None:
+    """Spark clears the files of a shuffle once the driver has collected its handle as garbage: this asks for it."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

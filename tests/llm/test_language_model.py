@@ -6,6 +6,7 @@ from math import log10
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lorebank.llm import language_model as m
 from tests.llm.helpers import LOW, SCHEMA, clashing, frame, rows
@@ -163,3 +164,15 @@ def test_empty_and_untrained(spark):
     out = m.scored(frame(spark, [(1, "a b", "en", "s", 0)]), frame(spark, [], SCHEMA, 1)).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in out] == [(3, 0, 0)]
     assert np.isfinite(out[0].score)
+
+
+def test_each_context_has_its_own_restaurant(spark, monkeypatch):
+    """With one head only: what follows a rare token is known of that token, and no other."""
+    plain = m.head_tokens
+    monkeypatch.setattr(m, "head_tokens", lambda *args: plain(*args, most=2))
+    train = frame(spark, [(i, f"a{i % 30} b{i % 30}", "en", "s", 0) for i in range(90)])
+    asked = frame(spark, [(i, f"a{i % 30} b{(i + i // 30) % 30}", "en", "s", 0) for i in range(60)])
+    score = {r.doc_id: r.score for r in m.scored(asked, train).collect()}
+    assert all(score[i] > score[i + 30] + 1 for i in range(30))
+    marked = {r.doc_id: r.score for r in m.scored(train.withColumn("trained", F.lit(True)), train).collect()}
+    assert all(marked[i] == pytest.approx(score[i], rel=1e-5) for i in range(30))
