@@ -29,7 +29,7 @@ a hash, pairs of two other tokens by 64.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +48,7 @@ FREQUENT, SPREAD = 1 << 18, 256
 BURN_IN, SAMPLES = 3, 3
 STRENGTH = 1.0
 EXACT = 128
+BANDS = [1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 40, 48, 64, 80, 96, EXACT]
 #: Keys held by a counting task before it passes them on.
 HELD_KEYS = 1_500_000
 EVENT_BLOCK = 8 << 20
@@ -62,7 +63,8 @@ PARTS = "bucket int, kind int, keys binary, others binary, counts binary"
 COUNTS = "bucket int, keys binary, counts binary, b_keys binary, b_counts binary, words binary, others binary, pair_counts binary"
 MODEL = "bucket int, keys binary, p binary, tokens binary, p_parent binary, counts binary, back binary, b_keys binary, b_p binary, pairs binary, pair_p binary, pair_back binary, pair_counts binary, home int"
 #: What a bucket holds and gets while tables are drawn. Kinds: 0 its repeated pairs, 1 its words, 2 contexts of pairs held
-#: elsewhere, 3 tables of contexts, 4 tables of a context's pairs, 5 sums (bucket -1), 6 what contexts leave, 7 all pairs.
+#: elsewhere, 3 tables of contexts, 4 tables of a context's pairs, 5 sums (bucket -1), 6 what contexts leave, 7 all pairs,
+#: 8 contexts of repeated pairs held elsewhere. Kinds 2, 3, 4, 6 and 8 go by relays.
 STATE = "bucket int, kind int, draw int, src int, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary, i binary, j binary, k binary"
 PACKED = "bucket int, kind int, a binary, b binary, c binary, d binary, e binary, f binary, g binary, h binary, i binary, j binary, k binary, l binary, block bigint"
 SCORES = "block bigint, kind int, a binary, b binary, c binary"
@@ -72,12 +74,44 @@ SUMS = "doc_id bigint, n_tokens bigint, n_known bigint, base_score double, score
 NO_HEADS = np.zeros(0, np.uint64)
 
 
+class Slots:
+    """Finds keys among others, which are in order: by a table of slots, and by search where keys share a slot."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(8, min(24, (4 * len(keys)).bit_length()))
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        slot = self._slot(keys)
+        self.at = np.zeros(1 << bits, np.int32)
+        self.at[slot] = np.arange(len(keys))
+        shared = np.bincount(slot, minlength=1 << bits) > 1
+        self.at[shared] = ~self.at[shared]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key stands, and whether it does."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = self.at[self._slot(keys)]
+        shared = at < 0
+        at ^= at >> 31
+        there = self.keys[at] == keys
+        again = np.flatnonzero(shared & ~there)
+        if len(again):
+            at[again], there[again] = _found(self.keys, keys[again])
+        return at, there
+
+
+@lru_cache(4)
+def _slots(keys: bytes) -> Slots:
+    return Slots(np.frombuffer(keys, np.uint64))
+
+
 def _places(heads: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """The context of what follows each token: its place among the heads from 1 on, 0 for all others."""
-    if not len(heads):
-        return np.zeros(len(tokens), np.uint64)
-    at = np.minimum(np.searchsorted(heads, tokens), len(heads) - 1)
-    return np.where(heads[at] == tokens, at + 1, 0).astype(np.uint64)
+    at, there = _slots(heads.tobytes()).found(tokens) if len(tokens) > len(heads) else _found(heads, tokens)
+    return np.where(there, at + 1, 0).astype(np.uint64)
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,6 +150,13 @@ def _bucket(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) % np.uint64(n)).astype(np.int32)
 
 
+def _relays(bucket: int, n: int, contexts: np.ndarray) -> np.ndarray:
+    """The relay between a bucket and those of contexts. Buckets stand in a square; a relay serves a row of those that hold
+    pairs and a column of those that hold their contexts, so that rows grow with n ** 1.5 and not with its square."""
+    side = int(np.ceil(np.sqrt(n)))
+    return bucket // side * side + _bucket(contexts, n) % side
+
+
 def _dealt_to(keys: np.ndarray, n: int, heads: np.ndarray) -> np.ndarray:
     """The bucket that holds the probability of a key: by token, and for heads by the pair."""
     spread = np.where(_places(heads, keys & _TOKEN) > 0, mixed(keys) % np.uint64(min(n, SPREAD)), np.uint64(0))
@@ -152,7 +193,7 @@ def _names(schema: str) -> list[str]:
 
 def _runs(of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each value and where it stands."""
-    order = np.argsort(of, kind="stable")
+    order = np.argsort(of.astype(np.uint16) if len(of) and of.max() < 65536 else of, kind="stable")
     at = np.flatnonzero(np.concatenate([[True], np.diff(of[order]) != 0])) if len(of) else np.zeros(0, np.int64)
     for x, y in zip(at, [*at[1:], len(of)]):
         yield int(of[order[x]]), order[x:y]
@@ -180,8 +221,11 @@ def _count_task(n_buckets: int, heads: np.ndarray | None):
                     k, c = np.unique(keys[kind == one], return_counts=True)
                     _kept(held[one], (k, c.astype(np.int64)))
                 words, others = keys[kind == 2], before[kind == 2]
-                ids, at, c = np.unique(_pair(words, others), return_index=True, return_counts=True)
-                _kept(held[2], (ids, c.astype(np.int64), words[at], others[at]))
+                ids = _pair(words, others)
+                at = np.argsort(ids)
+                new = np.flatnonzero(np.concatenate([[True], np.diff(ids[at]) != 0])) if len(ids) else np.zeros(0, np.int64)
+                first = at[new]
+                _kept(held[2], (ids[first], np.diff(new, append=len(ids)), words[first], others[first]))
                 if sum(len(x[0]) for parts in held.values() for x in parts) > HELD_KEYS:
                     yield from dealt(held)
                     held = {0: [], 1: [], 2: []}
@@ -358,16 +402,20 @@ def _uniform(keys: np.ndarray, turn: int) -> np.ndarray:
 
 def seated(keys: np.ndarray, customers: np.ndarray, rate: np.ndarray, discount: float, turn: int) -> np.ndarray:
     """Tables for the customers of each key; rate: weight of a new table."""
-    ways = _stirling(discount)
+    ways = _stirling(discount).T
     tables = np.minimum(customers, 1)
-    u = _uniform(keys, turn)
-    few = np.minimum(customers, EXACT)
-    for n in np.unique(few[few > 1]).tolist():
-        at = np.flatnonzero(few == n)
-        for part in np.array_split(at, -(-len(at) * n // 2_000_000)):
-            weight = ways[n, 1 : n + 1] + np.arange(1, n + 1) * np.log(rate[part, None])
-            weight = np.cumsum(np.exp(weight - weight.max(axis=1, keepdims=True)), axis=1)
-            tables[part] = 1 + (weight < u[part, None] * weight[:, -1:]).sum(axis=1)
+    u, log_rate = _uniform(keys, turn), np.log(rate)
+    few = np.where(customers > EXACT, 0, customers).astype(np.uint8)
+    order = np.argsort(few, kind="stable")
+    ends = np.cumsum(np.bincount(few, minlength=EXACT + 1))
+    # Bands of numbers of customers at once: there are no ways to seat n at more than n tables.
+    for low, high in zip(BANDS, BANDS[1:]):
+        at, t = order[ends[low] : ends[high]], np.arange(1, high + 1)[:, None]
+        for a in range(0, len(at), 40_000 // high):
+            part = at[a : a + 40_000 // high]
+            weight = np.take(ways[1 : high + 1], few[part], axis=1) + t * log_rate[part]
+            weight = np.cumsum(np.exp(weight - weight.max(axis=0)), axis=0)
+            tables[part] = 1 + (weight < u[part] * weight[-1]).sum(axis=0)
     many = np.flatnonzero(customers > EXACT)
     if len(many):
         n = customers[many].astype(float)
@@ -382,9 +430,10 @@ def seated(keys: np.ndarray, customers: np.ndarray, rate: np.ndarray, discount:
 def _many_tables(customers: np.ndarray, rate: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
     """Mean and variance of the tables beyond the first: the saddle point, found by halving on a logarithmic scale."""
     low, high = np.full(len(rate), -700.0), np.zeros(len(rate))
+    log_rate, log_customers = np.log(rate), np.log(customers)
     for _ in range(60):
         mid = (low + high) / 2
-        above = np.log(rate) + np.log1p(-np.exp(mid)) - (1 - discount) * mid > np.log(customers)
+        above = log_rate + np.log1p(-np.exp(mid)) - (1 - discount) * mid > log_customers
         low, high = np.where(above, mid, low), np.where(above, high, mid)
     z = np.exp((low + high) / 2)
     mean = rate * -np.expm1(discount * (low + high) / 2) / discount
@@ -402,28 +451,65 @@ def _poisson(mean: np.ndarray, u: np.ndarray) -> np.ndarray:
     return out
 
 
-def _state_task(n_buckets: int):
-    """Of each bucket: its repeated pairs and the numbers of the others (a pair of one customer has one table), and for
-    the buckets of their contexts how many pairs of kind 2 it holds."""
+def _state_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each bucket: its repeated pairs and the numbers of the others (a pair of one customer has one table)."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            x, b = _arrays(row), row["bucket"]
+            often, b_often, pair_often = (x[c] > 1 for c in ("counts", "b_counts", "pair_counts"))
+            ones = np.unique(np.concatenate([x["keys"][~often] & _TOKEN, x["words"][~pair_often]]), return_counts=True)
+            b_ones = np.unique(x["b_keys"][~b_often] & _TOKEN, return_counts=True)
+            pairs = (x["words"][pair_often], x["others"][pair_often], x["pair_counts"][pair_often])
+            yield _row(_names(STATE), [b, 0, -1, b], x["keys"][often], x["counts"][often], *ones, *pairs, x["b_keys"][b_often], x["b_counts"][b_often], *b_ones)
+
+
+def _asking_task(n_buckets: int):
+    """For the relays: of which contexts a bucket holds pairs of kind 2, and how many of one customer (kind 2) or more (kind 8)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                x, b = _arrays(row), row["bucket"]
-                often, b_often, pair_often = (x[c] > 1 for c in ("counts", "b_counts", "pair_counts"))
-                ones = np.unique(np.concatenate([x["keys"][~often] & _TOKEN, x["words"][~pair_often]]), return_counts=True)
-                b_ones = np.unique(x["b_keys"][~b_often] & _TOKEN, return_counts=True)
-                pairs = (x["words"][pair_often], x["others"][pair_often], x["pair_counts"][pair_often])
-                yield _row(_names(STATE), [b, 0, -1, b], x["keys"][often], x["counts"][often], *ones, *pairs, x["b_keys"][b_often], x["b_counts"][b_often], *b_ones)
-                contexts, of = np.unique(x["others"], return_inverse=True)
-                single = np.bincount(of, weights=~pair_often, minlength=len(contexts)).astype(np.int32)
-                many = np.bincount(of, weights=pair_often, minlength=len(contexts)).astype(np.int32)
-                for to, at in _runs(_bucket(contexts, n_buckets)):
-                    yield _row(_names(STATE), [to, 2, -1, b], contexts[at], single[at], many[at])
+            for b, others, counts in zip(*(batch[x].to_pylist() for x in ("bucket", "others", "pair_counts"))):
+                often = np.frombuffer(counts, np.int64) > 1
+                contexts, of = np.unique(np.frombuffer(others, np.uint64), return_inverse=True)
+                single, many = (np.bincount(of, weights=x, minlength=len(contexts)).astype(np.int32) for x in (~often, often))
+                for to, at in _runs(_relays(b, n_buckets, contexts)):
+                    yield _row(_names(STATE), [to, 2, -1, b], contexts[at], single[at])
+                    at = at[many[at] > 0]
+                    if len(at):
+                        yield _row(_names(STATE), [to, 8, -1, b], contexts[at], many[at])
 
     return task
 
 
+def _relay_task(n_buckets: int, adds: tuple[int, ...], answers: dict[int, tuple[int, tuple]]):
+    """A relay: numbers of the kinds in adds go, added up by context, to the contexts' buckets. Of a kind in answers, each
+    bucket gets the values (of the types there) of the contexts that it asked for by a row of the other kind there."""
+
+    def relay(rows: pa.Table) -> pa.Table:
+        got: dict[int, list[dict]] = {}
+        for row in rows.to_pylist():
+            got.setdefault(row["kind"], []).append(row)
+        own, out = rows["bucket"][0].as_py(), []
+        for kind in adds:
+            if kind in got:
+                contexts, of = np.unique(np.concatenate([np.frombuffer(r["a"], np.uint64) for r in got[kind]]), return_inverse=True)
+                sums = np.bincount(of, weights=np.concatenate([np.frombuffer(r["b"], np.int32) for r in got[kind]]), minlength=len(contexts)).astype(np.int32)
+                for to, at in _runs(_bucket(contexts, n_buckets)):
+                    out.append(_row(_names(STATE), [to, kind, got[kind][0]["draw"], own], contexts[at], sums[at]))
+        for kind, (asked, types) in answers.items():
+            if kind in got:
+                contexts = np.concatenate([np.frombuffer(r["a"], np.uint64) for r in got[kind]])
+                values = [np.concatenate([np.frombuffer(r[c], x) for r in got[kind]]) for c, x in zip("bc", types)]
+                order = np.argsort(contexts)
+                for r in got[asked]:
+                    wanted = np.frombuffer(r["a"], np.uint64)
+                    at = order[np.searchsorted(contexts, wanted, sorter=order)]
+                    out.append(_row(_names(STATE), [r["src"], kind, got[kind][0]["draw"], own], wanted, *(x[at] for x in values)))
+        return _batches(out, STATE)
+
+    return relay
+
+
 def _words_task(heads: np.ndarray):
     """The heads and repeated tokens of each bucket."""
 
@@ -464,20 +550,18 @@ class Seats:
 
     @staticmethod
     def _added(tokens: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Sums of values for each of the tokens; values of others are left out."""
+        """Sums of values for each of the tokens; values of others are left out. A part names a token once."""
         out = np.zeros(len(tokens))
         for t, x in parts:
             at = np.minimum(np.searchsorted(tokens, t), max(0, len(tokens) - 1))
             there = tokens[at] == t if len(tokens) else np.zeros(len(t), bool)
-            np.add.at(out, at[there], x[there])
+            out[at[there]] += x[there]
         return out
 
     def asked(self, draw: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """Which bucket has repeated pairs of which contexts of this one, and their tables in the sweep before."""
-        if draw < 1:
-            all_ = [(r["src"], np.frombuffer(r["a"], np.uint64), np.frombuffer(r["c"], np.int32)) for r in self.got.get(2, [])]
-            return [(src, c[n > 0], n[n > 0]) for src, c, n in all_ if (n > 0).any()]
-        return [(r["src"], np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int32)) for r in self.got.get(4, []) if r["draw"] == draw]
+        """Which relay has repeated pairs of which contexts of this bucket, and their tables in the sweep before."""
+        got = self.got.get(8, []) if draw < 1 else [r for r in self.got.get(4, []) if r["draw"] == draw]
+        return [(r["src"], np.frombuffer(r["a"], np.uint64), np.frombuffer(r["b"], np.int32)) for r in got]
 
     def drawn(self, t: Totals, sweep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Tables of the pairs kept by token; of each token, its customers and tables in the parent, and its probability:
@@ -539,7 +623,7 @@ def _sweep_task(t: Totals, sweep: int, heads: np.ndarray, n_buckets: int):
             sums = np.concatenate([_at_places(seats.context, tables[:n]), _at_places(at, sent[seats.head]), _at_places(at, opened[seats.head]), _at_places(seats.b_keys & _CTX, b_tables)])
             contexts, of = np.unique(seats.others, return_inverse=True)
             all_ = np.bincount(of, weights=rare, minlength=len(contexts)).astype(np.int32)
-            for to, at in _runs(_bucket(contexts, n_buckets)):
+            for to, at in _runs(_relays(bucket, n_buckets, contexts)):
                 out.append(_row(_names(STATE), [to, 4, sweep + 1, bucket], contexts[at], all_[at]))
         some = np.array([rare.sum() + b_tables.sum(), opened.sum(), left]).astype(np.int64)
         out.append(_row(_names(STATE), [-1, 5, sweep, bucket], np.concatenate([sums, some])))
@@ -549,7 +633,7 @@ def _sweep_task(t: Totals, sweep: int, heads: np.ndarray, n_buckets: int):
 
 
 def _back_task(draws: list[tuple[Totals, int]], heads: np.ndarray):
-    """What each context leaves to the parent, averaged, and its customers: for all buckets that hold pairs of it."""
+    """What each context leaves to the parent, averaged, and its customers: for the relays of all buckets that hold pairs of it."""
 
     def task(rows: pa.Table) -> pa.Table:
         seats, out = Seats(rows, heads), []
@@ -640,25 +724,25 @@ class Rare:
         kinds = (np.uint64, np.float32, np.uint64, np.float32, np.uint64, np.float32, np.float32, np.int64)
         cols = [np.concatenate([np.zeros(0, kind), *(np.frombuffer(r[i], kind) for r in rows)]) for i, kind in enumerate(kinds)]
         by_token, by_key, by_pair = (np.argsort(cols[i], kind="stable") for i in (0, 2, 4))
-        self.tokens, self.back = cols[0][by_token], cols[1][by_token]
-        self.b_keys, self.b_p = cols[2][by_key], cols[3][by_key]
-        self.pairs, self.pair_p, self.pair_back, self.pair_counts = (x[by_pair] for x in cols[4:])
+        self.tokens, self.back = Slots(cols[0][by_token]), cols[1][by_token]
+        self.b_keys, self.b_p = Slots(cols[2][by_key]), cols[3][by_key]
+        self.pairs, (self.pair_p, self.pair_back, self.pair_counts) = Slots(cols[4][by_pair]), (x[by_pair] for x in cols[5:])
         self.look, self.p_head, self.head_counts = look, p_head, head_counts
 
     def backs(self, contexts: np.ndarray) -> np.ndarray:
         """What contexts leave to the parent: all, where they have no customers."""
-        at, there = _found(self.tokens, contexts)
+        at, there = self.tokens.found(contexts)
         return np.where(there, self.back[at], 1.0) if len(self.back) else np.ones(len(contexts))
 
     def heads(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of heads after other tokens."""
-        (at, there), place = _found(self.b_keys, keys), (keys & _CTX).astype(np.int64)
+        (at, there), place = self.b_keys.found(keys), (keys & _CTX).astype(np.int64)
         p = self.backs(keys & _TOKEN) * self.p_head[place]
         return np.where(there, self.b_p[at], p) if len(self.b_p) else p, self.head_counts[place]
 
     def seen(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of pairs of training texts."""
-        at, there = _found(self.pairs, pairs)
+        at, there = self.pairs.found(pairs)
         if not there.all():
             raise ValueError("a text that is marked as trained is not among the training texts")
         return self.pair_p[at], self.pair_counts[at]
@@ -666,8 +750,8 @@ class Rare:
     def any(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of any pairs, over what their contexts leave to the parent; that comes from the contexts' buckets."""
         p, counts = self.look(words)
-        at, there = _found(self.pairs, _pair(words, contexts))
-        return np.where(there, self.pair_p[at] / self.pair_back[at], p) if len(self.pairs) else p, counts
+        at, there = self.pairs.found(_pair(words, contexts))
+        return np.where(there, self.pair_p[at] / self.pair_back[at], p) if len(self.pair_p) else p, counts
 
 
 def _found(sorted_: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -691,18 +775,25 @@ class Lookup:
         """Probability and training count of each key."""
         if not len(self.tokens):
             return self.back[(keys & _CTX).astype(np.int64)] * self.unknown, np.zeros(len(keys), np.int64)
-        token = np.searchsorted(self.tokens, keys & _TOKEN)
-        token[token == len(self.tokens)] = 0
-        known = self.tokens[token] == keys & _TOKEN
+        token, known = self.token_slots.found(keys & _TOKEN)
         out = self.back[(keys & _CTX).astype(np.int64)] * np.where(known, self.parent[token], self.unknown)
         if len(self.keys):
             at, there = self.found(keys)
             out = np.where(there, self.p[at], out)
         return out, np.where(known, self.counts[token], 0)
 
+    # Built where they are used, so that they are not broadcast.
+    @cached_property
+    def slots(self) -> Slots:
+        return Slots(self.keys)
+
+    @cached_property
+    def token_slots(self) -> Slots:
+        return Slots(self.tokens)
+
     def found(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each key stands, and whether it does."""
-        return _found(self.keys, keys)
+        return self.slots.found(keys)
 
     def of(self, heads: np.ndarray) -> tuple[bytes, bytes, bytes, bytes, bytes]:
         """The heads without pairs, as a row of ``_lookup``."""
@@ -784,8 +875,10 @@ def _event_task(shared, n_buckets: int, n: int, types: int):
                     for all_, own in zip((kind, keys, before, text), (*_pairs(token, heads), of + x)):
                         all_.append(own)
                 kind, keys, before, text = (np.concatenate(x) for x in (kind, keys, before, text))
-                spot, often = look.found(keys)
-                often &= kind == 0
+                kind = kind.astype(np.int8)
+                often = kind == 0
+                spot = np.zeros(len(keys), np.int64)
+                spot[often], often[often] = look.found(keys[often])
                 p, c = look.p[spot[often]], look.key_counts[spot[often]]
                 m = b - a
                 sums = np.stack([np.bincount(text[often], weights=w, minlength=m) for w in (_base(c, n, types), np.log10(p.astype(float)))])
@@ -799,10 +892,16 @@ def _event_task(shared, n_buckets: int, n: int, types: int):
                 kind[apart & ~seen] = 3
                 more = kind == 3
                 bucket, keys, text, before = (np.concatenate([x, y]) for x, y in ((bucket, _bucket(before[more], n_buckets)), (keys, before[more]), (text, text[more]), (before, before[more])))
-                kind = np.concatenate([kind, np.full(more.sum(), 4)])
+                kind = np.concatenate([kind, np.full(more.sum(), 4, np.int8)])
+                place_of = np.zeros(m, np.int32)
                 for to, at in _runs(bucket):
                     at = at[np.argsort(kind[at], kind="stable")]
-                    own, place = np.unique(text[at], return_inverse=True)
+                    if m < 4 * len(at):
+                        own = np.flatnonzero(np.bincount(text[at], minlength=m)).astype(np.int32)
+                        place_of[own] = np.arange(len(own))
+                        place = place_of[text[at]]
+                    else:
+                        own, place = np.unique(text[at], return_inverse=True)
                     of = kind[at]
                     place = place.astype(np.uint16 if len(own) < 65536 else np.uint32)
                     rows.append((to, 1, own.tobytes(), place.tobytes(), keys[at].tobytes(), np.bincount(of, minlength=5).astype(np.int32).tobytes(), before[at[of == 3]].tobytes()))
@@ -874,7 +973,10 @@ def fit(training: DataFrame, n_buckets: int) -> tuple[DataFrame, np.ndarray, Tot
     counts = _counted(training, n_buckets, heads)
     now = Totals(_summed(counts, _facts(heads), Totals.SIZE))
     shuffles_cleared(training.sparkSession)
-    own = counts.mapInArrow(_state_task(n_buckets), STATE).unionByName(words.mapInArrow(_words_task(heads), STATE))
+    asked = checkpointed(counts.select("bucket", "others", "pair_counts").mapInArrow(_asking_task(n_buckets), STATE))
+    asked_often = checkpointed(asked.filter("kind = 8"))
+    own = counts.mapInArrow(_state_task, STATE).unionByName(words.mapInArrow(_words_task(heads), STATE))
+    own = own.unionByName(asked.groupBy("bucket").applyInArrow(_relay_task(n_buckets, (2, 8), {}), STATE))
     state = bucketed(own.repartition(n_buckets, "bucket"), n_buckets, "bucket")
     removed(words)
     shuffles_cleared(training.sparkSession)
@@ -886,6 +988,12 @@ def fit(training: DataFrame, n_buckets: int) -> tuple[DataFrame, np.ndarray, Tot
             every = every.unionByName(df.filter("bucket >= 0").repartition(n_buckets, "bucket"))
         return every.groupBy("bucket")
 
+    def relayed(sent: DataFrame, asked: DataFrame, adds: tuple[int, ...], answers: dict[int, tuple[int, tuple]]) -> DataFrame:
+        met_ = sent.filter("bucket >= 0").unionByName(asked).groupBy("bucket")
+        out = checkpointed(met_.applyInArrow(_relay_task(n_buckets, adds, answers), STATE))
+        removed(sent)
+        return out
+
     # sent[s]: what sweep s needs from the one before; the first has only what stands for one table a pair.
     sent: list[DataFrame] = []
     draws = []
@@ -894,20 +1002,22 @@ def fit(training: DataFrame, n_buckets: int) -> tuple[DataFrame, np.ndarray, Tot
             draws.append((now, sweep))
         if sweep == BURN_IN + SAMPLES - 1:
             break
-        sent.append(checkpointed(met(*sent[-1:]).applyInArrow(_sweep_task(now, sweep, heads, n_buckets), STATE)))
+        swept = checkpointed(met(*sent[-1:]).applyInArrow(_sweep_task(now, sweep, heads, n_buckets), STATE))
         sums = np.zeros(4 * CONTEXTS + 3, np.int64)
-        for r in sent[-1].filter("bucket = -1").select("a").mapInArrow(_total_task, "i int, x bigint").groupBy("i").agg(F.sum("x").alias("x")).collect():
+        for r in swept.filter("bucket = -1").select("a").mapInArrow(_total_task, "i int, x bigint").groupBy("i").agg(F.sum("x").alias("x")).collect():
             sums[r.i] = r.x
         now = now.after(sums) if sweep >= 0 else now.leaving(int(sums[-1]))
+        sent.append(relayed(swept, asked_often, (4,), {3: (8, (np.int64,))}))
     used = [sent[sweep] for _, sweep in draws]
-    back = checkpointed(met(*used).applyInArrow(_back_task(draws, heads), STATE))
+    left = checkpointed(met(*used).applyInArrow(_back_task(draws, heads), STATE))
+    back = relayed(left, asked.filter("kind = 2"), (), {6: (2, (np.float32, np.int32))})
     names = dict(zip(_names(STATE)[4:], _names(COUNTS)[1:]))
     full = counts.select("bucket", F.lit(7).alias("kind"), F.lit(-1).alias("draw"), F.lit(-1).alias("src"), *(F.col(names[c]).alias(c) if c in names else F.lit(b"").alias(c) for c in _names(STATE)[4:]))
     least = _least(_summed(counts, _levels, 16 * 64), FREQUENT)
     shuffles_cleared(training.sparkSession)
     every = met(*used, back, here=full)
     model = bucketed(every.applyInArrow(_predict_task(draws, heads, least, n_buckets), MODEL), n_buckets, "home")
-    removed(state, counts, back, *sent)
+    removed(state, counts, asked, asked_often, back, *sent)
     del own, every, full
     shuffles_cleared(training.sparkSession)
     return model, heads, now, draws

@@ -176,3 +176,21 @@ def test_each_context_has_its_own_restaurant(spark, monkeypatch):
     assert all(score[i] > score[i + 30] + 1 for i in range(30))
     marked = {r.doc_id: r.score for r in m.scored(train.withColumn("trained", F.lit(True)), train).collect()}
     assert all(marked[i] == pytest.approx(score[i], rel=1e-5) for i in range(30))
+
+
+def test_rows_between_buckets_grow_less_than_the_square_of_the_buckets(spark, monkeypatch):
+    """Pairs of two rare tokens in all of 64 buckets: no step sends a row from every bucket to every other."""
+    plain, written = m.head_tokens, m.checkpointed
+    sent = []
+
+    def counted(df):
+        out = written(df)
+        if "kind" in out.columns:
+            sent.append(out.filter("kind in (2, 3, 4, 6)").groupBy("kind").count().agg(F.max("count")).head()[0] or 0)
+        return out
+
+    monkeypatch.setattr(m, "head_tokens", lambda *args: plain(*args, most=2))
+    monkeypatch.setattr(m, "checkpointed", counted)
+    text = " ".join(f"a{i % 3000} b{i * 7 % 3001}" for i in range(9000))
+    m.fit(frame(spark, [(i, text, "en", "s", 0) for i in range(2)]).select("text"), 64)
+    assert 64 < max(sent) <= 64 * 8
