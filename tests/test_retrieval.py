@@ -249,3 +249,17 @@ def test_lists_are_multiplied_and_not_joined(spark):
     few = vector.ivf_topk(queries, index, 1000, probes=2)
     assert few.groupBy("query_id").count().agg(F.max("count")).first()[0] < 900
     assert vector.ivf_topk(queries.filter("false"), index, 8).count() == 0 == vector.ivf_topk(kb.filter("id > 900").select(F.col("id").alias("query_id"), "embedding"), index, 8).count()
+
+
+def test_recall_of_the_registered_query(spark, tmp_path, monkeypatch):
+    """Against its SQL's numbers, with many equal vectors; neither search makes a row for each pair of query and row."""
+    from lorebank.jobs import queries
+
+    rng = np.random.default_rng(6)
+    same = [float(x) for x in rng.normal(size=16)]
+    data = [(i, same if i % 4 == 0 else [float(x) for x in rng.normal(size=16)], 0) for i in range(600)]
+    spark.createDataFrame(data, "vec_id bigint, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    spark.createDataFrame([(i, f"w{i}", "es", "src1") for i in range(600)], "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.ivf_recall(spark, str(tmp_path))
+    assert tuple(out.first()) == (30, 300, True)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1  # of the exact rows with the found ones
