@@ -58,12 +58,17 @@ def sentences(c: Column, lossless: bool = False) -> Column:
     return F.regexp_extract_all(c, F.lit(_SENTENCE), F.lit(0))
 
 
-def split_long(c: Column, limit: int = 3000, lossless: bool = False) -> Column:
-    """A text beyond the limit as runs of whole sentences within it, trimmed; a longer sentence stays whole."""
+def split_long(c: Column, limit: int = 3000, lossless: bool = False, trim_lone: bool = True) -> Column:
+    """A text beyond the limit as runs of whole sentences within it, trimmed; a longer sentence stays whole.
+
+    Without ``trim_lone`` a sentence within the limit that is the only one of its text stays as it was found, with the blank after it."""
 
     def parts(t: Column) -> Column:
         found = once(sentences(t, lossless), lambda s: F.when(F.size(s) == 0, F.array(t)).otherwise(s))
-        return F.filter(F.transform(_joined_runs(found, limit, ""), trimmed), lambda p: p != "")
+        packed = lambda s: F.filter(F.transform(_joined_runs(s, limit, ""), trimmed), lambda p: p != "")
+        if trim_lone:
+            return packed(found)
+        return once(found, lambda s: F.when((F.size(s) == 1) & (F.length(s[0]) <= limit), s).otherwise(packed(s)))
 
     return once(c, lambda t: F.when(F.length(t) <= limit, F.array(t)).when(t.isNotNull(), parts(t)))
 

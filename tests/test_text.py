@@ -198,3 +198,26 @@ def test_sections_with_the_marks_own_characters(spark):
     got = spark.createDataFrame([(body,)], "t string").select(split_sections(F.col("t")).alias("s")).first().s
     assert [(s.pos, s.ts, s.ts_end, s.title) for s in got] == [(1, "00:01", "00:02", "A"), (2, "00:02", "00:03", "B"), (3, "00:03", "1:00:06", "## [00:04] D"), (4, "1:00:06", None, "E")]
     assert [s.text for s in got] == ["one \u0001 x \u0001\u0003", "two\u0001\u0002", "three ## [00:05] not", ""]
+
+
+def test_a_lone_sentence_of_a_long_text(spark):
+    """As the queries' SQL has it: the only sentence of a text stays as it was found. Elsewhere it is trimmed."""
+    tail = "x " * 1600
+    texts = [" One. " + tail, "One. Two. " + tail, " " + "y" * 3000 + ". " + tail, "a.b. " + tail, "\nOne!\n", "One. " + "z" * 2995 + ".", None]
+    got = pieces(spark, texts, lambda c: p.split_long(c, trim_lone=False))
+    assert got == [[" One. "], ["One. Two."], ["y" * 3000 + "."], ["b. "], ["\nOne!\n"], ["One.", "z" * 2995 + "."], None]
+    assert pieces(spark, texts, p.split_long)[:4] == [["One."], ["One. Two."], ["y" * 3000 + "."], ["b."]]
+
+
+def test_parts_against_sql(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    from lorebank.jobs import queries
+
+    tail = "x " * 1600
+    texts = ["Uno. " + tail, " Uno! " + tail, "Uno. Dos. " + tail, "a.b. " + tail, "", "Uno. ", " ", tail, "Uno. " * 900, "y" * 4000 + ". ", None, "Uno. " + tail]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    for name, cols in (("split_parts", ["doc_id", "pos", "chars", "part_md5"]),):
+        got = sorted(tuple(r) for r in queries.QUERIES[name](spark, str(tmp_path)).select(*cols).collect())
+        assert got == sorted(con.execute(f"select {', '.join(cols)} from ({queries.ORACLE_SQL[name]})").fetchall())
